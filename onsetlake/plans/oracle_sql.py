@@ -144,3 +144,216 @@ SELECT split_part(loc, {SEP}, 2) AS predictor_location,
        split_part(e, {SEP}, 1) AS continent,
        split_part(e, {SEP}, 2) AS location
 FROM q2_rank WHERE rnk <= 5"""
+
+
+# --- raw inputs, cleaning and data quality ----------------------------------
+
+def evolution_cte() -> str:
+    return """evo AS (
+  SELECT r.r_name AS continent, n.n_name AS location, CAST(l.l_shipdate AS DATE) AS date,
+         p.p_brand || '|' || p.p_type AS variant,
+         sum(CAST(greatest(l.l_quantity - 45, 0) AS BIGINT)) AS num_sequences
+  FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+  GROUP BY 1, 2, 3, 4)"""
+
+
+def lines_cte() -> str:
+    return f"""{evolution_cte()},
+evt AS (
+  SELECT *, sum(CASE WHEN NOT starts_with(variant, 'Brand#1|') THEN num_sequences ELSE 0 END)
+            OVER (PARTITION BY location, date) AS total
+  FROM evo),
+evp AS (
+  SELECT *, strftime(date, '%d.%m.%Y') AS dtxt,
+         CASE WHEN total = 0 THEN '0.00'
+              ELSE CAST(CAST(round(100.0 * num_sequences / total, 2) AS DECIMAL(10, 2)) AS VARCHAR) END AS perc
+  FROM evt),
+lines AS (
+  SELECT CASE
+    WHEN day(date) = 31 THEN '"' || location || '","' || dtxt || '"'
+    WHEN day(date) = 13 THEN '"' || location || ',' || dtxt || ',' || variant || ',' ||
+                             CAST(num_sequences AS VARCHAR) || ',' || perc || ',' || CAST(total AS VARCHAR)
+    ELSE '"' || location || '","' || dtxt || '","' || variant || '",' ||
+         CAST(num_sequences AS VARCHAR) || ',' || perc || ',' || CAST(total AS VARCHAR)
+  END AS value FROM evp),
+fl AS (SELECT value AS line, list_transform(string_split(value, ','), lambda x: replace(x, '"', '')) AS fields FROM lines),
+clean AS (
+  SELECT fields[1] AS location, CAST(try_strptime(fields[2], '%d.%m.%Y') AS DATE) AS date, fields[3] AS variant,
+         coalesce(TRY_CAST(fields[4] AS BIGINT), TRY_CAST(TRY_CAST(fields[4] AS DOUBLE) AS BIGINT)) AS num_sequences,
+         100.0 * coalesce(TRY_CAST(fields[4] AS BIGINT), TRY_CAST(TRY_CAST(fields[4] AS DOUBLE) AS BIGINT))
+           / nullif(coalesce(TRY_CAST(fields[6] AS BIGINT), TRY_CAST(TRY_CAST(fields[6] AS DOUBLE) AS BIGINT)), 0)
+           AS perc_sequences,
+         coalesce(TRY_CAST(fields[6] AS BIGINT), TRY_CAST(TRY_CAST(fields[6] AS DOUBLE) AS BIGINT)) AS num_sequences_total
+  FROM fl WHERE len(fields) = 6)"""
+
+
+def clean_variants_csv() -> str:
+    return f"WITH {lines_cte()}\nSELECT * FROM clean"
+
+
+def rejects_rows() -> str:
+    return f"WITH {lines_cte()}\nSELECT line, CAST(len(fields) AS BIGINT) AS n_fields FROM fl WHERE len(fields) <> 6"
+
+
+def _check_rows(source: str, checks: list[tuple[str, str, str]]) -> str:
+    """``checks``: (check, constraint label, SQL violation predicate)."""
+    parts = []
+    for check, label, bad in checks:
+        lab = label.replace("'", "''")
+        parts.append(
+            f"""SELECT '{check}' AS "check", 'Warning' AS level, '{lab}' AS "constraint",
+  CASE WHEN v = 0 THEN 'Success' ELSE 'Failure' END AS status, CAST(v AS BIGINT) AS violations,
+  CAST(v AS DOUBLE) / nullif(n, 0) AS fraction
+FROM (SELECT count(*) FILTER (WHERE coalesce({bad}, false)) AS v, count(*) AS n FROM {source})""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def dq_constraints() -> str:
+    rc = "Review Check"
+    checks = [
+        (rc, "num_sequences_total >= num_sequences", "num_sequences_total < num_sequences"),
+        (rc, "num_sequences_total >= 0", "num_sequences_total < 0"),
+        (rc, "num_sequences >= 0", "num_sequences < 0"),
+        (rc, "perc_sequences >= 0", "perc_sequences < 0"),
+        (rc, "complete(num_sequences_total, num_sequences, perc_sequences)",
+         "num_sequences_total IS NULL OR num_sequences IS NULL OR perc_sequences IS NULL"),
+        ("Schema", "0 <= perc_sequences <= 100", "perc_sequences < 0 OR perc_sequences > 100 OR perc_sequences IS NULL"),
+    ]
+    return f"WITH {lines_cte()}\n" + _check_rows("clean", checks)
+
+
+LOCATION_PATTERN = r"^[A-Z][A-Za-z\(\)\'\-\s]+$"
+VARIANT_PATTERN = r"^[A-Za-z\.:_][A-Za-z0-9\.:_]+$"
+DATE_PATTERN = r"^[0-3][0-9]\.[01][0-9]\.[12][0-9]{3}$"
+
+
+def dq_pattern_metrics() -> str:
+    rows = []
+    for col, pat, expr in (("location", LOCATION_PATTERN, "fields[1]"), ("date_text", DATE_PATTERN, "fields[2]"),
+                           ("variant", VARIANT_PATTERN, "fields[3]")):
+        p = pat.replace("'", "''")
+        rows.append(f"""SELECT '{col}' AS "column", '{p}' AS pattern, CAST(count(*) AS BIGINT) AS rows,
+  CAST(count(*) FILTER (WHERE coalesce(regexp_matches({expr}, '{p}'), false)) AS BIGINT) AS matches,
+  CAST(count(*) - count(*) FILTER (WHERE coalesce(regexp_matches({expr}, '{p}'), false)) AS BIGINT) AS violations,
+  CAST(count(*) FILTER (WHERE coalesce(regexp_matches({expr}, '{p}'), false)) AS DOUBLE) / nullif(count(*), 0) AS fraction
+FROM fl WHERE len(fields) = 6""")
+    return f"WITH {lines_cte()}\n" + "\nUNION ALL\n".join(rows)
+
+
+def dq_reconcile() -> str:
+    return f"""WITH {lines_cte()},
+sums AS (SELECT location, date, sum(num_sequences) AS sum_parts FROM clean
+  WHERE NOT coalesce(starts_with(variant, 'Brand#1|'), false) GROUP BY 1, 2),
+tots AS (SELECT location, date, max(num_sequences_total) AS declared_total,
+  min(num_sequences_total) IS NOT DISTINCT FROM max(num_sequences_total) AS total_is_constant
+  FROM clean GROUP BY 1, 2)
+SELECT coalesce(s.location, t.location) AS location, coalesce(s.date, t.date) AS date,
+       CAST(s.sum_parts AS BIGINT) AS sum_parts, t.declared_total, t.total_is_constant
+FROM sums s FULL OUTER JOIN tots t ON s.location = t.location AND s.date = t.date
+WHERE s.sum_parts IS DISTINCT FROM t.declared_total"""
+
+
+def _f4(x: str) -> str:
+    return f"(CAST(({x}) // 10000 AS VARCHAR) || '.' || lpad(CAST(({x}) % 10000 AS VARCHAR), 4, '0'))"
+
+
+_DAILY = f"""count(*) AS total_tests,
+    count(*) FILTER (WHERE o_orderstatus = 'F') AS new_tests,
+    count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS hosp_patients,
+    {_f4("sum(cents) // (count(*) * 1000)")} AS reproduction_rate,
+    {_f4("count(*) FILTER (WHERE o_orderstatus = 'F') * 10000 // count(*)")} AS positive_rate,
+    {_f4("sum(CAST(substr(o_orderpriority, 1, 1) AS BIGINT)) * 200000 // count(*)")} AS stringency_index,
+    {_f4("sum(cents) // 10000")} AS new_deaths_smoothed_per_million,
+    {_f4("max(cents) // 100")} AS hosp_patients_per_million"""
+
+_STATIC = f"""count(*) AS population,
+    {_f4("sum(acct_cents) * 100 // count(*)")} AS population_density,
+    {_f4("count(*) FILTER (WHERE c_mktsegment = 'BUILDING') * 1000000 // count(*)")} AS median_age,
+    {_f4("max(acct_cents) * 100")} AS gdp_per_capita"""
+
+COUNTERS = ("total_tests", "new_tests", "hosp_patients", "population")
+DOUBLES = ("reproduction_rate", "positive_rate", "stringency_index", "new_deaths_smoothed_per_million",
+           "hosp_patients_per_million", "population_density", "median_age", "gdp_per_capita")
+
+
+def indicators_cte() -> str:
+    raw_cols = ",\n    ".join(
+        [f"CAST(d.{c} AS VARCHAR) AS {c}" for c in COUNTERS if c != "population"]
+        + ["CAST(s.population AS VARCHAR) AS population"]
+        + [f"{'d' if c in DOUBLES[:5] else 's'}.{c}" for c in DOUBLES]
+    )
+    typed = ",\n    ".join(
+        [f"coalesce(TRY_CAST({c} AS BIGINT), TRY_CAST(TRY_CAST({c} AS DOUBLE) AS BIGINT)) AS {c}" for c in COUNTERS]
+        + [f"TRY_CAST({c} AS DOUBLE) AS {c}" for c in DOUBLES]
+    )
+    return f"""geo AS (SELECT n.n_nationkey, r.r_name AS continent, n.n_name AS location
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+cust AS (SELECT c.*, g.continent, g.location, CAST(round((c.c_acctbal + 1000) * 100) AS BIGINT) AS acct_cents
+  FROM customer c JOIN geo g ON c.c_nationkey = g.n_nationkey),
+ord AS (SELECT cu.continent, cu.location, CAST(o.o_orderdate AS DATE) AS date, o.o_orderstatus,
+               CAST(round(o.o_totalprice * 100) AS BIGINT) AS cents, o.o_orderpriority
+  FROM orders o JOIN cust cu ON o.o_custkey = cu.c_custkey),
+daily AS (
+  SELECT continent, location, date, {_DAILY} FROM ord GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT CAST(NULL AS VARCHAR) AS continent, 'World' AS location, date, {_DAILY} FROM ord GROUP BY date),
+stat AS (
+  SELECT location, {_STATIC} FROM cust GROUP BY location
+  UNION ALL
+  SELECT 'World' AS location, {_STATIC} FROM cust),
+raw_ind AS (
+  SELECT d.continent, d.location, strftime(d.date, '%Y-%m-%d') AS date, 'tests performed' AS tests_units,
+    {raw_cols}
+  FROM daily d JOIN stat s ON d.location = s.location),
+ind AS (
+  SELECT continent, location, CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date, tests_units,
+    {typed}
+  FROM raw_ind)"""
+
+
+def clean_indicators_cast() -> str:
+    return f"WITH {indicators_cte()}\nSELECT * FROM ind"
+
+
+def latest_indicators() -> str:
+    return f"""WITH {indicators_cte()},
+li AS (SELECT * EXCLUDE (date), date AS date_indicators FROM ind)
+SELECT * FROM li WHERE date_indicators = (SELECT max(x.date_indicators) FROM li x WHERE x.location = li.location)"""
+
+
+def curated_join() -> str:
+    return f"""WITH {lines_cte()}, {indicators_cte()},
+li AS (SELECT * EXCLUDE (date), date AS date_indicators FROM ind),
+latest AS (SELECT * FROM li WHERE date_indicators = (SELECT max(x.date_indicators) FROM li x WHERE x.location = li.location))
+SELECT c.*, l.* EXCLUDE (location) FROM clean c LEFT JOIN latest l ON c.location = l.location"""
+
+
+def continent_mapping_join() -> str:
+    return f"""WITH {lines_cte()}, {indicators_cte()},
+m AS (SELECT DISTINCT location, continent FROM ind)
+SELECT c.*, m.continent FROM clean c LEFT JOIN m ON c.location = m.location"""
+
+
+def null_profile() -> str:
+    cols = ["continent", "location", "date", "tests_units", *COUNTERS, *DOUBLES]
+    parts = [f"""SELECT '{c}' AS "column", 100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*) AS null_pct FROM ind"""
+             for c in cols]
+    return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(parts)
+
+
+def distinct_profile() -> str:
+    cols = ["continent", "location", "date", "tests_units", *COUNTERS, *DOUBLES]
+    parts = [f"""SELECT '{c}' AS "column", CAST(count(DISTINCT {c}) AS BIGINT) AS n_distinct FROM ind""" for c in cols]
+    return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(parts)
+
+
+def numeric_summary() -> str:
+    parts = [f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count, avg(CAST({c} AS DOUBLE)) AS mean,
+  stddev_samp(CAST({c} AS DOUBLE)) AS std, min(CAST({c} AS DOUBLE)) AS min,
+  quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50,
+  quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, max(CAST({c} AS DOUBLE)) AS max FROM ind""" for c in (*COUNTERS, *DOUBLES)]
+    return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(parts)

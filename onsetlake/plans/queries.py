@@ -53,3 +53,77 @@ def _global(resolution: str):
 global_early_hit = _global("day")
 monthly_early_hit = _global("month")
 presence_early_hit = _global("presence")
+
+
+# --- raw -> clean, data quality, curation ------------------------------------
+
+from onsetlake.operators import clean, curate, quality  # noqa: E402
+
+LOCATION_PATTERN = r"^[A-Z][A-Za-z\(\)\'\-\s]+$"
+VARIANT_PATTERN = r"^[A-Za-z\.:_][A-Za-z0-9\.:_]+$"
+DATE_PATTERN = r"^[0-3][0-9]\.[01][0-9]\.[12][0-9]{3}$"
+
+
+def _clean_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.clean_variants(testmap.raw_variant_lines(spark, sf_dir))
+
+
+def clean_variants_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_variants(spark, sf_dir)
+
+
+def rejects_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean.variant_rejects(testmap.raw_variant_lines(spark, sf_dir))
+
+
+def clean_indicators_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testmap.indicators(spark, sf_dir)
+
+
+def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = [
+        quality.is_ge("num_sequences_total", "num_sequences"),
+        quality.non_negative("num_sequences_total"),
+        quality.non_negative("num_sequences"),
+        quality.non_negative("perc_sequences"),
+        quality.complete(["num_sequences_total", "num_sequences", "perc_sequences"]),
+        quality.in_range("perc_sequences", 0, 100, nullable=False),
+    ]
+    return quality.run_checks(_clean_variants(spark, sf_dir), checks)
+
+
+def dq_pattern_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir)).where(F.size("fields") == 6)
+    df = fields.select(F.get("fields", 0).alias("location"), F.get("fields", 1).alias("date_text"),
+                       F.get("fields", 2).alias("variant"))
+    return quality.pattern_metrics(
+        df, {"location": LOCATION_PATTERN, "date_text": DATE_PATTERN, "variant": VARIANT_PATTERN}
+    )
+
+
+def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.reconcile(_clean_variants(spark, sf_dir), exclude=testmap.excluded_variant(F.col("variant")))
+
+
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.null_profile(testmap.indicators(spark, sf_dir))
+
+
+def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.numeric_summary(testmap.indicators(spark, sf_dir))
+
+
+def distinct_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.distinct_profile(testmap.indicators(spark, sf_dir))
+
+
+def latest_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curate.latest_indicators(testmap.indicators(spark, sf_dir))
+
+
+def curated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curate.curate(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
+
+
+def continent_mapping_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curate.continent_mapping(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))

@@ -119,3 +119,120 @@ def first_positive(spark: SparkSession, sf_dir: str, level: str = "nation") -> D
     return seq.join(variants(spark, sf_dir), "partkey").join(
         locations(spark, sf_dir, level), "suppkey"
     ).select("continent", "location", "variant", "date")
+
+
+# --- raw inputs for the cleaning stage -------------------------------------
+#
+# Fixed values of the corruption rule: lines dated on day 13 lose the
+# closing quote of the location (the repairable kind), lines dated on day 31
+# are cut after the date field (the rejected kind).
+OPEN_QUOTE_DAY = 13
+SHORT_LINE_DAY = 31
+
+
+def raw_variant_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data1 as it arrives: one quoted CSV line per ``(location, date, variant)``.
+
+    The declared total is the per-``(location, date)`` sum without the
+    ``non_who`` stand-in, so reconciliation holds except where a line was
+    rejected.
+    """
+    from pyspark.sql import Window
+
+    evo = variant_evolution(spark, sf_dir)
+    w = Window.partitionBy("location", "date")
+    part = F.when(~excluded_variant(F.col("variant")), F.col("num_sequences")).otherwise(F.lit(0))
+    evo = evo.withColumn("total", F.sum(part).over(w))
+    n, total = F.col("num_sequences"), F.col("total")
+    perc = F.when(total == 0, F.lit("0.00")).otherwise(
+        F.round(F.lit(100.0) * n / total, 2).cast("decimal(10,2)").cast("string"))
+    d = F.date_format("date", "dd.MM.yyyy")
+    q = F.lit('"')
+    tail = F.concat_ws(",", n.cast("string"), perc, total.cast("string"))
+    day = F.dayofmonth("date")
+    line = (
+        F.when(day == SHORT_LINE_DAY, F.concat(q, F.col("location"), q, F.lit(","), q, d, q))
+        .when(day == OPEN_QUOTE_DAY, F.concat(q, F.concat_ws(",", F.col("location"), d, F.col("variant"), tail)))
+        .otherwise(F.concat(q, F.col("location"), q, F.lit(","), q, d, q, F.lit(","), q, F.col("variant"), q,
+                            F.lit(","), tail))
+    )
+    return evo.select(line.alias("value"))
+
+
+def _fixed4(units: Column) -> Column:
+    """Text of a non-negative integer count of ten-thousandths, e.g. 45086 -> '4.5086'.
+
+    Built from exact integers so every engine writes the same digits.
+    """
+    return F.concat((units / 10000).cast("long").cast("string"), F.lit("."),
+                    F.lpad((units % 10000).cast("string"), 4, "0"))
+
+
+def _idiv(a: Column, b: Column) -> Column:
+    return F.floor(F.try_divide(a.cast("decimal(38,0)"), b.cast("decimal(38,0)"))).cast("long")
+
+
+def raw_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data2 as it arrives: every value a string, one row per ``(location, date)``.
+
+    Daily values come from the orders of the location's customers; static
+    values from the location's customers.  A ``World`` row per date (null
+    continent) aggregates all orders, as the real indicator file carries
+    aggregate locations.  Fractional values are exact integer ratios written
+    with four decimals.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice",
+                                                   "o_orderdate", "o_orderpriority")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    geo = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")).select(
+        "n_nationkey", F.col("r_name").alias("continent"), F.col("n_name").alias("location"))
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).withColumn(
+        "acct_cents", F.round((F.col("c_acctbal") + 1000) * 100).cast("long"))
+    o = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
+        "continent", "location", F.to_date("o_orderdate").alias("date"), "o_orderstatus", "o_orderpriority",
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+
+    def daily(df: DataFrame, keys: list) -> DataFrame:
+        n = F.count(F.lit(1))
+        return df.groupBy(*keys).agg(
+            n.alias("total_tests"),
+            F.count_if(F.col("o_orderstatus") == "F").alias("new_tests"),
+            F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("hosp_patients"),
+            _fixed4(_idiv(F.sum("cents"), n * 1000)).alias("reproduction_rate"),
+            _fixed4(_idiv(F.count_if(F.col("o_orderstatus") == "F") * 10000, n)).alias("positive_rate"),
+            _fixed4(_idiv(F.sum(F.substring("o_orderpriority", 1, 1).cast("long")) * 200000, n)).alias("stringency_index"),
+            _fixed4(_idiv(F.sum("cents"), F.lit(10000))).alias("new_deaths_smoothed_per_million"),
+            _fixed4(_idiv(F.max("cents"), F.lit(100))).alias("hosp_patients_per_million"),
+        )
+
+    def static(df: DataFrame, keys: list) -> DataFrame:
+        n = F.count(F.lit(1))
+        return df.groupBy(*keys).agg(
+            n.alias("population"),
+            _fixed4(_idiv(F.sum("acct_cents") * 100, n)).alias("population_density"),
+            _fixed4(_idiv(F.count_if(F.col("c_mktsegment") == "BUILDING") * 1000000, n)).alias("median_age"),
+            _fixed4(F.max("acct_cents") * 100).alias("gdp_per_capita"),
+        )
+
+    per_loc = daily(o, ["continent", "location", "date"]).join(static(cust, ["location"]), "location")
+    world_daily = daily(o, ["date"]).select(
+        F.lit(None).cast("string").alias("continent"), F.lit("World").alias("location"), "*")
+    world_static = static(cust.withColumn("location", F.lit("World")), ["location"])
+    world = world_daily.join(world_static, "location")
+    both = per_loc.unionByName(world)
+    return both.select(
+        "continent", "location", F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.lit("tests performed").alias("tests_units"),
+        *[F.col(c).cast("string").alias(c) for c in ("total_tests", "new_tests", "hosp_patients", "population")],
+        "reproduction_rate", "positive_rate", "stringency_index", "new_deaths_smoothed_per_million",
+        "hosp_patients_per_million", "population_density", "median_age", "gdp_per_capita",
+    )
+
+
+def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed Data2 stand-in (raw strings through the rule-driven cast)."""
+    from onsetlake.operators.clean import cast_by_rules
+
+    return cast_by_rules(raw_indicators(spark, sf_dir))
