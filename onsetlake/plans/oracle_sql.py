@@ -357,3 +357,170 @@ def numeric_summary() -> str:
   quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50,
   quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, max(CAST({c} AS DOUBLE)) AS max FROM ind""" for c in (*COUNTERS, *DOUBLES)]
     return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(parts)
+
+
+# --- exploration, time series, statistics ------------------------------------
+
+STATIC = ("population", "population_density", "median_age", "gdp_per_capita")
+EVENT = ("reproduction_rate", "new_deaths_smoothed_per_million", "hosp_patients_per_million",
+         "positive_rate", "stringency_index")
+
+
+def sampling_gap_histogram() -> str:
+    return f"""WITH {lines_cte()},
+g AS (SELECT location, variant, datediff('day', lag(date) OVER (PARTITION BY location, variant ORDER BY date), date) AS gap_days
+  FROM clean),
+d AS (SELECT DISTINCT location, variant, gap_days FROM g WHERE gap_days IS NOT NULL)
+SELECT gap_days, count(*) AS n_series FROM d GROUP BY gap_days"""
+
+
+def prevalence_by_date() -> str:
+    return f"WITH {lines_cte()}\nSELECT date, sum(num_sequences) AS num_sequences FROM clean GROUP BY date"
+
+
+def prevalence_by_variant() -> str:
+    return f"WITH {lines_cte()}\nSELECT variant, date, sum(num_sequences) AS num_sequences FROM clean GROUP BY 1, 2"
+
+
+def prevalence_by_location() -> str:
+    return f"""WITH {lines_cte()},
+seen AS (SELECT location, variant FROM clean GROUP BY 1, 2 HAVING max(num_sequences) > 0)
+SELECT c.location, c.variant, c.date, sum(c.num_sequences) AS num_sequences
+FROM clean c WHERE (c.location, c.variant) IN (SELECT location, variant FROM seen)
+GROUP BY 1, 2, 3"""
+
+
+def cumulative_by_date() -> str:
+    return f"""WITH {lines_cte()},
+p AS (SELECT date, sum(num_sequences) AS num_sequences FROM clean GROUP BY date)
+SELECT date, num_sequences,
+  CASE WHEN num_sequences IS NOT NULL THEN sum(num_sequences) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END
+  AS num_sequences_cumulative
+FROM p"""
+
+
+def cumulative_by_variant() -> str:
+    return f"""WITH {lines_cte()},
+p AS (SELECT variant, date, sum(num_sequences) AS num_sequences FROM clean GROUP BY 1, 2)
+SELECT variant, date, num_sequences,
+  CASE WHEN num_sequences IS NOT NULL THEN sum(num_sequences) OVER (PARTITION BY variant ORDER BY date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS num_sequences_cumulative
+FROM p"""
+
+
+def reference_series() -> str:
+    return f"""WITH {lines_cte()}, {indicators_cte()},
+p AS (SELECT date, sum(num_sequences) AS num_sequences FROM clean GROUP BY date),
+cum AS (SELECT date, num_sequences,
+  CASE WHEN num_sequences IS NOT NULL THEN sum(num_sequences) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END
+  AS num_sequences_cumulative FROM p),
+ref AS (SELECT date, new_deaths_smoothed_per_million, reproduction_rate FROM ind WHERE location = 'World')
+SELECT cum.*, ref.new_deaths_smoothed_per_million, ref.reproduction_rate FROM cum LEFT JOIN ref ON cum.date = ref.date"""
+
+
+def event_window_28d() -> str:
+    cols = ", ".join(f"i.{c}" for c in EVENT)
+    return f"""WITH {onsets_cte()}, {indicators_cte()}
+SELECT o.location, o.variant, o.outbreak_date, i.date, CAST(datediff('day', o.outbreak_date, i.date) AS INTEGER) AS day_offset,
+       {cols}
+FROM ranks o JOIN ind i ON i.location = o.location
+WHERE abs(datediff('day', o.outbreak_date, i.date)) < 28"""
+
+
+def _event_means_cte() -> str:
+    cols = ",\n  ".join(f"CAST(sum(CAST(i.{c} AS DECIMAL(38, 4))) AS DOUBLE) / nullif(count(i.{c}), 0) AS {c}"
+                          for c in (*COUNTERS, *DOUBLES))
+    return f"""ewm AS (
+  SELECT o.variant, o.continent, o.location, avg(o.outbreak_rank_global) AS outbreak_rank_global,
+  {cols}
+  FROM ranks o JOIN ind i ON i.continent = o.continent AND i.location = o.location
+  WHERE abs(datediff('day', o.outbreak_date, i.date)) < 14
+  GROUP BY 1, 2, 3)"""
+
+
+def event_window_means() -> str:
+    return f"WITH {onsets_cte()}, {indicators_cte()}, {_event_means_cte()}\nSELECT * FROM ewm"
+
+
+def _static_cte() -> str:
+    cols = ",\n  ".join(f"arg_min({c}, date) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in ("continent", *STATIC))
+    return f"""st AS (SELECT location,
+  {cols}
+  FROM ind GROUP BY location)"""
+
+
+def static_indicators() -> str:
+    return f"WITH {indicators_cte()}, {_static_cte()}\nSELECT * FROM st"
+
+
+def location_constant_columns() -> str:
+    cols = ["continent", "date", "tests_units", *COUNTERS, *DOUBLES]
+    per = ",\n  ".join(f"count(DISTINCT {c}) AS d_{c}" for c in cols)
+    rows = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST(max(d_{c}) AS BIGINT) AS max_distinct, max(d_{c}) <= 1 AS is_constant FROM pk"
+        for c in cols)
+    return f"""WITH {indicators_cte()},
+pk AS (SELECT location,
+  {per}
+  FROM ind GROUP BY location)
+{rows}"""
+
+
+def onset_matrix() -> str:
+    brands = [f"Brand#{i}" for i in range(1, 26)]
+    types = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+    cols = ",\n  ".join(
+        f"max(CASE WHEN variant = '{b}|{t}' THEN outbreak_rank_global END) AS \"{b}|{t}\"" for b in brands for t in types)
+    return f"""WITH {onsets_cte()}
+SELECT continent, location,
+  {cols}
+FROM ranks GROUP BY continent, location"""
+
+
+def _corr_rows(source: str, cols: tuple[str, ...]) -> str:
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            xa, xb = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END", f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
+            expr = (f"covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0) AS r, "
+                    f"CAST(count(*) FILTER (WHERE {both}) AS BIGINT) AS n")
+            for x, y in {(a, b), (b, a)}:
+                parts.append(f"SELECT '{x}' AS x, '{y}' AS y, {expr} FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+RANK_CORR = (*STATIC, "schulze_onset_rank_continent", "earliest_5_in_continent")
+
+
+def _static_ranks_ctes() -> str:
+    return f"""{onsets_cte()}, {indicators_cte()}, {_static_cte()},
+{_q1_ctes()},
+sr AS (SELECT st.*, q.rnk AS schulze_onset_rank_continent,
+  CASE WHEN q.rnk IS NULL THEN NULL WHEN q.rnk <= 5 THEN 1.0 ELSE 0.0 END AS earliest_5_in_continent
+  FROM st LEFT JOIN q1_rank q ON q.loc = st.location)"""
+
+
+def correlation_matrix() -> str:
+    return f"WITH RECURSIVE {_static_ranks_ctes()}\n" + _corr_rows("sr", RANK_CORR)
+
+
+def correlation_per_variant() -> str:
+    parts = []
+    for c in STATIC:
+        both = f"r.outbreak_rank_global IS NOT NULL AND s.{c} IS NOT NULL"
+        xa = f"CASE WHEN {both} THEN CAST(r.outbreak_rank_global AS DOUBLE) END"
+        xb = f"CASE WHEN {both} THEN CAST(s.{c} AS DOUBLE) END"
+        parts.append(f"""SELECT r.variant, 'outbreak_rank_global' AS x, '{c}' AS y,
+  covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0) AS r,
+  CAST(count(*) FILTER (WHERE {both}) AS BIGINT) AS n
+FROM ranks r JOIN st s ON s.location = r.location GROUP BY r.variant""")
+    return f"WITH {onsets_cte()}, {indicators_cte()}, {_static_cte()}\n" + "\nUNION ALL\n".join(parts)
+
+
+EVENT_CORR = ("outbreak_rank_global", "new_deaths_smoothed_per_million", "reproduction_rate",
+              "positive_rate", "stringency_index", *STATIC)
+
+
+def event_window_correlation() -> str:
+    return f"WITH {onsets_cte()}, {indicators_cte()}, {_event_means_cte()}\n" + _corr_rows("ewm", EVENT_CORR)

@@ -127,3 +127,117 @@ def curated_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def continent_mapping_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curate.continent_mapping(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
+
+
+# --- exploration, time series, statistics ------------------------------------
+
+from onsetlake.functions import stats  # noqa: E402
+from onsetlake.operators import explore  # noqa: E402
+
+STATIC_COLUMNS = ("population", "population_density", "median_age", "gdp_per_capita")
+# Fixed values of the mapping's variant domain (for the display pivot).
+BRANDS = tuple(f"Brand#{i}" for i in range(1, 26))
+TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+VARIANTS = tuple(f"{b}|{t}" for b in BRANDS for t in TYPES)
+
+
+def sampling_gap_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.sampling_gap_histogram(_clean_variants(spark, sf_dir))
+
+
+def prevalence_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.prevalence_by_date(_clean_variants(spark, sf_dir))
+
+
+def prevalence_by_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.prevalence_by_variant(_clean_variants(spark, sf_dir))
+
+
+def prevalence_by_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.prevalence_by_location(_clean_variants(spark, sf_dir))
+
+
+def cumulative_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.cumulative_by_date(_clean_variants(spark, sf_dir))
+
+
+def cumulative_by_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.cumulative_by_variant(_clean_variants(spark, sf_dir))
+
+
+def reference_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.reference_series(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
+
+
+def event_window_28d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.event_window(_ranks(spark, sf_dir), testmap.indicators(spark, sf_dir), days=28)
+
+
+def _event_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.event_window_means(_ranks(spark, sf_dir), testmap.indicators(spark, sf_dir), days=14,
+                                      exact_scale=4)
+
+
+def event_window_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _event_means(spark, sf_dir)
+
+
+def _static(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.static_indicators(testmap.indicators(spark, sf_dir), ("continent", *STATIC_COLUMNS))
+
+
+def static_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _static(spark, sf_dir)
+
+
+def location_constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.constant_columns(testmap.indicators(spark, sf_dir))
+
+
+def onset_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return explore.onset_matrix(_ranks(spark, sf_dir), VARIANTS)
+
+
+def _static_with_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q1 = continent_outbreak_rank(spark, sf_dir).select(
+        "location", "schulze_onset_rank_continent",
+        F.col("earliest_5_in_continent").cast("double").alias("earliest_5_in_continent"))
+    return _static(spark, sf_dir).join(q1, "location", "left")
+
+
+RANK_CORR_COLUMNS = (*STATIC_COLUMNS, "schulze_onset_rank_continent", "earliest_5_in_continent")
+
+
+def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.correlation_matrix(_static_with_ranks(spark, sf_dir), RANK_CORR_COLUMNS)
+
+
+def correlation_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = stats.correlation_matrix(_static_with_ranks(spark, sf_dir), RANK_CORR_COLUMNS)
+    return stats.significance(m, bonferroni=True)
+
+
+def correlation_per_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6: per variant, Pearson r of the onset rank with each static column."""
+    ranks = _ranks(spark, sf_dir).select("location", "variant", "outbreak_rank_global")
+    joined = ranks.join(_static(spark, sf_dir), "location")
+    aggs = []
+    for c in STATIC_COLUMNS:
+        x, y = F.col("outbreak_rank_global").cast("double"), F.col(c).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        aggs.append(F.struct(
+            F.lit(c).alias("y"),
+            F.try_divide(F.covar_pop(F.when(both, x), F.when(both, y)),
+                         F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))).alias("r"),
+            F.count_if(both).cast("long").alias("n")))
+    return joined.groupBy("variant").agg(F.array(*aggs).alias("e")).select(
+        "variant", F.lit("outbreak_rank_global").alias("x"), F.explode("e").alias("e")
+    ).select("variant", "x", "e.y", "e.r", "e.n")
+
+
+EVENT_CORR_COLUMNS = ("outbreak_rank_global", "new_deaths_smoothed_per_million", "reproduction_rate",
+                      "positive_rate", "stringency_index", *STATIC_COLUMNS)
+
+
+def event_window_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.correlation_matrix(_event_means(spark, sf_dir), EVENT_CORR_COLUMNS)
