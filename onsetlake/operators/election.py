@@ -87,14 +87,6 @@ def _grouped(votes: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFr
     return rows.groupBy(*keys).applyInPandas(lambda pdf: schulze_kernel.elect(pdf, keys), schema)
 
 
-def _on(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def pairwise_preferences(votes: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(keys..., a, b, p)`` for every ordered pair of distinct candidates.
 
@@ -155,6 +147,9 @@ def path_strengths(prefs: DataFrame, keys: Sequence[str], max_rounds: int = 64)
     Each round is checkpointed to ``spark.checkpoint.dir`` so lineage stays
     short and a lost executor recomputes one round, not all of them.
     """
+    from onsetlake.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(prefs.sparkSession)
     keys = list(keys)
     paths = strong_edges(prefs, keys).checkpoint()
     last = paths.agg(F.count(F.lit(1)), F.sum("s")).first()

@@ -94,6 +94,39 @@ def early_hit_ranking() -> str:
 SELECT e AS continent, loc AS location, rnk AS early_hit_ranking FROM eh_rank"""
 
 
+def _global_ctes(resolution: str, p: str) -> str:
+    r = {
+        "day": "outbreak_date",
+        "month": "date_trunc('month', outbreak_date)",
+        "presence": "CASE WHEN outbreak_date IS NOT NULL THEN DATE '2020-01-01' END",
+    }[resolution]
+    return f"""v_{p} AS (SELECT 'global' AS e, coalesce(continent, '') || {SEP} || location AS loc, variant, {r} AS r
+  FROM ranks WHERE NOT {_excluded('variant', ('others', 'non_who'))}),
+c_{p} AS (SELECT DISTINCT 'global' AS e, coalesce(continent, '') || {SEP} || location AS loc FROM ranks),
+{schulze_ctes(p, f'v_{p}', f'c_{p}')}"""
+
+
+def ranking_comparison() -> str:
+    return f"""WITH RECURSIVE {onsets_cte()},
+{_global_ctes('day', 'gd')},
+{_global_ctes('month', 'gm')}
+SELECT nullif(split_part(d.loc, {SEP}, 1), '') AS continent, split_part(d.loc, {SEP}, 2) AS location,
+       d.rnk AS rank_a, m.rnk AS rank_b, abs(d.rnk - m.rnk) AS abs_diff
+FROM gd_rank d JOIN gm_rank m ON d.loc = m.loc"""
+
+
+def pairwise_preferences() -> str:
+    return f"""WITH RECURSIVE {onsets_cte()},
+{_q1_ctes()}
+SELECT e AS continent, a, b, p FROM q1_pref"""
+
+
+def path_strengths() -> str:
+    return f"""WITH RECURSIVE {onsets_cte()},
+{_q1_ctes()}
+SELECT e AS continent, a, b, s FROM q1_str"""
+
+
 def global_early_hit(resolution: str = "day") -> str:
     r = {
         "day": "outbreak_date",
@@ -110,10 +143,8 @@ SELECT nullif(split_part(loc, {SEP}, 1), '') AS continent, split_part(loc, {SEP}
 FROM g_rank"""
 
 
-def predictor_locations() -> str:
-    return f"""WITH RECURSIVE {onsets_cte()},
-{_q1_ctes()},
-tg AS (SELECT e AS t_cont, loc AS t_loc FROM q1_rank WHERE rnk <= 5),
+def _pred_ctes() -> str:
+    return f"""tg AS (SELECT e AS t_cont, loc AS t_loc FROM q1_rank WHERE rnk <= 5),
 cand AS (SELECT DISTINCT continent AS c_cont, location AS c_loc FROM ranks),
 vv AS (SELECT continent AS c_cont, location AS c_loc, variant, outbreak_rank_global AS r FROM ranks
   WHERE NOT {_excluded('variant')}),
@@ -133,7 +164,8 @@ v2 AS (
   WHERE tv.r_t IS NULL OR v.r <= tv.r_t),
 c2 AS (SELECT el.t_cont || {SEP} || el.t_loc || {SEP} || el.scope AS e,
               coalesce(el.c_cont, '') || {SEP} || el.c_loc AS loc FROM el),
-{schulze_ctes('q2', 'v2', 'c2')}
+{schulze_ctes('q2', 'v2', 'c2')},
+pred AS (
 SELECT split_part(loc, {SEP}, 2) AS predictor_location,
        rnk AS predictor_rank,
        CASE WHEN split_part(e, {SEP}, 3) = 'on' THEN split_part(e, {SEP}, 1)
@@ -143,7 +175,14 @@ SELECT split_part(loc, {SEP}, 2) AS predictor_location,
        split_part(e, {SEP}, 3) = 'off' AND rnk <= 5 AS is_in_off_continent_top_5_predictors,
        split_part(e, {SEP}, 1) AS continent,
        split_part(e, {SEP}, 2) AS location
-FROM q2_rank WHERE rnk <= 5"""
+FROM q2_rank WHERE rnk <= 5)"""
+
+
+def predictor_locations() -> str:
+    return f"""WITH RECURSIVE {onsets_cte()},
+{_q1_ctes()},
+{_pred_ctes()}
+SELECT * FROM pred"""
 
 
 # --- raw inputs, cleaning and data quality ----------------------------------
@@ -524,3 +563,25 @@ EVENT_CORR = ("outbreak_rank_global", "new_deaths_smoothed_per_million", "reprod
 
 def event_window_correlation() -> str:
     return f"WITH {onsets_cte()}, {indicators_cte()}, {_event_means_cte()}\n" + _corr_rows("ewm", EVENT_CORR)
+
+
+def serving_dashboard() -> str:
+    pred, cur = "analysis_location_variant_predictors", "curated_country_variant_indicators"
+    return f"""WITH RECURSIVE {onsets_cte()},
+{_q1_ctes()},
+{_pred_ctes()},
+{lines_cte()}, {indicators_cte()},
+li AS (SELECT * EXCLUDE (date), date AS date_indicators FROM ind),
+latest AS (SELECT * FROM li WHERE date_indicators = (SELECT max(x.date_indicators) FROM li x WHERE x.location = li.location)),
+cur AS (SELECT c.*, l.* EXCLUDE (location) FROM clean c LEFT JOIN latest l ON c.location = l.location),
+o AS (SELECT e AS continent, loc AS location, CAST(rnk AS INTEGER) AS schulze_onset_rank_continent,
+             CAST(rnk <= 5 AS INTEGER) AS earliest_5_in_continent FROM q1_rank),
+p AS (SELECT location AS "location[{pred}]", continent AS "continent[{pred}]", predictor_location, predictor_continent,
+             CAST(predictor_rank AS INTEGER) AS predictor_rank, CAST(on_same_continent AS INTEGER) AS on_same_continent,
+             CAST(is_in_same_continent_top_5_predictors AS INTEGER) AS is_in_same_continent_top_5_predictors,
+             CAST(is_in_off_continent_top_5_predictors AS INTEGER) AS is_in_off_continent_top_5_predictors FROM pred),
+c AS (SELECT * EXCLUDE (location, continent), location AS "location[{cur}]", continent AS "continent[{cur}]" FROM cur)
+SELECT o.*, p.*, c.* FROM o
+LEFT JOIN p ON o.location = p."location[{pred}]" AND o.continent = p."continent[{pred}]"
+LEFT JOIN c ON o.location = c."location[{cur}]" AND o.continent = c."continent[{cur}]"
+"""

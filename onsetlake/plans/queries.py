@@ -241,3 +241,47 @@ EVENT_CORR_COLUMNS = ("outbreak_rank_global", "new_deaths_smoothed_per_million",
 
 def event_window_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.correlation_matrix(_event_means(spark, sf_dir), EVENT_CORR_COLUMNS)
+
+
+# --- the Schulze chain step by step (DataFrame path) ---------------------------
+
+from onsetlake.operators import election  # noqa: E402
+
+
+def _q1_inputs(spark: SparkSession, sf_dir: str):
+    ranks = _ranks(spark, sf_dir).where(F.col("continent").isNotNull())
+    cands = ranks.select("continent", "location").distinct()
+    votes = ranks.where(~testmap.excluded_variant(F.col("variant"))).select(
+        "continent", "location", "variant", F.col("outbreak_rank_global").alias("r"))
+    return votes, cands
+
+
+def pairwise_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    votes, cands = _q1_inputs(spark, sf_dir)
+    return election.pairwise_preferences(votes, cands, ["continent"])
+
+
+def path_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    votes, cands = _q1_inputs(spark, sf_dir)
+    return election.path_strengths(election.pairwise_preferences(votes, cands, ["continent"]), ["continent"])
+
+
+def ranking_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EL11: global ranking on exact onset days against monthly resolution."""
+    return outbreak.ranking_comparison(global_early_hit(spark, sf_dir), monthly_early_hit(spark, sf_dir),
+                                       "early_hit_ranking", "early_hit_ranking")
+
+
+# --- serving view ---------------------------------------------------------------
+
+from onsetlake.plans import serving  # noqa: E402
+
+
+def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = _ranks(spark, sf_dir).persist()
+    excluded = testmap.excluded_variant(F.col("variant"))
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    targets = q1.where("earliest_5_in_continent").select("continent", "location")
+    q2 = predictors.predictor_locations(ranks, targets, excluded)
+    curated = curate.curate(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
+    return serving.serving_dashboard(q1, q2, curated)
