@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,6 +61,9 @@ def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str],
     votes = normalise_votes(votes, keys)
     candidates = candidates.select(*keys, "location").distinct()
     if method == "auto":
+        # The size check is an action; keep its input so the election itself
+        # does not recompute the candidate lists (and everything upstream).
+        candidates = candidates.persist(StorageLevel.MEMORY_AND_DISK)
         largest = candidates.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         method = "grouped" if largest <= max_grouped_candidates else "dataframe"
     if method == "grouped":

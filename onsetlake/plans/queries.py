@@ -31,7 +31,7 @@ def continent_outbreak_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictor_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = _ranks(spark, sf_dir).persist()
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     return predictors.predictor_locations(ranks, targets, excluded)
 
@@ -285,3 +285,12 @@ def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     q2 = predictors.predictor_locations(ranks, targets, excluded)
     curated = curate.curate(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
     return serving.serving_dashboard(q1, q2, curated)
+
+
+def predictor_locations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 + Q2 with suppliers as locations: elections of hundreds of candidates."""
+    ranks = _ranks(spark, sf_dir, level="supplier").persist()
+    excluded = testmap.excluded_variant(F.col("variant"))
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    targets = q1.where("earliest_5_in_continent").select("continent", "location")
+    return predictors.predictor_locations(ranks, targets, excluded)
