@@ -585,3 +585,47 @@ SELECT o.*, p.*, c.* FROM o
 LEFT JOIN p ON o.location = p."location[{pred}]" AND o.continent = p."continent[{pred}]"
 LEFT JOIN c ON o.location = c."location[{cur}]" AND o.continent = c."continent[{cur}]"
 """
+
+
+def country_code_lookup() -> str:
+    fixes = {
+        "Bonaire Sint Eustatius and Saba": "Bonaire, Sint Eustatius and Saba",
+        "Cape Verde": "Cabo Verde",
+        "Democratic Republic of Congo": "Congo, The Democratic Republic of",
+        "Faeroe Islands": "Faroe Islands",
+        "Iran": "Iran, Islamic Republic of",
+        "Laos": "Lao People's Democratic Republic",
+        "Micronesia (country)": "Micronesia, Federated States of",
+        "United States Virgin Islands": "Virgin Islands, U.S.",
+    }
+    case = " ".join("WHEN '{}' THEN '{}'".format(k.replace("'", "''"), v.replace("'", "''")) for k, v in fixes.items())
+    grams = "unnest(list_transform(range(1, greatest(length({s}) - 2, 1) + 1), lambda i: substr(lower({s}), i, 3)))"
+    return f"""WITH {indicators_cte()},
+locs AS (SELECT DISTINCT location FROM ind WHERE location IS NOT NULL),
+l2 AS (SELECT location, CASE location {case} ELSE location END AS lookup FROM locs),
+ref AS (SELECT n_name AS name, replace(n_name, '_', ' ') AS common_name,
+               'N' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS code FROM nation),
+ex AS (SELECT l2.*, r.code AS exact_code FROM l2 LEFT JOIN ref r ON r.name = l2.lookup),
+cm AS (SELECT ex.*, r.code AS common_code FROM ex LEFT JOIN ref r ON r.common_name = ex.lookup),
+todo AS (SELECT location, lookup FROM cm WHERE exact_code IS NULL AND common_code IS NULL),
+lg AS (SELECT DISTINCT location, lookup, {grams.format(s='lookup')} AS g FROM todo),
+rg AS (SELECT DISTINCT name AS cand, code AS cand_code, {grams.format(s='name')} AS g FROM ref),
+pairs AS (SELECT DISTINCT location, lookup, cand, cand_code FROM lg JOIN rg ON lg.g = rg.g),
+sc AS (SELECT *, 1.0 - levenshtein(lower(lookup), lower(cand)) / greatest(length(lookup), length(cand)) AS sim FROM pairs),
+best AS (SELECT location, cand_code AS fuzzy_code FROM (
+  SELECT *, row_number() OVER (PARTITION BY location ORDER BY sim DESC, cand) AS rn FROM sc WHERE sim >= 0.6) WHERE rn = 1)
+SELECT cm.location, coalesce(exact_code, common_code, fuzzy_code) AS code,
+  CASE WHEN exact_code IS NOT NULL THEN 'exact' WHEN common_code IS NOT NULL THEN 'common'
+       WHEN fuzzy_code IS NOT NULL THEN 'fuzzy' END AS match_kind
+FROM cm LEFT JOIN best ON cm.location = best.location"""
+
+
+def land_and_read_partition() -> str:
+    return clean_variants_csv()
+
+
+def predictor_locations_supplier() -> str:
+    return f"""WITH RECURSIVE {onsets_cte('supplier')},
+{_q1_ctes()},
+{_pred_ctes()}
+SELECT * FROM pred"""

@@ -294,3 +294,30 @@ def predictor_locations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     return predictors.predictor_locations(ranks, targets, excluded)
+
+
+# --- country codes, landing and file inventory ------------------------------------
+
+from onsetlake.operators import geo  # noqa: E402
+from onsetlake.sources import landing  # noqa: E402
+
+
+def country_code_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    locs = testmap.indicators(spark, sf_dir).select("location")
+    return geo.country_codes(locs, testmap.country_reference(spark, sf_dir))
+
+
+def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.file_inventory(spark, sf_dir)
+
+
+def land_and_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lands the raw variant lines under ``ingest_date=...`` in the shared
+    checkpoint folder, reads back one partition (pruned) and cleans it."""
+    from onsetlake.session import ensure_checkpoint_dir
+
+    base = landing.new_landing_root(ensure_checkpoint_dir(spark))
+    day = "20240101"
+    landing.land_text(testmap.raw_variant_lines(spark, sf_dir), base, "data1_country_variants", day)
+    lines = landing.read_partition(spark, base, "data1_country_variants", day)
+    return clean.clean_variants(lines)

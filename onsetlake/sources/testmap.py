@@ -236,3 +236,13 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     from onsetlake.operators.clean import cast_by_rules
 
     return cast_by_rules(raw_indicators(spark, sf_dir))
+
+
+def country_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference country table stand-in: ``(name, common_name, code)`` per nation."""
+    nation = table(spark, sf_dir, "nation")
+    return nation.select(
+        F.col("n_name").alias("name"),
+        F.regexp_replace("n_name", "_", " ").alias("common_name"),
+        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 3, "0")).alias("code"),
+    )
