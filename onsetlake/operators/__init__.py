@@ -1 +1 @@
-
+"""DataFrame -> DataFrame operators of the outbreak-onset analytics."""

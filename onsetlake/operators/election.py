@@ -60,25 +60,35 @@ def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str],
     keys = list(keys)
     votes = normalise_votes(votes, keys)
     candidates = candidates.select(*keys, "location").distinct()
+    n_elections = None
     if method == "auto":
         # The size check is an action; keep its input so the election itself
         # does not recompute the candidate lists (and everything upstream).
         candidates = candidates.persist(StorageLevel.MEMORY_AND_DISK)
-        largest = candidates.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        stats = candidates.groupBy(*keys).count().agg(F.max("count"), F.count(F.lit(1))).first()
+        largest, n_elections = stats[0] or 0, stats[1] or 0
         method = "grouped" if largest <= max_grouped_candidates else "dataframe"
     if method == "grouped":
-        return _grouped(votes, candidates, keys)
+        return _grouped(votes, candidates, keys, n_elections)
     if method == "dataframe":
         prefs = pairwise_preferences(votes, candidates, keys)
         return final_ranking(path_strengths(prefs, keys), candidates, keys)
     raise ValueError(f"unknown election method {method!r}")
 
 
-def _grouped(votes: DataFrame, candidates: DataFrame, keys: list[str]) -> DataFrame:
+def _grouped(votes: DataFrame, candidates: DataFrame, keys: list[str], n_elections: int | None = None) -> DataFrame:
     rows = votes.unionByName(
         candidates.select(*keys, "location", F.lit(None).cast("string").alias("variant"),
                           F.lit(None).cast("double").alias("r"))
     )
+    if n_elections:
+        # One election per task where possible.  An explicit partition count
+        # is not coalesced by AQE, which would otherwise pack the (small)
+        # election inputs into one task and run their O(n^3) work serially.
+        spark = votes.sparkSession
+        cap = 4 * max(spark.sparkContext.defaultParallelism,
+                      int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = rows.repartition(max(1, min(n_elections, cap)), *keys)
     key_fields = [votes.schema[k] for k in keys]
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, True) for f in key_fields]

@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+The product is a batch lakehouse: it has no stream source, watermark,
+windowed state or late-data handling, and reruns overwrite whole tables.
+Nothing here is needed to run its queries; new data arrives through the
+landing zone (:mod:`onsetlake.sources.landing`) and a batch rerun.
+"""
