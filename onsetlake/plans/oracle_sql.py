@@ -407,51 +407,51 @@ EVENT = ("reproduction_rate", "new_deaths_smoothed_per_million", "hosp_patients_
 
 def sampling_gap_histogram() -> str:
     return f"""WITH {lines_cte()},
-g AS (SELECT location, variant, datediff('day', lag(date) OVER (PARTITION BY location, variant ORDER BY date), date) AS gap_days
+g AS (SELECT location, variant, CAST(datediff('day', lag(date) OVER (PARTITION BY location, variant ORDER BY date), date) AS INTEGER) AS gap_days
   FROM clean),
 d AS (SELECT DISTINCT location, variant, gap_days FROM g WHERE gap_days IS NOT NULL)
 SELECT gap_days, count(*) AS n_series FROM d GROUP BY gap_days"""
 
 
 def prevalence_by_date() -> str:
-    return f"WITH {lines_cte()}\nSELECT date, sum(num_sequences) AS num_sequences FROM clean GROUP BY date"
+    return f"WITH {lines_cte()}\nSELECT date, CAST(sum(num_sequences) AS BIGINT) AS num_sequences FROM clean GROUP BY date"
 
 
 def prevalence_by_variant() -> str:
-    return f"WITH {lines_cte()}\nSELECT variant, date, sum(num_sequences) AS num_sequences FROM clean GROUP BY 1, 2"
+    return f"WITH {lines_cte()}\nSELECT variant, date, CAST(sum(num_sequences) AS BIGINT) AS num_sequences FROM clean GROUP BY 1, 2"
 
 
 def prevalence_by_location() -> str:
     return f"""WITH {lines_cte()},
 seen AS (SELECT location, variant FROM clean GROUP BY 1, 2 HAVING max(num_sequences) > 0)
-SELECT c.location, c.variant, c.date, sum(c.num_sequences) AS num_sequences
+SELECT c.location, c.variant, c.date, CAST(sum(c.num_sequences) AS BIGINT) AS num_sequences
 FROM clean c WHERE (c.location, c.variant) IN (SELECT location, variant FROM seen)
 GROUP BY 1, 2, 3"""
 
 
 def cumulative_by_date() -> str:
     return f"""WITH {lines_cte()},
-p AS (SELECT date, sum(num_sequences) AS num_sequences FROM clean GROUP BY date)
+p AS (SELECT date, CAST(sum(num_sequences) AS BIGINT) AS num_sequences FROM clean GROUP BY date)
 SELECT date, num_sequences,
-  CASE WHEN num_sequences IS NOT NULL THEN sum(num_sequences) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END
+  CASE WHEN num_sequences IS NOT NULL THEN CAST(sum(num_sequences) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END
   AS num_sequences_cumulative
 FROM p"""
 
 
 def cumulative_by_variant() -> str:
     return f"""WITH {lines_cte()},
-p AS (SELECT variant, date, sum(num_sequences) AS num_sequences FROM clean GROUP BY 1, 2)
+p AS (SELECT variant, date, CAST(sum(num_sequences) AS BIGINT) AS num_sequences FROM clean GROUP BY 1, 2)
 SELECT variant, date, num_sequences,
-  CASE WHEN num_sequences IS NOT NULL THEN sum(num_sequences) OVER (PARTITION BY variant ORDER BY date
-    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS num_sequences_cumulative
+  CASE WHEN num_sequences IS NOT NULL THEN CAST(sum(num_sequences) OVER (PARTITION BY variant ORDER BY date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END AS num_sequences_cumulative
 FROM p"""
 
 
 def reference_series() -> str:
     return f"""WITH {lines_cte()}, {indicators_cte()},
-p AS (SELECT date, sum(num_sequences) AS num_sequences FROM clean GROUP BY date),
+p AS (SELECT date, CAST(sum(num_sequences) AS BIGINT) AS num_sequences FROM clean GROUP BY date),
 cum AS (SELECT date, num_sequences,
-  CASE WHEN num_sequences IS NOT NULL THEN sum(num_sequences) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END
+  CASE WHEN num_sequences IS NOT NULL THEN CAST(sum(num_sequences) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) END
   AS num_sequences_cumulative FROM p),
 ref AS (SELECT date, new_deaths_smoothed_per_million, reproduction_rate FROM ind WHERE location = 'World')
 SELECT cum.*, ref.new_deaths_smoothed_per_million, ref.reproduction_rate FROM cum LEFT JOIN ref ON cum.date = ref.date"""
