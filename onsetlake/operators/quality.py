@@ -209,3 +209,74 @@ def numeric_summary(df: DataFrame, cols: Iterable[str] | None = None) -> DataFra
         for i, c in enumerate(cols)
     ])
     return df.agg(*stats).select(F.explode(entries).alias("e")).select("e.*")
+
+
+# The validated indicator schema's value ranges, as
+# column: (lower, upper, lower_strict, upper_strict); None = unbounded.
+INDICATOR_RANGES = {
+    "total_deaths_per_million": (0, None, False, False),
+    "new_deaths_per_million": (0, None, False, False),
+    "new_deaths_smoothed_per_million": (0, None, False, False),
+    "reproduction_rate": (-0.1, 20, True, True),
+    "hosp_patients": (0, None, False, False),
+    "hosp_patients_per_million": (0, None, False, False),
+    "total_tests": (0, None, False, False),
+    "new_tests": (0, None, False, False),
+    "total_tests_per_thousand": (0, None, False, False),
+    "new_tests_per_thousand": (0, None, False, False),
+    "new_tests_smoothed": (0, None, False, False),
+    "new_tests_smoothed_per_thousand": (0, None, False, False),
+    "positive_rate": (0, 1, False, False),
+    "tests_per_case": (0, None, False, False),
+    "total_vaccinations": (0, None, False, False),
+    "people_vaccinated": (0, None, False, False),
+    "people_fully_vaccinated": (0, None, False, False),
+    "total_boosters": (0, None, False, False),
+    "new_vaccinations": (0, None, False, False),
+    "new_vaccinations_smoothed": (0, None, False, False),
+    "total_vaccinations_per_hundred": (0, None, False, False),
+    "people_vaccinated_per_hundred": (0, None, False, False),
+    "people_fully_vaccinated_per_hundred": (0, None, False, False),
+    "new_vaccinations_smoothed_per_million": (0, None, False, False),
+    "new_people_vaccinated_smoothed": (0, None, False, False),
+    "new_people_vaccinated_smoothed_per_hundred": (0, None, False, False),
+    "stringency_index": (0, 100, False, False),
+    "population_density": (0, 21000, False, False),
+    "median_age": (0, 120, False, False),
+    "aged_65_older": (0, 100, False, False),
+    "aged_70_older": (0, 100, False, False),
+    "gdp_per_capita": (0, None, False, False),
+    "extreme_poverty": (0, 100, False, False),
+    "cardiovasc_death_rate": (0, 100000, False, False),
+    "diabetes_prevalence": (0, 100, False, False),
+    "female_smokers": (0, 100, False, False),
+    "male_smokers": (0, 100, False, False),
+    "handwashing_facilities": (0, 100, False, False),
+    "hospital_beds_per_thousand": (0, 1000, False, False),
+    "life_expectancy": (0, 150, False, False),
+    "human_development_index": (0, 1, False, False),
+    "population": (0, 10 ** 10, False, False),
+}
+# Name patterns of the validated schema (continent nullable, location not).
+SCHEMA_PATTERNS = {
+    "continent": (r"^[A-Za-z, ]+$", True),
+    "location": (r"^[A-Za-z,\-\(\) ']+$", False),
+}
+
+
+def indicator_schema_constraints(columns: Iterable[str]) -> list[Constraint]:
+    """DQ8/DQ9: range and pattern constraints for the indicator columns present."""
+    present = set(columns)
+    out = [matches(c, p, nullable=n) for c, (p, n) in SCHEMA_PATTERNS.items() if c in present]
+    out += [in_range(c, lo, hi, ls, hs) for c, (lo, hi, ls, hs) in INDICATOR_RANGES.items() if c in present]
+    return out
+
+
+def schema_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str, str, str]]:
+    """DQ9 (types): ``(column, expected, actual)`` for missing or differently typed columns.
+
+    Reads only the DataFrame's schema, never its rows.
+    """
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [(f.name, f.dataType.simpleString(), actual.get(f.name, "missing"))
+            for f in expected.fields if actual.get(f.name) != f.dataType.simpleString()]

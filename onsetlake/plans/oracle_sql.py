@@ -629,3 +629,25 @@ def predictor_locations_supplier() -> str:
 {_q1_ctes()},
 {_pred_ctes()}
 SELECT * FROM pred"""
+
+
+def dq_indicator_ranges() -> str:
+    # (label, violation predicate) for the indicator columns this mapping has.
+    checks = [
+        ("Schema", "continent ~ ^[A-Za-z, ]+$", "NOT regexp_matches(continent, '^[A-Za-z, ]+$')"),
+        ("Schema", "location ~ ^[A-Za-z,\\-\\(\\) ']+$",
+         "NOT regexp_matches(location, '^[A-Za-z,\\-\\(\\) '']+$') OR location IS NULL"),
+        ("Schema", "0 <= new_deaths_smoothed_per_million", "new_deaths_smoothed_per_million < 0"),
+        ("Schema", "-0.1 < reproduction_rate < 20", "reproduction_rate <= -0.1 OR reproduction_rate >= 20"),
+        ("Schema", "0 <= hosp_patients", "hosp_patients < 0"),
+        ("Schema", "0 <= hosp_patients_per_million", "hosp_patients_per_million < 0"),
+        ("Schema", "0 <= total_tests", "total_tests < 0"),
+        ("Schema", "0 <= new_tests", "new_tests < 0"),
+        ("Schema", "0 <= positive_rate <= 1", "positive_rate < 0 OR positive_rate > 1"),
+        ("Schema", "0 <= stringency_index <= 100", "stringency_index < 0 OR stringency_index > 100"),
+        ("Schema", "0 <= population_density <= 21000", "population_density < 0 OR population_density > 21000"),
+        ("Schema", "0 <= median_age <= 120", "median_age < 0 OR median_age > 120"),
+        ("Schema", "0 <= gdp_per_capita", "gdp_per_capita < 0"),
+        ("Schema", "0 <= population <= 10000000000", "population < 0 OR population > 10000000000"),
+    ]
+    return f"WITH {indicators_cte()}\n" + _check_rows("ind", checks)

@@ -321,3 +321,8 @@ def land_and_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing.land_text(testmap.raw_variant_lines(spark, sf_dir), base, "data1_country_variants", day)
     lines = landing.read_partition(spark, base, "data1_country_variants", day)
     return clean.clean_variants(lines)
+
+
+def dq_indicator_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ind = testmap.indicators(spark, sf_dir)
+    return quality.run_checks(ind, quality.indicator_schema_constraints(ind.columns))
