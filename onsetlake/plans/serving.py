@@ -47,3 +47,11 @@ def serving_dashboard(outbreak_rank: DataFrame, predictors: DataFrame, curated:
     for name, role in GEO_TAGS.items():
         j2 = j2.withMetadata(name, {"geographic_role": role})
     return j2
+
+
+def register_serving_view(df: DataFrame, name: str = "serving_dashboard", cache: bool = True) -> DataFrame:
+    """SNK6: publish the view for BI reads, kept in memory (the in-memory import)."""
+    if cache:
+        df = df.cache()
+    df.createOrReplaceTempView(name)
+    return df
