@@ -86,8 +86,12 @@ def _grouped(votes: DataFrame, candidates: DataFrame, keys: list[str], n_electio
         # is not coalesced by AQE, which would otherwise pack the (small)
         # election inputs into one task and run their O(n^3) work serially.
         spark = votes.sparkSession
-        cap = 4 * max(spark.sparkContext.defaultParallelism,
-                      int(spark.conf.get("spark.sql.shuffle.partitions")))
+        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            slots = max(slots, spark.sparkContext.defaultParallelism)
+        except Exception:  # sessions without a local SparkContext
+            pass
+        cap = 4 * slots
         rows = rows.repartition(max(1, min(n_elections, cap)), *keys)
     key_fields = [votes.schema[k] for k in keys]
     schema = T.StructType(
