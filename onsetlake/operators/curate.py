@@ -38,7 +38,7 @@ def curate(variants: DataFrame, indicators: DataFrame) -> DataFrame:
 def continent_mapping(variants: DataFrame, indicators: DataFrame) -> DataFrame:
     """Variants left-joined with the distinct ``(location, continent)`` pairs.
 
-    A location listed under two continents fans out, as in the notebooks.
+    A location listed under two continents fans out (kept, not deduplicated).
     """
     mapping = indicators.select("location", "continent").distinct()
     return variants.join(mapping, on="location", how="left")

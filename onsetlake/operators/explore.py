@@ -2,7 +2,7 @@
 event windows round an onset, static location tables and display pivots.
 
 All are DataFrame operators; the per-variant and per-location loops of the
-notebooks become group keys.
+exploratory analysis become group keys.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Typed readers for delimited files (the notebooks' CSV reads)."""
+"""Typed readers for delimited files (the exploratory CSV reads)."""
 
 from __future__ import annotations
 
