@@ -1 +1,13 @@
-"""Column-level helpers and the small per-group kernels used inside Spark tasks."""
+"""Column-level helpers and the small per-group kernels used inside Spark tasks.
+
+The kernels are shipped to Python workers by value, so executors need no
+installed copy of this package.
+"""
+
+from pyspark import cloudpickle as _cloudpickle
+
+from onsetlake.functions import schulze_kernel as _kernel
+from onsetlake.functions import stats as _stats
+
+_cloudpickle.register_pickle_by_value(_kernel)
+_cloudpickle.register_pickle_by_value(_stats)
