@@ -651,3 +651,41 @@ def dq_indicator_ranges() -> str:
         ("Schema", "0 <= population <= 10000000000", "population < 0 OR population > 10000000000"),
     ]
     return f"WITH {indicators_cte()}\n" + _check_rows("ind", checks)
+
+
+def _rankings_cte() -> str:
+    return f"""{_global_ctes('day', 'rd')},
+{_global_ctes('month', 'rm')},
+{_global_ctes('presence', 'rp')},
+grk AS (
+  SELECT nullif(split_part(coalesce(d.loc, m.loc, p.loc), {SEP}, 1), '') AS continent,
+         split_part(coalesce(d.loc, m.loc, p.loc), {SEP}, 2) AS location,
+         d.rnk AS rank_day, m.rnk AS rank_month, p.rnk AS rank_presence
+  FROM rd_rank d FULL JOIN rm_rank m ON d.loc = m.loc FULL JOIN rp_rank p ON coalesce(d.loc, m.loc) = p.loc)"""
+
+
+def ranking_agreement() -> str:
+    return f"WITH RECURSIVE {onsets_cte()},\n{_rankings_cte()}\n" + _corr_rows(
+        "grk", ("rank_day", "rank_month", "rank_presence"))
+
+
+def event_window_rank_correlation() -> str:
+    return f"""WITH RECURSIVE {onsets_cte()}, {indicators_cte()}, {_event_means_cte()},
+{_global_ctes('month', 'em')},
+emr AS (SELECT nullif(split_part(loc, {SEP}, 1), '') AS continent, split_part(loc, {SEP}, 2) AS location,
+               rnk AS monthly_early_hit_ranking FROM em_rank),
+ewr AS (SELECT w.*, r.monthly_early_hit_ranking FROM ewm w
+        LEFT JOIN emr r ON r.continent = w.continent AND r.location = w.location)
+""" + _corr_rows("ewr", (*EVENT_CORR, "monthly_early_hit_ranking"))
+
+
+def dq_perc_tolerance() -> str:
+    checks = [
+        ("Schema", "0 <= perc_source <= 100", "perc_source < 0 OR perc_source > 100 OR perc_source IS NULL"),
+        ("Review Check", "abs(perc_source - expected) < 0.01", "abs(perc_source - perc_sequences) >= 0.01"),
+    ]
+    return f"""WITH {lines_cte()},
+pt AS (SELECT TRY_CAST(fields[5] AS DOUBLE) AS perc_source,
+              100.0 * TRY_CAST(fields[4] AS DOUBLE) / nullif(TRY_CAST(fields[6] AS DOUBLE), 0) AS perc_sequences
+       FROM fl WHERE len(fields) = 6)
+""" + _check_rows("pt", checks)

@@ -326,3 +326,45 @@ def land_and_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_indicator_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     ind = testmap.indicators(spark, sf_dir)
     return quality.run_checks(ind, quality.indicator_schema_constraints(ind.columns))
+
+
+# --- ranking agreement, ranking-augmented event windows, tolerance check ----------
+
+
+def _global_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Global rankings at day, month and presence resolution side by side."""
+    ranks = _ranks(spark, sf_dir).persist()
+    excluded = testmap.excluded_variant(F.col("variant"), ("others", "non_who"))
+    out = None
+    for res in ("day", "month", "presence"):
+        r = outbreak.global_early_hit(ranks, excluded, resolution=res).select(
+            "continent", "location", F.col("early_hit_ranking").alias(f"rank_{res}"))
+        out = r if out is None else out.join(r, ["continent", "location"], "full")
+    return out
+
+
+def ranking_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EL11: Pearson r (and n) between the day, month and presence rankings."""
+    return stats.correlation_matrix(_global_rankings(spark, sf_dir), ("rank_day", "rank_month", "rank_presence"))
+
+
+def event_window_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN7 + ST7: event-window means joined with the monthly global ranking, correlated."""
+    means = _event_means(spark, sf_dir)
+    monthly = monthly_early_hit(spark, sf_dir).select(
+        "continent", "location", F.col("early_hit_ranking").alias("monthly_early_hit_ranking"))
+    joined = means.join(monthly, ["continent", "location"], "left")
+    return stats.correlation_matrix(joined, (*EVENT_CORR_COLUMNS, "monthly_early_hit_ranking"))
+
+
+def dq_perc_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ10/DQ11: the file's own percentage against the recomputed one."""
+    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir)).where(F.size("fields") == 6)
+    typed = fields.select(F.get("fields", 4).try_cast("double").alias("perc_source"),
+                          F.get("fields", 3).try_cast("double").alias("n"),
+                          F.get("fields", 5).try_cast("double").alias("t"))
+    typed = typed.withColumn("perc_sequences", F.try_divide(F.lit(100.0) * F.col("n"), F.col("t")))
+    return quality.run_checks(typed, [
+        quality.in_range("perc_source", 0, 100, nullable=False),
+        quality.tolerance("perc_source", F.col("perc_sequences"), 0.01),
+    ])
