@@ -108,3 +108,22 @@ def test_six_tied_winners_all_rank_one(spark):
     votes, candidates = _frames(spark, [], [("x", f"L{i}") for i in range(6)])
     out = election.combined_rank(votes, candidates, ["e"]).collect()
     assert sorted(r["rank"] for r in out) == [1.0] * 6
+
+
+def test_auto_switches_to_dataframe_path_above_the_limit(spark):
+    rng = np.random.default_rng(11)
+    rows, cands = [], []
+    for i in range(9):
+        cands.append(("big", f"L{i}"))
+        for k in range(5):
+            if rng.random() < 0.8:
+                rows.append(("big", f"L{i}", f"V{k}", float(rng.integers(1, 9))))
+    cands += [("small", "A"), ("small", "B")]
+    rows += [("small", "A", "V0", 1.0), ("small", "B", "V0", 2.0)]
+    votes, candidates = _frames(spark, rows, cands)
+    auto = election.combined_rank(votes, candidates, ["e"], method="auto", max_grouped_candidates=4).toPandas()
+    grouped = election.combined_rank(votes, candidates, ["e"], method="grouped").toPandas()
+    key = ["e", "location"]
+    pd.testing.assert_frame_equal(auto.sort_values(key).reset_index(drop=True)[key + ["wins", "rank"]],
+                                  grouped.sort_values(key).reset_index(drop=True)[key + ["wins", "rank"]],
+                                  check_dtype=False)
