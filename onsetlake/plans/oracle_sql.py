@@ -391,10 +391,11 @@ def distinct_profile() -> str:
 
 
 def numeric_summary() -> str:
-    parts = [f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count, avg(CAST({c} AS DOUBLE)) AS mean,
-  stddev_samp(CAST({c} AS DOUBLE)) AS std, min(CAST({c} AS DOUBLE)) AS min,
-  quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50,
-  quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75, max(CAST({c} AS DOUBLE)) AS max FROM ind""" for c in (*COUNTERS, *DOUBLES)]
+    parts = [f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, round(min(CAST({c} AS DOUBLE)), 6) AS min,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, round(max(CAST({c} AS DOUBLE)), 6) AS max FROM ind"""
+             for c in (*COUNTERS, *DOUBLES)]
     return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(parts)
 
 
@@ -522,7 +523,7 @@ def _corr_rows(source: str, cols: tuple[str, ...]) -> str:
         for b in cols[i:]:
             both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
             xa, xb = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END", f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
-            expr = (f"covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0) AS r, "
+            expr = (f"round(covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0), 6) AS r, "
                     f"CAST(count(*) FILTER (WHERE {both}) AS BIGINT) AS n")
             for x, y in {(a, b), (b, a)}:
                 parts.append(f"SELECT '{x}' AS x, '{y}' AS y, {expr} FROM {source}")
@@ -551,7 +552,7 @@ def correlation_per_variant() -> str:
         xa = f"CASE WHEN {both} THEN CAST(r.outbreak_rank_global AS DOUBLE) END"
         xb = f"CASE WHEN {both} THEN CAST(s.{c} AS DOUBLE) END"
         parts.append(f"""SELECT r.variant, 'outbreak_rank_global' AS x, '{c}' AS y,
-  covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0) AS r,
+  round(covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0), 6) AS r,
   CAST(count(*) FILTER (WHERE {both}) AS BIGINT) AS n
 FROM ranks r JOIN st s ON s.location = r.location GROUP BY r.variant""")
     return f"WITH {onsets_cte()}, {indicators_cte()}, {_static_cte()}\n" + "\nUNION ALL\n".join(parts)

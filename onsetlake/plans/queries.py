@@ -14,6 +14,13 @@ from onsetlake.operators import outbreak, predictors
 from onsetlake.sources import testmap
 
 
+def _rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
+    """Reported precision for doubles that come out of float aggregates
+    (correlations, deviations, quantiles), whose last bits depend on the
+    summation order and algorithm."""
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
+
+
 def _ranks(spark: SparkSession, sf_dir: str, level: str = "nation") -> DataFrame:
     onsets = onset_ops.onset_dates(testmap.first_positive(spark, sf_dir, level), count_col=None)
     return onset_ops.onset_ranks(onsets)
@@ -110,7 +117,8 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.numeric_summary(testmap.indicators(spark, sf_dir))
+    return _rounded(quality.numeric_summary(testmap.indicators(spark, sf_dir)),
+                    ("mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
 def distinct_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +217,7 @@ RANK_CORR_COLUMNS = (*STATIC_COLUMNS, "schulze_onset_rank_continent", "earliest_
 
 
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.correlation_matrix(_static_with_ranks(spark, sf_dir), RANK_CORR_COLUMNS)
+    return _rounded(stats.correlation_matrix(_static_with_ranks(spark, sf_dir), RANK_CORR_COLUMNS), ["r"])
 
 
 def correlation_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +240,7 @@ def correlation_per_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(both).cast("long").alias("n")))
     return joined.groupBy("variant").agg(F.array(*aggs).alias("e")).select(
         "variant", F.lit("outbreak_rank_global").alias("x"), F.explode("e").alias("e")
-    ).select("variant", "x", "e.y", "e.r", "e.n")
+    ).select("variant", "x", "e.y", F.round("e.r", 6).alias("r"), "e.n")
 
 
 EVENT_CORR_COLUMNS = ("outbreak_rank_global", "new_deaths_smoothed_per_million", "reproduction_rate",
@@ -240,7 +248,7 @@ EVENT_CORR_COLUMNS = ("outbreak_rank_global", "new_deaths_smoothed_per_million",
 
 
 def event_window_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.correlation_matrix(_event_means(spark, sf_dir), EVENT_CORR_COLUMNS)
+    return _rounded(stats.correlation_matrix(_event_means(spark, sf_dir), EVENT_CORR_COLUMNS), ["r"])
 
 
 # --- the Schulze chain step by step (DataFrame path) ---------------------------
@@ -345,7 +353,8 @@ def _global_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ranking_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """EL11: Pearson r (and n) between the day, month and presence rankings."""
-    return stats.correlation_matrix(_global_rankings(spark, sf_dir), ("rank_day", "rank_month", "rank_presence"))
+    return _rounded(stats.correlation_matrix(_global_rankings(spark, sf_dir),
+                                             ("rank_day", "rank_month", "rank_presence")), ["r"])
 
 
 def event_window_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,7 +363,7 @@ def event_window_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame
     monthly = monthly_early_hit(spark, sf_dir).select(
         "continent", "location", F.col("early_hit_ranking").alias("monthly_early_hit_ranking"))
     joined = means.join(monthly, ["continent", "location"], "left")
-    return stats.correlation_matrix(joined, (*EVENT_CORR_COLUMNS, "monthly_early_hit_ranking"))
+    return _rounded(stats.correlation_matrix(joined, (*EVENT_CORR_COLUMNS, "monthly_early_hit_ranking")), ["r"])
 
 
 def dq_perc_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
