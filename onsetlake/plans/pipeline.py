@@ -63,3 +63,41 @@ def run_pipeline(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicato
     write_table(predictors.predictor_locations(ranks, targets, excluded),
                 paths["analysis/location_variant_predictors"], partition_by=["continent"])
     return paths
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m``-style entry: run every layer on files.
+
+    ``--variants`` is a folder of Data1 CSV files, ``--indicators`` a folder of
+    Data2 workbooks (``.xlsx``) or, with ``--indicators-csv``, delimited files.
+    """
+    import argparse
+
+    from onsetlake.operators.clean import read_variant_lines
+    from onsetlake.sources.excel import read_excel
+
+    ap = argparse.ArgumentParser(prog="onsetlake-pipeline")
+    ap.add_argument("--variants", required=True)
+    ap.add_argument("--indicators", required=True)
+    ap.add_argument("--indicators-csv", action="store_true")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--exclude", default="non_who", help="comma list of variants the elections drop")
+    ap.add_argument("--enforce-reconcile", action="store_true")
+    args = ap.parse_args(argv)
+
+    spark = SparkSession.builder.appName("onsetlake-pipeline").getOrCreate()
+    lines = read_variant_lines(spark, args.variants)
+    if args.indicators_csv:
+        ind = spark.read.option("header", True).csv(args.indicators)  # all text, cast by rule below
+        raw_ind = ind
+    else:
+        raw_ind = read_excel(spark, args.indicators)
+    excluded = F.col("variant").isin([v for v in args.exclude.split(",") if v])
+    paths = run_pipeline(spark, lines, raw_ind, args.out, excluded=excluded,
+                         enforce_reconcile=args.enforce_reconcile)
+    for name, path in paths.items():
+        print(f"{name}\t{path}")
+
+
+if __name__ == "__main__":
+    main()

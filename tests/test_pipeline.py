@@ -34,3 +34,19 @@ def test_null_partition_reads_back_as_null(spark):
     write_table(df, out, partition_by=["continent"])
     back = {r.location: r.continent for r in spark.read.parquet(out).collect()}
     assert back == {"a": None, "b": "E"}
+
+
+def test_command_line_pipeline_on_files(spark):
+    from onsetlake.sources import sinks
+
+    root = tempfile.mkdtemp(prefix="onsetlake-cli-")
+    header = spark.createDataFrame([('"location","date","variant","num_sequences","perc_sequences",'
+                                     '"num_sequences_total"',)], "value string")
+    header.unionByName(testmap.raw_variant_lines(spark, SF)).coalesce(1).write.text(f"{root}/variants")
+    sinks.write_quoted_csv(testmap.raw_indicators(spark, SF), f"{root}/indicators")
+    pipeline.main(["--variants", f"{root}/variants", "--indicators", f"{root}/indicators", "--indicators-csv",
+                   "--out", f"{root}/lake", "--exclude", "Brand#1|ECONOMY"])
+    q1 = spark.read.parquet(f"{root}/lake/analysis/location_outbreak_rank")
+    cur = spark.read.parquet(f"{root}/lake/curated/country_variant_indicators")
+    assert q1.count() > 0 and "date_indicators" in cur.columns
+    assert dict(spark.read.parquet(f"{root}/lake/clean/indicators").dtypes)["population"] == "bigint"
