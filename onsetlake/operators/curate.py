@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from onsetlake.functions.joins import broadcast_if_small
+
 
 def latest_per_key(df: DataFrame, key: str = "location", date_col: str = "date_indicators") -> DataFrame:
     """Rows carrying the latest date of their key; ties are all kept, null dates drop.
@@ -27,12 +29,14 @@ def latest_indicators(indicators: DataFrame) -> DataFrame:
 def curate(variants: DataFrame, indicators: DataFrame) -> DataFrame:
     """``variants`` left-joined with each location's latest indicator row.
 
-    The right side has one row per location (plus ties), so it is bounded
-    by the number of locations, not by the data volume; Spark's size
-    statistics and AQE turn this into a broadcast join when it is small,
-    and keep a shuffle join otherwise.
+    The right side has one row per location (plus ties): it grows with the
+    number of locations, not with the data.  Spark's estimate for a
+    window-then-filter is the whole indicator table, so the side is counted
+    and broadcast when small (no shuffle of the big, possibly skewed,
+    variants); beyond the limit it stays a shuffle join, where AQE can split
+    skewed left-side partitions.
     """
-    return variants.join(latest_indicators(indicators), on="location", how="left")
+    return variants.join(broadcast_if_small(latest_indicators(indicators)), on="location", how="left")
 
 
 def continent_mapping(variants: DataFrame, indicators: DataFrame) -> DataFrame:
@@ -41,4 +45,4 @@ def continent_mapping(variants: DataFrame, indicators: DataFrame) -> DataFrame:
     A location listed under two continents fans out (kept, not deduplicated).
     """
     mapping = indicators.select("location", "continent").distinct()
-    return variants.join(mapping, on="location", how="left")
+    return variants.join(broadcast_if_small(mapping), on="location", how="left")

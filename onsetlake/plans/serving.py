@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from onsetlake.functions.joins import small_left_join_big
+
 PRED = "analysis_location_variant_predictors"
 CUR = "curated_country_variant_indicators"
 
@@ -42,8 +44,9 @@ def serving_dashboard(outbreak_rank: DataFrame, predictors: DataFrame, curated:
     c = curated.withColumnsRenamed({"location": f"location[{CUR}]", "continent": f"continent[{CUR}]"})
     j1 = o.join(p, (o["location"] == p[f"`location[{PRED}]`"]) & (o["continent"] == p[f"`continent[{PRED}]`"]),
                 "left")
-    j2 = j1.join(c, (j1["location"] == c[f"`location[{CUR}]`"]) & (j1["continent"] == c[f"`continent[{CUR}]`"]),
-                 "left")
+    # j1 is small (locations and their predictors); curated is the big, possibly
+    # skewed side: join it skew-safely instead of as the right side of a left join.
+    j2 = small_left_join_big(j1, c, ["location", "continent"], [f"location[{CUR}]", f"continent[{CUR}]"])
     for name, role in GEO_TAGS.items():
         j2 = j2.withMetadata(name, {"geographic_role": role})
     return j2

@@ -79,8 +79,16 @@ def read_excel(spark: SparkSession, path: str, header: bool = True, sheet: int =
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
     if columns is None:
-        first = files.orderBy("path").select("content").limit(1).collect()
-        head = workbook_rows(bytes(first[0][0]), sheet)[0] if first else []
+        # Only the header row of the first workbook comes back to the driver;
+        # the workbook itself is parsed on an executor.
+        def first_row(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for content in batch["content"]:
+                    rows = workbook_rows(bytes(content), sheet)
+                    yield pd.DataFrame({"head": [[None if v is None else str(v) for v in (rows[0] if rows else [])]]})
+
+        got = files.orderBy("path").limit(1).select("content").mapInPandas(first_row, "head array<string>").first()
+        head = list(got[0]) if got else []
         columns = [h if h is not None else f"_c{i}" for i, h in enumerate(head)] if header else \
             [f"_c{i}" for i in range(len(head))]
     names = list(columns)
