@@ -237,10 +237,13 @@ def raw_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     per_loc = daily(o, ["continent", "location", "date"]).join(static(cust, ["location"]), "location")
-    world_daily = daily(o, ["date"]).select(
-        F.lit(None).cast("string").alias("continent"), F.lit("World").alias("location"), "*")
-    world_static = static(cust.withColumn("location", F.lit("World")), ["location"])
-    world = world_daily.join(world_static, "location")
+    # The World row's static values are one global aggregate each, attached
+    # as scalar subqueries (evaluated once) rather than by a join on a
+    # constant key, which the optimizer would turn into a cartesian product.
+    world_static = static(cust, [])
+    world = daily(o, ["date"]).select(
+        F.lit(None).cast("string").alias("continent"), F.lit("World").alias("location"), "*",
+        *[world_static.select(c).scalar().alias(c) for c in world_static.columns])
     both = per_loc.unionByName(world)
     return both.select(
         "continent", "location", F.date_format("date", "yyyy-MM-dd").alias("date"),
