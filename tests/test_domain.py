@@ -68,3 +68,36 @@ def test_excluded_only_location_still_stands(spark):
     q1 = {r.location: r.schulze_onset_rank_continent
           for r in outbreak.continent_outbreak_rank(ranks, F.col("variant") == "non_who").collect()}
     assert q1 == {"a": 1.0, "b": 2.0}
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def _q1_map(df):
+    return {(r.continent, r.location): r.schulze_onset_rank_continent for r in df.collect()}
+
+
+def test_continent_and_global_ranks_give_the_same_q1(spark):
+    from onsetlake.plans import queries as q
+    from onsetlake.sources import testmap
+
+    ranks = q._ranks(spark, SF)
+    excl = testmap.excluded_variant(F.col("variant"))
+    by_global = outbreak.continent_outbreak_rank(ranks, excl, rank_col="outbreak_rank_global")
+    by_cont = outbreak.continent_outbreak_rank(ranks, excl, rank_col="outbreak_rank_continent")
+    assert _q1_map(by_global) == _q1_map(by_cont)
+
+
+def test_a_variant_nobody_has_changes_nothing(spark):
+    from onsetlake.plans import queries as q
+
+    ranks = q._ranks(spark, SF)
+    # A variant row with no onset (null date and rank) for one location.
+    ghost = ranks.limit(1).select(
+        "continent", "location", F.lit("ghost|variant").alias("variant"),
+        F.lit(None).cast("date").alias("outbreak_date"),
+        F.lit(None).cast("long").alias("outbreak_rank_continent"),
+        F.lit(None).cast("long").alias("outbreak_rank_global"))
+    base = _q1_map(outbreak.continent_outbreak_rank(ranks))
+    more = _q1_map(outbreak.continent_outbreak_rank(ranks.unionByName(ghost)))
+    assert base == more
