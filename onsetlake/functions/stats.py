@@ -131,15 +131,17 @@ def stars(p: Column, divisor: Column | float = 1.0) -> Column:
     return F.repeat(F.lit("*"), count)
 
 
-def significance(matrix: DataFrame, bonferroni: bool = False) -> DataFrame:
+def significance(matrix: DataFrame, bonferroni: bool = False, k: int | None = None) -> DataFrame:
     """ST2-ST5: adds ``p``, ``stars`` and the display cell ``round(r, 2) || stars``.
 
     The diagonal keeps r = 1 with p = 0 (three stars), as the reference
     shows it.  With ``bonferroni`` the thresholds are divided by
-    ``k^2 - k`` with k the number of columns of the matrix.
+    ``k^2 - k`` with k the number of columns of the matrix (counted with a
+    small job when not given).
     """
-    k = matrix.select("x").distinct().count()
-    divisor = float(k * k - k) if bonferroni and k > 1 else 1.0
+    if bonferroni and k is None:
+        k = matrix.select("x").distinct().count()
+    divisor = float(k * k - k) if bonferroni and k and k > 1 else 1.0
     p = F.when(F.col("x") == F.col("y"), F.lit(0.0)).otherwise(pearson_pvalue(F.col("r"), F.col("n")))
     out = matrix.withColumn("p", p)
     return out.withColumn("stars", F.when(F.col("p").isNotNull(), stars(F.col("p"), divisor)).otherwise(F.lit(""))) \

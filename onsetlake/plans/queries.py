@@ -222,7 +222,7 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def correlation_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = stats.correlation_matrix(_static_with_ranks(spark, sf_dir), RANK_CORR_COLUMNS)
-    return stats.significance(m, bonferroni=True)
+    return stats.significance(m, bonferroni=True, k=len(RANK_CORR_COLUMNS))
 
 
 def correlation_per_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
