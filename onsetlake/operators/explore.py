@@ -160,7 +160,12 @@ def static_indicators(df: DataFrame, columns: Sequence[str], key: str = "locatio
     ])
 
 
-def onset_matrix(ranks: DataFrame, variants: Sequence[str], value: str = "outbreak_rank_global") -> DataFrame:
-    """RSH2: ``(continent, location) x variant`` for display; explicit values keep
-    the pivot to one pass (no distinct-values job) and the schema stable."""
-    return ranks.groupBy("continent", "location").pivot("variant", list(variants)).agg(F.first(value))
+def onset_matrix(ranks: DataFrame, values: Sequence[str], value: str = "outbreak_rank_global",
+                 rows: Sequence[str] = ("continent", "location"), column: str = "variant") -> DataFrame:
+    """RSH1/RSH2: a display pivot of the onset table, e.g. ``(continent, location) x
+    variant`` (default) or ``variant x location`` (``rows=("variant",), column="location"``).
+
+    Explicit ``values`` keep the pivot to one pass (no distinct-values job)
+    and the schema stable; keys are unique, so ``first`` is deterministic.
+    """
+    return ranks.groupBy(*rows).pivot(column, list(values)).agg(F.first(value))

@@ -58,3 +58,13 @@ def test_event_window_is_an_equi_join_and_exact(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     offs = sorted(r.day_offset for r in out.collect())
     assert offs == list(range(-27, 28))
+
+
+def test_onset_matrix_both_orientations(spark):
+    rows = [("E", "a", "v1", 1), ("E", "b", "v1", 2), ("E", "a", "v2", 1)]
+    ranks = spark.createDataFrame(rows, "continent string, location string, variant string, outbreak_rank_global long")
+    wide = {r.location: (r.v1, r.v2) for r in explore.onset_matrix(ranks, ["v1", "v2"]).collect()}
+    assert wide == {"a": (1, 1), "b": (2, None)}
+    tall = {r.variant: (r.a, r.b) for r in explore.onset_matrix(ranks, ["a", "b"], rows=("variant",),
+                                                                 column="location").collect()}
+    assert tall == {"v1": (1, 2), "v2": (1, None)}
