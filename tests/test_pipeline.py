@@ -50,3 +50,14 @@ def test_command_line_pipeline_on_files(spark):
     cur = spark.read.parquet(f"{root}/lake/curated/country_variant_indicators")
     assert q1.count() > 0 and "date_indicators" in cur.columns
     assert dict(spark.read.parquet(f"{root}/lake/clean/indicators").dtypes)["population"] == "bigint"
+
+
+def test_reconcile_gate_stops_the_pipeline(spark):
+    import pytest
+
+    from onsetlake.operators.quality import DataQualityError
+
+    out = tempfile.mkdtemp(prefix="onsetlake-gate-")
+    with pytest.raises(DataQualityError):
+        pipeline.run_pipeline(spark, testmap.raw_variant_lines(spark, SF), testmap.raw_indicators(spark, SF), out,
+                              excluded=testmap.excluded_variant(F.col("variant")), enforce_reconcile=True)
