@@ -83,9 +83,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--exclude", default="non_who", help="comma list of variants the elections drop")
     ap.add_argument("--enforce-reconcile", action="store_true")
+    ap.add_argument("--auto-partitions", action="store_true",
+                    help="size spark.sql.shuffle.partitions from the input bytes (~128 MB each)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("onsetlake-pipeline").getOrCreate()
+    if args.auto_partitions:
+        from onsetlake.session import size_shuffle_partitions
+
+        size_shuffle_partitions(spark, [args.variants, args.indicators])
     lines = read_variant_lines(spark, args.variants)
     if args.indicators_csv:
         ind = spark.read.option("header", True).csv(args.indicators)  # all text, cast by rule below

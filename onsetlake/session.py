@@ -51,3 +51,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def size_shuffle_partitions(spark: SparkSession, paths: list[str], bytes_per_partition: int = 128 << 20,
+                            minimum: int | None = None, maximum: int = 100_000) -> int:
+    """Sets ``spark.sql.shuffle.partitions`` from the size of the inputs.
+
+    The input bytes come from a file listing (``binaryFile`` with only the
+    ``length`` column selected, so no file is read).  The count is at least the
+    cluster's parallelism; AQE later coalesces the partitions that turn out
+    small, so erring high costs little while erring low makes tasks spill.
+    """
+    from pyspark.sql import functions as F
+
+    total = 0
+    for p in paths:
+        row = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p) \
+            .agg(F.sum("length")).first()
+        total += int(row[0] or 0)
+    floor = minimum if minimum is not None else spark.sparkContext.defaultParallelism
+    n = max(floor, min(maximum, -(-total // bytes_per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

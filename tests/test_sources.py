@@ -57,3 +57,15 @@ def test_country_codes_stages(spark):
     got = {r.location: (r.code, r.match_kind) for r in geo.country_codes(locs, ref).collect()}
     assert got == {"Cape Verde": ("CPV", "exact"), "Deutschland": ("DEU", "common"),
                    "Netherland": ("NLD", "fuzzy"), "Atlantis": (None, None)}
+
+
+def test_shuffle_partitions_sized_from_listing(spark):
+    from onsetlake.session import size_shuffle_partitions
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        n = size_shuffle_partitions(spark, ["/root/testdata/sf0.01"], bytes_per_partition=1 << 20, minimum=1)
+        # about 3.8 MB of parquet in that folder -> 4 partitions of 1 MB
+        assert n == 4 and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
