@@ -127,3 +127,22 @@ def test_auto_switches_to_dataframe_path_above_the_limit(spark):
     pd.testing.assert_frame_equal(auto.sort_values(key).reset_index(drop=True)[key + ["wins", "rank"]],
                                   grouped.sort_values(key).reset_index(drop=True)[key + ["wins", "rank"]],
                                   check_dtype=False)
+
+
+def test_dataframe_path_on_a_larger_election(spark):
+    rng = np.random.default_rng(3)
+    n, v = 40, 8
+    rows, cands = [], [("big", f"L{i:02d}") for i in range(n)]
+    for i in range(n):
+        for k in range(v):
+            if rng.random() < 0.75:
+                rows.append(("big", f"L{i:02d}", f"V{k}", float(rng.integers(1, 30))))
+    votes, candidates = _frames(spark, rows, cands)
+    df_path = {r.location: r["rank"] for r in
+               election.combined_rank(votes, candidates, ["e"], method="dataframe").collect()}
+    ranks = np.full((n, v), np.nan)
+    for _, loc, var, r in rows:
+        ranks[int(loc[1:]), int(var[1:])] = r
+    expected = schulze_kernel.wins_and_rank(
+        schulze_kernel.widest_paths(schulze_kernel.preference_matrix(ranks)))[1]
+    assert [df_path[f"L{i:02d}"] for i in range(n)] == list(expected)
