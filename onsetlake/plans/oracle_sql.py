@@ -143,7 +143,9 @@ SELECT nullif(split_part(loc, {SEP}, 1), '') AS continent, split_part(loc, {SEP}
 FROM g_rank"""
 
 
-def _pred_ctes() -> str:
+def _pred_ctes(strict: bool = False) -> str:
+    keep = "tv.r_t IS NOT NULL AND v.r < tv.r_t" if strict else "tv.r_t IS NULL OR v.r <= tv.r_t"
+    standing = "v2" if strict else "el"
     return f"""tg AS (SELECT e AS t_cont, loc AS t_loc FROM q1_rank WHERE rnk <= 5),
 cand AS (SELECT DISTINCT continent AS c_cont, location AS c_loc FROM ranks),
 vv AS (SELECT continent AS c_cont, location AS c_loc, variant, outbreak_rank_global AS r FROM ranks
@@ -161,9 +163,11 @@ v2 AS (
          coalesce(el.c_cont, '') || {SEP} || el.c_loc AS loc, v.variant, v.r
   FROM el JOIN vv v ON v.c_cont IS NOT DISTINCT FROM el.c_cont AND v.c_loc = el.c_loc
   LEFT JOIN tv ON tv.t_cont = el.t_cont AND tv.t_loc = el.t_loc AND tv.variant = v.variant
-  WHERE tv.r_t IS NULL OR v.r <= tv.r_t),
-c2 AS (SELECT el.t_cont || {SEP} || el.t_loc || {SEP} || el.scope AS e,
-              coalesce(el.c_cont, '') || {SEP} || el.c_loc AS loc FROM el),
+  WHERE {keep}),
+c2 AS (SELECT DISTINCT e, loc FROM (
+  SELECT el.t_cont || {SEP} || el.t_loc || {SEP} || el.scope AS e,
+         coalesce(el.c_cont, '') || {SEP} || el.c_loc AS loc FROM el) x
+  WHERE '{standing}' = 'el' OR (e, loc) IN (SELECT e, loc FROM v2)),
 {schulze_ctes('q2', 'v2', 'c2')},
 pred AS (
 SELECT split_part(loc, {SEP}, 2) AS predictor_location,
@@ -690,3 +694,10 @@ pt AS (SELECT TRY_CAST(fields[5] AS DOUBLE) AS perc_source,
               100.0 * TRY_CAST(fields[4] AS DOUBLE) / nullif(TRY_CAST(fields[6] AS DOUBLE), 0) AS perc_sequences
        FROM fl WHERE len(fields) = 6)
 """ + _check_rows("pt", checks)
+
+
+def predictor_locations_strict() -> str:
+    return f"""WITH RECURSIVE {onsets_cte()},
+{_q1_ctes()},
+{_pred_ctes(strict=True)}
+SELECT * FROM pred"""

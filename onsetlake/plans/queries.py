@@ -377,3 +377,13 @@ def dq_perc_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.in_range("perc_source", 0, 100, nullable=False),
         quality.tolerance("perc_source", F.col("perc_sequences"), 0.01),
     ])
+
+
+def predictor_locations_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 with strict masking: only votes strictly before a known target onset;
+    candidates left without votes do not stand."""
+    ranks = _ranks(spark, sf_dir).persist()
+    excluded = testmap.excluded_variant(F.col("variant"))
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    targets = q1.where("earliest_5_in_continent").select("continent", "location")
+    return predictors.predictor_locations(ranks, targets, excluded, strict=True)
