@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, tokens
+from . import common, packing, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,9 +19,20 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), common.tokenizer_path(), end_id=0, capacity=2048)
+
+
+def op3_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), distance=3, shingle=3, seed=42)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_best_fit_packing": op2_best_fit_packing,
+        "op3_simhash_near_dup": op3_simhash_near_dup,
     }
 
 
