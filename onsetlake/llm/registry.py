@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, packing, simhash, tokens
+from . import common, decontam, packing, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,21 @@ def op3_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def decontamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
+    return decontam.contamination(docs, items).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_simhash_near_dup": op3_simhash_near_dup,
+        "op7_winnowing_decontamination": op7_winnowing_decontamination,
     }
 
 
