@@ -93,7 +93,7 @@ class WordTokenizer:
     between letters and the full stop or comma that ends them, so a text's ids
     are its words' ids in order.  Texts are split at spaces and only words that
     the cache lacks are encoded.  Texts with runs of white space take the
-    general pattern instead.  The cache holds two generations of
+    general pattern instead.  The cache holds two generations of about
     ``CACHED_WORDS`` words, so its memory is bounded.
     """
 
@@ -107,16 +107,16 @@ class WordTokenizer:
         self.words = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
         self.space = re.compile(f"[{s}]").search
         self.newline = np.frombuffer(self.raw("\n"), dtype="<u4")[0]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.spaced: tuple[dict, dict] = {}, {}  # ids of " " + word, young and old
+        self.plain: dict[str, bytes] = {}  # ids of other parts as they are
 
     def raw(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def raw_words(self, words: list[str]) -> dict[str, bytes]:
+    def raw_words(self, words: list[str]) -> list[bytes]:
         """Ids of words without white space but for one leading space, many encoded in one text."""
-        out = {}
+        out = []
         chunks = [words[i:i + 200] for i in range(0, len(words), 200)]
         encoded = self.tokenizer.encode_batch_fast(["\n".join(c) for c in chunks], add_special_tokens=False)
         for chunk, e in zip(chunks, encoded):
@@ -124,77 +124,70 @@ class WordTokenizer:
             cuts = 4 * np.flatnonzero(ids == self.newline)
             if len(cuts) == len(chunk) - 1:
                 whole = ids.tobytes()
-                for w, i, j in zip(chunk, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(whole)]):
-                    out[w] = whole[i:j]
+                out += [whole[i:j] for i, j in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(whole)])]
             else:  # a vocabulary without a token of its own for a line end
-                out.update((w, self.raw(w)) for w in chunk)
+                out += map(self.raw, chunk)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Puts all of ``words`` into the young generation."""
-        young, old = self.young, self.old
-        plain, tails, odd = set(), [], []
-        for w in words.difference(young):
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            elif not w or w.isspace():
-                young[w] = self.raw(w)
-            elif w[-1] in ".," and w[:-1].lstrip(" ").isalpha():
-                tails.append(w)
-                plain.update((w[:-1], w[-1]))
-            elif self.space(w, 1):
-                odd.append(w)
-            else:
-                plain.add(w)
+    def parts(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces of the general pattern."""
+        if len(self.plain) > CACHED_WORDS:
+            self.plain.clear()
+        missing = [p for p in pieces.difference(self.plain) if p.isspace()]
+        self.plain.update(zip(missing, map(self.raw, missing)))
+        missing = list(pieces.difference(self.plain))
+        self.plain.update(zip(missing, self.raw_words(missing)))
+        return self.plain
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of " " + word for ``words`` that start and end without white space."""
+        young, old = self.spaced
+        if len(young) > CACHED_WORDS:
+            self.spaced = young, old = {}, young
+        missing = words.difference(young)
+        known = missing.intersection(old)
+        young.update(zip(known, map(old.__getitem__, known)))
+        missing -= known
+        odd = {w for w in missing if self.space(w)}
         if odd:
-            pieces = [self.words(w) for w in odd]
-            self.learn({p for ps in pieces for p in ps})
-            for w, ps in zip(odd, pieces):
-                young[w] = b"".join(map(young.__getitem__, ps))
-        fresh = []
-        for w in plain.difference(young):
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            else:
-                fresh.append(w)
-        young.update(self.raw_words(fresh))
-        for w in tails:
-            young[w] = young[w[:-1]] + young[w[-1]]
+            missing -= odd
+            pieces = {w: self.words(" " + w) for w in odd}
+            ids = self.parts({p for ps in pieces.values() for p in ps})
+            young.update((w, b"".join(map(ids.__getitem__, ps))) for w, ps in pieces.items())
+        tails = [w for w in missing if w[-1] in ".," and w[:-1].isalpha()]
+        stems = {w[:-1] for w in tails}
+        missing.difference_update(tails)
+        missing |= stems.difference(young)
+        fresh = list(missing)
+        young.update(zip(fresh, self.raw_words([" " + w for w in fresh])))
+        ids = self.parts({".", ","})
+        young.update((w, young[w[:-1]] + ids[w[-1]]) for w in tails)
+        return young
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.young) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
         split = [t.split(" ") for t in texts]
         inner: set[str] = set()
         for words in split:
             inner.update(words)
         odd = {w for w in inner if not w or w[0].isspace() or w[-1].isspace()}
+        general = {i for i, words in enumerate(split) if odd and not odd.isdisjoint(words)}
         if odd:
-            bad = [not odd.isdisjoint(words) for words in split]
-            split = [self.words(t) if b else words for t, words, b in zip(texts, split, bad)]
-            inner = set()
-            for words, b in zip(split, bad):
-                if not b:
-                    inner.update(words[1:])
-        else:
-            bad = [False] * len(split)
-        heads = {words[0] for words in split if words}
-        for words, b in zip(split, bad):
-            if b:
-                heads.update(words)
-        spaced = {w: " " + w for w in inner}
-        self.learn(heads.union(spaced.values()))
-        young = self.young
-        tail = {w: young[s] for w, s in spaced.items()}.__getitem__
+            inner -= odd
+        pieces = {i: self.words(texts[i]) for i in general}
+        heads = {words[0] for i, words in enumerate(split) if i not in general}
+        lines = {w: self.words(w) for w in heads}
+        plain = self.parts({p for ps in (*pieces.values(), *lines.values()) for p in ps}).__getitem__
+        spaced = self.learn(inner).__getitem__
         out = []
-        for words, b in zip(split, bad):
-            if b:
-                out.append(b"".join(map(young.__getitem__, words)))
+        for i, words in enumerate(split):
+            if i in general:
+                out.append(b"".join(map(plain, pieces[i])))
             else:
-                out.append(young[words[0]] + b"".join(map(tail, words[1:])))
-        for w in [w for w in heads if len(w) > LONGEST_CACHED] + [s for s in spaced.values() if len(s) > LONGEST_CACHED]:
-            young.pop(w, None)
+                out.append(b"".join(map(plain, lines[words[0]])) + b"".join(map(spaced, words[1:])))
+        for w in inner:
+            if len(w) > LONGEST_CACHED:
+                self.spaced[0].pop(w, None)
         return out
 
 

@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = tokens.token_files(table(spark, sf_dir, "documents"), common.tokenizer_path(), end_id=2)
+    files = tokens.token_files(table(spark, sf_dir, "documents"), common.tokenizer_path(), end_id=2, keep_ids=False)
     return files.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -3,16 +3,17 @@ separate control bytes, decoded by table lookup.
 
 A run writes, in ascending ``doc_id`` order, shards of blocks.  A block is::
 
-    int64   number of documents d         int64   number of ids n
+    int64   number of documents d         int64   number of control bytes c
     d bytes 1 where doc_id is null        d x int64 doc_id (0 where null)
     d x uint32 ids of each document
-    ceil(n / 4) control bytes, two bits an id: bytes of its code less one
+    c control bytes, two bits an id: bytes of its code less one
     data bytes: the ids' frequency ranks, little-endian, 1 to 4 bytes each
 
-The most frequent id has rank 0, so common ids take one byte.  ``ranks``
-(Parquet: rank, token) turns ranks into ids; ``manifest`` (Parquet) names each
-block's file, place and size.  Only files that the committed manifest names
-are ever read, so what a lost or repeated task left behind is ignored.
+Each document starts a control byte; up to three zeros fill its last one.  The
+most frequent id has rank 0, so common ids take one byte.  ``ranks`` (Parquet:
+rank, token) turns ranks into ids; ``manifest`` (Parquet) names each block's
+file, place and size.  Only files that the committed manifest names are ever
+read, so what a lost or repeated task left behind is ignored.
 """
 
 from __future__ import annotations
@@ -35,13 +36,12 @@ SHARD_BYTES = 32 << 20
 
 
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit values."""
-    ranks = ranks.astype("<u4")
-    extra = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-len(extra) % 4 + len(extra), np.uint8)
-    padded[:len(extra)] = extra
-    control = padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    """Control and data bytes of unsigned 32-bit values, filled up with zeros to a multiple of four."""
+    padded = np.zeros(-(-len(ranks) // 4) * 4, "<u4")
+    padded[:len(ranks)] = ranks
+    extra = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
+    control = extra.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
+    data = padded.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
@@ -50,89 +50,96 @@ def length_table() -> np.ndarray:
     return ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` values of a block: lengths by table lookup, then one gather and one mask."""
-    lengths = length_table()[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+def decode_ranks(control: bytes, data: bytes) -> np.ndarray:
+    """All values, fillers included: lengths by table lookup, then one gather and one mask."""
+    lengths = length_table()[np.frombuffer(control, np.uint8)].reshape(-1)
     starts = np.cumsum(lengths) - lengths
     raw = np.frombuffer(data + b"\0\0\0", np.uint8)
     masks = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
-    wide = np.zeros(n, np.uint32)
+    wide = np.zeros(len(lengths), np.uint32)
     for k in range(4):
         wide |= raw[starts + k].astype(np.uint32) << np.uint32(8 * k)
     return wide & masks[lengths]
 
 
-def write_block(ids: list[int | None], docs: list[np.ndarray], rank_of: np.ndarray) -> bytes:
-    values = np.concatenate(docs) if docs else np.zeros(0, np.uint32)
-    control, data = encode_ranks(rank_of[values])
+def write_block(ids: list[int | None], sizes: list[int], codes: list[bytes]) -> bytes:
+    """A block of documents, each with its code: control bytes, then data bytes."""
+    controls = [-(-n // 4) for n in sizes]
     return b"".join([
-        np.array([len(docs), len(values)], "<i8").tobytes(),
+        np.array([len(ids), sum(controls)], "<i8").tobytes(),
         bytes(i is None for i in ids),
         np.array([i or 0 for i in ids], "<i8").tobytes(),
-        np.array([len(d) for d in docs], "<u4").tobytes(),
-        control, data,
+        np.array(sizes, "<u4").tobytes(),
+        *[code[:c] for code, c in zip(codes, controls)],
+        *[code[c:] for code, c in zip(codes, controls)],
     ])
 
 
 def read_block(block: bytes, token_of: np.ndarray) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     """doc_ids, all ids, and each document's bounds in them."""
-    d, n = np.frombuffer(block, "<i8", 2).tolist()
+    d, c = np.frombuffer(block, "<i8", 2).tolist()
     at = 16
     nulls = np.frombuffer(block, np.uint8, d, at)
     ids = np.frombuffer(block, "<i8", d, at + d)
-    sizes = np.frombuffer(block, "<u4", d, at + 9 * d)
+    sizes = np.frombuffer(block, "<u4", d, at + 9 * d).astype(np.int64)
     at += 13 * d
-    n_control = -(-n // 4)
-    values = token_of[decode_ranks(block[at:at + n_control], block[at + n_control:], n)]
+    values = decode_ranks(block[at:at + c], block[at + c:])
+    padded = -(-sizes // 4) * 4
+    inside = np.arange(len(values)) - np.repeat(np.cumsum(padded) - padded, padded) < np.repeat(sizes, padded)
     doc_ids = [None if null else i for null, i in zip(nulls.tolist(), ids.tolist())]
-    return doc_ids, values, np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return doc_ids, token_of[values[inside]], np.concatenate([[0], np.cumsum(sizes)])
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int | None, text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids): the ids of each whole text, little-endian uint32, with ``end_id`` appended.
+    """(doc_id, n_tokens, ids, seen): the ids of each whole text, little-endian uint32, with ``end_id`` appended.
 
-    Null and empty texts have no ids but the end id; repeated rows stay.
+    Null and empty texts have no ids but the end id; repeated rows stay.  Each
+    task adds a row with only ``seen``: the ids it met and how often, as pairs
+    of int64.
     """
     common.bounded_batches(docs.sparkSession)
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = common.tokenizer(path)
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for part in common.sliced(batch, SLICE_BYTES):
                 ids = [i + tail for i in encoder.encode(common.texts_of(part.column("text")))]
+                here = np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(total))
+                here[:len(total)] += total
+                total = here
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"),
                     "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
                     "ids": pa.array(ids, pa.binary()),
+                    "seen": pa.nulls(len(ids), pa.binary()),
                 })
+        met = np.flatnonzero(total)
+        pairs = np.column_stack([met, total[met]]).astype("<i8").tobytes()
+        yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(1, pa.int64()), "n_tokens": pa.nulls(1, pa.int64()),
+                                          "ids": pa.nulls(1, pa.binary()), "seen": pa.array([pairs], pa.binary())})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+        .mapInArrow(run, "doc_id long, n_tokens long, ids binary, seen binary")
 
 
 def token_counts(tokens: DataFrame) -> DataFrame:
-    """(token, n) over all documents; one row a task and token is shuffled."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-            here = np.bincount(ids, minlength=len(total))
-            here[:len(total)] += total
-            total = here
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"token": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
+    """(token, n) over all documents, from the rows that tasks add."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<i8").reshape(-1, 2)
+        return pa.RecordBatch.from_pydict({"token": pa.array(pairs[:, 0]), "n": pa.array(pairs[:, 1])})
 
-    return tokens.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return common.mapped(tokens.where("seen is not null").select("seen"), "token long, n long", run) \
+        .groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def write_tokens(tokens: DataFrame, out: str) -> None:
     """Writes ``ranks``, the shards and ``manifest`` under ``out``.
 
-    Shards are cut by a range of ``doc_id`` (ties: by the ids, so that many
-    rows of one doc_id spread out).  The table of ranks is bounded by the
-    vocabulary and shipped with the tasks.
+    Documents are coded before they are shuffled.  Shards are cut by a range of
+    ``doc_id`` (ties: by the ids, so that many rows of one doc_id spread out).
+    The table of ranks is bounded by the vocabulary and shipped with the tasks.
     """
     spark = tokens.sparkSession
     ordered = token_counts(tokens).orderBy(F.desc("n"), "token").collect()
@@ -141,9 +148,13 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
     rank_of[token_of] = np.arange(len(token_of))
     spark.createDataFrame([(k, int(t)) for k, t in enumerate(token_of.tolist())], "rank int, token long") \
         .coalesce(1).write.parquet(f"{out}/ranks")
-    n_ids = sum(r.n for r in ordered)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def code(batch: pa.RecordBatch) -> pa.RecordBatch:
+        codes = [b"".join(encode_ranks(rank_of[np.frombuffer(i, "<u4")])) for i in batch.column("ids").to_pylist()]
+        return pa.RecordBatch.from_arrays([*batch.select(["doc_id", "n_tokens"]).columns, pa.array(codes, pa.binary())],
+                                          ["doc_id", "n_tokens", "code"])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         shard = TaskContext.get().partitionId()
@@ -151,29 +162,26 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
         store.create_dir(folder, recursive=True)
         name = f"{shard:06d}-{uuid.uuid4().hex}.ids"
         rows: list[dict] = []
-        keys: list[int | None] = []
-        docs: list[np.ndarray] = []
+        held: list[tuple] = []
         place = size = start = 0
         sink = None
 
         def flush() -> None:
             nonlocal place, size, start, sink
-            if not docs:
+            if not held:
                 return
             sink = sink or store.open_output_stream(f"{folder}/{name}")
-            block = write_block(keys, docs, rank_of)
+            block = write_block(*map(list, zip(*held)))
             sink.write(block)
             rows.append({"shard": shard, "block": len(rows), "file": name, "place": place, "n_bytes": len(block),
                          "start": start, "n_ids": size})
             place, start, size = place + len(block), start + size, 0
-            keys.clear()
-            docs.clear()
+            held.clear()
 
         for batch in batches:
-            for key, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist()):
-                keys.append(key)
-                docs.append(np.frombuffer(ids, "<u4"))
-                size += len(docs[-1])
+            for row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "code")]):
+                held.append(row)
+                size += row[1]
                 if size >= BLOCK_IDS:
                     flush()
         flush()
@@ -181,10 +189,12 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
             sink.close()
         yield pa.RecordBatch.from_pylist(rows, schema=MANIFEST)
 
-    n = common.partitions_for(spark, 2 * n_ids, SHARD_BYTES)
-    order = [F.col("doc_id").asc_nulls_first(), F.crc32("ids"), F.xxhash64("ids")]
-    tokens.repartitionByRange(n, *order).sortWithinPartitions(*order).select("doc_id", "ids") \
-        .mapInArrow(run, "shard int, block int, file string, place long, n_bytes long, start long, n_ids long") \
+    n = common.partitions_for(spark, 2 * sum(r.n for r in ordered), SHARD_BYTES)
+    order = [F.col("doc_id").asc_nulls_first(), F.crc32("code"), F.xxhash64("code")]
+    coded = common.mapped(tokens.where("seen is null").select("doc_id", "n_tokens", "ids"),
+                          "doc_id long, n_tokens long, code binary", code)
+    coded.repartitionByRange(n, *order).sortWithinPartitions(*order) \
+        .mapInArrow(write, "shard int, block int, file string, place long, n_bytes long, start long, n_ids long") \
         .write.parquet(f"{out}/manifest")
 
 
@@ -192,8 +202,8 @@ MANIFEST = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("file", pa.
                       ("n_bytes", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64())])
 
 
-def read_tokens(spark: SparkSession, out: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every document, decoded from the files under ``out``.
+def read_tokens(spark: SparkSession, out: str, keep_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32 and, if kept, ids) of every document, decoded from the files under ``out``.
 
     ``start`` counts the ids of all documents before it.  Each block is read by
     its range of the file; one number a shard reaches the driver.
@@ -217,27 +227,30 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
                 first = base[r["shard"]] + r["start"]
                 raw = ids.astype("<u4").tobytes()
                 texts = [raw[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                yield pa.RecordBatch.from_pydict({
+                columns = {
                     "doc_id": pa.array(doc_ids, pa.int64()),
                     "start": pa.array(first + at[:-1], pa.int64()),
                     "n_tokens": pa.array(np.diff(at), pa.int64()),
                     "ids_crc32": pa.array([zlib.crc32(t) for t in texts], pa.int64()),
-                    "ids": pa.array(texts, pa.binary()),
-                })
+                }
+                if keep_ids:
+                    columns["ids"] = pa.array(texts, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return manifest.repartition(n, "file", "block") \
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
+        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids)
 
 
-def token_files(docs: DataFrame, path: str, end_id: int, out: str | None = None) -> DataFrame:
+def token_files(docs: DataFrame, path: str, end_id: int, out: str | None = None, keep_ids: bool = True) -> DataFrame:
     """Encodes ``docs`` (doc_id, text), writes token files under ``out`` and returns what they hold.
 
-    An empty table gives an empty result.  Texts are tokenized once; their ids
+    Null and empty texts hold the end id only; null doc_ids come first; repeated
+    rows stay; an empty table gives an empty result; other columns are left out.  Texts are tokenized once; their ids
     wait in scratch, as the ranks need all of them counted first.
     """
     spark = docs.sparkSession
     out = out or common.scratch_dir(spark, "token-files")
     tokens = common.stored(tokenize(docs, path, end_id), "token-ids")
     write_tokens(tokens, out)
-    return read_tokens(spark, out)
+    return read_tokens(spark, out, keep_ids)
