@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, packing, simhash, tokens
+from . import common, decontam, packing, quality, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
 def decontamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return decontam.contamination(docs, items).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": op1_token_files,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_simhash_near_dup": op3_simhash_near_dup,
+        "op4_quality_rules": op4_quality_rules,
         "op7_winnowing_decontamination": op7_winnowing_decontamination,
     }
 
