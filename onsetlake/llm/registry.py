@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, packing, quality, simhash, tokens
+from . import common, decontam, packing, quality, secrets, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,23 @@ def op7_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def secret_digest(docs: DataFrame) -> DataFrame:
+    found = secrets.scan(docs)
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def text_of(spans: str):
+        return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+
+    listed = ", ".join(f"'{k}'" for k in base)
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(text_of(f"filter(spans, s -> s.kind in ({listed}))"), 256).alias("base_sha256"),
+                        text_of("spans").alias("spans"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -48,6 +65,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_near_dup": op3_simhash_near_dup,
         "op4_quality_rules": op4_quality_rules,
         "op7_winnowing_decontamination": op7_winnowing_decontamination,
+        "op8_secret_scan": op8_secret_scan,
     }
 
 
