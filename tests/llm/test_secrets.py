@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from onsetlake.llm import registry, secrets
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 PLAIN = {
     "assign": re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
     "access": re.compile(r"AKIA[A-Z0-9]+"), "hex": re.compile(r"[0-9a-f]+")}
