@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, packing, quality, secrets, simhash, tokens
+from . import common, decontam, packing, quality, secrets, simhash, suffixes, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,16 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def removed_digest(found: DataFrame) -> DataFrame:
+    n_removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.b - s.a)")
+    return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_digest(suffixes.deduplicated(table(spark, sf_dir, "documents"), length=400))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -66,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": op4_quality_rules,
         "op7_winnowing_decontamination": op7_winnowing_decontamination,
         "op8_secret_scan": op8_secret_scan,
+        "op9_run_length_dedup": op9_run_length_dedup,
     }
 
 
