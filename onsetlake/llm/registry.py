@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, packing, quality, secrets, simhash, suffixes, tokens
+from . import common, decontam, packing, quality, secrets, simhash, suffixes, tokens, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,20 @@ def op9_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_digest(suffixes.deduplicated(table(spark, sf_dir, "documents"), length=400))
 
 
+def op10_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"), keep_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
+       CASE WHEN strlen(payload) >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(payload) >= 100 AND page_id > first THEN first END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first
+      FROM (SELECT page_id, coalesce(html, '') AS payload FROM pages))
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -77,8 +91,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_winnowing_decontamination": op7_winnowing_decontamination,
         "op8_secret_scan": op8_secret_scan,
         "op9_run_length_dedup": op9_run_length_dedup,
+        "op10_warc_capture_index": op10_warc_capture_index,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op10_warc_capture_index": OP10_SQL,
+    }
