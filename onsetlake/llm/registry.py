@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, packing, quality, secrets, simhash, suffixes, tokens, warc
+from . import common, decontam, linechunks, packing, quality, secrets, simhash, suffixes, tokens, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op5_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "neighbours")
+
+
+def op6_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linechunks.deduplicated(table(spark, sf_dir, "documents")).select("doc_id", "n_chunks", "n_removed", "text")
+
+
 def decontamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return decontam.contamination(docs, items).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -88,6 +97,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_simhash_near_dup": op3_simhash_near_dup,
         "op4_quality_rules": op4_quality_rules,
+        "op5_nearest_toxicity": op5_nearest_toxicity,
+        "op6_line_chunk_dedup": op6_line_chunk_dedup,
         "op7_winnowing_decontamination": op7_winnowing_decontamination,
         "op8_secret_scan": op8_secret_scan,
         "op9_run_length_dedup": op9_run_length_dedup,
