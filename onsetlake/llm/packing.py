@@ -199,7 +199,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048, keep
     end id; null doc_ids and repeated rows are packed like any other; an empty
     table gives no rows; other columns are left out.
     """
-    cut_up = pieces(docs, path, end_id, capacity, keep_ids)
+    cut_up = common.stored(pieces(docs, path, end_id, capacity, keep_ids), "pieces")  # the range sort reads them twice
     return assign(cut_up, capacity, "doc_id", "ids_crc32", "piece")
 
 
