@@ -106,6 +106,7 @@ class WordTokenizer:
         s = UNICODE_SPACE
         self.words = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
         self.space = re.compile(f"[{s}]").search
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.newline = np.frombuffer(self.raw("\n"), dtype="<u4")[0]
         self.spaced: tuple[dict, dict] = {}, {}  # ids of " " + word, young and old
         self.plain: dict[str, bytes] = {}  # ids of other parts as they are

@@ -91,7 +91,9 @@ def read_block(block: bytes, token_of: np.ndarray) -> tuple[list[int | None], np
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int | None, text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids, seen): the ids of each whole text, little-endian uint32, with ``end_id`` appended.
+    """(doc_id, n_tokens, ids, seen): the ids of each whole text, little-endian, with ``end_id`` appended.
+
+    ``ids`` take two bytes each where all ids of the vocabulary fit, else four.
 
     Null and empty texts have no ids but the end id; repeated rows stay.  Each
     task adds a row with only ``seen``: the ids it met and how often, as pairs
@@ -102,19 +104,20 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None, text: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = common.tokenizer(path)
+        kind = encoder.kind
         total = np.zeros(0, np.int64)
         for batch in batches:
             for part in common.sliced(batch, SLICE_BYTES):
                 ids = [i + tail for i in encoder.encode(common.texts_of(part.column("text")))]
-                here = np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(total))
+                flat = np.frombuffer(b"".join(ids), "<u4")
+                here = np.bincount(flat, minlength=len(total))
                 here[:len(total)] += total
                 total = here
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"),
-                    "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
-                    "ids": pa.array(ids, pa.binary()),
-                    "seen": pa.nulls(len(ids), pa.binary()),
-                })
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+                ends = np.append(0, np.cumsum(sizes * kind.itemsize)).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(kind))])
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_tokens": pa.array(sizes),
+                                                  "ids": packed, "seen": pa.nulls(len(ids), pa.binary())})
         met = np.flatnonzero(total)
         pairs = np.column_stack([met, total[met]]).astype("<i8").tobytes()
         yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(1, pa.int64()), "n_tokens": pa.nulls(1, pa.int64()),
@@ -137,8 +140,8 @@ def token_counts(tokens: DataFrame) -> DataFrame:
 def write_tokens(tokens: DataFrame, out: str) -> None:
     """Writes ``ranks``, the shards and ``manifest`` under ``out``.
 
-    Documents are coded before they are shuffled.  Shards are cut by a range of
-    ``doc_id`` (ties: by the ids, so that many rows of one doc_id spread out).
+    Shards are cut by a range of ``doc_id`` (ties: by the ids, so that many
+    rows of one doc_id spread out).
     The table of ranks is bounded by the vocabulary and shipped with the tasks.
     """
     spark = tokens.sparkSession
@@ -149,11 +152,6 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
     spark.createDataFrame([(k, int(t)) for k, t in enumerate(token_of.tolist())], "rank int, token long") \
         .coalesce(1).write.parquet(f"{out}/ranks")
 
-    def code(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codes = [b"".join(encode_ranks(rank_of[np.frombuffer(i, "<u4")])) for i in batch.column("ids").to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.select(["doc_id", "n_tokens"]).columns, pa.array(codes, pa.binary())],
-                                          ["doc_id", "n_tokens", "code"])
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
@@ -179,9 +177,9 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
             held.clear()
 
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "code")]):
-                held.append(row)
-                size += row[1]
+            for key, n, ids in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids")]):
+                held.append((key, n, b"".join(encode_ranks(rank_of[np.frombuffer(ids, f"<u{len(ids) // max(n, 1) or 4}")]))))
+                size += n
                 if size >= BLOCK_IDS:
                     flush()
         flush()
@@ -190,10 +188,8 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
         yield pa.RecordBatch.from_pylist(rows, schema=MANIFEST)
 
     n = common.partitions_for(spark, 2 * sum(r.n for r in ordered), SHARD_BYTES)
-    order = [F.col("doc_id").asc_nulls_first(), F.crc32("code"), F.xxhash64("code")]
-    coded = common.mapped(tokens.where("seen is null").select("doc_id", "n_tokens", "ids"),
-                          "doc_id long, n_tokens long, code binary", code)
-    coded.repartitionByRange(n, *order).sortWithinPartitions(*order) \
+    order = [F.col("doc_id").asc_nulls_first(), F.col("n_tokens"), F.xxhash64("ids")]
+    tokens.where("seen is null").select("doc_id", "n_tokens", "ids").repartitionByRange(n, *order).sortWithinPartitions(*order) \
         .mapInArrow(write, "shard int, block int, file string, place long, n_bytes long, start long, n_ids long") \
         .write.parquet(f"{out}/manifest")
 
