@@ -35,22 +35,28 @@ def preference_matrix(ranks: np.ndarray) -> np.ndarray:
     return pref
 
 
-def widest_paths(pref: np.ndarray) -> np.ndarray:
-    """Schulze strongest-path strengths (Floyd-Warshall in the max-min semiring).
+def max_min(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Max-min product: the best of ``min(left[a, m], right[m, b])`` over ``m``."""
+    out = np.zeros((left.shape[0], right.shape[1]), left.dtype)
+    for m in range(left.shape[1]):
+        np.maximum(out, np.minimum(left[:, m:m + 1], right[m:m + 1, :]), out=out)
+    return out
 
-    Starts from the pairwise wins only (``p[a,b] > p[b,a]``), then relaxes
-    through every intermediate candidate.  ``n`` numpy steps of ``n^2``.
-    """
-    # Strengths are vote counts: exact in float32 below 2^24 variants, and
-    # float32 halves the memory traffic of the n relaxation steps.
-    dtype = np.float32 if pref.size == 0 or pref.max() < 2 ** 24 else np.float64
-    s = np.where(pref > pref.T, pref, 0.0).astype(dtype)
-    np.fill_diagonal(s, 0.0)
+
+def closure(strong: np.ndarray) -> np.ndarray:
+    """Strongest paths inside one block of candidates: ``n`` numpy steps of ``n^2``."""
+    s = strong.copy()
     buf = np.empty_like(s)
     for k in range(s.shape[0]):
         np.minimum(s[:, k:k + 1], s[k:k + 1, :], out=buf)
         np.maximum(s, buf, out=s)
-    np.fill_diagonal(s, 0.0)
+    return s
+
+
+def widest_paths(pref: np.ndarray) -> np.ndarray:
+    """Schulze strongest-path strengths; starts from the pairwise wins only (``p[a,b] > p[b,a]``)."""
+    s = closure(np.where(pref > pref.T, pref, 0).astype(np.int32))
+    np.fill_diagonal(s, 0)
     return s
 
 

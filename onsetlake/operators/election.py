@@ -12,23 +12,23 @@ Inputs, long form:
 constant for one global election).  Output: ``(keys..., location, wins,
 rank)`` with ``rank`` the min-rank by wins descending, as a double.
 
-Two exact physical paths:
-
-* ``grouped``: ``groupBy(keys).applyInPandas`` with the dense numpy kernel;
-  one election per task.  Used while the largest election's ``n x n``
-  matrix is below ``max_grouped_candidates``.
-* ``dataframe``: pairwise preferences by a self-join on
-  ``(keys, variant)``, strongest paths by max-min squaring (one
-  join + aggregate per round, at most ``ceil(log2 n)`` rounds, lineage cut
-  with ``checkpoint()``), wins by a join on the reversed pair.  No Python
-  and no single task holds an election, so it serves elections of any size.
+An election is computed in tiles: ``blocks`` is a plan parameter that deals
+the candidates of every election out into so many blocks.  With one block a
+group holds an election, and elections run beside each other.  With more, a
+group holds the votes of two blocks or one tile of strengths with its pivot
+tiles, so ``(candidates / blocks)^2`` cells bound a task; the strongest paths
+come from one round a block (blocked widest paths).  The parameter changes the
+layout only, never the result.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +36,6 @@ from pyspark.sql import Window
 
 from onsetlake.functions import schulze_kernel
 
-# n = 4000 is a 128 MB float64 matrix and about 10 s of numpy per election.
-MAX_GROUPED_CANDIDATES = 4000
-
-
 def _as_number(col: F.Column, dtype: T.DataType) -> F.Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(col).cast("double")
@@ -55,156 +51,165 @@ def normalise_votes(votes: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str],
-                  method: str = "auto", max_grouped_candidates: int = MAX_GROUPED_CANDIDATES) -> DataFrame:
+def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 1) -> DataFrame:
     keys = list(keys)
-    votes = normalise_votes(votes, keys)
     candidates = candidates.select(*keys, "location").distinct()
-    n_elections = None
-    if method == "auto":
-        # The size check is an action; keep its input so the election itself
-        # does not recompute the candidate lists (and everything upstream).
-        candidates = candidates.persist(StorageLevel.MEMORY_AND_DISK)
-        stats = candidates.groupBy(*keys).count().agg(F.max("count"), F.count(F.lit(1))).first()
-        largest, n_elections = stats[0] or 0, stats[1] or 0
-        method = "grouped" if largest <= max_grouped_candidates else "dataframe"
-    if method == "grouped":
-        return _grouped(votes, candidates, keys, n_elections)
-    if method == "dataframe":
-        prefs = pairwise_preferences(votes, candidates, keys)
-        return final_ranking(path_strengths(prefs, keys), candidates, keys)
-    raise ValueError(f"unknown election method {method!r}")
-
-
-def _grouped(votes: DataFrame, candidates: DataFrame, keys: list[str], n_elections: int | None = None) -> DataFrame:
-    rows = votes.unionByName(
-        candidates.select(*keys, "location", F.lit(None).cast("string").alias("variant"),
-                          F.lit(None).cast("double").alias("r"))
-    )
-    if n_elections:
-        # One election per task where possible.  An explicit partition count
-        # is not coalesced by AQE, which would otherwise pack the (small)
-        # election inputs into one task and run their O(n^3) work serially.
-        spark = votes.sparkSession
-        slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        try:
-            slots = max(slots, spark.sparkContext.defaultParallelism)
-        except Exception:  # sessions without a local SparkContext
-            pass
-        cap = 4 * slots
-        rows = rows.repartition(max(1, min(n_elections, cap)), *keys)
-    key_fields = [votes.schema[k] for k in keys]
-    schema = T.StructType(
-        [T.StructField(f.name, f.dataType, True) for f in key_fields]
-        + [
-            T.StructField("location", T.StringType(), True),
-            T.StructField("wins", T.LongType(), False),
-            T.StructField("rank", T.DoubleType(), False),
-        ]
-    )
-    return rows.groupBy(*keys).applyInPandas(lambda pdf: schulze_kernel.elect(pdf, keys), schema)
+    ballots = _ballots(votes, candidates, keys)
+    if blocks == 1:
+        # AQE would pack the small ballots into one task and run the O(n^3) work serially; it leaves a given count alone
+        ballots = ballots.repartition(4 * int(votes.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+        schema = _schema(votes, keys, ["location string", "wins long", "rank double"])
+        return ballots.groupBy(*keys).applyInPandas(lambda pdf: schulze_kernel.elect(pdf, keys), schema)
+    wins = tiled_wins(widest_path_tiles(strength_tiles(ballots, keys, blocks), keys, blocks), keys)
+    return ranked_by_wins(wins, candidates, keys)
 
 
-def pairwise_preferences(votes: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(keys..., a, b, p)`` for every ordered pair of distinct candidates.
+def _schema(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> str:
+    return ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys] + list(fields))
 
-    Both-known pairs come from a self-join on ``(keys, variant)``; a variant
-    group holds at most one row per candidate.  The "a hit, b not" term is
-    counted algebraically, ``#known(a) - #both(a, b)``, so the
-    ``candidates x variants`` grid is never built.
-    """
-    keys = list(keys)
-    votes = normalise_votes(votes, keys)
-    a = votes.select(*keys, "variant", F.col("location").alias("a"), F.col("r").alias("ra"))
-    b = votes.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("variant").alias("_variant"),
-                     F.col("location").alias("b"), F.col("r").alias("rb"))
-    cond = (a["variant"] == b["_variant"]) & (a["a"] != b["b"])
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[f"_{k}"])
-    both = a.join(b, cond).groupBy(*keys, "a", "b").agg(
-        F.count_if(F.col("ra") < F.col("rb")).alias("lt"), F.count(F.lit(1)).alias("nb")
-    )
-    known = votes.groupBy(*keys, F.col("location").alias("a")).agg(F.count(F.lit(1)).alias("na"))
-    ca = candidates.select(*keys, F.col("location").alias("a"))
-    cb = candidates.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("location").alias("b"))
-    pcond = ca["a"] != cb["b"]
-    for k in keys:
-        pcond = pcond & ca[k].eqNullSafe(cb[f"_{k}"])
-    pairs = ca.join(cb, pcond).select(*keys, "a", "b")
-    return (
-        pairs.join(both, [*keys, "a", "b"], "left")
-        .join(known, [*keys, "a"], "left")
-        .select(*keys, "a", "b",
-                (F.coalesce("lt", F.lit(0)) + F.coalesce("na", F.lit(0)) - F.coalesce("nb", F.lit(0)))
-                .cast("long").alias("p"))
-    )
 
+_TILE = ["i int", "j int", "rows array<string>", "cols array<string>", "s binary"]
 
-def strong_edges(prefs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Edges ``a -> b`` with ``p(a,b) > p(b,a)``, weighted ``p(a,b)``."""
-    keys = list(keys)
-    rev = prefs.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("a").alias("_b"),
-                       F.col("b").alias("_a"), F.col("p").alias("q"))
-    cond = (prefs["a"] == rev["_a"]) & (prefs["b"] == rev["_b"])
-    for k in keys:
-        cond = cond & prefs[k].eqNullSafe(rev[f"_{k}"])
-    return (
-        prefs.join(rev, cond, "left")
-        .where(F.col("p") > F.coalesce(F.col("q"), F.lit(0)))
-        .select(*keys, "a", "b", F.col("p").alias("s"))
-    )
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Written to the checkpoint folder and read back: later rounds read each tile once, and lineage stays short."""
+    from onsetlake.session import ensure_checkpoint_dir
 
-def path_strengths(prefs: DataFrame, keys: Sequence[str], max_rounds: int = 64) -> DataFrame:
-    """Strongest-path strengths ``(keys..., a, b, s)``, zero paths omitted.
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tiles-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Max-min squaring: ``s'(a,c) = max(s(a,c), max_b min(s(a,b), s(b,c)))``.
-    After round ``k`` every path of up to ``2^k`` edges is covered, so the
-    loop ends after at most ``ceil(log2 n)`` productive rounds; it stops as
-    soon as the edge count and strength sum stop changing (both only grow).
-    Each round is checkpointed to ``spark.checkpoint.dir`` so lineage stays
-    short and a lost executor recomputes one round, not all of them.
-    """
-    from onsetlake.session import ensure_checkpoint_dir
 
-    ensure_checkpoint_dir(prefs.sparkSession)
+def _keyed(pdf: pd.DataFrame, keys: Sequence[str], out: pd.DataFrame) -> pd.DataFrame:
+    for at, k in enumerate(keys):
+        out.insert(at, k, pdf[k].iloc[0])
+    return out
+
+
+def strength_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, strong: bool = True) -> DataFrame:
+    """Tiles ``(keys..., i, j, rows, cols, s)`` of the strong edges' weights (int32, 0: none), or of all preferences.
+
+    A ballot goes to the tiles of its block with every block; a group sees all
+    votes of two blocks and gives both tiles between them.
+    """
     keys = list(keys)
-    paths = strong_edges(prefs, keys).checkpoint()
-    last = paths.agg(F.count(F.lit(1)), F.sum("s")).first()
-    for _ in range(max_rounds):
-        x = paths.select(*keys, "a", F.col("b").alias("m"), F.col("s").alias("s1"))
-        y = paths.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("a").alias("_m"),
-                         F.col("b").alias("c"), F.col("s").alias("s2"))
-        cond = (x["m"] == y["_m"]) & (x["a"] != y["c"])
-        for k in keys:
-            cond = cond & x[k].eqNullSafe(y[f"_{k}"])
-        ext = x.join(y, cond).select(*keys, "a", F.col("c").alias("b"), F.least("s1", "s2").alias("s"))
-        paths = paths.unionByName(ext).groupBy(*keys, "a", "b").agg(F.max("s").alias("s")).checkpoint()
-        now = paths.agg(F.count(F.lit(1)), F.sum("s")).first()
-        if tuple(now) == tuple(last):
-            break
-        last = now
-    return paths
-
-
-def final_ranking(strengths: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Wins ``#{b: s(a,b) > s(b,a)}`` and the min-rank by wins descending."""
+    block = F.pmod(F.xxhash64("location"), F.lit(blocks)).cast("int")
+    dealt = ballots.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
+        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other")
+
+    def tiles(pdf: pd.DataFrame) -> pd.DataFrame:
+        labels, ranks = schulze_kernel.rank_matrix(pdf["location"].to_numpy(dtype=object), pdf["variant"], pdf["r"])
+        block_of = dict(zip(pdf["location"], pdf["block"]))
+        pref = schulze_kernel.preference_matrix(ranks)
+        weight = (np.where(pref > pref.T, pref, 0) if strong else pref).astype(np.int32)
+        at = {int(b): sorted((x, i) for i, x in enumerate(labels) if block_of[x] == b) for b in set(block_of.values())}
+        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
+        out = []
+        for i, j in {(lo, hi), (hi, lo)}:
+            if at.get(i) and at.get(j):
+                cells = weight[np.ix_([k for _, k in at[i]], [k for _, k in at[j]])]
+                out.append((i, j, [x for x, _ in at[i]], [x for x, _ in at[j]], cells.tobytes()))
+        return _keyed(pdf, keys, pd.DataFrame(out, columns=["i", "j", "rows", "cols", "s"])) if out else \
+            pd.DataFrame(columns=[*keys, "i", "j", "rows", "cols", "s"])
+
+    return dealt.groupBy(*keys, "lo", "hi").applyInPandas(tiles, _schema(ballots, keys, _TILE))
+
+
+def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
+    """Strongest-path strengths of the tiles: one round for each pivot block, one shuffle a round."""
     keys = list(keys)
-    rev = strengths.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("a").alias("_b"),
-                           F.col("b").alias("_a"), F.col("s").alias("t"))
-    cond = (strengths["a"] == rev["_a"]) & (strengths["b"] == rev["_b"])
-    for k in keys:
-        cond = cond & strengths[k].eqNullSafe(rev[f"_{k}"])
-    wins = (
-        strengths.join(rev, cond, "left")
-        .where(F.col("s") > F.coalesce(F.col("t"), F.lit(0)))
-        .groupBy(*keys, F.col("a").alias("location"))
-        .agg(F.count(F.lit(1)).alias("wins"))
-    )
+    schema = _schema(tiles, keys, _TILE)
+
+    def cells(row) -> np.ndarray:
+        return np.frombuffer(row.s, np.int32).reshape(len(row.rows), len(row.cols))
+
+    def update(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = {row.role: row for row in pdf.itertuples()}
+        if "own" not in parts:
+            return pdf.iloc[:0][[*keys, "i", "j", "rows", "cols", "s"]]
+        own = parts["own"]
+        s = cells(own).copy()
+        if len(parts) == 4:
+            pivot = schulze_kernel.closure(cells(parts["pivot"]))
+            left, right = cells(parts["column"]), cells(parts["row"])
+            left = np.maximum(left, schulze_kernel.max_min(left, pivot))
+            right = np.maximum(right, schulze_kernel.max_min(pivot, right))
+            s = np.maximum(s, schulze_kernel.max_min(left, right))
+        out = pd.DataFrame([(own.i, own.j, own.rows, own.cols, s.tobytes())], columns=["i", "j", "rows", "cols", "s"])
+        return _keyed(pdf, keys, out)
+
+    each = F.sequence(F.lit(0), F.lit(blocks - 1))
+    names = [*keys, "role", "i", "j", "rows", "cols", "s"]
+    now = _stored(tiles)
+    for k in range(blocks):
+        column = now.where(F.col("j") == k).withColumn("j", F.explode(each)).withColumn("role", F.lit("column"))
+        row = now.where(F.col("i") == k).withColumn("i", F.explode(each)).withColumn("role", F.lit("row"))
+        pivot = now.where((F.col("i") == k) & (F.col("j") == k)).withColumn("i", F.explode(each)) \
+            .withColumn("j", F.explode(each)).withColumn("role", F.lit("pivot"))
+        parts = now.withColumn("role", F.lit("own")).select(*names)
+        for more in (column, row, pivot):
+            parts = parts.unionByName(more.select(*names))
+        now = _stored(parts.groupBy(*keys, "i", "j").applyInPandas(update, schema))
+    return now
+
+
+def tiled_wins(strengths: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys..., location, wins)`` from the strength tiles; a tile meets the one with rows and columns exchanged."""
+    keys = list(keys)
+
+    def wins(pdf: pd.DataFrame) -> pd.DataFrame:
+        tile = {(row.i, row.j): (row, np.frombuffer(row.s, np.int32).reshape(len(row.rows), len(row.cols)))
+                for row in pdf.itertuples()}
+        out = [(label, int(n)) for (i, j), (row, s) in tile.items()
+               for label, n in zip(row.rows, (s > tile[j, i][1].T).sum(axis=1))]
+        return _keyed(pdf, keys, pd.DataFrame(out, columns=["location", "wins"]))
+
+    pairs = strengths.withColumn("lo", F.least("i", "j")).withColumn("hi", F.greatest("i", "j"))
+    return pairs.groupBy(*keys, "lo", "hi").applyInPandas(wins, _schema(strengths, keys, ["location string", "wins long"])) \
+        .groupBy(*keys, "location").agg(F.sum("wins").alias("wins"))
+
+
+def ranked_by_wins(wins: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every candidate with its wins and the min-rank by wins descending."""
     w = Window.partitionBy(*keys).orderBy(F.col("wins").desc())
-    return (
-        candidates.select(*keys, "location").distinct()
-        .join(wins, [*keys, "location"], "left")
-        .select(*keys, "location", F.coalesce("wins", F.lit(0)).cast("long").alias("wins"))
+    cond = F.lit(True)
+    for k in (*keys, "location"):
+        cond = cond & candidates[k].eqNullSafe(wins[k])
+    return candidates.join(wins, cond, "left") \
+        .select(*[candidates[k] for k in (*keys, "location")], F.coalesce(wins["wins"], F.lit(0)).cast("long").alias("wins")) \
         .withColumn("rank", F.rank().over(w).cast("double"))
-    )
+
+
+def _ballots(votes: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Votes and a row without a vote for every candidate, so that all of them stand."""
+    return normalise_votes(votes, keys).unionByName(candidates.select(*keys, "location").distinct().select(
+        *keys, "location", F.lit(None).cast("string").alias("variant"), F.lit(None).cast("double").alias("r")))
+
+
+def _cells(tiles: DataFrame, keys: Sequence[str], name: str, zeros: bool) -> DataFrame:
+    """One row a cell of the tiles, ``(keys..., a, b, name)`` with ``a != b``."""
+    keys = list(keys)
+
+    def rows(pdfs):
+        for pdf in pdfs:
+            for row in pdf.itertuples():
+                s = np.frombuffer(row.s, np.int32).reshape(len(row.rows), len(row.cols))
+                a, b = (x.ravel() for x in np.indices(s.shape)) if zeros else np.nonzero(s)
+                out = pd.DataFrame({"a": np.asarray(row.rows, object)[a], "b": np.asarray(row.cols, object)[b],
+                                    name: s[a, b].astype(np.int64)})
+                for at, k in enumerate(keys):
+                    out.insert(at, k, getattr(row, k))
+                yield out[out["a"] != out["b"]]
+
+    return tiles.mapInPandas(rows, _schema(tiles, keys, ["a string", "b string", f"{name} long"]))
+
+
+def pairwise_preferences(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2) -> DataFrame:
+    """``(keys..., a, b, p)`` for every ordered pair of distinct candidates, from tiles of votes."""
+    return _cells(strength_tiles(_ballots(votes, candidates, keys), keys, blocks, strong=False), keys, "p", zeros=True)
+
+
+def path_strengths(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2) -> DataFrame:
+    """Strongest-path strengths ``(keys..., a, b, s)``, zero paths and ``a = b`` omitted."""
+    tiles = strength_tiles(_ballots(votes, candidates, keys), keys, blocks)
+    return _cells(widest_path_tiles(tiles, keys, blocks), keys, "s", zeros=False)

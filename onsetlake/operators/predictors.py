@@ -32,7 +32,7 @@ TOP_N = 5
 
 def predictor_locations(ranks: DataFrame, targets: DataFrame, excluded: Column | None = None,
                         rank_col: str = "outbreak_rank_global", strict: bool = False,
-                        method: str = "auto") -> DataFrame:
+                        blocks: int = 1) -> DataFrame:
     """Predictor table for all ``targets(continent, location)``.
 
     ``strict=True`` keeps only cells strictly before a known target onset and
@@ -80,7 +80,7 @@ def predictor_locations(ranks: DataFrame, targets: DataFrame, excluded: Column |
         standing = ballot.select(*keys, label.alias("location")).distinct()
     else:
         standing = elections.select(*keys, label.alias("location"))
-    ranked = combined_rank(ballot_long, standing, keys, method=method)
+    ranked = combined_rank(ballot_long, standing, keys, blocks=blocks)
 
     parts = F.split(F.col("location"), "\u0001")
     on_flag = F.col("on_same_continent")

@@ -271,7 +271,7 @@ def pairwise_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def path_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes, cands = _q1_inputs(spark, sf_dir)
-    return election.path_strengths(election.pairwise_preferences(votes, cands, ["continent"]), ["continent"])
+    return election.path_strengths(votes, cands, ["continent"], blocks=3)
 
 
 def ranking_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:

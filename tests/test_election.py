@@ -76,7 +76,7 @@ def _frames(spark, rows, cands):
     return votes, candidates
 
 
-def test_grouped_and_dataframe_paths_agree(spark):
+def test_any_number_of_blocks_gives_the_same_ranking(spark):
     rng = np.random.default_rng(7)
     rows, cands = [], []
     for e in range(4):
@@ -88,12 +88,8 @@ def test_grouped_and_dataframe_paths_agree(spark):
                     rows.append((f"e{e}", f"L{i}", f"V{k}", float(rng.integers(1, 6))))
     cands.append(("e0", "NOVOTES"))
     votes, candidates = _frames(spark, rows, cands)
-    a = election.combined_rank(votes, candidates, ["e"], method="grouped").toPandas()
-    b = election.combined_rank(votes, candidates, ["e"], method="dataframe").toPandas()
-    key = ["e", "location"]
-    a = a.sort_values(key).reset_index(drop=True)
-    b = b.sort_values(key).reset_index(drop=True)
-    pd.testing.assert_frame_equal(a[key + ["wins", "rank"]], b[key + ["wins", "rank"]], check_dtype=False)
+    found = [sorted(map(tuple, election.combined_rank(votes, candidates, ["e"], blocks=b).collect())) for b in (1, 2, 5)]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(cands)
 
 
 def test_candidate_without_votes_ranks_last(spark):
@@ -110,26 +106,7 @@ def test_six_tied_winners_all_rank_one(spark):
     assert sorted(r["rank"] for r in out) == [1.0] * 6
 
 
-def test_auto_switches_to_dataframe_path_above_the_limit(spark):
-    rng = np.random.default_rng(11)
-    rows, cands = [], []
-    for i in range(9):
-        cands.append(("big", f"L{i}"))
-        for k in range(5):
-            if rng.random() < 0.8:
-                rows.append(("big", f"L{i}", f"V{k}", float(rng.integers(1, 9))))
-    cands += [("small", "A"), ("small", "B")]
-    rows += [("small", "A", "V0", 1.0), ("small", "B", "V0", 2.0)]
-    votes, candidates = _frames(spark, rows, cands)
-    auto = election.combined_rank(votes, candidates, ["e"], method="auto", max_grouped_candidates=4).toPandas()
-    grouped = election.combined_rank(votes, candidates, ["e"], method="grouped").toPandas()
-    key = ["e", "location"]
-    pd.testing.assert_frame_equal(auto.sort_values(key).reset_index(drop=True)[key + ["wins", "rank"]],
-                                  grouped.sort_values(key).reset_index(drop=True)[key + ["wins", "rank"]],
-                                  check_dtype=False)
-
-
-def test_dataframe_path_on_a_larger_election(spark):
+def test_more_candidates_than_a_block_holds(spark):
     rng = np.random.default_rng(3)
     n, v = 40, 8
     rows, cands = [], [("big", f"L{i:02d}") for i in range(n)]
@@ -138,11 +115,13 @@ def test_dataframe_path_on_a_larger_election(spark):
             if rng.random() < 0.75:
                 rows.append(("big", f"L{i:02d}", f"V{k}", float(rng.integers(1, 30))))
     votes, candidates = _frames(spark, rows, cands)
-    df_path = {r.location: r["rank"] for r in
-               election.combined_rank(votes, candidates, ["e"], method="dataframe").collect()}
+    tiles = election.strength_tiles(election._ballots(votes, candidates, ["e"]), ["e"], 6)
+    assert max(len(r["rows"]) for r in tiles.collect()) < n / 2
+    found = {r.location: r["rank"] for r in election.combined_rank(votes, candidates, ["e"], blocks=6).collect()}
     ranks = np.full((n, v), np.nan)
     for _, loc, var, r in rows:
         ranks[int(loc[1:]), int(var[1:])] = r
-    expected = schulze_kernel.wins_and_rank(
-        schulze_kernel.widest_paths(schulze_kernel.preference_matrix(ranks)))[1]
-    assert [df_path[f"L{i:02d}"] for i in range(n)] == list(expected)
+    strengths = schulze_kernel.widest_paths(schulze_kernel.preference_matrix(ranks))
+    assert [found[f"L{i:02d}"] for i in range(n)] == list(schulze_kernel.wins_and_rank(strengths)[1])
+    listed = {(r.a, r.b): r.s for r in election.path_strengths(votes, candidates, ["e"], blocks=4).collect()}
+    assert listed == {(f"L{a:02d}", f"L{b:02d}"): strengths[a, b] for a, b in zip(*np.nonzero(strengths))}

@@ -23,3 +23,15 @@ def test_onset_scan_is_pruned_and_filtered(spark):
     plan = q.onset_ranks(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_quantity,45.0)" in plan
     assert "l_extendedprice" not in plan
+
+
+def test_an_election_under_a_constant_key_plans_no_all_pairs_join(spark):
+    from pyspark.sql import functions as F
+
+    from onsetlake.operators import election
+
+    votes = spark.range(50).select(F.lit("all").alias("e"), F.col("id").cast("string").alias("location"),
+                                   F.lit("v").alias("variant"), F.col("id").cast("double").alias("r"))
+    for df in (election.combined_rank(votes, votes, ["e"], blocks=3), election.pairwise_preferences(votes, votes, ["e"])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not [f for f in FORBIDDEN if f in plan]
