@@ -60,18 +60,35 @@ def landing_plan(spark: SparkSession, landing_path: str, ingest_date: str | None
 
 
 def land_text(lines: DataFrame, base: str, dataset: str, ingest_date: str) -> None:
-    """SRC12 for text datasets: write lines under ``base/raw/<dataset>/ingest_date=<d>/``."""
+    """SRC12 for text datasets: write lines under ``base/raw/<dataset>/ingest_date=<d>/``.
+
+    Replaces that date of that dataset only; other dates and datasets stay.
+    """
     (lines.select("value").withColumn("ingest_date", F.lit(ingest_date))
-     .write.mode("overwrite").partitionBy("ingest_date").text(f"{base}/raw/{dataset}"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").text(f"{base}/raw/{dataset}"))
 
 
 def land_files(spark: SparkSession, landing_path: str, base: str, ingest_date: str | None = None) -> DataFrame:
-    """SRC10-12 for whole files: copy each routable file's bytes under its
-    dataset and ingest-date partition (as a binary Parquet table)."""
+    """SRC10-12/SRC14: lands every file of the name list under its dataset and ingest date; returns what was landed.
+
+    Delimited files are landed as lines, which :func:`read_partition` reads;
+    workbooks as whole files (``base/raw_files``).  Only files of the list are
+    read, and only the landed dates of the landed datasets are replaced.
+    """
     plan = landing_plan(spark, landing_path, ingest_date)
-    content = spark.read.format("binaryFile").load(landing_path).select("path", "content")
-    landed = plan.join(content, "path")
-    landed.write.mode("overwrite").partitionBy("dataset", "ingest_date").parquet(f"{base}/raw_files")
+    stamp = spark.range(1).select(ingest_stamp(ingest_date)).first()[0]
+    landed = {r.dataset for r in plan.select("dataset").distinct().collect()}
+    for prefix, ext, dataset in ROUTES:
+        if dataset not in landed:
+            continue
+        glob = f"{prefix}*{ext}"
+        if ext == ".csv":
+            land_text(spark.read.option("pathGlobFilter", glob).text(landing_path), base, dataset, stamp)
+        else:
+            files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(landing_path)
+            files.select("path", "content").withColumn("dataset", F.lit(dataset)).withColumn("ingest_date", F.lit(stamp)) \
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy("dataset", "ingest_date").parquet(f"{base}/raw_files")
     return plan
 
 
