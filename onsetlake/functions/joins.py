@@ -1,46 +1,30 @@
-"""Join helpers whose broadcast decisions rest on a measured size."""
+"""Join shapes that stay safe when one side has hot keys; Spark picks the strategy from run-time sizes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a side may have and still be broadcast by :func:`broadcast_if_small`.
-MAX_BROADCAST_ROWS = 2_000_000
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting the side (kept cached for the join).
-
-    Beyond ``max_rows`` the frame is returned unhinted and Spark/AQE plan a
-    shuffle join.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
-def small_left_join_big(small: DataFrame, big: DataFrame, small_keys: Sequence[str],
-                        big_keys: Sequence[str], max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def small_left_join_big(small: DataFrame, big: DataFrame, small_keys: Sequence[str], big_keys: Sequence[str]) -> DataFrame:
     """``small LEFT JOIN big`` that stays skew-safe when ``big`` has hot keys.
 
     A left outer join can only build (broadcast) its right side, and AQE can
     only split skew on its left side, so a hot key of a big right side ends
-    up in one task.  Instead: the big side inner-joins the small side
-    (broadcast after a size check), and small rows without any partner are
-    added back through an anti-join against the big side's distinct keys
-    (an aggregate, combined map-side before its shuffle).
+    up in one task.  Instead the two inner-join, and small rows without a
+    partner are added back through an anti-join against those of the small
+    side's keys that the big side has (two of its columns, filtered before
+    they are made distinct).
     """
-    s = broadcast_if_small(small, max_rows)
-    cond = None
-    for sk, bk in zip(small_keys, big_keys):
-        c = s[sk] == big[bk]
-        cond = c if cond is None else cond & c
-    matched = big.join(s, cond, "inner")
-    big_key_set = big.select(*[F.col(f"`{bk}`").alias(sk) for sk, bk in zip(small_keys, big_keys)]).distinct()
-    unmatched = small.join(big_key_set, list(small_keys), "left_anti")
-    cols = list(small.columns) + [c for c in big.columns]
-    return matched.select(*[F.col(f"`{c}`") for c in cols]).unionByName(
-        unmatched, allowMissingColumns=True).select(*[F.col(f"`{c}`") for c in cols])
+    pairs = list(zip(small_keys, big_keys))
+    cond = F.lit(True)
+    for sk, bk in pairs:
+        cond = cond & (small[sk] == big[bk])
+    matched = big.join(small, cond, "inner")
+    asked = small.select(*small_keys).distinct()
+    held = big.select(*[F.col(f"`{bk}`").alias(sk) for sk, bk in pairs]).join(asked, list(small_keys), "left_semi").distinct()
+    unmatched = small.join(held, list(small_keys), "left_anti")
+    cols = [F.col(f"`{c}`") for c in (*small.columns, *big.columns)]
+    return matched.select(*cols).unionByName(unmatched, allowMissingColumns=True).select(*cols)

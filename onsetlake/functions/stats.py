@@ -79,8 +79,8 @@ def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300) -> np
         delta = d * c
         h *= delta
         if np.all(np.abs(delta - 1.0) < 1e-15):
-            break
-    return h
+            return h
+    raise ArithmeticError(f"the incomplete beta function did not converge in {iters} steps")
 
 
 def betainc(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -145,4 +145,4 @@ def significance(matrix: DataFrame, bonferroni: bool = False, k: int | None = No
     p = F.when(F.col("x") == F.col("y"), F.lit(0.0)).otherwise(pearson_pvalue(F.col("r"), F.col("n")))
     out = matrix.withColumn("p", p)
     return out.withColumn("stars", F.when(F.col("p").isNotNull(), stars(F.col("p"), divisor)).otherwise(F.lit(""))) \
-        .withColumn("cell", F.concat(F.format_number(F.col("r"), 2), F.col("stars")))
+        .withColumn("cell", F.concat(F.round(F.col("r"), 2).cast("string"), F.col("stars")))

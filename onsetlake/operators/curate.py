@@ -2,24 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onsetlake.functions.joins import broadcast_if_small
-
 
 def latest_per_key(df: DataFrame, key: str = "location", date_col: str = "date_indicators") -> DataFrame:
     """Rows carrying the latest date of their key; ties are all kept, null dates drop.
 
-    A window ``max`` over the key (one shuffle by key) rather than
-    ``max_by``: ``max_by`` would silently keep one of several tied rows.
+    The maximum per key combines before its shuffle and is joined back, so the
+    wide table need not be shuffled by a key that may be hot.
     """
-    w = Window.partitionBy(key)
-    return (
-        df.withColumn("__max", F.max(date_col).over(w))
-        .where(F.col(date_col) == F.col("__max"))
-        .drop("__max")
-    )
+    latest = df.where(F.col(date_col).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.max(date_col).alias("__max"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col(date_col) == F.col("__max"))
+    return df.join(latest, same).drop("__key", "__max")
 
 
 def latest_indicators(indicators: DataFrame) -> DataFrame:
@@ -29,14 +24,11 @@ def latest_indicators(indicators: DataFrame) -> DataFrame:
 def curate(variants: DataFrame, indicators: DataFrame) -> DataFrame:
     """``variants`` left-joined with each location's latest indicator row.
 
-    The right side has one row per location (plus ties): it grows with the
-    number of locations, not with the data.  Spark's estimate for a
-    window-then-filter is the whole indicator table, so the side is counted
-    and broadcast when small (no shuffle of the big, possibly skewed,
-    variants); beyond the limit it stays a shuffle join, where AQE can split
-    skewed left-side partitions.
+    The right side has one row per location (plus ties).  Spark measures it at
+    run time: small, it is broadcast; else a shuffle join, where AQE splits
+    skewed partitions of the variants.
     """
-    return variants.join(broadcast_if_small(latest_indicators(indicators)), on="location", how="left")
+    return variants.join(latest_indicators(indicators), on="location", how="left")
 
 
 def continent_mapping(variants: DataFrame, indicators: DataFrame) -> DataFrame:
@@ -45,4 +37,4 @@ def continent_mapping(variants: DataFrame, indicators: DataFrame) -> DataFrame:
     A location listed under two continents fans out (kept, not deduplicated).
     """
     mapping = indicators.select("location", "continent").distinct()
-    return variants.join(broadcast_if_small(mapping), on="location", how="left")
+    return variants.join(mapping, on="location", how="left")

@@ -144,12 +144,11 @@ def constant_columns(df: DataFrame, key: str = "location") -> DataFrame:
     """AGG8/FLT12: ``(column, max_distinct, is_constant)``; constant = at most one
     distinct non-null value within every key."""
     cols = [c for c in df.columns if c != key]
-    per_key = df.groupBy(key).agg(*[F.count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(cols)])
-    mx = per_key.agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(cols))])
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"d{i}").cast("long").alias("max_distinct"))
-                        for i, c in enumerate(cols)])
-    return mx.select(F.explode(entries).alias("e")).select(
-        "e.column", "e.max_distinct", (F.col("e.max_distinct") <= 1).alias("is_constant"))
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])
+    values = df.select(F.col(key).alias("__key"), F.explode(entries).alias("e")).select("__key", "e.column", "e.value").distinct()
+    per_key = values.groupBy("__key", "column").agg(F.count("value").alias("n"))
+    return per_key.groupBy("column").agg(F.max("n").cast("long").alias("max_distinct")) \
+        .withColumn("is_constant", F.col("max_distinct") <= 1)
 
 
 def static_indicators(df: DataFrame, columns: Sequence[str], key: str = "location",
@@ -167,5 +166,9 @@ def onset_matrix(ranks: DataFrame, values: Sequence[str], value: str = "outbreak
 
     Explicit ``values`` keep the pivot to one pass (no distinct-values job)
     and the schema stable; keys are unique, so ``first`` is deterministic.
+    A value that is not listed fails the query rather than vanish.
     """
+    c = F.col(column)
+    unknown = F.raise_error(F.concat(F.lit(f"{column} not listed for the pivot: "), c))
+    ranks = ranks.withColumn(column, F.when(c.isNull() | c.isin(*values), c).otherwise(unknown))
     return ranks.groupBy(*rows).pivot(column, list(values)).agg(F.first(value))

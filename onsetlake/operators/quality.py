@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,7 +100,7 @@ def run_checks(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
 
 def gate(results: DataFrame, message: str = "data quality gate failed") -> None:
     """Raise :class:`DataQualityError` if any constraint has violations."""
-    failed = results.where(F.col("violations") > 0).select("constraint", "violations").limit(20).collect()
+    failed = results.where(F.col("violations") > 0).select("constraint", "violations").collect()
     if failed:
         raise DataQualityError(message + ": " + ", ".join(f"{r[0]} ({r[1]})" for r in failed))
 
@@ -131,30 +131,24 @@ def pattern_metrics(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
 def pattern_gate(metrics: DataFrame) -> None:
     """DQ6: passes iff every value of every column matches its pattern."""
     gate(metrics.withColumn("constraint", F.concat_ws(" ~ ", "column", "pattern")),
-         "The locations or variant are not following the patterns")
+         "values that do not match the pattern of their column")
 
 
 def reconcile(df: DataFrame, keys: Sequence[str] = ("location", "date"), part: str = "num_sequences",
               total: str = "num_sequences_total", exclude: Column | None = None) -> DataFrame:
     """DQ7: groups whose part sum differs from the declared total.
 
-    Parts are summed per key without the excluded rows; the declared total is
-    ``max`` per key with a constancy flag (``min = max``).  Full outer join on
-    the key, null-safe comparison: a key present on one side only is a
-    mismatch.  Both aggregates are partial (map-side) before their shuffle,
-    and they share one hash partitioning on the key for the join.
+    One partial aggregate per key: the parts' sum without the excluded rows,
+    the declared total (its maximum) and whether it is the same on all rows.
+    A null key is a group like any other; a group of excluded rows only has a
+    null sum, which differs from any total.
     """
-    keys = list(keys)
-    parts = df if exclude is None else df.where(~F.coalesce(exclude, F.lit(False)))
-    sums = parts.groupBy(*keys).agg(F.sum(part).alias("sum_parts"))
-    totals = df.groupBy(*keys).agg(
+    kept = F.lit(True) if exclude is None else ~F.coalesce(exclude, F.lit(False))
+    return df.groupBy(*keys).agg(
+        F.sum(F.when(kept, F.col(part))).alias("sum_parts"),
         F.max(total).alias("declared_total"),
-        (F.min(total).eqNullSafe(F.max(total))).alias("total_is_constant"),
-    )
-    joined = sums.join(totals, keys, "full")
-    return joined.where(~F.col("sum_parts").eqNullSafe(F.col("declared_total"))).select(
-        *keys, "sum_parts", "declared_total", "total_is_constant"
-    )
+        F.min(total).eqNullSafe(F.max(total)).alias("total_is_constant"),
+    ).where(~F.col("sum_parts").eqNullSafe(F.col("declared_total")))
 
 
 def reconcile_gate(mismatches: DataFrame) -> None:
@@ -174,41 +168,74 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def _unpivoted(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
+    """``(column, value, n)``: non-null values of the columns with their counts, combined before the shuffle."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast(kind).alias("value")) for c in cols])
+    return df.select(F.explode(entries).alias("e")).where(F.col("e.value").isNotNull()) \
+        .groupBy(F.col("e.column").alias("column"), F.col("e.value").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _listed(cols: Sequence[str], found: DataFrame) -> DataFrame:
+    """One row for each of ``cols``, whether or not it has values."""
+    names = found.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(found, "column", "left")
+
+
 def distinct_profile(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """AGG7: exact distinct count per column (nulls not counted), one pass."""
+    """AGG7: exact distinct count per column (nulls not counted).
+
+    Values are unpivoted and pre-aggregated, so a column's values meet in many
+    tasks and no row is copied through a shuffle once per column.
+    """
     cols = list(cols or df.columns)
-    aggs = [F.count_distinct(F.col(f"`{c}`")).alias(f"__d{i}") for i, c in enumerate(cols)]
-    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"__d{i}").cast("long").alias("n_distinct"))
-                        for i, c in enumerate(cols)])
-    return df.agg(*aggs).select(F.explode(entries).alias("e")).select("e.column", "e.n_distinct")
+    found = _unpivoted(df, cols, "string").groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return _listed(cols, found).select("column", F.coalesce("n_distinct", F.lit(0)).cast("long").alias("n_distinct"))
 
 
 def numeric_summary(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
     """AGG15: count, mean, std, min, exact quartiles and max per numeric column.
 
-    Quartiles use ``percentile`` with linear interpolation (pandas' default),
-    computed exactly in the same aggregate pass.
+    Counts by value are range-sorted by column and value; each value's place
+    follows from the counts before it, in its task and (one number a task and
+    column) in earlier tasks.  Quartiles interpolate linearly between the two
+    values at their places, as pandas does by default.
     """
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     cols = list(cols)
-    stats = []
+    counted = _unpivoted(df, cols, "double")
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = counted.repartitionByRange(n_parts, "column", "value").withColumn("task", F.spark_partition_id())
+    before = Window.partitionBy("column").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = ordered.groupBy("column", "task").agg(F.sum("n").alias("here")) \
+        .withColumn("earlier", F.coalesce(F.sum("here").over(before), F.lit(0))).drop("here")
+    within = Window.partitionBy("column", "task").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ordered.withColumn("upto", F.sum("n").over(within)).join(tasks, ["column", "task"]) \
+        .withColumn("upto", F.col("upto") + F.col("earlier"))  # places (upto - n, upto] hold the value
+    x = F.col("value")
+    stats = _moments(df, cols)
+    wanted = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), ((F.col("count") - 1) * q).alias("at")) for q in (0.25, 0.5, 0.75)]))
+    asked = stats.select("column", wanted.alias("w")).select("column", "w.q", "w.at")
+    low, high = F.floor("at") + 1, F.ceil("at") + 1
+    holds = lambda place: (F.col("upto") - F.col("n") < place) & (place <= F.col("upto"))
+    found = placed.join(asked, "column").where(holds(low) | holds(high)).groupBy("column", "q", "at").agg(
+        F.max(F.when(holds(low), x)).alias("lo"), F.max(F.when(holds(high), x)).alias("hi"))
+    quartile = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
+    wide = found.groupBy("column").agg(*[F.max(F.when(F.col("q") == q, quartile)).alias(name)
+                                         for q, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return stats.join(wide, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, minimum and maximum of every column in one pass."""
+    stats, entries = [], []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
-        stats += [
-            F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
-            F.min(x).alias(f"min{i}"), F.percentile(x, F.lit(0.25)).alias(f"q1_{i}"),
-            F.percentile(x, F.lit(0.5)).alias(f"q2_{i}"), F.percentile(x, F.lit(0.75)).alias(f"q3_{i}"),
-            F.max(x).alias(f"max{i}"),
-        ]
-    entries = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"n{i}").cast("long").alias("count"),
-                 F.col(f"mean{i}").alias("mean"), F.col(f"std{i}").alias("std"), F.col(f"min{i}").alias("min"),
-                 F.col(f"q1_{i}").alias("p25"), F.col(f"q2_{i}").alias("p50"), F.col(f"q3_{i}").alias("p75"),
-                 F.col(f"max{i}").alias("max"))
-        for i, c in enumerate(cols)
-    ])
-    return df.agg(*stats).select(F.explode(entries).alias("e")).select("e.*")
+        stats += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+                  F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        entries.append(F.struct(F.lit(c).alias("column"), F.col(f"n{i}").cast("long").alias("count"),
+                                *[F.col(f"{s}{i}").alias(s) for s in ("mean", "std", "min", "max")]))
+    return df.agg(*stats).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 # The validated indicator schema's value ranges, as
@@ -265,11 +292,21 @@ SCHEMA_PATTERNS = {
 
 
 def indicator_schema_constraints(columns: Iterable[str]) -> list[Constraint]:
-    """DQ8/DQ9: range and pattern constraints for the indicator columns present."""
+    """DQ8/DQ9: range and pattern constraints of the indicator columns; every row violates those of an absent column."""
     present = set(columns)
-    out = [matches(c, p, nullable=n) for c, (p, n) in SCHEMA_PATTERNS.items() if c in present]
-    out += [in_range(c, lo, hi, ls, hs) for c, (lo, hi, ls, hs) in INDICATOR_RANGES.items() if c in present]
-    return out
+    out = [matches(c, p, nullable=n) if c in present else absent(c) for c, (p, n) in SCHEMA_PATTERNS.items()]
+    return out + [in_range(c, lo, hi, ls, hs) if c in present else absent(c)
+                  for c, (lo, hi, ls, hs) in INDICATOR_RANGES.items()]
+
+
+def absent(column: str, check: str = "Schema") -> Constraint:
+    """The constraint of a column that is missing: it fails on every row."""
+    return Constraint(check, f"present({column})", F.lit(True))
+
+
+def failing_rows(df: DataFrame, constraint: Constraint) -> DataFrame:
+    """FLT7/FLT9/FLT10: the rows that violate a constraint, whole."""
+    return df.where(constraint.violation)
 
 
 def schema_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str, str, str]]:

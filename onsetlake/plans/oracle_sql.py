@@ -288,16 +288,12 @@ FROM fl WHERE len(fields) = 6""")
 
 
 def dq_reconcile() -> str:
-    return f"""WITH {lines_cte()},
-sums AS (SELECT location, date, sum(num_sequences) AS sum_parts FROM clean
-  WHERE NOT coalesce(starts_with(variant, 'Brand#1|'), false) GROUP BY 1, 2),
-tots AS (SELECT location, date, max(num_sequences_total) AS declared_total,
+    return f"""WITH {lines_cte()}
+SELECT location, date,
+  CAST(sum(num_sequences) FILTER (WHERE NOT coalesce(starts_with(variant, 'Brand#1|'), false)) AS BIGINT) AS sum_parts,
+  max(num_sequences_total) AS declared_total,
   min(num_sequences_total) IS NOT DISTINCT FROM max(num_sequences_total) AS total_is_constant
-  FROM clean GROUP BY 1, 2)
-SELECT coalesce(s.location, t.location) AS location, coalesce(s.date, t.date) AS date,
-       CAST(s.sum_parts AS BIGINT) AS sum_parts, t.declared_total, t.total_is_constant
-FROM sums s FULL OUTER JOIN tots t ON s.location = t.location AND s.date = t.date
-WHERE s.sum_parts IS DISTINCT FROM t.declared_total"""
+FROM clean GROUP BY 1, 2 HAVING sum_parts IS DISTINCT FROM declared_total"""
 
 
 def _f4(x: str) -> str:
@@ -396,9 +392,9 @@ def distinct_profile() -> str:
 
 def numeric_summary() -> str:
     parts = [f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count, round(avg(CAST({c} AS DOUBLE)), 6) AS mean,
-  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, round(min(CAST({c} AS DOUBLE)), 6) AS min,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, min(CAST({c} AS DOUBLE)) AS min,
   round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
-  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, round(max(CAST({c} AS DOUBLE)), 6) AS max FROM ind"""
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, max(CAST({c} AS DOUBLE)) AS max FROM ind"""
              for c in (*COUNTERS, *DOUBLES)]
     return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(parts)
 
@@ -636,26 +632,38 @@ def predictor_locations_supplier() -> str:
 SELECT * FROM pred"""
 
 
+def land_two_dates() -> str:
+    return f"""WITH {lines_cte()}
+SELECT '20240101' AS ingest_date, count(*) AS n_lines FROM lines WHERE length(value) % 2 = 0
+UNION ALL
+SELECT '20240102' AS ingest_date, count(*) AS n_lines FROM lines WHERE length(value) % 2 = 1"""
+
+
 def dq_indicator_ranges() -> str:
-    # (label, violation predicate) for the indicator columns this mapping has.
+    from onsetlake.operators.quality import INDICATOR_RANGES
+
+    have = (*COUNTERS, *DOUBLES)
+    lacking = [c for c in INDICATOR_RANGES if c not in have]
+    wide = ", ".join(f"stringency_index * {i % 7 + 1} - 20 AS {c}" for i, c in enumerate(lacking))
     checks = [
         ("Schema", "continent ~ ^[A-Za-z, ]+$", "NOT regexp_matches(continent, '^[A-Za-z, ]+$')"),
         ("Schema", "location ~ ^[A-Za-z,\\-\\(\\) ']+$",
          "NOT regexp_matches(location, '^[A-Za-z,\\-\\(\\) '']+$') OR location IS NULL"),
-        ("Schema", "0 <= new_deaths_smoothed_per_million", "new_deaths_smoothed_per_million < 0"),
-        ("Schema", "-0.1 < reproduction_rate < 20", "reproduction_rate <= -0.1 OR reproduction_rate >= 20"),
-        ("Schema", "0 <= hosp_patients", "hosp_patients < 0"),
-        ("Schema", "0 <= hosp_patients_per_million", "hosp_patients_per_million < 0"),
-        ("Schema", "0 <= total_tests", "total_tests < 0"),
-        ("Schema", "0 <= new_tests", "new_tests < 0"),
-        ("Schema", "0 <= positive_rate <= 1", "positive_rate < 0 OR positive_rate > 1"),
-        ("Schema", "0 <= stringency_index <= 100", "stringency_index < 0 OR stringency_index > 100"),
-        ("Schema", "0 <= population_density <= 21000", "population_density < 0 OR population_density > 21000"),
-        ("Schema", "0 <= median_age <= 120", "median_age < 0 OR median_age > 120"),
-        ("Schema", "0 <= gdp_per_capita", "gdp_per_capita < 0"),
-        ("Schema", "0 <= population <= 10000000000", "population < 0 OR population > 10000000000"),
     ]
-    return f"WITH {indicators_cte()}\n" + _check_rows("ind", checks)
+    for c, (lo, hi, lo_strict, hi_strict) in INDICATOR_RANGES.items():
+        left, right = ("<" if lo_strict else "<="), ("<" if hi_strict else "<=")
+        bad = [f"{c} {'<=' if lo_strict else '<'} {lo}"] + [f"{c} {'>=' if hi_strict else '>'} {hi}"] * (hi is not None)
+        checks.append(("Schema", f"{lo} {left} {c}" + (f" {right} {hi}" if hi is not None else ""), " OR ".join(bad)))
+    return f"WITH {indicators_cte()},\nwide AS (SELECT *, {wide} FROM ind)\n" + _check_rows("wide", checks)
+
+
+def dq_failing_rows() -> str:
+    checks = (("complete(continent)", "continent IS NULL"),
+              ("0 <= stringency_index <= 60", "stringency_index < 0 OR stringency_index > 60"),
+              ("0 <= reproduction_rate <= 1.6", "reproduction_rate < 0 OR reproduction_rate > 1.6"))
+    return f"WITH {indicators_cte()}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS \"constraint\", location, date, stringency_index, reproduction_rate FROM ind WHERE {bad}"
+        for name, bad in checks)
 
 
 def _rankings_cte() -> str:

@@ -36,9 +36,9 @@ def continent_outbreak_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictor_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = _ranks(spark, sf_dir).persist()
+    ranks = _ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     return predictors.predictor_locations(ranks, targets, excluded)
 
@@ -118,7 +118,7 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(quality.numeric_summary(testmap.indicators(spark, sf_dir)),
-                    ("mean", "std", "min", "p25", "p50", "p75", "max"))
+                    ("mean", "std", "p25", "p50", "p75"))
 
 
 def distinct_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,9 +286,9 @@ from onsetlake.plans import serving  # noqa: E402
 
 
 def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = _ranks(spark, sf_dir).persist()
+    ranks = _ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     q2 = predictors.predictor_locations(ranks, targets, excluded)
     curated = curate.curate(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
@@ -297,9 +297,9 @@ def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictor_locations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 + Q2 with suppliers as locations: elections of hundreds of candidates."""
-    ranks = _ranks(spark, sf_dir, level="supplier").persist()
+    ranks = _ranks(spark, sf_dir, level="supplier")
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     return predictors.predictor_locations(ranks, targets, excluded)
 
@@ -315,10 +315,6 @@ def country_code_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.country_codes(locs, testmap.country_reference(spark, sf_dir))
 
 
-def raw_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.file_inventory(spark, sf_dir)
-
-
 def land_and_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lands the raw variant lines under ``ingest_date=...`` in the shared
     checkpoint folder, reads back one partition (pruned) and cleans it."""
@@ -331,17 +327,40 @@ def land_and_read_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_variants(lines)
 
 
+def land_two_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lands the raw lines under two ingest dates, one after the other, and counts what each partition holds."""
+    from onsetlake.session import ensure_checkpoint_dir
+
+    base = landing.new_landing_root(ensure_checkpoint_dir(spark))
+    lines = testmap.raw_variant_lines(spark, sf_dir)
+    for day, rest in (("20240101", 0), ("20240102", 1)):
+        landing.land_text(lines.where(F.length("value") % 2 == rest), base, "data1_country_variants", day)
+    parts = [landing.read_partition(spark, base, "data1_country_variants", day).agg(
+        F.count(F.lit(1)).alias("n_lines")).select(F.lit(day).alias("ingest_date"), "n_lines") for day in ("20240101", "20240102")]
+    return parts[0].unionByName(parts[1])
+
+
 def dq_indicator_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ind = testmap.indicators(spark, sf_dir)
+    ind = testmap.wide_indicators(spark, sf_dir)
     return quality.run_checks(ind, quality.indicator_schema_constraints(ind.columns))
 
 
+def dq_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT7/FLT9/FLT10: the indicator rows without a continent, or with a value outside its range."""
+    ind = testmap.indicators(spark, sf_dir)
+    checks = [quality.complete(["continent"]), quality.in_range("stringency_index", 0, 60),
+              quality.in_range("reproduction_rate", 0, 1.6)]
+    rows = [quality.failing_rows(ind, c).select(F.lit(c.constraint).alias("constraint"), "location", "date",
+                                                "stringency_index", "reproduction_rate") for c in checks]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # --- ranking agreement, ranking-augmented event windows, tolerance check ----------
 
 
 def _global_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Global rankings at day, month and presence resolution side by side."""
-    ranks = _ranks(spark, sf_dir).persist()
+    ranks = _ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"), ("others", "non_who"))
     out = None
     for res in ("day", "month", "presence"):
@@ -382,8 +401,8 @@ def dq_perc_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictor_locations_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 with strict masking: only votes strictly before a known target onset;
     candidates left without votes do not stand."""
-    ranks = _ranks(spark, sf_dir).persist()
+    ranks = _ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded).persist()
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     return predictors.predictor_locations(ranks, targets, excluded, strict=True)

@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="onsetlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
@@ -54,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def size_shuffle_partitions(spark: SparkSession, paths: list[str], bytes_per_partition: int = 128 << 20,
-                            minimum: int | None = None, maximum: int = 100_000) -> int:
+                            minimum: int | None = None) -> int:
     """Sets ``spark.sql.shuffle.partitions`` from the size of the inputs.
 
     The input bytes come from a file listing (``binaryFile`` with only the
@@ -70,6 +72,6 @@ def size_shuffle_partitions(spark: SparkSession, paths: list[str], bytes_per_par
             .agg(F.sum("length")).first()
         total += int(row[0] or 0)
     floor = minimum if minimum is not None else spark.sparkContext.defaultParallelism
-    n = max(floor, min(maximum, -(-total // bytes_per_partition)))
+    n = max(floor, -(-total // bytes_per_partition))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     return n

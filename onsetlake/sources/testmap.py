@@ -238,12 +238,12 @@ def raw_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     per_loc = daily(o, ["continent", "location", "date"]).join(static(cust, ["location"]), "location")
     # The World row's static values are one global aggregate each, attached
-    # as scalar subqueries (evaluated once) rather than by a join on a
+    # as one scalar subquery rather than by a join on a
     # constant key, which the optimizer would turn into a cartesian product.
     world_static = static(cust, [])
     world = daily(o, ["date"]).select(
         F.lit(None).cast("string").alias("continent"), F.lit("World").alias("location"), "*",
-        *[world_static.select(c).scalar().alias(c) for c in world_static.columns])
+        world_static.select(F.struct(*world_static.columns).alias("s")).scalar().alias("s")).select("*", "s.*").drop("s")
     both = per_loc.unionByName(world)
     return both.select(
         "continent", "location", F.date_format("date", "yyyy-MM-dd").alias("date"),
@@ -261,6 +261,15 @@ def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cast_by_rules(raw_indicators(spark, sf_dir))
 
 
+def wide_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the validated schema: the i-th one that the stand-in lacks is ``stringency_index * (i % 7 + 1) - 20``."""
+    from onsetlake.operators.quality import INDICATOR_RANGES
+
+    ind = indicators(spark, sf_dir)
+    lacking = [c for c in INDICATOR_RANGES if c not in ind.columns]
+    return ind.withColumns({c: F.col("stringency_index") * (i % 7 + 1) - 20 for i, c in enumerate(lacking)})
+
+
 def country_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference country table stand-in: ``(name, common_name, code)`` per nation."""
     nation = table(spark, sf_dir, "nation")

@@ -8,8 +8,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 
 def test_no_query_plans_an_all_pairs_join(spark):
     offenders = {}
-    for name, fn in entry.queries().items():
+    for name, fn in entry._queries().items():
         df = fn(spark, SF)
+        assert spark._jsparkSession.sharedState().cacheManager().isEmpty(), f"{name} leaves a cached frame"
         plan = df._jdf.queryExecution().executedPlan().toString()
         hits = [f for f in FORBIDDEN if f in plan]
         if hits:
