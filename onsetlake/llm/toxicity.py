@@ -117,6 +117,22 @@ def vectors(keyed: DataFrame, terms: list[bytes], beginnings: tuple[int, ...]) -
                          "_k1 long, _k2 long, at array<int>, n array<int>", run)
 
 
+def document_frequencies(rows: DataFrame, n_terms: int) -> np.ndarray:
+    """In how many documents each term occurs; a task counts its own rows first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_terms, np.int64)
+        for batch in batches:
+            total += np.bincount(np.asarray(batch.column(0).flatten()), minlength=n_terms)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"term": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen])})
+
+    out = np.zeros(n_terms, np.int64)
+    counts = rows.select("at").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    for r in counts.collect():
+        out[r.term] = r.n
+    return out
+
+
 def weighed(at: list[int], n: list[int], idf: np.ndarray) -> np.ndarray:
     """TF-IDF weights of a vector's terms, scaled to length one."""
     w = (1 + np.log(np.asarray(n, float))) * idf[at]
@@ -128,6 +144,7 @@ class BlockMaxIndex:
 
     def __init__(self, rows: list[tuple[list[int], np.ndarray]], n_terms: int):
         size = -(-max(len(rows), 1) // BLOCK) * BLOCK
+        n_terms = max(n_terms, 1)
         self.postings = np.zeros((n_terms, size), np.float32)
         for k, (at, weights) in enumerate(rows):
             self.postings[at, k] = weights
@@ -217,9 +234,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     terms = vocabulary(texts, settings, sampled[0], sampled[1])
 
     rows = common.stored(vectors(keyed, terms, settings.beginnings), "vectors")
-    frequency = {r["i"]: r["count"] for r in rows.select(F.explode("at").alias("i")).groupBy("i").count().collect()}
+    frequency = document_frequencies(rows, len(terms))
     n_docs = rows.count()
-    idf = np.log((1 + n_docs) / (1 + np.array([frequency.get(i, 0) for i in range(len(terms))] or [0]))) + 1
+    idf = np.log((1 + n_docs) / (1 + frequency)) + 1
     own = rows.join(F.broadcast(texts.select(key, "toxic", "_k1", "_k2")), ["_k1", "_k2"]).dropDuplicates([key]).collect()
     own = sorted(own, key=lambda r: (list(r["at"]), r[key]))  # like vectors share blocks
     ids = np.array([r[key] for r in own])
@@ -261,7 +278,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
                 [batch.column("_k1"), batch.column("_k2"), pa.array(scores, pa.float64()), pa.array(evidence, _EVIDENCE)],
                 ["_k1", "_k2", "score", "neighbours"])
 
-    scored = rows.dropDuplicates(["_k1", "_k2"]).mapInArrow(run, f"_k1 long, _k2 long, score double, neighbours {EVIDENCE}")
+    # rows are few bytes but much work, so the number of partitions is given and not left to their size
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = rows.repartition(n, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).mapInArrow(run, f"_k1 long, _k2 long, score double, neighbours {EVIDENCE}")
     return keyed.select(key, "_k1", "_k2").join(scored, ["_k1", "_k2"]) \
         .select(key, held_out(key).alias("held_out"), "score", "neighbours")
 

@@ -53,6 +53,7 @@ def test_held_out_accuracy(spark):
     ([], [(1, 1), (2, 0)]),
     ([(1, "a"), (2, None)], []),
     ([(1, "a"), (2, None)], [(1, 1)]),
+    ([(1, "a"), (2, "b c"), (3, None)], [(1, 1), (2, 0), (4, 0)]),
     ([(k, "kind words here" if k % 3 else "nasty thing " * (1 + k % 2)) for k in range(60)] * 2 + [(None, None), (99, ""), (98, "nasty " * 9000)],
      [(k, int(k % 3 == 0)) for k in range(60)] + [(3, 0), (4, None), (None, 1)]),
 ])
