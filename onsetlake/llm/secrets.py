@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 MOST_STRINGS = 24  # per part of an expression; a part with more gives no trigrams
 
 
