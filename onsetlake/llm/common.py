@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -20,7 +21,7 @@ TOKENIZER_FILE = "byte_bpe_50k.json"
 # The code points that tokenizers' \s matches.
 UNICODE_SPACE = "\t-\r \x85\xa0  -     　"
 
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 LONGEST_CACHED = 64
 
 
@@ -86,6 +87,13 @@ def worker_state() -> dict:
     return sys.__dict__.setdefault("_onsetlake_llm", {})
 
 
+def byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others from code point 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+
+
 class WordTokenizer:
     """Token ids of whole texts, with the ids of words seen before taken from a cache.
 
@@ -103,6 +111,10 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.merges = Tokenizer.from_file(path)
+        self.merges.pre_tokenizer = self.merges.post_processor = None
+        self.merges.encode_special_tokens = True
+        self.letters = byte_letters()
         s = UNICODE_SPACE
         self.words = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
         self.space = re.compile(f"[{s}]").search
@@ -116,10 +128,22 @@ class WordTokenizer:
         return np.array(ids, dtype="<u4").tobytes()
 
     def raw_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words without white space but for one leading space, many encoded in one text."""
+        """Ids of words without white space but for one leading space, many encoded in one text.
+
+        Words of letters are one part of the general pattern each, so they need
+        no splitting by it: their bytes, as the vocabulary writes them, go to
+        the merges directly.
+        """
+        letters = [w for w in words if w[w[0] == " ":].isalpha()]
+        others = [w for w in words if not w[w[0] == " ":].isalpha()] if len(letters) < len(words) else []
+        ids = dict(zip(letters, self._joined(self.merges, letters, lambda t: t.encode().decode("latin-1").translate(self.letters))))
+        ids.update(zip(others, self._joined(self.tokenizer, others, str)))
+        return [ids[w] for w in words]
+
+    def _joined(self, encoder, words: list[str], written: Callable[[str], str]) -> list[bytes]:
         out = []
         chunks = [words[i:i + 200] for i in range(0, len(words), 200)]
-        encoded = self.tokenizer.encode_batch_fast(["\n".join(c) for c in chunks], add_special_tokens=False)
+        encoded = encoder.encode_batch_fast([written("\n".join(c)) for c in chunks], add_special_tokens=False)
         for chunk, e in zip(chunks, encoded):
             ids = np.array(e.ids, dtype="<u4")
             cuts = 4 * np.flatnonzero(ids == self.newline)
@@ -167,6 +191,15 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here forms cycles, and a collection would walk the whole cache
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
         inner: set[str] = set()
         for words in split:

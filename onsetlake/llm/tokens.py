@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import common
 
 BLOCK_IDS = 1 << 18
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 SHARD_BYTES = 32 << 20
 
 
