@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onsetlake.operators.quality import Constraint
+
 # Field order of the variant file and its date format.
 VARIANT_FIELDS = ("location", "date", "variant", "num_sequences", "perc_sequences", "num_sequences_total")
 VARIANT_DATE_FORMAT = "dd.MM.yyyy"
@@ -35,7 +37,11 @@ def read_variant_lines(spark: SparkSession, path: str) -> DataFrame:
     The header is recognised by content, so it is dropped from every file
     of a multi-file folder.
     """
-    lines = spark.read.text(path)
+    return without_headers(spark.read.text(path))
+
+
+def without_headers(lines: DataFrame) -> DataFrame:
+    """Lines that are neither empty nor the header, wherever it stands."""
     first = F.regexp_replace(F.get(F.split("value", ","), 0), '"', "")
     return lines.where(~F.coalesce(F.trim(first) == "location", F.lit(False)) & (F.length("value") > 0))
 
@@ -81,6 +87,11 @@ def variant_rejects(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
+def six_fields(col: str = "value") -> Constraint:
+    """DQ12/DQ13: the constraint that a raw line splits into the expected fields, so that rejects count as violations."""
+    return Constraint("Review Check", f"{len(VARIANT_FIELDS)} fields", F.size(F.split(F.col(col), ",")) != len(VARIANT_FIELDS))
+
+
 def cast_by_rules(raw: DataFrame, counters: Iterable[str] = INDICATOR_COUNTERS,
                   strings: Iterable[str] = INDICATOR_STRINGS, date_col: str = "date",
                   date_format: str = INDICATOR_DATE_FORMAT) -> DataFrame:

@@ -269,22 +269,20 @@ def dq_constraints() -> str:
     return f"WITH {lines_cte()}\n" + _check_rows("clean", checks)
 
 
-LOCATION_PATTERN = r"^[A-Z][A-Za-z\(\)\'\-\s]+$"
-VARIANT_PATTERN = r"^[A-Za-z\.:_][A-Za-z0-9\.:_]+$"
-DATE_PATTERN = r"^[0-3][0-9]\.[01][0-9]\.[12][0-9]{3}$"
+from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN  # noqa: E402
 
 
 def dq_pattern_metrics() -> str:
     rows = []
-    for col, pat, expr in (("location", LOCATION_PATTERN, "fields[1]"), ("date_text", DATE_PATTERN, "fields[2]"),
-                           ("variant", VARIANT_PATTERN, "fields[3]")):
+    for col, pat, expr, source in (("location", LOCATION_PATTERN, "fields[1]", "fl"), ("date_text", DATE_PATTERN, "fields[2]", "fl"),
+                                   ("variant", VARIANT_PATTERN, "fields[3]", "fl"), ("continent", CONTINENT_PATTERN, "continent", "ind")):
         p = pat.replace("'", "''")
         rows.append(f"""SELECT '{col}' AS "column", '{p}' AS pattern, CAST(count(*) AS BIGINT) AS rows,
   CAST(count(*) FILTER (WHERE coalesce(regexp_matches({expr}, '{p}'), false)) AS BIGINT) AS matches,
   CAST(count(*) - count(*) FILTER (WHERE coalesce(regexp_matches({expr}, '{p}'), false)) AS BIGINT) AS violations,
   CAST(count(*) FILTER (WHERE coalesce(regexp_matches({expr}, '{p}'), false)) AS DOUBLE) / nullif(count(*), 0) AS fraction
-FROM fl WHERE len(fields) = 6""")
-    return f"WITH {lines_cte()}\n" + "\nUNION ALL\n".join(rows)
+FROM {source}""")
+    return f"WITH {lines_cte()}, {indicators_cte()}\n" + "\nUNION ALL\n".join(rows)
 
 
 def dq_reconcile() -> str:
@@ -700,7 +698,7 @@ def dq_perc_tolerance() -> str:
     return f"""WITH {lines_cte()},
 pt AS (SELECT TRY_CAST(fields[5] AS DOUBLE) AS perc_source,
               100.0 * TRY_CAST(fields[4] AS DOUBLE) / nullif(TRY_CAST(fields[6] AS DOUBLE), 0) AS perc_sequences
-       FROM fl WHERE len(fields) = 6)
+       FROM fl)
 """ + _check_rows("pt", checks)
 
 

@@ -1,4 +1,4 @@
-"""PIPE1: raw -> clean -> curated -> analysis as one function.
+"""PIPE1: landing -> raw -> clean -> curated -> analysis as one function.
 
 Every layer is written and read back before the next stage: the written
 table is the lineage cut (a lost executor recomputes from the last layer,
@@ -12,10 +12,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onsetlake.operators import clean, curate, onset, outbreak, predictors, quality
+from onsetlake.sources import excel, landing
 from onsetlake.sources.sinks import write_table
 
 
-def run_pipeline(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicators: DataFrame, out: str,
+def run_pipeline(spark: SparkSession, landing_path: str, base: str, ingest_date: str, excluded: Column | None = None,
+                 location_pattern: str | None = None, enforce_reconcile: bool = False,
+                 raw_indicators: DataFrame | None = None) -> dict[str, str]:
+    """PIPE1/PIPE2: lands the files of ``landing_path`` under ``ingest_date`` and runs all layers on that date.
+
+    Variant lines and workbooks are read from where they were landed;
+    ``raw_indicators`` takes the workbooks' place where indicators come as
+    another source.  The layers are written under ``base``.
+    """
+    landing.land_files(spark, landing_path, base, ingest_date)
+    lines = clean.without_headers(landing.read_partition(spark, base, "data1_country_variants", ingest_date))
+    if raw_indicators is None:
+        raw_indicators = excel.read_workbooks(
+            landing.read_landed_files(spark, base, "data2_country_indicators", ingest_date))
+    return run_layers(spark, lines, raw_indicators, base, excluded, location_pattern, enforce_reconcile)
+
+
+def run_layers(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicators: DataFrame, out: str,
                  excluded: Column | None = None, location_pattern: str | None = None,
                  enforce_reconcile: bool = False) -> dict[str, str]:
     """Runs all layers under ``out`` and returns the table paths."""
@@ -29,13 +47,13 @@ def run_pipeline(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicato
     write_table(variants, paths["clean/variants"])
     write_table(clean.variant_rejects(raw_variant_lines), paths["clean/variants_rejects"])
     variants = spark.read.parquet(paths["clean/variants"])
-    checks = quality.run_checks(variants, [
+    checks = quality.run_checks(raw_variant_lines, [clean.six_fields()]).unionByName(quality.run_checks(variants, [
         quality.is_ge("num_sequences_total", "num_sequences"),
         quality.non_negative("num_sequences_total"),
         quality.non_negative("num_sequences"),
         quality.non_negative("perc_sequences"),
         quality.complete(["num_sequences_total", "num_sequences", "perc_sequences"]),
-    ])
+    ]))
     write_table(checks, paths["clean/variants_checks"])
     if location_pattern:
         quality.pattern_gate(quality.pattern_metrics(variants, {"location": location_pattern}))
@@ -68,18 +86,16 @@ def run_pipeline(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicato
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m``-style entry: run every layer on files.
 
-    ``--variants`` is a folder of Data1 CSV files, ``--indicators`` a folder of
-    Data2 workbooks (``.xlsx``) or, with ``--indicators-csv``, delimited files.
+    ``--landing`` is a folder with Data1 CSV files and Data2 workbooks
+    (``.xlsx``); with ``--indicators-csv`` the indicators are the delimited
+    files of that folder instead.
     """
     import argparse
 
-    from onsetlake.operators.clean import read_variant_lines
-    from onsetlake.sources.excel import read_excel
-
     ap = argparse.ArgumentParser(prog="onsetlake-pipeline")
-    ap.add_argument("--variants", required=True)
-    ap.add_argument("--indicators", required=True)
-    ap.add_argument("--indicators-csv", action="store_true")
+    ap.add_argument("--landing", required=True)
+    ap.add_argument("--ingest-date", required=True, help="YYYYMMDD")
+    ap.add_argument("--indicators-csv")
     ap.add_argument("--out", required=True)
     ap.add_argument("--exclude", default="non_who", help="comma list of variants the elections drop")
     ap.add_argument("--enforce-reconcile", action="store_true")
@@ -91,16 +107,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.auto_partitions:
         from onsetlake.session import size_shuffle_partitions
 
-        size_shuffle_partitions(spark, [args.variants, args.indicators])
-    lines = read_variant_lines(spark, args.variants)
-    if args.indicators_csv:
-        ind = spark.read.option("header", True).csv(args.indicators)  # all text, cast by rule below
-        raw_ind = ind
-    else:
-        raw_ind = read_excel(spark, args.indicators)
+        size_shuffle_partitions(spark, [args.landing])
+    raw = spark.read.option("header", True).csv(args.indicators_csv) if args.indicators_csv else None  # text, cast by rule
     excluded = F.col("variant").isin([v for v in args.exclude.split(",") if v])
-    paths = run_pipeline(spark, lines, raw_ind, args.out, excluded=excluded,
-                         enforce_reconcile=args.enforce_reconcile)
+    paths = run_pipeline(spark, args.landing, args.out, args.ingest_date, excluded=excluded,
+                         enforce_reconcile=args.enforce_reconcile, raw_indicators=raw)
     for name, path in paths.items():
         print(f"{name}\t{path}")
 

@@ -66,9 +66,7 @@ presence_early_hit = _global("presence")
 
 from onsetlake.operators import clean, curate, quality  # noqa: E402
 
-LOCATION_PATTERN = r"^[A-Z][A-Za-z\(\)\'\-\s]+$"
-VARIANT_PATTERN = r"^[A-Za-z\.:_][A-Za-z0-9\.:_]+$"
-DATE_PATTERN = r"^[0-3][0-9]\.[01][0-9]\.[12][0-9]{3}$"
+from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN  # noqa: E402
 
 
 def _clean_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,12 +98,13 @@ def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_pattern_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir)).where(F.size("fields") == 6)
+    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir))
     df = fields.select(F.get("fields", 0).alias("location"), F.get("fields", 1).alias("date_text"),
                        F.get("fields", 2).alias("variant"))
-    return quality.pattern_metrics(
+    lines = quality.pattern_metrics(
         df, {"location": LOCATION_PATTERN, "date_text": DATE_PATTERN, "variant": VARIANT_PATTERN}
     )
+    return lines.unionByName(quality.pattern_metrics(testmap.indicators(spark, sf_dir), {"continent": CONTINENT_PATTERN}))
 
 
 def dq_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,7 +386,7 @@ def event_window_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def dq_perc_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ10/DQ11: the file's own percentage against the recomputed one."""
-    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir)).where(F.size("fields") == 6)
+    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir))
     typed = fields.select(F.get("fields", 4).try_cast("double").alias("perc_source"),
                           F.get("fields", 3).try_cast("double").alias("n"),
                           F.get("fields", 5).try_cast("double").alias("t"))

@@ -8,12 +8,14 @@ workbook passes through the driver except the first one's header row.
 An ``.xlsx`` file is a zip of XML parts: cell values live in
 ``xl/worksheets/sheetN.xml``, text cells point into ``xl/sharedStrings.xml``.
 Every value is returned as text, as the delimited reader does; typing is the
-job of :func:`onsetlake.operators.clean.cast_by_rules`.  Numbers formatted
-as dates in Excel come back as their serial number text.
+job of :func:`onsetlake.operators.clean.cast_by_rules`.  Numbers that the
+workbook's styles show as dates come back as ISO dates.  Columns are matched
+by their names, workbook by workbook.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import io
 import re
 import zipfile
@@ -40,6 +42,26 @@ def _text(node) -> str:
     return "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t"))
 
 
+def _date_styles(zf: zipfile.ZipFile) -> tuple[set[int], dt.date]:
+    """Cell styles that show a number as a date, and the day that number 0 stands for."""
+    base = dt.date(1899, 12, 30)
+    if "xl/workbook.xml" in zf.namelist():
+        props = ET.fromstring(zf.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+        if props is not None and props.get("date1904") in ("1", "true"):
+            base = dt.date(1904, 1, 1)
+    if "xl/styles.xml" not in zf.namelist():
+        return set(), base
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    codes = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.findall("m:numFmts/m:numFmt", _NS)}
+    shows = lambda i: i in _DATE_FORMATS or bool(re.search("[ymd]", _QUOTED.sub("", codes.get(i, "").lower())))
+    return {k for k, xf in enumerate(root.findall("m:cellXfs/m:xf", _NS)) if shows(int(xf.get("numFmtId", "0")))}, base
+
+
+# The built-in number formats that show dates.
+_DATE_FORMATS = frozenset((14, 15, 16, 17, 22))
+_QUOTED = re.compile(r'"[^"]*"|\\.|\[[^\]]*\]')
+
+
 def workbook_rows(content: bytes, sheet: int = 1) -> list[list[str | None]]:
     """All rows of one sheet as lists of text (None for empty cells)."""
     with zipfile.ZipFile(io.BytesIO(content)) as zf:
@@ -47,6 +69,7 @@ def workbook_rows(content: bytes, sheet: int = 1) -> list[list[str | None]]:
         if "xl/sharedStrings.xml" in zf.namelist():
             root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
             shared = [_text(si) for si in root.findall("m:si", _NS)]
+        dates, base = _date_styles(zf)
         root = ET.fromstring(zf.read(f"xl/worksheets/sheet{sheet}.xml"))
     rows = []
     for row in root.iter(f"{{{_NS['m']}}}row"):
@@ -63,6 +86,8 @@ def workbook_rows(content: bytes, sheet: int = 1) -> list[list[str | None]]:
                 cells[idx] = _text(is_node) if is_node is not None else None
             elif kind == "b" and v is not None:
                 cells[idx] = "true" if v.text == "1" else "false"
+            elif v is not None and int(c.get("s", "0")) in dates and kind in (None, "n"):
+                cells[idx] = (base + dt.timedelta(days=int(float(v.text)))).isoformat()
             else:
                 cells[idx] = v.text if v is not None else None
         width = max(cells) + 1 if cells else 0
@@ -72,37 +97,48 @@ def workbook_rows(content: bytes, sheet: int = 1) -> list[list[str | None]]:
 
 def read_excel(spark: SparkSession, path: str, header: bool = True, sheet: int = 1,
                columns: list[str] | None = None) -> DataFrame:
-    """SRC2/SRC7: every ``.xlsx`` under ``path`` as string columns.
+    """SRC2/SRC7: every ``.xlsx`` under ``path`` as string columns."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
+    return read_workbooks(files, header, sheet, columns)
+
 
-    With ``header`` the first row of each sheet names the columns (taken
-    from the first workbook unless ``columns`` is given) and is skipped.
+def read_workbooks(files: DataFrame, header: bool = True, sheet: int = 1, columns: list[str] | None = None) -> DataFrame:
+    """Workbooks given as ``(path, content)`` rows, as string columns.
+
+    With ``header`` the first row of each sheet names its columns; all names
+    that occur (or ``columns``) make up the result, a workbook's missing ones
+    are null, and names beyond ``columns`` fail the query.  Without, columns go
+    by position and a row that is too wide fails.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
     if columns is None:
-        # Only the header row of the first workbook comes back to the driver;
-        # the workbook itself is parsed on an executor.
         def first_row(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                for content in batch["content"]:
-                    rows = workbook_rows(bytes(content), sheet)
-                    yield pd.DataFrame({"head": [[None if v is None else str(v) for v in (rows[0] if rows else [])]]})
-
-        got = files.orderBy("path").limit(1).select("content").mapInPandas(first_row, "head array<string>").first()
-        head = list(got[0]) if got else []
-        columns = [h if h is not None else f"_c{i}" for i, h in enumerate(head)] if header else \
-            [f"_c{i}" for i in range(len(head))]
+                heads = [(workbook_rows(bytes(content), sheet) or [[]])[0] for content in batch["content"]]
+                if not header:
+                    heads = [[f"_c{i}" for i in range(len(h))] for h in heads]
+                yield pd.DataFrame({"path": batch["path"], "head": [[h for h in head if h is not None] for head in heads]})
+
+        heads = files.mapInPandas(first_row, "path string, head array<string>") \
+            .groupBy("head").agg(F.min("path").alias("path")).orderBy("path").collect()
+        columns = list(dict.fromkeys(name for r in heads for name in r["head"]))
     names = list(columns)
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
+            for path, content in zip(batch["path"], batch["content"]):
                 rows = workbook_rows(bytes(content), sheet)
+                own = (rows[0] if rows else []) if header else names
+                unknown = [n for n in own if n is not None and n not in names]
+                if unknown:
+                    raise ValueError(f"{path} has columns that are not expected: {unknown}")
                 body = rows[1:] if header else rows
-                fixed = [(r + [None] * len(names))[: len(names)] for r in body]
-                yield pd.DataFrame(fixed, columns=names, dtype=object)
+                if any(v is not None for r in body for v in r[len(own):]):
+                    raise ValueError(f"{path} has cells beyond its last column")
+                table = pd.DataFrame([(r + [None] * len(own))[:len(own)] for r in body], columns=own, dtype=object)
+                yield table[[n for n in own if n is not None]].reindex(columns=names).astype(object).where(lambda t: t.notna(), None)
 
-    return files.select("content").mapInPandas(parse, schema)
+    return files.select("path", "content").mapInPandas(parse, schema)
 
 
 def read_excel_typed(spark: SparkSession, path: str, dtypes: dict[str, T.DataType]) -> DataFrame:

@@ -98,6 +98,12 @@ def read_partition(spark: SparkSession, base: str, dataset: str, ingest_date: st
     return df.where(F.col("ingest_date") == F.lit(int(ingest_date))).select("value")
 
 
+def read_landed_files(spark: SparkSession, base: str, dataset: str, ingest_date: str) -> DataFrame:
+    """``(path, content)`` of the whole files landed under one dataset and date."""
+    df = spark.read.parquet(f"{base}/raw_files")
+    return df.where((F.col("dataset") == dataset) & (F.col("ingest_date") == int(ingest_date))).select("path", "content")
+
+
 def new_landing_root(shared_dir: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location."""
     return f"{shared_dir.rstrip('/')}/landing-{uuid.uuid4().hex}"

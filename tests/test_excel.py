@@ -44,3 +44,28 @@ def test_read_and_rule_cast_workbooks(spark):
     assert world.continent is None and world.population is None and world.reproduction_rate == 0.5
     typed2 = excel.read_excel_typed(spark, str(d), {"population": T.LongType()})
     assert dict(typed2.dtypes)["population"] == "bigint"
+
+
+def _sheet(path: Path, rows: list[list[str]]) -> None:
+    cells = lambda r, k: "".join(
+        f'<c r="{chr(65 + i)}{k}" {v if v.startswith("s=") else "t=" + chr(34) + "inlineStr" + chr(34)}>'
+        + (f"<v>{v.split('|')[1]}</v>" if v.startswith("s=") else f"<is><t>{v}</t></is>") + "</c>" for i, v in enumerate(r))
+    fix = lambda text: text.replace('s="1"|44256', 's="1"')
+    body = "".join(f'<row r="{k}">{cells(r, k)}</row>' for k, r in enumerate(rows, 1))
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(path, "w") as zf:
+        zf.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{fix(body)}</sheetData></worksheet>")
+        zf.writestr("xl/styles.xml", f'<styleSheet {ns}><numFmts><numFmt numFmtId="170" formatCode="yyyy\\-mm\\-dd"/></numFmts>'
+                                     '<cellXfs><xf numFmtId="0"/><xf numFmtId="170"/></cellXfs></styleSheet>')
+
+
+def test_columns_by_name_and_true_dates(spark):
+    import pytest
+
+    d = Path(tempfile.mkdtemp(prefix="onsetlake-xlsx-"))
+    _sheet(d / "a.xlsx", [["location", "date"], ["Peru", 's="1"|44256']])
+    _sheet(d / "b.xlsx", [["date", "extra", "location"], ['s="1"|44256', "x", "Chile"]])
+    rows = {r.location: (r.date, r.extra) for r in excel.read_excel(spark, str(d)).collect()}
+    assert rows == {"Peru": ("2021-03-01", None), "Chile": ("2021-03-01", "x")}
+    with pytest.raises(Exception, match="not expected"):
+        excel.read_excel(spark, str(d), columns=["location", "date"]).collect()

@@ -29,6 +29,23 @@ def test_land_files_and_inventory(spark):
     assert set(inv) == {"Data1_a.csv", "other.bin"} and inv["other.bin"] > 0
 
 
+def test_landing_keeps_other_dates_and_datasets(spark):
+    base = tempfile.mkdtemp(prefix="onsetlake-raw-")
+    lines = spark.createDataFrame([("a",), ("b",)], "value string")
+    landing.land_text(lines, base, "one", "20240101")
+    landing.land_text(lines.limit(1), base, "one", "20240102")
+    landing.land_text(lines, base, "two", "20240102")
+    landing.land_text(lines.limit(1), base, "one", "20240102")
+    count = lambda dataset, day: landing.read_partition(spark, base, dataset, day).count()
+    assert [count("one", "20240101"), count("one", "20240102"), count("two", "20240102")] == [2, 1, 2]
+    src = Path(tempfile.mkdtemp(prefix="onsetlake-landing-"))
+    (src / "Data2_a.xlsx").write_bytes(b"PK")
+    for day in ("20240101", "20240102"):
+        landing.land_files(spark, str(src), base, day)
+    files = [landing.read_landed_files(spark, base, "data2_country_indicators", day).count() for day in ("20240101", "20240102")]
+    assert files == [1, 1] and count("one", "20240101") == 2
+
+
 def test_typed_csv_and_quoted_write(spark):
     d = Path(tempfile.mkdtemp(prefix="onsetlake-csv-"))
     (d / "v.csv").write_text("location,date,variant,num_sequences,perc_sequences,num_sequences_total\n"
