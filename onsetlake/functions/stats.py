@@ -52,6 +52,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+def grouped_correlation(df: DataFrame, group: str, x: str, columns: Sequence[str]) -> DataFrame:
+    """ST6: per group, ``(group, x, y, r, n)`` for ``x`` with each of ``columns``."""
+    entries = []
+    for c in columns:
+        r, n = _pair_stats(F.col(f"`{x}`").cast("double"), F.col(f"`{c}`").cast("double"))
+        entries.append(F.struct(F.lit(c).alias("y"), r.alias("r"), n.cast("long").alias("n")))
+    return df.groupBy(group).agg(F.array(*entries).alias("e")).select(
+        group, F.lit(x).alias("x"), F.explode("e").alias("e")).select(group, "x", "e.y", "e.r", "e.n")
+
+
 def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300) -> np.ndarray:
     """Continued fraction of the incomplete beta (modified Lentz), vectorised."""
     tiny = 1e-300

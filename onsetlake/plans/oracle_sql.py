@@ -515,19 +515,40 @@ SELECT continent, location,
 FROM ranks GROUP BY continent, location"""
 
 
-def _corr_rows(source: str, cols: tuple[str, ...]) -> str:
+def _corr_rows(source: str, cols: tuple[str, ...], digits: int | None = 6) -> str:
     parts = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
             both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
             xa, xb = f"CASE WHEN {both} THEN CAST({a} AS DOUBLE) END", f"CASE WHEN {both} THEN CAST({b} AS DOUBLE) END"
-            expr = (f"round(covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0), 6) AS r, "
+            value = f"covar_pop({xa}, {xb}) / nullif(stddev_pop({xa}) * stddev_pop({xb}), 0)"
+            expr = ((f"round({value}, {digits})" if digits else value) + " AS r, "
                     f"CAST(count(*) FILTER (WHERE {both}) AS BIGINT) AS n")
             for x, y in {(a, b), (b, a)}:
                 parts.append(f"SELECT '{x}' AS x, '{y}' AS y, {expr} FROM {source}")
     return "\nUNION ALL\n".join(parts)
 
 
+def _significance(rows: str, columns: str, divisor: float) -> str:
+    """Adds p, stars and the display cell to rows with x, y, r (unrounded) and n.
+
+    With whole degrees of freedom the t distribution is a finite sum in powers of
+    ``1 - r^2``; its coefficients are ratios of gamma functions.
+    """
+    m = "(n - 2) // 2"
+    c2 = "ln(1 - r * r)"
+    even = f"abs(r) * list_sum(list_transform(range(0, {m}), lambda k: exp(lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1) + k * {c2})))"
+    odd = (f"2 / pi() * (asin(abs(r)) + abs(r) * sqrt(1 - r * r) * coalesce(list_sum(list_transform(range(0, {m}), "
+           f"lambda k: exp(lgamma(k + 1) + lgamma(1.5) - lgamma(k + 1.5) + k * {c2}))), 0))")
+    p = (f"CASE WHEN x = y THEN 0.0 WHEN r IS NULL OR n <= 2 THEN NULL WHEN abs(r) >= 1 THEN 0.0 "
+         f"WHEN n % 2 = 0 THEN 1 - {even} ELSE 1 - {odd} END")
+    stars = " || ".join(f"CASE WHEN p <= {t} / {divisor} THEN '*' ELSE '' END" for t in (0.05, 0.01, 0.001))
+    return f"""raw_r AS ({rows}),
+with_p AS (SELECT *, {p} AS p FROM raw_r),
+starred AS (SELECT *, coalesce({stars}, '') AS stars FROM with_p)
+SELECT {columns}x, y, round(r, 6) AS r, n, round(p, 6) + 0.0 AS p, stars, CAST(round(r, 2) + 0.0 AS VARCHAR) || stars AS cell FROM starred"""
+
+
 RANK_CORR = (*STATIC, "schulze_onset_rank_continent", "earliest_5_in_continent")
 
 
@@ -560,6 +581,22 @@ EVENT_CORR = ("outbreak_rank_global", "new_deaths_smoothed_per_million", "reprod
               "positive_rate", "stringency_index", *STATIC)
 
 
+def correlation_significance() -> str:
+    k = len(RANK_CORR)
+    return f"WITH RECURSIVE {_static_ranks_ctes()},\n" + _significance(_corr_rows("sr", RANK_CORR, None), "", float(k * k - k))
+
+
+def event_window_significance() -> str:
+    k = len(EVENT_CORR)
+    return f"WITH {onsets_cte()}, {indicators_cte()}, {_event_means_cte()},\n" + _significance(
+        _corr_rows("ewm", EVENT_CORR, None), "", float(k * k - k))
+
+
+def variant_significance() -> str:
+    rows = correlation_per_variant().split(_static_cte() + "\n", 1)[1].replace("round(covar_pop", "(covar_pop").replace(", 0), 6) AS r", ", 0)) AS r")
+    return f"WITH {onsets_cte()}, {indicators_cte()}, {_static_cte()},\n" + _significance(rows, "variant, ", 1.0)
+
+
 def event_window_correlation() -> str:
     return f"WITH {onsets_cte()}, {indicators_cte()}, {_event_means_cte()}\n" + _corr_rows("ewm", EVENT_CORR)
 
@@ -680,6 +717,11 @@ def ranking_agreement() -> str:
         "grk", ("rank_day", "rank_month", "rank_presence"))
 
 
+def ranking_significance() -> str:
+    return f"WITH RECURSIVE {onsets_cte()},\n{_rankings_cte()},\n" + _significance(
+        _corr_rows("grk", ("rank_day", "rank_month", "rank_presence"), None), "", 1.0)
+
+
 def event_window_rank_correlation() -> str:
     return f"""WITH RECURSIVE {onsets_cte()}, {indicators_cte()}, {_event_means_cte()},
 {_global_ctes('month', 'em')},

@@ -220,26 +220,24 @@ def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def correlation_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2-ST5: p, stars (Bonferroni) and display cell of the static matrix."""
     m = stats.correlation_matrix(_static_with_ranks(spark, sf_dir), RANK_CORR_COLUMNS)
-    return stats.significance(m, bonferroni=True, k=len(RANK_CORR_COLUMNS))
+    return _rounded(stats.significance(m, bonferroni=True, k=len(RANK_CORR_COLUMNS)), ["r", "p"])
+
+
+def _per_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = _ranks(spark, sf_dir).select("location", "variant", "outbreak_rank_global")
+    return stats.grouped_correlation(ranks.join(_static(spark, sf_dir), "location"), "variant", "outbreak_rank_global", STATIC_COLUMNS)
 
 
 def correlation_per_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST6: per variant, Pearson r of the onset rank with each static column."""
-    ranks = _ranks(spark, sf_dir).select("location", "variant", "outbreak_rank_global")
-    joined = ranks.join(_static(spark, sf_dir), "location")
-    aggs = []
-    for c in STATIC_COLUMNS:
-        x, y = F.col("outbreak_rank_global").cast("double"), F.col(c).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        aggs.append(F.struct(
-            F.lit(c).alias("y"),
-            F.try_divide(F.covar_pop(F.when(both, x), F.when(both, y)),
-                         F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))).alias("r"),
-            F.count_if(both).cast("long").alias("n")))
-    return joined.groupBy("variant").agg(F.array(*aggs).alias("e")).select(
-        "variant", F.lit("outbreak_rank_global").alias("x"), F.explode("e").alias("e")
-    ).select("variant", "x", "e.y", F.round("e.r", 6).alias("r"), "e.n")
+    return _rounded(_per_variant(spark, sf_dir), ["r"])
+
+
+def variant_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6 with p, stars and display cell."""
+    return _rounded(stats.significance(_per_variant(spark, sf_dir)), ["r", "p"])
 
 
 EVENT_CORR_COLUMNS = ("outbreak_rank_global", "new_deaths_smoothed_per_million", "reproduction_rate",
@@ -250,6 +248,12 @@ def event_window_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(stats.correlation_matrix(_event_means(spark, sf_dir), EVENT_CORR_COLUMNS), ["r"])
 
 
+def event_window_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST7: p, stars (Bonferroni) and display cell of the event-window matrix."""
+    m = stats.correlation_matrix(_event_means(spark, sf_dir), EVENT_CORR_COLUMNS)
+    return _rounded(stats.significance(m, bonferroni=True, k=len(EVENT_CORR_COLUMNS)), ["r", "p"])
+
+
 # --- the Schulze chain step by step (DataFrame path) ---------------------------
 
 from onsetlake.operators import election  # noqa: E402
@@ -375,6 +379,12 @@ def ranking_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              ("rank_day", "rank_month", "rank_presence")), ["r"])
 
 
+def ranking_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EL11 + ST9: r of each pair of rankings with its p, stars and display cell."""
+    m = stats.correlation_matrix(_global_rankings(spark, sf_dir), ("rank_day", "rank_month", "rank_presence"))
+    return _rounded(stats.significance(m), ["r", "p"])
+
+
 def event_window_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN7 + ST7: event-window means joined with the monthly global ranking, correlated."""
     means = _event_means(spark, sf_dir)
