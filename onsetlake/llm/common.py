@@ -118,6 +118,8 @@ class WordTokenizer:
         s = UNICODE_SPACE
         self.words = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
         self.space = re.compile(f"[{s}]").search
+        self.rare = re.compile(f"[{s}]".replace(" ", "").replace("\t-\r", "\t\x0b-\r")).search
+        self.long: list[str] = []
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.newline = np.frombuffer(self.raw("\n"), dtype="<u4")[0]
         self.spaced: tuple[dict, dict] = {}, {}  # ids of " " + word, young and old
@@ -127,18 +129,18 @@ class WordTokenizer:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, dtype="<u4").tobytes()
 
-    def raw_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words without white space but for one leading space, many encoded in one text.
+    def raw_words(self, words: list[str], lead: str = "") -> dict[str, bytes]:
+        """Ids of lead + word for words without white space, many encoded in one text."""
+        return dict(zip(words, self._joined(self.tokenizer, [lead + w for w in words], str)))
 
-        Words of letters are one part of the general pattern each, so they need
-        no splitting by it: their bytes, as the vocabulary writes them, go to
-        the merges directly.
+    def raw_letters(self, words: list[str], lead: str = "") -> dict[str, bytes]:
+        """The same for words of letters.
+
+        Each is one part of the general pattern, so it needs no splitting by
+        it: its bytes, as the vocabulary writes them, go to the merges directly.
         """
-        letters = [w for w in words if w[w[0] == " ":].isalpha()]
-        others = [w for w in words if not w[w[0] == " ":].isalpha()] if len(letters) < len(words) else []
-        ids = dict(zip(letters, self._joined(self.merges, letters, lambda t: t.encode().decode("latin-1").translate(self.letters))))
-        ids.update(zip(others, self._joined(self.tokenizer, others, str)))
-        return [ids[w] for w in words]
+        return dict(zip(words, self._joined(self.merges, [lead + w for w in words],
+                                            lambda t: t.encode().decode("latin-1").translate(self.letters))))
 
     def _joined(self, encoder, words: list[str], written: Callable[[str], str]) -> list[bytes]:
         out = []
@@ -160,8 +162,7 @@ class WordTokenizer:
             self.plain.clear()
         missing = [p for p in pieces.difference(self.plain) if p.isspace()]
         self.plain.update(zip(missing, map(self.raw, missing)))
-        missing = list(pieces.difference(self.plain))
-        self.plain.update(zip(missing, self.raw_words(missing)))
+        self.plain.update(self.raw_words(list(pieces.difference(self.plain))))
         return self.plain
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
@@ -173,20 +174,27 @@ class WordTokenizer:
         known = missing.intersection(old)
         young.update(zip(known, map(old.__getitem__, known)))
         missing -= known
-        odd = {w for w in missing if self.space(w)}
+        letters, tails, odd, others = set(), [], [], []
+        for w in missing:
+            if w.isalpha():
+                letters.add(w)
+            elif w[-1] in ".," and w[:-1].isalpha():
+                tails.append(w)
+                letters.add(w[:-1])
+            elif self.space(w):
+                odd.append(w)
+            else:
+                others.append(w)
+        young.update(self.raw_letters(list(letters.difference(young)), " "))
+        young.update(self.raw_words(others, " "))
         if odd:
-            missing -= odd
             pieces = {w: self.words(" " + w) for w in odd}
             ids = self.parts({p for ps in pieces.values() for p in ps})
             young.update((w, b"".join(map(ids.__getitem__, ps))) for w, ps in pieces.items())
-        tails = [w for w in missing if w[-1] in ".," and w[:-1].isalpha()]
-        stems = {w[:-1] for w in tails}
-        missing.difference_update(tails)
-        missing |= stems.difference(young)
-        fresh = list(missing)
-        young.update(zip(fresh, self.raw_words([" " + w for w in fresh])))
         ids = self.parts({".", ","})
-        young.update((w, young[w[:-1]] + ids[w[-1]]) for w in tails)
+        dot, comma = ids["."], ids[","]
+        young.update((w, young[w[:-1]] + (dot if w[-1] == "." else comma)) for w in tails)
+        self.long = [w for w in missing if len(w) > LONGEST_CACHED]
         return young
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -201,13 +209,12 @@ class WordTokenizer:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
+        general = {i for i, t in enumerate(texts) if not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or "\n " in t
+                   or " \n" in t or self.rare(t)}
         inner: set[str] = set()
-        for words in split:
-            inner.update(words)
-        odd = {w for w in inner if not w or w[0].isspace() or w[-1].isspace()}
-        general = {i for i, words in enumerate(split) if odd and not odd.isdisjoint(words)}
-        if odd:
-            inner -= odd
+        for i, words in enumerate(split):
+            if i not in general:
+                inner.update(words)
         pieces = {i: self.words(texts[i]) for i in general}
         heads = {words[0] for i, words in enumerate(split) if i not in general}
         lines = {w: self.words(w) for w in heads}
@@ -218,10 +225,10 @@ class WordTokenizer:
             if i in general:
                 out.append(b"".join(map(plain, pieces[i])))
             else:
-                out.append(b"".join(map(plain, lines[words[0]])) + b"".join(map(spaced, words[1:])))
-        for w in inner:
-            if len(w) > LONGEST_CACHED:
-                self.spaced[0].pop(w, None)
+                head = b"".join(map(plain, lines[words[0]]))
+                out.append(head + b"".join(map(spaced, words[1:])))
+        for w in self.long:
+            self.spaced[0].pop(w, None)
         return out
 
 
