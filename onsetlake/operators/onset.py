@@ -24,19 +24,22 @@ def onset_dates(df: DataFrame, count_col: str = "num_sequences", date_col: str =
 def onset_ranks(onsets: DataFrame) -> DataFrame:
     """Adds ``outbreak_rank_continent`` and ``outbreak_rank_global``.
 
-    SQL ``rank()`` equals pandas ``rank(method='min')``: ties share the
-    lowest rank.  Keys are unique after :func:`onset_dates`, so no
-    re-aggregation is needed.  Both windows are partitioned by ``variant``
-    (plus continent for the first); the variant domain is small, and Spark
-    shuffles once per distinct partitioning.
+    A min-rank (ties share the lowest) is one more than the rows with an
+    earlier date, so it follows from counts: the windows run over one row a
+    continent, variant and date, however many locations there are, and the
+    counts combine before their shuffle.
     """
-    by_cont = Window.partitionBy("continent", "variant").orderBy("outbreak_date")
-    by_var = Window.partitionBy("variant").orderBy("outbreak_date")
-    return onsets.select(
-        "continent",
-        "location",
-        "variant",
-        "outbreak_date",
-        F.rank().over(by_cont).cast("long").alias("outbreak_rank_continent"),
-        F.rank().over(by_var).cast("long").alias("outbreak_rank_global"),
+    per_date = onsets.groupBy("continent", "variant", "outbreak_date").agg(F.count(F.lit(1)).alias("n"))
+    in_cont = Window.partitionBy("variant", "continent").orderBy("outbreak_date").rowsBetween(Window.unboundedPreceding, -1)
+    in_var = Window.partitionBy("variant").orderBy("outbreak_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    on_day = Window.partitionBy("variant", "outbreak_date")
+    earlier = F.sum("n").over(in_var) - F.sum("n").over(on_day)  # up to the date, less those on it
+    ranked = per_date.select(
+        F.col("continent").alias("_c"), F.col("variant").alias("_v"), F.col("outbreak_date").alias("_d"),
+        (F.coalesce(F.sum("n").over(in_cont), F.lit(0)) + 1).cast("long").alias("outbreak_rank_continent"),
+        (earlier + 1).cast("long").alias("outbreak_rank_global"),
     )
+    same = F.col("continent").eqNullSafe(F.col("_c")) & F.col("variant").eqNullSafe(F.col("_v")) \
+        & F.col("outbreak_date").eqNullSafe(F.col("_d"))
+    return onsets.join(ranked, same).select("continent", "location", "variant", "outbreak_date",
+                                            "outbreak_rank_continent", "outbreak_rank_global")
