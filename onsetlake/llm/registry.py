@@ -29,7 +29,8 @@ def op3_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality(table(spark, sf_dir, "documents"))
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_boilerplate", "base_failed", "kept")
 
 
 def op5_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +92,54 @@ FROM (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first
 """
 
 
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+base AS (SELECT doc_id, host, text, lines, len(words) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines FROM w),
+grams AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 1))) AS i FROM w) WHERE i + 2 <= len(words)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM twice, range(3) r(o) GROUP BY doc_id),
+line AS (SELECT doc_id, host, text, unnest(lines) AS line FROM base),
+keyed AS (SELECT doc_id, host, text, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+    array_to_string(regexp_extract_all(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ') AS k FROM line),
+hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
+bad AS (SELECT host, k FROM (SELECT host, k, count(DISTINCT text) AS holders FROM keyed GROUP BY host, k) JOIN hosts USING (host)
+  WHERE holders > 20 AND holders > 0.05 * texts),
+gone AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_boilerplate FROM keyed JOIN bad USING (host, k) GROUP BY doc_id),
+m AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    coalesce(n_boilerplate, 0) AS n_boilerplate FROM base LEFT JOIN repeated USING (doc_id) LEFT JOIN gone USING (doc_id)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND NOT (n_boilerplate > 0 AND (n_words - n_boilerplate < 50 OR n_words - n_boilerplate < 0.5 * n_words)) AS kept
+FROM v
+"""
+
+OP7_SQL = r"""
+WITH t AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM t),
+items AS (SELECT id, words, least(13, len(words)) AS span FROM w WHERE side = 'i' AND len(words) > 0),
+spans AS (SELECT DISTINCT span FROM items),
+item_windows AS (SELECT DISTINCT id AS item, span, array_to_string(words[i:i + span - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - span + 2)) AS i FROM items)),
+doc_windows AS (SELECT id, span, i, array_to_string(words[i:i + span - 1], ' ') AS win
+  FROM (SELECT id, words, span, unnest(range(1, greatest(len(words) - span + 2, 1))) AS i FROM w, spans WHERE side = 'd')),
+hits AS (SELECT id, d.span, i, item FROM doc_windows d JOIN item_windows m ON d.span = m.span AND d.win = m.win),
+places AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + span)) AS p FROM hits) GROUP BY id),
+found AS (SELECT id, count(DISTINCT item) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY id)
+SELECT w.id AS doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM w LEFT JOIN places USING (id) LEFT JOIN found USING (id) WHERE side = 'd'
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -108,5 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_quality_rules": OP4_SQL,
+        "op7_winnowing_decontamination": OP7_SQL,
         "op10_warc_capture_index": OP10_SQL,
     }

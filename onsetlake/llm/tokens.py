@@ -62,16 +62,20 @@ def decode_ranks(control: bytes, data: bytes) -> np.ndarray:
     return wide & masks[lengths]
 
 
-def write_block(ids: list[int | None], sizes: list[int], codes: list[bytes]) -> bytes:
-    """A block of documents, each with its code: control bytes, then data bytes."""
-    controls = [-(-n // 4) for n in sizes]
+def write_block(ids: list[int | None], sizes: list[int], ranks: np.ndarray) -> bytes:
+    """A block of documents: their numbers of ids, and all their ranks one after the other."""
+    counts = np.array(sizes, np.int64)
+    padded = -(-counts // 4) * 4
+    shift = (np.cumsum(padded) - padded) - (np.cumsum(counts) - counts)
+    spread = np.zeros(int(padded.sum()), "<u4")
+    spread[np.arange(len(ranks)) + np.repeat(shift, counts)] = ranks
+    control, data = encode_ranks(spread)
     return b"".join([
-        np.array([len(ids), sum(controls)], "<i8").tobytes(),
+        np.array([len(ids), len(control)], "<i8").tobytes(),
         bytes(i is None for i in ids),
         np.array([i or 0 for i in ids], "<i8").tobytes(),
-        np.array(sizes, "<u4").tobytes(),
-        *[code[:c] for code, c in zip(codes, controls)],
-        *[code[c:] for code, c in zip(codes, controls)],
+        counts.astype("<u4").tobytes(),
+        control, data,
     ])
 
 
@@ -162,14 +166,15 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
         rows: list[dict] = []
         held: list[tuple] = []
         place = size = start = 0
-        sink = None
+        sink, kind = None, "<u4"
 
         def flush() -> None:
             nonlocal place, size, start, sink
             if not held:
                 return
             sink = sink or store.open_output_stream(f"{folder}/{name}")
-            block = write_block(*map(list, zip(*held)))
+            keys, sizes, ids = map(list, zip(*held))
+            block = write_block(keys, sizes, rank_of[np.frombuffer(b"".join(ids), kind)])
             sink.write(block)
             rows.append({"shard": shard, "block": len(rows), "file": name, "place": place, "n_bytes": len(block),
                          "start": start, "n_ids": size})
@@ -178,7 +183,8 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
 
         for batch in batches:
             for key, n, ids in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids")]):
-                held.append((key, n, b"".join(encode_ranks(rank_of[np.frombuffer(ids, f"<u{len(ids) // max(n, 1) or 4}")]))))
+                kind = f"<u{len(ids) // n}" if n else kind
+                held.append((key, n, ids))
                 size += n
                 if size >= BLOCK_IDS:
                     flush()
