@@ -10,6 +10,8 @@ reversed pair.
 
 from __future__ import annotations
 
+from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN
+
 SEP = "chr(1)"
 
 
@@ -269,9 +271,6 @@ def dq_constraints() -> str:
     return f"WITH {lines_cte()}\n" + _check_rows("clean", checks)
 
 
-from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN  # noqa: E402
-
-
 def dq_pattern_metrics() -> str:
     rows = []
     for col, pat, expr, source in (("location", LOCATION_PATTERN, "fields[1]", "fl"), ("date_text", DATE_PATTERN, "fields[2]", "fl"),

@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from onsetlake.functions import stats
+from onsetlake.operators import clean, curate, election, explore, geo
 from onsetlake.operators import onset as onset_ops
-from onsetlake.operators import outbreak, predictors
-from onsetlake.sources import testmap
+from onsetlake.operators import outbreak, predictors, quality
+from onsetlake.plans import serving
+from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN
+from onsetlake.sources import landing, testmap
 
 
 def _rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
@@ -64,10 +68,6 @@ presence_early_hit = _global("presence")
 
 # --- raw -> clean, data quality, curation ------------------------------------
 
-from onsetlake.operators import clean, curate, quality  # noqa: E402
-
-from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN  # noqa: E402
-
 
 def _clean_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_variants(testmap.raw_variant_lines(spark, sf_dir))
@@ -138,8 +138,6 @@ def continent_mapping_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- exploration, time series, statistics ------------------------------------
 
-from onsetlake.functions import stats  # noqa: E402
-from onsetlake.operators import explore  # noqa: E402
 
 STATIC_COLUMNS = ("population", "population_density", "median_age", "gdp_per_capita")
 # Fixed values of the mapping's variant domain (for the display pivot).
@@ -256,8 +254,6 @@ def event_window_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the Schulze chain step by step (DataFrame path) ---------------------------
 
-from onsetlake.operators import election  # noqa: E402
-
 
 def _q1_inputs(spark: SparkSession, sf_dir: str):
     ranks = _ranks(spark, sf_dir).where(F.col("continent").isNotNull())
@@ -285,8 +281,6 @@ def ranking_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- serving view ---------------------------------------------------------------
 
-from onsetlake.plans import serving  # noqa: E402
-
 
 def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = _ranks(spark, sf_dir)
@@ -309,9 +303,6 @@ def predictor_locations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- country codes, landing and file inventory ------------------------------------
 
-from onsetlake.operators import geo  # noqa: E402
-from onsetlake.sources import landing  # noqa: E402
-
 
 def country_code_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     locs = testmap.indicators(spark, sf_dir).select("location")
