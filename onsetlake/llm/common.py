@@ -237,6 +237,7 @@ def tokenizer(path: str) -> WordTokenizer:
     state = worker_state()
     if ("tokenizer", path) not in state:
         state["tokenizer", path] = WordTokenizer(path)
+        gc.freeze()  # what is loaded by now stays, and need not be walked again
     return state["tokenizer", path]
 
 
