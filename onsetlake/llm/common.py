@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import re
@@ -67,7 +69,24 @@ def mapped(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordB
             if batch.num_rows and (out := fn(batch)) is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, after which the worker gives the memory that it no longer needs back to the machine.
+
+    Workers are used again by later stages, and would else keep each one's peak.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # not every C library can
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
 
 
 def with_row_key(docs: DataFrame, *values: str) -> DataFrame:

@@ -173,7 +173,7 @@ def document_grams(docs: DataFrame, spans: list[int]) -> DataFrame:
                     "place": pa.array(place, pa.int64()), "gram": pa.array(gram)})
 
     return docs.select("_k1", "_k2", F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, f"{_KEYS}, span int, place long, gram long")
+        .mapInArrow(common.released(run), f"{_KEYS}, span int, place long, gram long")
 
 
 def document_words(docs: DataFrame, places: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ each piece by its rank.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_ids: boo
                 yield pa.RecordBatch.from_arrays(columns[:5 + keep_ids], names[:5 + keep_ids])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, PIECE + ", ids binary" * keep_ids)
+        .mapInArrow(common.released(run), PIECE + ", ids binary" * keep_ids)
 
 
 def sweep(left: dict[int, int], placed: dict[int, int], gaps: list[tuple[int, int, int]],
@@ -131,8 +131,8 @@ def plan_rounds(counts: dict[int, int], capacity: int) -> tuple[list[tuple], int
     return plan, n_sequences
 
 
-def ranked(df: DataFrame, length: str, *ties: str) -> tuple[DataFrame, dict[int, int]]:
-    """``df`` with ``_rank``, the row's place among those of its length, and the counts by length.
+def ranked(df: DataFrame, length: str, *ties: str) -> tuple[DataFrame, dict[int, int], Callable[[pa.RecordBatch], np.ndarray]]:
+    """``df`` numbered, the counts by length, and a function from a batch of it to each row's place among those of its length.
 
     A range sort deals a common length out over many tasks; one number a task reaches the driver.
     """
@@ -150,7 +150,7 @@ def ranked(df: DataFrame, length: str, *ties: str) -> tuple[DataFrame, dict[int,
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     numbered = common.stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                             .mapInArrow(number, schema + ", _task int, _at long"), "ranked")
+                             .mapInArrow(common.released(number), schema + ", _task int, _at long"), "ranked")
     before, total = [], 0
     for r in numbered.groupBy("_task").count().orderBy("_task").collect():
         before.append((r["_task"], total))
@@ -160,28 +160,26 @@ def ranked(df: DataFrame, length: str, *ties: str) -> tuple[DataFrame, dict[int,
     for value in sorted(counts):
         first.append((value, total))
         total += counts[value]
-    names = df.columns
     tasks, lengths = np.array(before or [(0, 0)]), np.array(first or [(0, 0)])
 
-    def rank(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def rank(batch: pa.RecordBatch) -> np.ndarray:
         task, at = np.asarray(batch.column("_task")), np.asarray(batch.column("_at"))
         mine = np.asarray(batch.column(length))
-        place = tasks[np.searchsorted(tasks[:, 0], task), 1] + at - lengths[np.searchsorted(lengths[:, 0], mine), 1]
-        return batch.select(names).append_column("_rank", pa.array(place))
+        return tasks[np.searchsorted(tasks[:, 0], task), 1] + at - lengths[np.searchsorted(lengths[:, 0], mine), 1]
 
-    return common.mapped(numbered, schema + ", _rank long", rank), counts
+    return numbered, counts, rank
 
 
 def assign(sized: DataFrame, capacity: int, *ties: str) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with ``length`` from 1 to ``capacity``."""
-    rows, counts = ranked(sized, "length", *ties)
+    rows, counts, rank_of = ranked(sized, "length", *ties)
     plan, _ = plan_rounds(counts, capacity)
     runs = np.array(sorted(plan) or [(0, 0, 0, 0, 0)], np.int64)
     names = sized.columns
     keys = runs[:, 0] * _RANKS + runs[:, 1]
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rank = np.asarray(batch.column("_rank"))
+        rank = rank_of(batch)
         k = np.searchsorted(keys, np.asarray(batch.column("length")) * _RANKS + rank, "right") - 1
         batch = batch.select(names)
         batch = batch.append_column("sequence_id", pa.array(runs[k, 3] + rank - runs[k, 1]))

@@ -165,7 +165,7 @@ def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
                     "_k1": part.column("_k1").take(pa.array(row)), "_k2": part.column("_k2").take(pa.array(row))})
 
     return docs.select("_k1", "_k2", F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "gram int, _k1 long, _k2 long")
+        .mapInArrow(common.released(run), "gram int, _k1 long, _k2 long")
 
 
 def candidates(index: DataFrame, queries: dict[str, frozenset[frozenset[str]]]) -> DataFrame:

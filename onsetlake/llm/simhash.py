@@ -161,7 +161,7 @@ def links(fps: DataFrame, distance: int = 3, spare: int = 3, tile: int = TILE) -
         .select("fp", "table", "bits", (F.least("mine", "other") * F.col("tiles") + F.greatest("mine", "other")).cast("long").alias("tile"))
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(n, "table", "bits", "tile").sortWithinPartitions("table", "bits", "tile") \
-        .mapInArrow(lambda batches: _links(batches, distance), "u long, v long").distinct()
+        .mapInArrow(common.released(lambda batches: _links(batches, distance)), "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, distance: int = 3, shingle: int = 3, seed: int = 42, key: str = "doc_id") -> DataFrame:

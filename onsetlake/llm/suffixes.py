@@ -100,7 +100,7 @@ def contexts(keyed: DataFrame, length: int, seed: int) -> DataFrame:
                         "size": pa.array((last - first + length).astype(np.int32)),
                         "anchor_at": pa.array((place - first).astype(np.int32))})
 
-    return keyed.select("_k1", "_k2", F.col("text").cast("string").alias("text")).mapInArrow(run, CONTEXTS)
+    return keyed.select("_k1", "_k2", F.col("text").cast("string").alias("text")).mapInArrow(common.released(run), CONTEXTS)
 
 
 def suffix_order(symbols: np.ndarray, n_separators: int) -> np.ndarray:
@@ -245,7 +245,7 @@ def indexed(texts: DataFrame, length: int) -> DataFrame:
 
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return texts.select("anchor", "c1", "c2", "copies", "bytes").repartition(n, "anchor") \
-        .sortWithinPartitions("anchor", "c1", "c2").mapInArrow(run, f"{_ids('anchor', 'c1', 'c2')}, ranges {RANGES}")
+        .sortWithinPartitions("anchor", "c1", "c2").mapInArrow(common.released(run), f"{_ids('anchor', 'c1', 'c2')}, ranges {RANGES}")
 
 
 def halves(texts: DataFrame, length: int) -> DataFrame:

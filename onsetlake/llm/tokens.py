@@ -128,7 +128,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None, text: str = "text")
                                           "ids": pa.nulls(1, pa.binary()), "seen": pa.array([pairs], pa.binary())})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, n_tokens long, ids binary, seen binary")
+        .mapInArrow(common.released(run), "doc_id long, n_tokens long, ids binary, seen binary")
 
 
 def token_counts(tokens: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
     n = common.partitions_for(spark, 2 * sum(r.n for r in ordered), SHARD_BYTES)
     order = [F.col("doc_id").asc_nulls_first(), F.col("n_tokens"), F.xxhash64("ids")]
     tokens.where("seen is null").select("doc_id", "n_tokens", "ids").repartitionByRange(n, *order).sortWithinPartitions(*order) \
-        .mapInArrow(write, "shard int, block int, file string, place long, n_bytes long, start long, n_ids long") \
+        .mapInArrow(common.released(write), "shard int, block int, file string, place long, n_bytes long, start long, n_ids long") \
         .write.parquet(f"{out}/manifest")
 
 
@@ -241,7 +241,7 @@ def read_tokens(spark: SparkSession, out: str, keep_ids: bool = True) -> DataFra
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return manifest.repartition(n, "file", "block") \
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids)
+        .mapInArrow(common.released(run), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids)
 
 
 def token_files(docs: DataFrame, path: str, end_id: int, out: str | None = None, keep_ids: bool = True) -> DataFrame:

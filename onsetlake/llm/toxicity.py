@@ -81,7 +81,7 @@ def vocabulary(examples: DataFrame, settings: Settings, n_clean: int, n_toxic: i
         if counts:
             yield _flushed(counts)
 
-    held = examples.select("text", "toxic").mapInArrow(run, "term binary, toxic long, clean long") \
+    held = examples.select("text", "toxic").mapInArrow(common.released(run), "term binary, toxic long, clean long") \
         .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     c, d, n = n_toxic - a, n_clean - b, float(n_toxic + n_clean)
@@ -127,7 +127,7 @@ def document_frequencies(rows: DataFrame, n_terms: int) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"term": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen])})
 
     out = np.zeros(n_terms, np.int64)
-    counts = rows.select("at").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = rows.select("at").mapInArrow(common.released(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     for r in counts.collect():
         out[r.term] = r.n
     return out
@@ -280,7 +280,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 
     # rows are few bytes but much work, so the number of partitions is given and not left to their size
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = rows.repartition(n, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).mapInArrow(run, f"_k1 long, _k2 long, score double, neighbours {EVIDENCE}")
+    scored = rows.repartition(n, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).mapInArrow(common.released(run), f"_k1 long, _k2 long, score double, neighbours {EVIDENCE}")
     return keyed.select(key, "_k1", "_k2").join(scored, ["_k1", "_k2"]) \
         .select(key, held_out(key).alias("held_out"), "score", "neighbours")
 

@@ -150,7 +150,7 @@ def write_archives(pages: DataFrame, out: str, least: int = LEAST_REVISIT) -> Da
 
     common.bounded_batches(pages.sparkSession)
     return common.stored(deduplicated(pages, least).select("page_id", "url", "html", "digest", "refers_to")
-                         .mapInArrow(run, _CAPTURE), "captures")
+                         .mapInArrow(common.released(run), _CAPTURE), "captures")
 
 
 BLOCK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first", pa.string()), ("last", pa.string()),
@@ -197,7 +197,7 @@ def write_index(captures: DataFrame, out: str, lines: int = BLOCK_LINES) -> Data
 
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "file", "place"]
-    return common.stored(captures.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(run, _BLOCK), "directory")
+    return common.stored(captures.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(common.released(run), _BLOCK), "directory")
 
 
 def block_lines(text: str, key: str) -> list[str]:
@@ -255,7 +255,7 @@ def lookup(keys: DataFrame, directory: DataFrame, out: str) -> DataFrame:
     blocks = common.mapped(shard_keys.join(per_shard, "shard").select("key", "shard", "blocks"),
                            "key string, shard int, block int, file string, place long, size long", blocks_of)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return blocks.repartition(n, "shard", "block").sortWithinPartitions("shard", "block", "key").mapInArrow(lines_of, _CAPTURE)
+    return blocks.repartition(n, "shard", "block").sortWithinPartitions("shard", "block", "key").mapInArrow(common.released(lines_of), _CAPTURE)
 
 
 RECORD = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
@@ -292,7 +292,7 @@ def read_records(captures: DataFrame, out: str, keep_payload: bool = True) -> Da
     n = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = captures.select("file", "place", "size", (F.col("place") / RANGE_BYTES).cast("long").alias("range"))
     return ranged.repartition(n, "file", "range").sortWithinPartitions("file", "place").select("file", "place", "size") \
-        .mapInArrow(run, _RECORD + ", payload binary" * keep_payload)
+        .mapInArrow(common.released(run), _RECORD + ", payload binary" * keep_payload)
 
 
 def round_trip(pages: DataFrame, out: str | None = None, keep_payload: bool = True, lines: int = BLOCK_LINES) -> DataFrame:
