@@ -62,9 +62,9 @@ def decode_ranks(control: bytes, data: bytes) -> np.ndarray:
     return wide & masks[lengths]
 
 
-def write_block(ids: list[int | None], sizes: list[int], ranks: np.ndarray) -> bytes:
+def write_block(ids: list[int | None], sizes: np.ndarray, ranks: np.ndarray) -> bytes:
     """A block of documents: their numbers of ids, and all their ranks one after the other."""
-    counts = np.array(sizes, np.int64)
+    counts = np.asarray(sizes, np.int64)
     padded = -(-counts // 4) * 4
     shift = (np.cumsum(padded) - padded) - (np.cumsum(counts) - counts)
     spread = np.zeros(int(padded.sum()), "<u4")
@@ -141,6 +141,15 @@ def token_counts(tokens: DataFrame) -> DataFrame:
         .groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def ids_of(column: pa.Array, n: int) -> np.ndarray:
+    """All ids of a column of packed ids (two or four bytes each), without copying them."""
+    if not n:
+        return np.zeros(0, "<u2")
+    column = column.cast(pa.binary())
+    at = np.frombuffer(column.buffers()[1], "<i4")[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], f"<u{(int(at[-1]) - int(at[0])) // n}", n, int(at[0]))
+
+
 def write_tokens(tokens: DataFrame, out: str) -> None:
     """Writes ``ranks``, the shards and ``manifest`` under ``out``.
 
@@ -164,31 +173,23 @@ def write_tokens(tokens: DataFrame, out: str) -> None:
         store.create_dir(folder, recursive=True)
         name = f"{shard:06d}-{uuid.uuid4().hex}.ids"
         rows: list[dict] = []
-        held: list[tuple] = []
-        place = size = start = 0
-        sink, kind = None, "<u4"
-
-        def flush() -> None:
-            nonlocal place, size, start, sink
-            if not held:
-                return
-            sink = sink or store.open_output_stream(f"{folder}/{name}")
-            keys, sizes, ids = map(list, zip(*held))
-            block = write_block(keys, sizes, rank_of[np.frombuffer(b"".join(ids), kind)])
-            sink.write(block)
-            rows.append({"shard": shard, "block": len(rows), "file": name, "place": place, "n_bytes": len(block),
-                         "start": start, "n_ids": size})
-            place, start, size = place + len(block), start + size, 0
-            held.clear()
-
+        place = start = 0
+        sink = None
         for batch in batches:
-            for key, n, ids in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids")]):
-                kind = f"<u{len(ids) // n}" if n else kind
-                held.append((key, n, ids))
-                size += n
-                if size >= BLOCK_IDS:
-                    flush()
-        flush()
+            keys, sizes = batch.column("doc_id").to_pylist(), np.asarray(batch.column("n_tokens"))
+            ends = np.cumsum(sizes)
+            flat = ids_of(batch.column("ids"), int(ends[-1]) if len(ends) else 0)
+            first = 0
+            while first < len(keys):  # blocks of whole documents
+                done = int(ends[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, done + BLOCK_IDS, "right")))
+                mine = flat[done:int(ends[last - 1])]
+                block = write_block(keys[first:last], sizes[first:last], rank_of[mine])
+                sink = sink or store.open_output_stream(f"{folder}/{name}")
+                sink.write(block)
+                rows.append({"shard": shard, "block": len(rows), "file": name, "place": place, "n_bytes": len(block),
+                             "start": start, "n_ids": len(mine)})
+                place, start, first = place + len(block), start + len(mine), last
         if sink:
             sink.close()
         yield pa.RecordBatch.from_pylist(rows, schema=MANIFEST)
