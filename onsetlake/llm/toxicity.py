@@ -3,18 +3,18 @@
 1. Examples are a bounded sample of the labelled rows, ``examples`` of either
    class at most, by the hash of their ids; votes are weighted back to the
    classes' true sizes.
-2. Terms are words and word beginnings.  Those whose presence goes with the label
-   (chi squared over the sample) make up the vector space, ``terms`` at most.
-   Inverse document frequencies count them over all documents.
-3. The index keeps, for each term, its postings in blocks of ``BLOCK`` examples and
-   each block's largest weight.  A query visits blocks in the order of their
-   bounds and stops when no bound exceeds its k-th best cosine, so the nearest
+2. Terms are all words and word beginnings of the examples.  A term weighs by its
+   inverse document frequency over all documents and by how far its presence goes
+   with the label (chi squared over the number of examples, so alike at any size).
+3. The index keeps the postings of rare terms, and of common ones a matrix in blocks
+   of ``BLOCK`` examples with each block's largest weights.  A query visits its best
+   blocks and then those whose bound exceeds its k-th best cosine, so the nearest
    examples are exact.
-4. Neighbours vote by their cosine.  A monotone map, fitted on the examples
-   themselves with each left out of its own vote, turns votes into scores.
+4. Neighbours vote by their cosine.  A monotone map turns votes into scores; it is
+   fitted on the examples, each voted on by other parts of them only, which also
+   give the terms' weights for it.
 
-Examples and index are bounded by parameters, not by the data, and are shipped
-with the tasks; texts are read once.
+The examples are bounded by a parameter, so their index is shipped with the tasks.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +34,18 @@ from . import common
 from .decontam import clean_words
 
 BLOCK = 64
+COMMON = 8
+SLAB = 1024
+QUERIES = 128
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``least_chi`` and ``least_rows``: what a term needs to be used; ``prior``: weight of the base rate in a vote."""
+    """``prior``: weight of the base rate in a vote; ``folds``: parts of the examples that the map of votes is fitted on in turn."""
 
     examples: int = 4096
-    terms: int = 512
+    folds: int = 5
     neighbours: int = 15
-    least_chi: float = 40.0
-    least_rows: int = 5
     beginnings: tuple[int, ...] = (3, 4, 5, 6, 7)
     prior: float = 0.25
 
@@ -60,118 +62,169 @@ def term_counts(text: str | None, beginnings: tuple[int, ...]) -> Counter:
     return out
 
 
-def _flushed(counts: dict[bytes, list[int]]) -> pa.RecordBatch:
-    rows = list(counts.items())
-    return pa.RecordBatch.from_pydict({"term": pa.array([k for k, _ in rows], pa.binary()),
-                                       "toxic": pa.array([v[1] for _, v in rows], pa.int64()),
-                                       "clean": pa.array([v[0] for _, v in rows], pa.int64())})
-
-
-def vocabulary(examples: DataFrame, settings: Settings, n_clean: int, n_toxic: int) -> list[bytes]:
-    """The terms that go with the label most, from examples (text, toxic)."""
+def vocabulary(examples: DataFrame, settings: Settings) -> list[bytes]:
+    """All terms of the examples' texts, in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, list[int]] = {}
+        terms: set[bytes] = set()
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for term in term_counts(text, settings.beginnings):
-                    counts.setdefault(term, [0, 0])[toxic] += 1
-                if len(counts) > 300_000:
-                    yield _flushed(counts)
-                    counts = {}
-        if counts:
-            yield _flushed(counts)
-
-    held = examples.select("text", "toxic").mapInArrow(common.released(run), "term binary, toxic long, clean long") \
-        .groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    c, d, n = n_toxic - a, n_clean - b, float(n_toxic + n_clean)
-    chi = n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * n_toxic * n_clean)
-    found = held.where((a + b >= settings.least_rows) & (c + d > 0)).withColumn("chi", chi) \
-        .where(F.col("chi") >= settings.least_chi).orderBy(F.desc("chi"), "term").limit(settings.terms)
-    return [bytes(r.term) for r in found.select("term").collect()]
-
-
-def vectors(keyed: DataFrame, terms: list[bytes], beginnings: tuple[int, ...]) -> DataFrame:
-    """(_k1, _k2, at, n): the terms of every whole text, as numbers, with their counts."""
-    number = {t: i for i, t in enumerate(terms)}
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = {t[1:]: i for t, i in number.items() if t[:1] == b"="}
-        starts = {s: {t[len(b"%d:" % s):]: i for t, i in number.items() if t.startswith(b"%d:" % s)} for s in beginnings}
-        at, n = [], []
-        for text in batch.column("text").to_pylist():
-            found: Counter = Counter()
-            for w, times in Counter(clean_words(text)).items():
-                if (i := words.get(w)) is not None:
-                    found[i] += times
-                for size, table in starts.items():
-                    if (i := table.get(w[:size])) is not None:  # a shorter word equals no beginning of that size
-                        found[i] += times
-            pairs = sorted(found.items())
-            at.append([i for i, _ in pairs])
-            n.append([k for _, k in pairs])
-        return pa.RecordBatch.from_arrays([batch.column("_k1"), batch.column("_k2"), pa.array(at, pa.list_(pa.int32())),
-                                           pa.array(n, pa.list_(pa.int32()))], ["_k1", "_k2", "at", "n"])
-
-    return common.mapped(keyed.select("_k1", "_k2", F.col("text").cast("string").alias("text")),
-                         "_k1 long, _k2 long, at array<int>, n array<int>", run)
-
-
-def document_frequencies(rows: DataFrame, n_terms: int) -> np.ndarray:
-    """In how many documents each term occurs; a task counts its own rows first."""
+            for text in batch.column("text").to_pylist():
+                terms.update(term_counts(text, settings.beginnings))
+                if len(terms) > 300_000:
+                    yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.binary())})
+                    terms = set()
+        yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.binary())})
+
+    return sorted(examples.select("text").mapInArrow(common.released(run), "term binary").distinct().toArrow()["term"].to_pylist())
+
+
+def association(rows: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.ndarray:
+    """Chi squared over the number of examples, 0 to 1 at any size: how far a term's presence goes with the label."""
+    a, b = (np.bincount(np.concatenate([np.zeros(0, np.int64), *[at for at, t in zip(rows, toxic) if t == c]]).astype(np.int64),
+                        minlength=n_terms).astype(float) for c in (1, 0))
+    n_toxic, n_clean = float((toxic == 1).sum()), float((toxic == 0).sum())
+    c, d = n_toxic - a, n_clean - b
+    return (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * n_toxic * n_clean, 1.0)
+
+
+class Terms:
+    """The numbers of the terms of texts; a worker keeps those of words seen before."""
+
+    def __init__(self, terms: list[bytes], beginnings: tuple[int, ...]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        self.marks = [(size, b"%d:" % size) for size in sorted(beginnings)]
+        self.words: dict[bytes, tuple[int, ...]] = {}
+
+    def of_word(self, w: bytes) -> tuple[int, ...]:
+        out = [i] if (i := self.number.get(b"=" + w)) is not None else []
+        for size, mark in self.marks:
+            if len(w) < size or (i := self.number.get(mark + w[:size])) is None:
+                break  # sizes grow, and a beginning that no example has is no longer one's either
+            out.append(i)
+        return tuple(out)
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers, in order, and counts of a text's terms."""
+        if len(self.words) > common.CACHED_WORDS:
+            self.words.clear()
+        words = Counter(clean_words(text))
+        for w in words:
+            if w not in self.words:
+                self.words[w] = self.of_word(w)
+        own = list(map(self.words.__getitem__, words))
+        at = np.array(list(chain.from_iterable(own)), np.int64)
+        n = np.repeat(np.array(list(words.values()), np.int64), list(map(len, own))) if own else at
+        order = np.argsort(at)
+        at = at[order]
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        return at[first].astype(np.int32), np.add.reduceat(n[order], first).astype(np.int32) if len(at) else n.astype(np.int32)
+
+
+def document_frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
+    """In how many documents each term occurs, and how many documents there are; a task counts its own rows first."""
+    n_terms = len(terms.number)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_terms, np.int64)
+        total = np.zeros(n_terms + 1, np.int64)  # the last: rows
         for batch in batches:
-            total += np.bincount(np.asarray(batch.column(0).flatten()), minlength=n_terms)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"term": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen])})
-
-    out = np.zeros(n_terms, np.int64)
-    counts = rows.select("at").mapInArrow(common.released(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    for r in counts.collect():
-        out[r.term] = r.n
-    return out
-
-
-def weighed(at: list[int], n: list[int], idf: np.ndarray) -> np.ndarray:
-    """TF-IDF weights of a vector's terms, scaled to length one."""
-    w = (1 + np.log(np.asarray(n, float))) * idf[at]
+            for text in batch.column("text").to_pylist():
+                total[terms.vector(text)[0]] += 1
+            total[-1] += batch.num_rows
+        starts = range(0, n_terms + 1, SLAB)
+        yield pa.RecordBatch.from_pydict({"slab": pa.array(starts, pa.int32()),
+                                          "n": pa.array([total[i:i + SLAB].tobytes() for i in starts], pa.binary())})
+
+    def added(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in table["n"].to_pylist())
+        return pa.table({"slab": table["slab"][:1].combine_chunks(), "n": pa.array([total.tobytes()], pa.binary())})
+
+    out = docs.select("text").mapInArrow(common.released(run), "slab int, n binary") \
+        .groupBy("slab").applyInArrow(added, "slab int, n binary").toArrow().sort_by("slab")
+    total = np.frombuffer(b"".join(out["n"].to_pylist()), np.int64)
+    return total[:-1], int(total[-1])
+
+
+def weighed(at: np.ndarray, n: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Weights of a vector's terms, scaled to length one; ``factors``: a term's inverse frequency times its association."""
+    w = (1 + np.log(np.asarray(n, float))) * factors[at]
     return w / max(math.sqrt(float(w @ w)), 1e-300)
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors in blocks of ``BLOCK``, with each block's largest weight for each term."""
-
-    def __init__(self, rows: list[tuple[list[int], np.ndarray]], n_terms: int):
-        size = -(-max(len(rows), 1) // BLOCK) * BLOCK
-        n_terms = max(n_terms, 1)
-        self.postings = np.zeros((n_terms, size), np.float32)
-        for k, (at, weights) in enumerate(rows):
-            self.postings[at, k] = weights
-        self.largest = self.postings.reshape(n_terms, -1, BLOCK).max(2)
+    """Postings of unit vectors, and for blocks of ``BLOCK`` vectors the largest weight of each common term.
+
+    The postings of rare terms are added up as they are.  Common terms, in one
+    of ``1 / COMMON`` vectors or more, have a dense matrix; a block of it is
+    multiplied where its bound exceeds the k-th best cosine.
+    """
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
+        self.size = -(-max(len(rows), 1) // BLOCK) * BLOCK
+        at = np.concatenate([np.asarray(a, np.int32) for a, _ in rows] or [np.zeros(0, np.int32)])
+        ids = np.repeat(np.arange(len(rows), dtype=np.int32), [len(a) for a, _ in rows])
+        weights = np.concatenate([np.asarray(w, np.float32) for _, w in rows] or [np.zeros(0, np.float32)])
+        times = np.bincount(at, minlength=max(n_terms, 1))
+        common_terms = np.flatnonzero(times * COMMON >= max(len(rows), 1))
+        self.column = np.full(len(times), -1, np.int32)
+        self.column[common_terms] = np.arange(len(common_terms))
+        dense = self.column[at] >= 0
+        self.dense = np.zeros((max(len(common_terms), 1), self.size), np.float32)
+        self.dense[self.column[at[dense]], ids[dense]] = weights[dense]
+        self.largest = self.dense.reshape(len(self.dense), -1, BLOCK).max(2)
+        at, ids, weights = at[~dense], ids[~dense], weights[~dense]
+        order = np.argsort(at, kind="stable")
+        self.ids, self.weights = ids[order], weights[order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(times)))])
         self.visited = 0
 
-    def nearest(self, at: list[int], weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def _rare(self, at: np.ndarray, q: np.ndarray) -> np.ndarray:
+        n = self.first[at + 1] - self.first[at]
+        where = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return np.bincount(self.ids[where], self.weights[where] * np.repeat(q, n), self.size)
+
+    def nearest(self, at, weights, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest vectors with a cosine above 0 (ties: the first), best first."""
-        q = weights.astype(np.float32)
-        bounds = q @ self.largest[at]
-        ids, cosines = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        worst = 0.0
-        order = np.argsort(-bounds, kind="stable")
-        for i in range(0, len(order), 4):
-            chosen = order[i:i + 4]
-            chosen = chosen[bounds[chosen] > worst - 1e-6]
-            if not len(chosen) or bounds[chosen[0]] <= 0:
-                break
-            self.visited += len(chosen)
-            here = (chosen[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-            scores = q @ self.postings[np.ix_(at, here)]
-            good = (scores > 0) & (here != without)
-            ids, cosines = np.append(ids, here[good]), np.append(cosines, scores[good])
-            best = np.lexsort((ids, -cosines))[:k]
-            ids, cosines = ids[best], cosines[best]
-            worst = float(cosines[-1]) if len(ids) == k else 0.0
-        return ids, cosines
+        return self.nearest_of([(at, weights)], k, [without])[0]
+
+    def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for several vectors, whose blocks are multiplied together."""
+        q = np.zeros((len(queries), len(self.dense)), np.float32)
+        scores = np.zeros((len(queries), self.size), np.float32)
+        for row, (at, weights) in enumerate(queries):
+            at, w = np.asarray(at, np.int64), np.asarray(weights, np.float32)
+            column = self.column[at]
+            q[row, column[column >= 0]] = w[column >= 0]
+            scores[row] = self._rare(at[column < 0], w[column < 0])
+        blocks = scores.reshape(len(queries), -1, BLOCK)
+        bounds = q @ self.largest + blocks.max(2)
+        done = np.zeros(bounds.shape, bool)
+
+        def visit(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)):
+                rows = np.flatnonzero(wanted[:, b])
+                blocks[rows, b] += q[rows] @ self.dense[:, b * BLOCK:(b + 1) * BLOCK]
+            self.visited += int(wanted.sum())
+            done[wanted] = True
+
+        best = np.zeros(bounds.shape, bool)
+        np.put_along_axis(best, np.argsort(-bounds, 1, kind="stable")[:, :4], True, 1)
+        visit(best)
+        for row, own in enumerate(without or []):
+            if own >= 0:
+                scores[row, own] = 0
+        known = np.where(done[:, :, None], blocks, 0).reshape(scores.shape)
+        worst = -np.partition(-known, min(k, self.size) - 1, 1)[:, min(k, self.size) - 1] if k <= self.size else np.zeros(len(queries))
+        visit(~done & (bounds > np.maximum(worst, 0)[:, None] - 1e-6) & (bounds > 0))
+        for row, own in enumerate(without or []):
+            if own >= 0:
+                scores[row, own] = 0
+        out = []
+        for row, these in enumerate(scores):
+            these = np.where(np.repeat(done[row], BLOCK), these, 0)
+            least = max(-np.partition(-these, k - 1)[k - 1], 0) if k <= self.size else 0
+            ids = np.flatnonzero((these > 0) & (these >= least))
+            ids = ids[np.lexsort((ids, -these[ids]))[:k]]
+            out.append((ids, these[ids]))
+        return out
 
 
 def vote(ids: np.ndarray, cosines: np.ndarray, toxic: np.ndarray, share: np.ndarray, base: float, prior: float) -> float:
@@ -195,6 +248,28 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(knots or [0.0]), np.array(values or [0.0])
 
 
+def fitted(found: list, toxic: np.ndarray, stands: np.ndarray, factors: np.ndarray, share: float):
+    """The rate of toxic examples without a weight, the places of the others, and the index of these in that order."""
+    units = [(at, weighed(at, n, factors).astype(np.float32)) for at, n in found]
+    bare = np.array([not w.any() for _, w in units], bool)
+    rate = float((stands * toxic)[bare].sum() / stands[bare].sum()) if bare.any() else share
+    some = np.flatnonzero(~bare)
+    # like vectors share blocks
+    some = np.array(sorted(some, key=lambda k: units[k][0][np.argsort(-units[k][1], kind="stable")[:4]].tolist()), np.int64)
+    return rate, some, BlockMaxIndex([units[k] for k in some], len(factors))
+
+
+def votes(index: BlockMaxIndex, found: list, factors: np.ndarray, toxic: np.ndarray, stands: np.ndarray, rate: float,
+          settings: Settings) -> list[float]:
+    """The votes on vectors; one without a weight gets the rate."""
+    out = []
+    for i in range(0, len(found), QUERIES):
+        asked = [(at, weighed(at, n, factors)) for at, n in found[i:i + QUERIES]]
+        near = index.nearest_of(asked, settings.neighbours)
+        out += [vote(*x, toxic, stands, rate, settings.prior) if w.any() else rate for x, (_, w) in zip(near, asked)]
+    return out
+
+
 def held_out(key: str = "doc_id"):
     """True for the rows that labels are not learnt from."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -203,7 +278,7 @@ def held_out(key: str = "doc_id"):
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id") -> DataFrame:
     """One row a document: key, held_out, score (0 to 1) and neighbours (key, label, cosine), the evidence.
 
-    Documents without any of the chosen terms, empty and null texts among
+    Documents without any term of the examples, empty and null texts among
     them, get the rate of toxic examples without terms.  Null labels are none;
     a key with several labels counts as toxic if one says so, a key with several
     texts as an example with one of them.  Without labels of both classes
@@ -231,58 +306,66 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     sampled = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
     if len(sampled) < 2:
         return docs.select(key, held_out(key).alias("held_out"), F.lit(share).alias("score"), no_evidence.alias("neighbours"))
-    terms = vocabulary(texts, settings, sampled[0], sampled[1])
-
-    rows = common.stored(vectors(keyed, terms, settings.beginnings), "vectors")
-    frequency = document_frequencies(rows, len(terms))
-    n_docs = rows.count()
+    names = vocabulary(texts, settings)
+    terms = Terms(names, settings.beginnings)
+    frequency, n_docs = document_frequencies(docs, terms)
     idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-    own = rows.join(F.broadcast(texts.select(key, "toxic", "_k1", "_k2")), ["_k1", "_k2"]).dropDuplicates([key]).collect()
-    own = sorted(own, key=lambda r: (list(r["at"]), r[key]))  # like vectors share blocks
-    ids = np.array([r[key] for r in own])
-    toxic = np.array([r["toxic"] for r in own])
-    stands = np.array([sizes[r["toxic"]] / sampled[r["toxic"]] for r in own])
-    units = [(list(r["at"]), weighed(r["at"], r["n"], idf)) for r in own]
-    bare = np.array([not at for at, _ in units])
-    rate = float((stands * toxic)[bare].sum() / stands[bare].sum()) if bare.any() else share
-    some = np.flatnonzero(~bare)
-    ids, toxic, stands = ids[some], toxic[some], stands[some]
-    units = [units[k] for k in some]
-    index = BlockMaxIndex(units, len(terms))
-    raw = np.array([vote(*index.nearest(at, w, settings.neighbours, k), toxic, stands, rate, settings.prior)
-                    for k, (at, w) in enumerate(units)])
+
+    def example(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [terms.vector(text) for text in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(key), batch.column("toxic"),
+                                           *[pa.array([v[i].tobytes() for v in found], pa.binary()) for i in (0, 1)]],
+                                          [key, "toxic", "at", "n"])
+
+    own = common.mapped(texts.select(key, "toxic", "text"), f"`{key}` long, toxic int, at binary, n binary", example).toArrow()
+    own = [(k, label, np.frombuffer(at, np.int32), np.frombuffer(n, np.int32)) for k, label, at, n in
+           zip(*[own[c].to_pylist() for c in (key, "toxic", "at", "n")])]
+
+    own.sort()
+    ids = np.array([r[0] for r in own])
+    toxic = np.array([r[1] for r in own])
+    stands = np.array([sizes[r[1]] / sampled[r[1]] for r in own])
+    found = [r[2:] for r in own]
+    factors = idf * association([at for at, _ in found], toxic, len(names))
+    rate, some, index = fitted(found, toxic, stands, factors, share)
+    # each fold's votes come from the other folds, which alone give the terms' weights there
+    place = np.zeros(len(own), np.int64)
+    for c in (0, 1):
+        place[toxic == c] = np.arange((toxic == c).sum()) % settings.folds
+    raw = np.full(len(own), rate)
+    for fold in range(settings.folds):
+        others, asked = np.flatnonzero(place != fold), np.flatnonzero(place == fold)
+        there = idf * association([found[k][0] for k in others], toxic[others], len(names))
+        base, kept, near = fitted([found[k] for k in others], toxic[others], stands[others], there, share)
+        raw[asked] = votes(near, [found[k] for k in asked], there, toxic[others][kept], stands[others][kept], base, settings)
     knots, values = monotone(raw, toxic.astype(float), stands)
+    ids, toxic, stands = ids[some], toxic[some], stands[some]
+    state = docs.sparkSession.sparkContext.broadcast((names, factors, index))
+    beginnings = settings.beginnings
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = None
-        cache: dict[bytes, tuple] = {}
-        for batch in batches:
-            scores, evidence = [], []
-            for at, n in zip(batch.column("at").to_pylist(), batch.column("n").to_pylist()):
-                if not at:
-                    scores.append(rate)
-                    evidence.append([])
-                    continue
-                same = np.array([at, n], np.int32).tobytes()
-                if same not in cache:
-                    if len(cache) > 20_000:
-                        cache.clear()
-                    mine = mine or BlockMaxIndex(units, len(terms))
-                    near, cosines = mine.nearest(at, weighed(at, n, idf), settings.neighbours)
+        names, factors, index = state.value
+        mine = Terms(names, beginnings)
+        for whole in batches:
+            for i in range(0, whole.num_rows, QUERIES):
+                batch = whole.slice(i, QUERIES)
+                texts = batch.column("text").to_pylist()
+                known: dict = {}
+                for text in set(texts):
+                    at, n = mine.vector(text)
+                    if (w := weighed(at, n, factors)).any():
+                        known[text] = at, w
+                scored = {}
+                for text, (near, cosines) in zip(known, index.nearest_of(list(known.values()), settings.neighbours) if known else []):
                     score = float(np.interp(vote(near, cosines, toxic, stands, rate, settings.prior), knots, values))
-                    cache[same] = score, [{"key": int(ids[i]), "label": int(toxic[i]), "cosine": float(c)}
-                                          for i, c in zip(near.tolist(), cosines.tolist())]
-                scores.append(cache[same][0])
-                evidence.append(cache[same][1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_k1"), batch.column("_k2"), pa.array(scores, pa.float64()), pa.array(evidence, _EVIDENCE)],
-                ["_k1", "_k2", "score", "neighbours"])
-
-    # rows are few bytes but much work, so the number of partitions is given and not left to their size
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    scored = rows.repartition(n, "_k1", "_k2").dropDuplicates(["_k1", "_k2"]).mapInArrow(common.released(run), f"_k1 long, _k2 long, score double, neighbours {EVIDENCE}")
-    return keyed.select(key, "_k1", "_k2").join(scored, ["_k1", "_k2"]) \
-        .select(key, held_out(key).alias("held_out"), "score", "neighbours")
+                    scored[text] = score, [{"key": int(ids[j]), "label": int(toxic[j]), "cosine": float(c)}
+                                           for j, c in zip(near.tolist(), cosines.tolist())]
+                found = [scored.get(text, (rate, [])) for text in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([x for x, _ in found], pa.float64()),
+                                                  pa.array([x for _, x in found], _EVIDENCE)], [key, "score", "neighbours"])
+
+    scored = docs.mapInArrow(common.released(run), f"`{key}` long, score double, neighbours {EVIDENCE}")
+    return scored.select(key, held_out(key).alias("held_out"), "score", "neighbours")
 
 
 EVIDENCE = "array<struct<key: bigint, label: int, cosine: double>>"
