@@ -16,27 +16,30 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WINDOW, DIVISOR, LEAST_LINES = 2, 4, 2
+WINDOW, DIVISOR, LEAST_LINES = 2, 2, 2
 _MIX = 0x9E3779B97F4A7C15
 
 
-def chunk_ends(hashes: list[int], window: int, divisor: int, least: int) -> list[int]:
-    """Line numbers, exclusive, at which chunks end.
+def chunk_ends(hashes: list[int], worded: list[bool], window: int, divisor: int, least: int) -> list[int]:
+    """Line numbers, exclusive, at which chunks end; ``worded``: whether a line holds a word.
 
     The hash rolls: the line that leaves the window is taken out of it and the
-    new one added.  Chunks have ``least`` lines or more, but for the last.
+    new one added.  Chunks have ``least`` lines with words or more, and a rest
+    with fewer belongs to the chunk before, so only a text with fewer has such a chunk.
     """
-    ends, rolling, start = [], 0, 0
+    ends, rolling, n = [], 0, 0
     for i, h in enumerate(hashes):
         rolling = rolling * _MIX + h
         if i >= window:
             rolling -= hashes[i - window] * pow(_MIX, window, 1 << 64)
         rolling %= 1 << 64
-        full = i + 1 >= window and i + 1 - start >= least
-        if full and (rolling * _MIX >> 32) % divisor == 0:
+        n += worded[i]
+        if i + 1 >= window and n >= least and (rolling * _MIX >> 32) % divisor == 0:
             ends.append(i + 1)
-            start = i + 1
-    if start < len(hashes):
+            n = 0
+    if ends and n < least:
+        ends.pop()
+    if hashes and (not ends or ends[-1] < len(hashes)):
         ends.append(len(hashes))
     return ends
 
@@ -47,7 +50,8 @@ def chunks(text: str, window: int = WINDOW, divisor: int = DIVISOR, least: int =
 
     lines = text.encode().split(b"\n")
     at, out = 0, []
-    for end in chunk_ends([xxhash.xxh3_64_intdigest(line) for line in lines], window, divisor, least):
+    hashes = [xxhash.xxh3_64_intdigest(line) for line in lines]
+    for end in chunk_ends(hashes, [bool(line.split()) for line in lines], window, divisor, least):
         out.append(b"\n".join(lines[at:end]))
         at = end
     return out
