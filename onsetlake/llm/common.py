@@ -120,8 +120,9 @@ class WordTokenizer:
     between letters and the full stop or comma that ends them, so a text's ids
     are its words' ids in order.  Texts are split at spaces and only words that
     the cache lacks are encoded.  Texts with runs of white space take the
-    general pattern instead.  The cache holds two generations of about
-    ``CACHED_WORDS`` words, so its memory is bounded.
+    general pattern instead, and texts that hold an added token's content are
+    encoded whole.  The cache holds two generations of about ``CACHED_WORDS``
+    words, so its memory is bounded.
     """
 
     def __init__(self, path: str):
@@ -129,11 +130,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.merges = Tokenizer.from_file(path)
         self.merges.pre_tokenizer = self.merges.post_processor = None
-        self.merges.encode_special_tokens = True
         self.letters = byte_letters()
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(sorted(added, key=len, reverse=True)) or r"(?!)").search
         s = UNICODE_SPACE
         self.words = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
         self.space = re.compile(f"[{s}]").search
@@ -218,6 +219,10 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
+        if any(map(self.added, texts)):
+            whole = {i for i, t in enumerate(texts) if self.added(t)}
+            others = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
+            return [self.raw(t) if i in whole else next(others) for i, t in enumerate(texts)]
         collects = gc.isenabled()
         gc.disable()  # nothing here forms cycles, and a collection would walk the whole cache
         try:
