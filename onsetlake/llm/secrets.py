@@ -49,7 +49,7 @@ MORE_RULES = (
     Rule("key_block", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("prefixed", r"(?:ghp|gho|ghs|ghu)_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"),
-    Rule("address", r"[a-z][a-z0-9+]{1,15}://[^\s:@/]{1,64}:[^\s:@/]{3,64}@[A-Za-z0-9.-]+"),
+    Rule("address", r"[a-z][a-z0-9+]{1,15}://[^\s:@/]+:[^\s:@/]{3,}@[A-Za-z0-9.-]+"),
 )
 RULES = BASE_RULES + MORE_RULES
 
