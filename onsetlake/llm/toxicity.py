@@ -79,8 +79,10 @@ def vocabulary(examples: DataFrame, settings: Settings) -> list[bytes]:
 
 def association(rows: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.ndarray:
     """Chi squared over the number of examples, 0 to 1 at any size: how far a term's presence goes with the label."""
-    a, b = (np.bincount(np.concatenate([np.zeros(0, np.int64), *[at for at, t in zip(rows, toxic) if t == c]]).astype(np.int64),
-                        minlength=n_terms).astype(float) for c in (1, 0))
+    held = np.zeros((2, n_terms))
+    for at, label in zip(rows, toxic):
+        held[label, at] += 1
+    b, a = held
     n_toxic, n_clean = float((toxic == 1).sum()), float((toxic == 0).sum())
     c, d = n_toxic - a, n_clean - b
     return (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * n_toxic * n_clean, 1.0)
@@ -90,7 +92,8 @@ class Terms:
     """The numbers of the terms of texts; a worker keeps those of words seen before."""
 
     def __init__(self, terms: list[bytes], beginnings: tuple[int, ...]):
-        self.number = {t: i for i, t in enumerate(terms)}
+        self.terms = terms
+        self.number: dict[bytes, int] = {}  # made by the workers only
         self.marks = [(size, b"%d:" % size) for size in sorted(beginnings)]
         self.words: dict[bytes, tuple[int, ...]] = {}
 
@@ -104,6 +107,8 @@ class Terms:
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers, in order, and counts of a text's terms."""
+        if not self.number:
+            self.number = {t: i for i, t in enumerate(self.terms)}
         if len(self.words) > common.CACHED_WORDS:
             self.words.clear()
         words = Counter(clean_words(text))
@@ -121,7 +126,7 @@ class Terms:
 
 def document_frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
     """In how many documents each term occurs, and how many documents there are; a task counts its own rows first."""
-    n_terms = len(terms.number)
+    n_terms = len(terms.terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_terms + 1, np.int64)  # the last: rows
@@ -159,21 +164,26 @@ class BlockMaxIndex:
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
         self.size = -(-max(len(rows), 1) // BLOCK) * BLOCK
-        at = np.concatenate([np.asarray(a, np.int32) for a, _ in rows] or [np.zeros(0, np.int32)])
-        ids = np.repeat(np.arange(len(rows), dtype=np.int32), [len(a) for a, _ in rows])
-        weights = np.concatenate([np.asarray(w, np.float32) for _, w in rows] or [np.zeros(0, np.float32)])
-        times = np.bincount(at, minlength=max(n_terms, 1))
+        times = np.zeros(max(n_terms, 1), np.int64)
+        for at, _ in rows:
+            times[at] += 1
         common_terms = np.flatnonzero(times * COMMON >= max(len(rows), 1))
         self.column = np.full(len(times), -1, np.int32)
         self.column[common_terms] = np.arange(len(common_terms))
-        dense = self.column[at] >= 0
+        times[common_terms] = 0
+        self.first = np.concatenate([[0], np.cumsum(times)])
         self.dense = np.zeros((max(len(common_terms), 1), self.size), np.float32)
-        self.dense[self.column[at[dense]], ids[dense]] = weights[dense]
+        self.ids, self.weights = np.zeros(self.first[-1], np.int32), np.zeros(self.first[-1], np.float32)
+        free = self.first[:-1].copy()
+        for k, (at, weights) in enumerate(rows):  # one at a time: the driver holds no second copy of all postings
+            at, weights = np.asarray(at, np.int64), np.asarray(weights, np.float32)
+            column = self.column[at]
+            dense = column >= 0
+            self.dense[column[dense], k] = weights[dense]
+            rare = at[~dense]
+            self.ids[free[rare]], self.weights[free[rare]] = k, weights[~dense]
+            free[rare] += 1
         self.largest = self.dense.reshape(len(self.dense), -1, BLOCK).max(2)
-        at, ids, weights = at[~dense], ids[~dense], weights[~dense]
-        order = np.argsort(at, kind="stable")
-        self.ids, self.weights = ids[order], weights[order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(times)))])
         self.visited = 0
 
     def _rare(self, at: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -326,20 +336,23 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     toxic = np.array([r[1] for r in own])
     stands = np.array([sizes[r[1]] / sampled[r[1]] for r in own])
     found = [r[2:] for r in own]
+    del own
     factors = idf * association([at for at, _ in found], toxic, len(names))
-    rate, some, index = fitted(found, toxic, stands, factors, share)
     # each fold's votes come from the other folds, which alone give the terms' weights there
-    place = np.zeros(len(own), np.int64)
+    place = np.zeros(len(found), np.int64)
     for c in (0, 1):
         place[toxic == c] = np.arange((toxic == c).sum()) % settings.folds
-    raw = np.full(len(own), rate)
+    raw = np.zeros(len(found))
     for fold in range(settings.folds):
         others, asked = np.flatnonzero(place != fold), np.flatnonzero(place == fold)
         there = idf * association([found[k][0] for k in others], toxic[others], len(names))
         base, kept, near = fitted([found[k] for k in others], toxic[others], stands[others], there, share)
         raw[asked] = votes(near, [found[k] for k in asked], there, toxic[others][kept], stands[others][kept], base, settings)
+        del there, near
     knots, values = monotone(raw, toxic.astype(float), stands)
+    rate, some, index = fitted(found, toxic, stands, factors, share)
     ids, toxic, stands = ids[some], toxic[some], stands[some]
+    del found
     state = docs.sparkSession.sparkContext.broadcast((names, factors, index))
     beginnings = settings.beginnings
 
