@@ -116,151 +116,242 @@ def byte_letters() -> dict[int, int]:
 class WordTokenizer:
     """Token ids of whole texts, with the ids of words seen before taken from a cache.
 
-    A byte-level BPE never merges across a space that follows a word, nor
-    between letters and the full stop or comma that ends them, so a text's ids
-    are its words' ids in order.  Texts are split at spaces and only words that
-    the cache lacks are encoded.  Texts with runs of white space take the
+    A byte-level BPE never merges across a space or line end that a word follows,
+    nor between a letter or digit and the full stop or comma after it, so a text's ids
+    are its words' ids in order.  Texts are split at spaces and before line ends.
+    Arrow numbers the different words of a batch and finds them in the cache; only
+    words that it lacks are encoded, many in one text, and the ids are gathered by
+    number, so nothing here is done once a word in Python.  Texts with runs of white space take the
     general pattern instead, and texts that hold an added token's content are
-    encoded whole.  The cache holds two generations of about ``CACHED_WORDS``
-    words, so its memory is bounded.
+    encoded whole.  The cache is bounded by ``CACHED_WORDS`` and a batch's own words.
     """
 
+    #: Between words that are encoded together: what stands before each, and its one id.
+    separator = "\n"
+    #: A last full stop or comma that is a part of its own, whatever stands before the class.
+    tail = r"[0-9A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}][.,]$"
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merges = Tokenizer.from_file(path)
-        self.merges.pre_tokenizer = self.merges.post_processor = None
-        self.letters = byte_letters()
         added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(sorted(added, key=len, reverse=True)) or r"(?!)").search
         s = UNICODE_SPACE
-        self.words = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
-        self.space = re.compile(f"[{s}]").search
         self.rare = re.compile(f"[{s}]".replace(" ", "").replace("\t-\r", "\t\x0b-\r")).search
-        self.long: list[str] = []
+        self.parts = re.compile(f" ?[^{s}]+|[{s}]+(?![^{s}])|[{s}]+").findall
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.newline = np.frombuffer(self.raw("\n"), dtype="<u4")[0]
-        self.spaced: tuple[dict, dict] = {}, {}  # ids of " " + word, young and old
-        self.plain: dict[str, bytes] = {}  # ids of other parts as they are
-
-    def raw(self, text: str) -> bytes:
-        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def raw_words(self, words: list[str], lead: str = "") -> dict[str, bytes]:
-        """Ids of lead + word for words without white space, many encoded in one text."""
-        return dict(zip(words, self._joined(self.tokenizer, [lead + w for w in words], str)))
-
-    def raw_letters(self, words: list[str], lead: str = "") -> dict[str, bytes]:
-        """The same for words of letters.
-
-        Each is one part of the general pattern, so it needs no splitting by
-        it: its bytes, as the vocabulary writes them, go to the merges directly.
-        """
-        return dict(zip(words, self._joined(self.merges, [lead + w for w in words],
-                                            lambda t: t.encode().decode("latin-1").translate(self.letters))))
-
-    def _joined(self, encoder, words: list[str], written: Callable[[str], str]) -> list[bytes]:
-        out = []
-        chunks = [words[i:i + 200] for i in range(0, len(words), 200)]
-        encoded = encoder.encode_batch_fast([written("\n".join(c)) for c in chunks], add_special_tokens=False)
-        for chunk, e in zip(chunks, encoded):
-            ids = np.array(e.ids, dtype="<u4")
-            cuts = 4 * np.flatnonzero(ids == self.newline)
-            if len(cuts) == len(chunk) - 1:
-                whole = ids.tobytes()
-                out += [whole[i:j] for i, j in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(whole)])]
-            else:  # a vocabulary without a token of its own for a line end
-                out += map(self.raw, chunk)
-        return out
-
-    def parts(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces of the general pattern."""
-        if len(self.plain) > CACHED_WORDS:
-            self.plain.clear()
-        missing = [p for p in pieces.difference(self.plain) if p.isspace()]
-        self.plain.update(zip(missing, map(self.raw, missing)))
-        self.plain.update(self.raw_words(list(pieces.difference(self.plain))))
-        return self.plain
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of " " + word for ``words`` that start and end without white space."""
-        young, old = self.spaced
-        if len(young) > CACHED_WORDS:
-            self.spaced = young, old = {}, young
-        missing = words.difference(young)
-        known = missing.intersection(old)
-        young.update(zip(known, map(old.__getitem__, known)))
-        missing -= known
-        letters, tails, odd, others = set(), [], [], []
-        for w in missing:
-            if w.isalpha():
-                letters.add(w)
-            elif w[-1] in ".," and w[:-1].isalpha():
-                tails.append(w)
-                letters.add(w[:-1])
-            elif self.space(w):
-                odd.append(w)
-            else:
-                others.append(w)
-        young.update(self.raw_letters(list(letters.difference(young)), " "))
-        young.update(self.raw_words(others, " "))
-        if odd:
-            pieces = {w: self.words(" " + w) for w in odd}
-            ids = self.parts({p for ps in pieces.values() for p in ps})
-            young.update((w, b"".join(map(ids.__getitem__, ps))) for w, ps in pieces.items())
-        ids = self.parts({".", ","})
-        dot, comma = ids["."], ids[","]
-        young.update((w, young[w[:-1]] + (dot if w[-1] == "." else comma)) for w in tails)
-        self.long = [w for w in missing if len(w) > LONGEST_CACHED]
-        return young
+        self.mark = self.ids(self.separator)[0]
+        self.tails = {x: self.ids(x)[0] for x in ".,"}
+        self.words = large([""])  # the cache: words, how often asked for, and where their ids are
+        self.uses, self.first, self.sizes = np.array([[1 << 60], [0], [0]])
+        self.known = np.zeros(0, "<u4")
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        if any(map(self.added, texts)):
-            whole = {i for i, t in enumerate(texts) if self.added(t)}
-            others = iter(self.encode([t for i, t in enumerate(texts) if i not in whole]))
-            return [self.raw(t) if i in whole else next(others) for i, t in enumerate(texts)]
-        collects = gc.isenabled()
-        gc.disable()  # nothing here forms cycles, and a collection would walk the whole cache
-        try:
-            return self._encode(texts)
-        finally:
-            if collects:
-                gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        general = {i for i, t in enumerate(texts) if not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or "\n " in t
-                   or " \n" in t or self.rare(t)}
-        inner: set[str] = set()
-        for i, words in enumerate(split):
-            if i not in general:
-                inner.update(words)
-        pieces = {i: self.words(texts[i]) for i in general}
-        heads = {words[0] for i, words in enumerate(split) if i not in general}
-        lines = {w: self.words(w) for w in heads}
-        plain = self.parts({p for ps in (*pieces.values(), *lines.values()) for p in ps}).__getitem__
-        spaced = self.learn(inner).__getitem__
-        out = []
-        for i, words in enumerate(split):
-            if i in general:
-                out.append(b"".join(map(plain, pieces[i])))
-            else:
-                head = b"".join(map(plain, lines[words[0]]))
-                out.append(head + b"".join(map(spaced, words[1:])))
-        for w in self.long:
-            self.spaced[0].pop(w, None)
-        return out
+        ids, sizes = self.encode_flat(texts)
+        ends, whole = (4 * np.cumsum(sizes)).tolist(), ids.tobytes()
+        return [whole[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encode_flat(self, texts: list[str], end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in one array, each text followed by ``end_id`` if there is one, and how many each text has."""
+        apart = {i: self.ids(t) for i, t in enumerate(texts) if self.added(t)}
+        runs = [i for i, t in enumerate(texts) if i not in apart and self.irregular(t)]
+        apart |= zip(runs, self.general([texts[i] for i in runs]))
+        ids, sizes = self.gathered([t for i, t in enumerate(texts) if i not in apart])
+        if apart:
+            others = iter(np.split(ids, np.cumsum(sizes)))
+            each = [apart[i] if i in apart else next(others) for i in range(len(texts))]
+            ids, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+        if end_id is not None:
+            ids, sizes = np.insert(ids, np.cumsum(sizes), end_id), sizes + 1
+        return ids, sizes
+
+    def irregular(self, t: str) -> bool:
+        """Whether words in their places do not give a text's ids."""
+        return bool(not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or "\n " in t or " \n" in t or "\n\n\n" in t or self.rare(t))
+
+    def general(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts by the parts of the general pattern."""
+        pieces = [self.parts(t) for t in texts]
+        flat = [p for ps in pieces for p in ps]
+        if not flat:
+            return [np.zeros(0, "<u4") for _ in texts]
+        blank = np.array([p.isspace() for p in flat])
+        spaced = np.array([p[0] == " " for p in flat])
+        spaces = {p: self.ids(p) for p in {p for p, b in zip(flat, blank) if b}}
+        # a part with a space before it is a word in its place, and so is another one after a line end
+        numbered = large(["" if b else p[1:] if s else "\n" + p for p, b, s in zip(flat, blank, spaced)]).dictionary_encode()
+        ids, sizes = self.of_words(numbered.dictionary)
+        at = np.asarray(numbered.indices)
+        size, first = sizes[at], (np.cumsum(sizes) - sizes)[at]
+        ended = ~blank & ~spaced
+        size[ended] -= 1
+        first[ended] += 1
+        begin = dict(zip(spaces, len(ids) + np.cumsum([0, *map(len, spaces.values())])[:-1]))
+        first[blank] = [begin[p] for p, b in zip(flat, blank) if b]
+        size[blank] = [len(spaces[p]) for p, b in zip(flat, blank) if b]
+        whole = gather(np.concatenate([ids, *spaces.values()]), first, size)
+        ends = np.append(0, np.cumsum(size))[np.cumsum([len(ps) for ps in pieces])]
+        return np.split(whole, ends[:-1])
+
+    def in_places(self, texts: list[str]) -> pa.Array:
+        """The words of each text; one that begins with a line end, as the first does here, has no space before it."""
+        return pa.compute.split_pattern(pa.compute.replace_substring(large(["\n" + t for t in texts]),
+                                                                     "\n", " \n"), " ")
+
+    #: Whether ``in_places`` adds an empty word and an id before each text.
+    ahead = True
+
+    def gathered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts by the numbers of their words."""
+        if not texts:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        split = self.in_places(texts)
+        numbered = split.flatten().dictionary_encode()
+        flat, sizes = self.of_words(numbered.dictionary)
+        at = np.asarray(numbered.indices)
+        size, first = sizes[at], (np.cumsum(sizes) - sizes)[at]
+        bounds = np.asarray(split.offsets)
+        if self.ahead:
+            heads = bounds[:-1] - bounds[0]
+            size[heads] = 0
+            size[heads + 1] -= 1
+            first[heads + 1] += 1
+        ends = np.cumsum(size)
+        return gather(flat, first, size), np.diff(ends[bounds[1:] - bounds[0] - 1], prepend=0)
+
+    def of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of different words, one after the other, and how many each has."""
+        pc = pa.compute
+        tailed = np.asarray(pc.match_substring_regex(words, self.tail))
+        cores = words
+        if tailed.any():
+            cut = pc.utf8_slice_codeunits(words.filter(pa.array(tailed)), 0, -1)
+            cores = pc.replace_with_mask(words, pa.array(tailed), cut)
+        numbered = cores.dictionary_encode()
+        at = self.places(numbered.dictionary)[np.asarray(numbered.indices)]
+        sizes = self.sizes[at] + tailed
+        flat = np.zeros(int(sizes.sum()), "<u4")
+        ends = np.cumsum(sizes)
+        inner = np.ones(len(flat), bool)
+        inner[ends[tailed] - 1] = False
+        flat[inner] = gather(self.known, self.first[at], self.sizes[at])
+        if tailed.any():
+            dots = np.asarray(pc.ends_with(words.filter(pa.array(tailed)), "."))
+            flat[ends[tailed] - 1] = np.where(dots, self.tails["."], self.tails[","])
+        return flat, sizes
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where the cache holds ``words``, which it learns first where it lacks them."""
+        pc = pa.compute
+        if len(self.words) > 2 * CACHED_WORDS:
+            self.forget()
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        if len(new):
+            ids, sizes = self.learnt(new)
+            self.words = pa.concat_arrays([self.words, new])
+            self.first = np.concatenate([self.first, len(self.known) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+            self.known = np.concatenate([self.known, ids])
+            fresh = np.arange(len(self.words) - len(new), len(self.words))
+            filled = np.zeros(len(words), np.int64)
+            missing = np.asarray(pc.is_null(at))
+            filled[missing] = fresh
+            filled[~missing] = np.asarray(at.drop_null())
+            at = filled
+        else:
+            at = np.asarray(at).astype(np.int64)
+        self.uses[at] += 1
+        return at
+
+    def forget(self) -> None:
+        """Keeps the words that several batches asked for, half of the bound at most, and none that is long."""
+        worth = np.where(np.asarray(pa.compute.binary_length(self.words)) > LONGEST_CACHED, 0, self.uses)
+        kept = np.sort(np.argsort(-worth, kind="stable")[:CACHED_WORDS])
+        kept = kept[worth[kept] > 1]
+        self.words = self.words.take(pa.array(kept))
+        self.known = gather(self.known, self.first[kept], self.sizes[kept])
+        self.sizes = self.sizes[kept]
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.uses = self.uses[kept] // 2
+
+    def written(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, Callable[[str], str]]:
+        """Words as they are encoded together, how many of the marks before each are its own, and one word's own text."""
+        pc = pa.compute
+        begins = pc.starts_with(words, "\n")
+        texts = pc.if_else(begins, words, pc.binary_join_element_wise(large("\n "), words, large("")))
+        return texts, np.asarray(begins).astype(np.int64), lambda t: t if t[1:2] != " " else t[1:]
+
+    def learnt(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that the cache lacks."""
+        texts, own, alone = self.written(words)
+        bounds = np.append(np.arange(0, len(words), 200), len(words))
+        joined = pa.compute.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), texts), large("")).to_pylist()
+        flat, sizes = [], []
+        for k, e in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            a, b = bounds[k], bounds[k + 1]
+            ids = np.array(e.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) == b - a:
+                keep = np.ones(len(ids), bool)
+                keep[cuts[own[a:b] == 0]] = False
+                flat.append(ids[keep])
+                sizes.append(np.diff(cuts, append=len(ids)) - 1 + own[a:b])
+            else:  # a word holds the mark, or a word's part makes it
+                each = [self.ids(alone(t)) for t in texts[a:b].to_pylist()]
+                flat += each
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+
+class LowerTokenizer(WordTokenizer):
+    """The same for vocabularies that drop white space and mark the ends of words.
+
+    Every word between white space has its own ids, whatever stands beside it.
+    """
+
+    separator = "\x01"
+    ahead = False
+
+    def irregular(self, t: str) -> bool:
+        return bool(self.rare(t))
+
+    def general(self, texts: list[str]) -> list[np.ndarray]:
+        return list(map(self.ids, texts))
+
+    def in_places(self, texts: list[str]) -> pa.Array:
+        return pa.compute.split_pattern(pa.compute.replace_substring(large(texts), "\n", " "), " ")
+
+    def written(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, Callable[[str], str]]:
+        return (pa.compute.binary_join_element_wise(large(self.separator + " "), words, large(" "), large("")), np.zeros(len(words), np.int64),
+                lambda t: t[2:])
+
+
+def large(values: list[str] | str) -> pa.Array | pa.Scalar:
+    return pa.scalar(values, pa.large_string()) if isinstance(values, str) else pa.array(values, pa.large_string())
+
+
+def gather(values: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin at ``first``, one after the other."""
+    ends = np.cumsum(sizes)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - sizes), sizes)]
 
 
 def tokenizer(path: str) -> WordTokenizer:
     """The worker's tokenizer for a vocabulary file; its word cache outlives a task."""
     state = worker_state()
     if ("tokenizer", path) not in state:
-        state["tokenizer", path] = WordTokenizer(path)
+        from tokenizers import Tokenizer
+
+        marked = getattr(Tokenizer.from_file(path).model, "end_of_word_suffix", None)
+        state["tokenizer", path] = (LowerTokenizer if marked else WordTokenizer)(path)
         gc.freeze()  # what is loaded by now stays, and need not be walked again
     return state["tokenizer", path]
 

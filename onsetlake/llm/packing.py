@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import common, tokens
 
-_RANKS = 1 << 40
+_RANKS = 1 << 40  # pieces of one length that can be told apart
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -41,18 +41,18 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 def pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_ids: bool = False) -> DataFrame:
     """One row a piece of every whole text (null: empty), ``end_id`` appended; ``ids`` too where asked for."""
     common.bounded_batches(docs.sparkSession)
-    tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = common.tokenizer(path)
         for batch in batches:
             for part in common.sliced(batch, tokens.SLICE_BYTES):
                 rows: list[list] = [[], [], [], [], [], []]
-                for key, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(common.texts_of(part.column("text")))):
-                    ids += tail
-                    for k, (a, n) in enumerate(cut(len(ids) // 4, capacity)):
-                        piece = ids[4 * a:4 * (a + n)]
-                        for column, value in zip(rows, (key, k, a, n, zlib.crc32(piece), piece)):
+                flat, sizes = encoder.encode_flat(common.texts_of(part.column("text")), end_id)
+                whole, ends = memoryview(flat.astype("<u4").tobytes()), np.cumsum(sizes)
+                for key, first, size in zip(part.column("doc_id").to_pylist(), (ends - sizes).tolist(), sizes.tolist()):
+                    for k, (a, n) in enumerate(cut(size, capacity)):
+                        ids = whole[4 * (first + a):4 * (first + a + n)]
+                        for column, value in zip(rows, (key, k, a, n, zlib.crc32(ids), bytes(ids) if keep_ids else b"")):
                             column.append(value)
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
@@ -173,6 +173,8 @@ def ranked(df: DataFrame, length: str, *ties: str) -> tuple[DataFrame, dict[int,
 def assign(sized: DataFrame, capacity: int, *ties: str) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with ``length`` from 1 to ``capacity``."""
     rows, counts, rank_of = ranked(sized, "length", *ties)
+    if max(counts.values(), default=0) >= _RANKS:
+        raise ValueError(f"{max(counts.values())} pieces have one length; ranks tell {_RANKS} apart")
     plan, _ = plan_rounds(counts, capacity)
     runs = np.array(sorted(plan) or [(0, 0, 0, 0, 0)], np.int64)
     names = sized.columns

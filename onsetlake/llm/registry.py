@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, decontam, linechunks, packing, quality, secrets, simhash, suffixes, tokens, toxicity, warc
+from . import (buckets, clusters, common, decontam, linechunks, packing, prefixes, quality, secrets, simhash, suffixes, tokens,
+               toxicity, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +84,19 @@ def op10_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.tokenizer_path("word_bpe_49k.json")
+    return buckets.pack(table(spark, sf_dir, "documents"), path, end_id=2, capacity=4096)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.k_means(table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256, salt="2:")
+
+
 OP10_SQL = """
 SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest,
        CASE WHEN strlen(payload) >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
@@ -140,6 +154,55 @@ FROM w LEFT JOIN places USING (id) LEFT JOIN found USING (id) WHERE side = 'd'
 """
 
 
+OP12_SQL = """
+WITH t AS (SELECT conv_id, turn, md5(length(r) || ':' || r || x) AS k, length(x) AS chars
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS i FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS giver, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                             lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, i, k, chars FROM c JOIN n ON n.conv_id = giver WHERE i < h
+  UNION ALL SELECT c.conv_id, 1, i, k, chars FROM c JOIN n ON n.conv_id = c.conv_id WHERE i >= h),
+l AS (SELECT conv_id, list(k ORDER BY part, i) AS ks, list(chars ORDER BY part, i) AS cs FROM r GROUP BY conv_id),
+p AS (SELECT *, unnest(range(len(ks) + 1)) AS d FROM (
+  SELECT conv_id, coalesce(ks, []) AS ks, coalesce(cs, []) AS cs FROM c LEFT JOIN l USING (conv_id))),
+q AS (SELECT conv_id, d, len(ks) AS turns, array_to_string(ks[1:d], '') AS node, array_to_string(ks[1:d - 1], '') AS up,
+    CASE WHEN d > 0 THEN cs[d] ELSE 0 END AS chars FROM p),
+m AS (SELECT node, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CASE WHEN turns = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM q GROUP BY node, d),
+kids AS (SELECT up AS node, count(*) AS n_children FROM m WHERE d > 0 GROUP BY up),
+s AS (SELECT q.node, CAST(sum((x.n_convs - 1) * x.chars) AS BIGINT) AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves
+  FROM m x JOIN q ON q.conv_id = x.conv_id AND q.d <= x.d LEFT JOIN kids k ON k.node = x.node GROUP BY q.node)
+SELECT m.conv_id, m.d AS depth, a.conv_id AS parent_conv_id, m.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+  m.ends_sha256
+FROM m JOIN s USING (node) LEFT JOIN kids USING (node) LEFT JOIN m a ON m.d > 0 AND a.node = m.up
+"""
+
+
+def op13_sql(k: int = 40, rounds: int = 5) -> str:
+    """Whole numbers as doubles, so list products are exact; a distance and a number make one sort key."""
+    far = "list_inner_product(x, x) - 2 * list_inner_product(x, y) + list_inner_product(y, y)"
+    steps = [f"""
+v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x, row_number() OVER () AS rid FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY name, x) - 1 AS c, x AS y
+  FROM (SELECT *, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS name FROM v ORDER BY name, x LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS (SELECT rid, any_value(vec_id) AS vec_id, any_value(x) AS x, min(({far}) * 1024 + c)::BIGINT AS best "
+                     f"FROM v, c{r} GROUP BY rid)")
+        steps.append(f"""s{r} AS (SELECT c, list(floor(total / n) ORDER BY i) AS y FROM (
+  SELECT best % 1024 AS c, i, sum(x[i]) AS total, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY ALL) GROUP BY c),
+c{r + 1} AS (SELECT c, coalesce(s{r}.y, c{r}.y) AS y FROM c{r} LEFT JOIN s{r} USING (c))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, (best % 1024)::INTEGER AS cluster, best // 1024 AS distance,
+  sum(best // 1024) OVER (PARTITION BY best % 1024)::BIGINT AS cluster_inertia, sum(best // 1024) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(y, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = best % 1024"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -152,6 +215,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_run_length_dedup": op9_run_length_dedup,
         "op10_warc_capture_index": op10_warc_capture_index,
+        "op11_power_of_two_packing": op11_power_of_two_packing,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_bit_plane_clusters": op13_bit_plane_clusters,
     }
 
 
@@ -160,4 +226,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": OP4_SQL,
         "op7_winnowing_decontamination": OP7_SQL,
         "op10_warc_capture_index": OP10_SQL,
+        "op12_prefix_trie": OP12_SQL,
+        "op13_bit_plane_clusters": op13_sql(),
     }

@@ -104,24 +104,20 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None, text: str = "text")
     of int64.
     """
     common.bounded_batches(docs.sparkSession)
-    tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = common.tokenizer(path)
         kind = encoder.kind
         total = np.zeros(0, np.int64)
         for batch in batches:
             for part in common.sliced(batch, SLICE_BYTES):
-                ids = [i + tail for i in encoder.encode(common.texts_of(part.column("text")))]
-                flat = np.frombuffer(b"".join(ids), "<u4")
+                flat, sizes = encoder.encode_flat(common.texts_of(part.column("text")), end_id)
                 here = np.bincount(flat, minlength=len(total))
                 here[:len(total)] += total
                 total = here
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 ends = np.append(0, np.cumsum(sizes * kind.itemsize)).astype(np.int32)
-                packed = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(kind))])
+                packed = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(kind))])
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "n_tokens": pa.array(sizes),
-                                                  "ids": packed, "seen": pa.nulls(len(ids), pa.binary())})
+                                                  "ids": packed, "seen": pa.nulls(len(sizes), pa.binary())})
         met = np.flatnonzero(total)
         pairs = np.column_stack([met, total[met]]).astype("<i8").tobytes()
         yield pa.RecordBatch.from_pydict({"doc_id": pa.nulls(1, pa.int64()), "n_tokens": pa.nulls(1, pa.int64()),
