@@ -1,247 +1,254 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-1. Examples are a bounded sample of the labelled rows, ``examples`` of either
-   class at most, by the hash of their ids; votes are weighted back to the
-   classes' true sizes.
-2. Terms are all words and word beginnings of the examples.  A term weighs by its
-   inverse document frequency over all documents and by how far its presence goes
-   with the label (chi squared over the number of examples, so alike at any size).
-3. The index keeps the postings of rare terms, and of common ones a matrix in blocks
-   of ``BLOCK`` examples with each block's largest weights.  A query visits its best
-   blocks and then those whose bound exceeds its k-th best cosine, so the nearest
+1. Examples are a bounded sample of the labelled rows by the hash of their ids: of either
+   class ``examples`` rows and ``example_bytes`` bytes of text at most (one text at
+   least).  Votes are weighted back to the classes' true sizes.
+2. Terms are the examples' words and the first ``beginning`` bytes of longer ones, known by 64-bit
+   names; a term weighs ``1 + log(count)`` times its inverse frequency over all documents.
+3. The index groups the postings of every term by blocks of ``BLOCK`` examples and keeps
+   each group's largest weight.  A query adds up the bounds of all blocks, scores the best
+   ones, and then all blocks whose bound reaches its k-th best cosine, so the nearest
    examples are exact.
-4. Neighbours vote by their cosine.  A monotone map turns votes into scores; it is
-   fitted on the examples, each voted on by other parts of them only, which also
-   give the terms' weights for it.
+4. A neighbour's vote weighs by its distance and by the part of its cosine that comes from terms that
+   go with the label (chi squared over the number of examples, so alike at any size).
+   A monotone map turns votes into scores.  It is fitted on the examples, each voted on by the others,
+   as if it had not been among them.
 
-The examples are bounded by a parameter, so their index is shipped with the tasks.
+The examples are bounded by parameters, and so is their index; it is shipped as plain arrays.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .decontam import clean_words
+from .decontam import word_table
 
 BLOCK = 64
-COMMON = 8
-SLAB = 1024
-QUERIES = 128
+SLAB = 1 << 16
+FIRST = 4
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``prior``: weight of the base rate in a vote; ``folds``: parts of the examples that the map of votes is fitted on in turn."""
+    """``prior``: weight of the base rate in a vote; ``evidence``: voters that are returned, those with the most weight."""
 
     examples: int = 4096
-    folds: int = 5
-    neighbours: int = 15
-    beginnings: tuple[int, ...] = (3, 4, 5, 6, 7)
-    prior: float = 0.25
-
-
-def term_counts(text: str | None, beginnings: tuple[int, ...]) -> Counter:
-    """How often each term occurs: ``=word`` and ``n:beginning`` of n bytes."""
-    words = Counter(clean_words(text))
-    out = Counter({b"=" + w: n for w, n in words.items()})
-    for size in beginnings:
-        mark = b"%d:" % size
-        for w, n in words.items():
-            if len(w) >= size:
-                out[mark + w[:size]] += n
+    example_bytes: int = 16 << 20
+    neighbours: int = 100
+    evidence: int = 10
+    beginning: int = 7
+    prior: float = 0.01
+
+
+def names_of(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit names of byte strings: the bytes and their number where these fit, else a hash of eight bytes at a time."""
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    masks = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+    shifts = np.arange(0, 64, 8, dtype=np.uint64)
+
+    def eight(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        # each shifted byte keeps its bits apart, so their sum is their union
+        return (padded[at[:, None] + np.arange(8)].astype(np.uint64) << shifts).sum(1, dtype=np.uint64) & masks[np.minimum(left, 8)]
+
+    out = eight(first, sizes) | (sizes.astype(np.uint64) << np.uint64(56)) if len(first) else np.zeros(0, np.uint64)
+    long = np.flatnonzero(sizes > 7)
+    if len(long):
+        state = sizes[long].astype(np.uint64)
+        more, at = np.arange(len(long)), 0
+        while len(more):
+            rows = long[more]
+            x = (state[more] ^ eight(first[rows] + at, sizes[rows] - at)) * np.uint64(0x9E3779B97F4A7C15)
+            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            state[more] = x ^ (x >> np.uint64(32))
+            at += 8
+            more = more[sizes[long[more]] > at]
+        out[long] = state | np.uint64(1 << 63)  # short names have their size there, below 128
     return out
 
 
-def vocabulary(examples: DataFrame, settings: Settings) -> list[bytes]:
-    """All terms of the examples' texts, in order."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms: set[bytes] = set()
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                terms.update(term_counts(text, settings.beginnings))
-                if len(terms) > 300_000:
-                    yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.binary())})
-                    terms = set()
-        yield pa.RecordBatch.from_pydict({"term": pa.array(terms, pa.binary())})
-
-    return sorted(examples.select("text").mapInArrow(common.released(run), "term binary").distinct().toArrow()["term"].to_pylist())
-
-
-def association(rows: list[np.ndarray], toxic: np.ndarray, n_terms: int) -> np.ndarray:
-    """Chi squared over the number of examples, 0 to 1 at any size: how far a term's presence goes with the label."""
-    held = np.zeros((2, n_terms))
-    for at, label in zip(rows, toxic):
-        held[label, at] += 1
-    b, a = held
-    n_toxic, n_clean = float((toxic == 1).sum()), float((toxic == 0).sum())
-    c, d = n_toxic - a, n_clean - b
-    return (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * n_toxic * n_clean, 1.0)
-
-
-class Terms:
-    """The numbers of the terms of texts; a worker keeps those of words seen before."""
-
-    def __init__(self, terms: list[bytes], beginnings: tuple[int, ...]):
-        self.terms = terms
-        self.number: dict[bytes, int] = {}  # made by the workers only
-        self.marks = [(size, b"%d:" % size) for size in sorted(beginnings)]
-        self.words: dict[bytes, tuple[int, ...]] = {}
-
-    def of_word(self, w: bytes) -> tuple[int, ...]:
-        out = [i] if (i := self.number.get(b"=" + w)) is not None else []
-        for size, mark in self.marks:
-            if len(w) < size or (i := self.number.get(mark + w[:size])) is None:
-                break  # sizes grow, and a beginning that no example has is no longer one's either
-            out.append(i)
-        return tuple(out)
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers, in order, and counts of a text's terms."""
-        if not self.number:
-            self.number = {t: i for i, t in enumerate(self.terms)}
-        if len(self.words) > common.CACHED_WORDS:
-            self.words.clear()
-        words = Counter(clean_words(text))
-        for w in words:
-            if w not in self.words:
-                self.words[w] = self.of_word(w)
-        own = list(map(self.words.__getitem__, words))
-        at = np.array(list(chain.from_iterable(own)), np.int64)
-        n = np.repeat(np.array(list(words.values()), np.int64), list(map(len, own))) if own else at
-        order = np.argsort(at)
-        at = at[order]
-        first = np.flatnonzero(np.diff(at, prepend=-1))
-        return at[first].astype(np.int32), np.add.reduceat(n[order], first).astype(np.int32) if len(at) else n.astype(np.int32)
-
-
-def document_frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
-    """In how many documents each term occurs, and how many documents there are; a task counts its own rows first."""
-    n_terms = len(terms.terms)
+def text_terms(column: pa.Array, beginning: int, known: np.ndarray | None = None):
+    """(text, term, count) of the different terms of each text; terms are names, or places in ``known`` (others are left out)."""
+    data, at = common.text_buffer(column)
+    words, texts = _words(data, at)
+    if not len(words):
+        none = np.zeros(0, np.int64)
+        return none, (none if known is not None else none.astype(np.uint64)), none
+    numbered = words.dictionary_encode()
+    raw, bounds = common.text_buffer(numbered.dictionary.cast(pa.large_binary()).view(pa.large_string()))
+    first, sizes = bounds[:-1], np.diff(bounds)
+    names = names_of(raw, first, sizes)
+    longer = np.flatnonzero(sizes > beginning)
+    heads = np.full(len(names), -1, np.int64)
+    # a beginning and a word of the same bytes are two terms
+    begun, heads[longer] = np.unique(~names_of(raw, first[longer], np.full(len(longer), beginning)), return_inverse=True)
+    terms = np.concatenate([names, begun])
+    if known is not None:
+        place = np.searchsorted(known, terms)
+        place[place == len(known)] = 0
+        held = known[place] == terms if len(known) else np.zeros(len(terms), bool)
+        terms = np.where(held, place, -1)
+    index = np.asarray(numbered.indices).astype(np.int64)
+    head = heads[index]
+    text = np.concatenate([texts, texts[head >= 0]])
+    term = np.concatenate([index, len(names) + head[head >= 0]])
+    if known is not None:
+        inside = terms[term] >= 0
+        text, term = text[inside], terms[term[inside]]
+        width = max(len(known), 1)
+    else:
+        width = len(terms)
+    pair, n = np.unique(text * width + term, return_counts=True)
+    text, term = np.divmod(pair, width)
+    return text, (term if known is not None else terms[term]), n
+
+
+def _words(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts (ASCII letters in lower case, digits, other characters), and the text of each."""
+    clean = word_table()[data]
+    letter = np.concatenate([[False], clean != 0, [False]])
+    begins, ends = np.flatnonzero(letter[1:] & ~letter[:-1]), np.flatnonzero(letter[:-1] & ~letter[1:])
+    inner = at[1:-1]  # a word ends with its text, too
+    cut = np.unique(inner[letter[inner] & letter[inner + 1]])
+    begins, ends = np.union1d(begins, cut), np.union1d(ends, cut)
+    sizes = ends - begins
+    offsets = np.append(0, np.cumsum(sizes))
+    packed = common.gather(clean, begins, sizes)
+    words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(packed)])
+    return words, np.searchsorted(at, begins, "right") - 1
+
+
+def document_frequencies(docs: DataFrame, known: np.ndarray, beginning: int) -> tuple[np.ndarray, int]:
+    """In how many documents each known term occurs, and how many documents there are; a task counts its own rows first."""
+    n_terms = len(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_terms + 1, np.int64)  # the last: rows
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                total[terms.vector(text)[0]] += 1
-            total[-1] += batch.num_rows
+        for whole in batches:
+            total[-1] += whole.num_rows
+            for batch in common.sliced(whole, 4 << 20):
+                total[:-1] += np.bincount(text_terms(batch.column("text"), beginning, known)[1], minlength=n_terms)
         starts = range(0, n_terms + 1, SLAB)
+        kind = np.int32 if total.max() < 1 << 31 else np.int64
         yield pa.RecordBatch.from_pydict({"slab": pa.array(starts, pa.int32()),
-                                          "n": pa.array([total[i:i + SLAB].tobytes() for i in starts], pa.binary())})
+                                          "n": pa.array([total[i:i + SLAB].astype(kind).tobytes() for i in starts], pa.binary()),
+                                          "wide": pa.array([kind is np.int64 for _ in starts])})
 
     def added(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table["n"].to_pylist())
+        total = sum(np.frombuffer(x, np.int64 if wide else np.int32).astype(np.int64)
+                    for x, wide in zip(table["n"].to_pylist(), table["wide"].to_pylist()))
         return pa.table({"slab": table["slab"][:1].combine_chunks(), "n": pa.array([total.tobytes()], pa.binary())})
 
-    out = docs.select("text").mapInArrow(common.released(run), "slab int, n binary") \
+    out = docs.select("text").mapInArrow(common.released(run), "slab int, n binary, wide boolean") \
         .groupBy("slab").applyInArrow(added, "slab int, n binary").toArrow().sort_by("slab")
     total = np.frombuffer(b"".join(out["n"].to_pylist()), np.int64)
     return total[:-1], int(total[-1])
 
 
-def weighed(at: np.ndarray, n: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """Weights of a vector's terms, scaled to length one; ``factors``: a term's inverse frequency times its association."""
-    w = (1 + np.log(np.asarray(n, float))) * factors[at]
-    return w / max(math.sqrt(float(w @ w)), 1e-300)
+def unit_weights(row: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray, rows: int) -> np.ndarray:
+    """TF-IDF weights of vectors, each scaled to length one."""
+    w = (1 + np.log(n)) * idf[term]
+    return w / np.sqrt(np.maximum(np.bincount(row, w * w, rows), 1e-300))[row]
 
 
-class BlockMaxIndex:
-    """Postings of unit vectors, and for blocks of ``BLOCK`` vectors the largest weight of each common term.
+def association(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
+    """Chi squared over the number of examples, 0 to 1: how far a term in so many toxic and clean ones goes with the label."""
+    other, rest = n_toxic - toxic, n_clean - clean
+    return (toxic * rest - clean * other) ** 2 / np.maximum((toxic + clean) * (other + rest) * n_toxic * n_clean, 1.0)
 
-    The postings of rare terms are added up as they are.  Common terms, in one
-    of ``1 / COMMON`` vectors or more, have a dense matrix; a block of it is
-    multiplied where its bound exceeds the k-th best cosine.
-    """
 
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.size = -(-max(len(rows), 1) // BLOCK) * BLOCK
-        times = np.zeros(max(n_terms, 1), np.int64)
-        for at, _ in rows:
-            times[at] += 1
-        common_terms = np.flatnonzero(times * COMMON >= max(len(rows), 1))
-        self.column = np.full(len(times), -1, np.int32)
-        self.column[common_terms] = np.arange(len(common_terms))
-        times[common_terms] = 0
-        self.first = np.concatenate([[0], np.cumsum(times)])
-        self.dense = np.zeros((max(len(common_terms), 1), self.size), np.float32)
-        self.ids, self.weights = np.zeros(self.first[-1], np.int32), np.zeros(self.first[-1], np.float32)
-        free = self.first[:-1].copy()
-        for k, (at, weights) in enumerate(rows):  # one at a time: the driver holds no second copy of all postings
-            at, weights = np.asarray(at, np.int64), np.asarray(weights, np.float32)
-            column = self.column[at]
-            dense = column >= 0
-            self.dense[column[dense], k] = weights[dense]
-            rare = at[~dense]
-            self.ids[free[rare]], self.weights[free[rare]] = k, weights[~dense]
-            free[rare] += 1
-        self.largest = self.dense.reshape(len(self.dense), -1, BLOCK).max(2)
+class BlockMaxIndex:
+    """Postings of unit vectors in groups by term and block of ``BLOCK`` vectors, each with its largest weight."""
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.size, self.blocks = int(arrays["size"][0]), int(arrays["size"][1])
+        self.term, self.block, self.most = arrays["term"], arrays["block"], arrays["most"]  # of groups, terms as offsets
+        self.first, self.ids, self.weights = arrays["first"], arrays["ids"], arrays["weights"]
         self.visited = 0
 
-    def _rare(self, at: np.ndarray, q: np.ndarray) -> np.ndarray:
-        n = self.first[at + 1] - self.first[at]
-        where = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        return np.bincount(self.ids[where], self.weights[where] * np.repeat(q, n), self.size)
-
-    def nearest(self, at, weights, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and cosines of the ``k`` nearest vectors with a cosine above 0 (ties: the first), best first."""
-        return self.nearest_of([(at, weights)], k, [without])[0]
-
-    def nearest_of(self, queries: list, k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """``nearest`` for several vectors, whose blocks are multiplied together."""
-        q = np.zeros((len(queries), len(self.dense)), np.float32)
-        scores = np.zeros((len(queries), self.size), np.float32)
-        for row, (at, weights) in enumerate(queries):
-            at, w = np.asarray(at, np.int64), np.asarray(weights, np.float32)
-            column = self.column[at]
-            q[row, column[column >= 0]] = w[column >= 0]
-            scores[row] = self._rare(at[column < 0], w[column < 0])
-        blocks = scores.reshape(len(queries), -1, BLOCK)
-        bounds = q @ self.largest + blocks.max(2)
-        done = np.zeros(bounds.shape, bool)
+    @staticmethod
+    def arrays(row: np.ndarray, term: np.ndarray, weights: np.ndarray, rows: int, n_terms: int) -> dict[str, np.ndarray]:
+        """Plain arrays of the index of (row, term, weight) entries."""
+        order = np.lexsort((row, term))
+        row, term, weights = row[order], term[order], weights[order].astype(np.float32)
+        blocks = -(-max(rows, 1) // BLOCK)
+        group = term * blocks + row // BLOCK
+        first = np.flatnonzero(np.diff(group, prepend=-1))
+        return {"size": np.array([rows, blocks]), "term": np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32),
+                "block": (row[first] // BLOCK).astype(np.int16 if blocks < 1 << 15 else np.int32),
+                "most": np.maximum.reduceat(weights, first) if len(first) else weights,
+                "first": np.append(first, len(row)).astype(np.int32), "ids": row.astype(np.int32), "weights": weights}
+
+    def nearest(self, at: np.ndarray, q: np.ndarray, k: int, worth: np.ndarray | None = None, without: int = -1):
+        """Numbers and cosines of the ``k`` nearest vectors with a cosine above 0 (ties: the first), best first.
+
+        Third, for each of them the sum over shared terms of both weights and the term's ``worth``.
+        """
+        q = q.astype(np.float32)
+        n = self.term[at + 1] - self.term[at]
+        groups = common.gather(np.arange(len(self.block)), self.term[at], n)
+        of = np.repeat(np.arange(len(at)), n)
+        block = self.block[groups].astype(np.int64)
+        bounds = np.bincount(block, self.most[groups] * q[of], self.blocks)
+        scores = np.zeros(self.blocks * BLOCK)
+        done = np.zeros(self.blocks, bool)
 
         def visit(wanted: np.ndarray) -> None:
-            for b in np.flatnonzero(wanted.any(0)):
-                rows = np.flatnonzero(wanted[:, b])
-                blocks[rows, b] += q[rows] @ self.dense[:, b * BLOCK:(b + 1) * BLOCK]
-            self.visited += int(wanted.sum())
+            mine = wanted[block]
+            g, w = groups[mine], q[of[mine]]
+            size = self.first[g + 1] - self.first[g]
+            places = common.gather(self._all(), self.first[g], size)
+            scores[:] += np.bincount(self.ids[places], self.weights[places] * np.repeat(w, size), len(scores))
             done[wanted] = True
+            self.visited += int(wanted.sum())
 
-        best = np.zeros(bounds.shape, bool)
-        np.put_along_axis(best, np.argsort(-bounds, 1, kind="stable")[:, :4], True, 1)
+        best = np.zeros(self.blocks, bool)
+        best[np.argsort(-bounds, kind="stable")[:FIRST]] = True
         visit(best)
-        for row, own in enumerate(without or []):
-            if own >= 0:
-                scores[row, own] = 0
-        known = np.where(done[:, :, None], blocks, 0).reshape(scores.shape)
-        worst = -np.partition(-known, min(k, self.size) - 1, 1)[:, min(k, self.size) - 1] if k <= self.size else np.zeros(len(queries))
-        visit(~done & (bounds > np.maximum(worst, 0)[:, None] - 1e-6) & (bounds > 0))
-        for row, own in enumerate(without or []):
-            if own >= 0:
-                scores[row, own] = 0
-        out = []
-        for row, these in enumerate(scores):
-            these = np.where(np.repeat(done[row], BLOCK), these, 0)
-            least = max(-np.partition(-these, k - 1)[k - 1], 0) if k <= self.size else 0
-            ids = np.flatnonzero((these > 0) & (these >= least))
-            ids = ids[np.lexsort((ids, -these[ids]))[:k]]
-            out.append((ids, these[ids]))
-        return out
-
-
-def vote(ids: np.ndarray, cosines: np.ndarray, toxic: np.ndarray, share: np.ndarray, base: float, prior: float) -> float:
-    """Distance-weighted share of toxic neighbours; ``share``: rows that an example stands for, ``prior``: of the base rate."""
-    w = cosines / np.maximum(1.05 - cosines, 0.05) * share[ids]
-    unit = float(share.mean()) if len(share) else 1.0
-    return float((w @ toxic[ids] + prior * unit * base) / (w.sum() + prior * unit))
+        if without >= 0:
+            scores[without] = 0
+        worst = max(-np.partition(-scores, k - 1)[k - 1], 0) if k <= len(scores) else 0
+        rest = ~done & (bounds > 0) & (bounds >= worst - 1e-5)
+        if rest.any():
+            visit(rest)
+            if without >= 0:
+                scores[without] = 0
+        least = max(-np.partition(-scores, k - 1)[k - 1], 0) if k <= len(scores) else 0
+        ids = np.flatnonzero((scores > 0) & (scores >= least))
+        ids = ids[np.lexsort((ids, -scores[ids]))[:k]]
+        if worth is None or not len(ids):
+            return ids, scores[ids], np.zeros(len(ids))
+        chosen = np.zeros(len(scores), bool)
+        chosen[ids] = True
+        mine = (np.bincount(ids // BLOCK, minlength=self.blocks) > 0)[block] & (worth[of] > 0)
+        g, w = groups[mine], (q * worth)[of[mine]]
+        size = self.first[g + 1] - self.first[g]
+        places = common.gather(self._all(), self.first[g], size)
+        inside = chosen[self.ids[places]]
+        shared = np.bincount(self.ids[places][inside], (self.weights[places] * np.repeat(w, size))[inside], len(scores))
+        return ids, scores[ids], shared[ids]
+
+    def _all(self) -> np.ndarray:
+        if not hasattr(self, "_places"):
+            self._places = np.arange(len(self.ids), dtype=np.int32)
+        return self._places
+
+
+def weights_of(cosines: np.ndarray, shared: np.ndarray, stands: np.ndarray) -> np.ndarray:
+    """What neighbours' votes weigh, by distance and by what terms of the label add to the cosine; ``stands``: rows one stands for."""
+    return shared / np.maximum(1.05 - cosines, 0.05) * stands
+
+
+def vote(w: np.ndarray, toxic: np.ndarray, unit: float, base: float, prior: float) -> float:
+    """Share of toxic neighbours by weight, with the base rate as one more of weight ``prior``."""
+    return float((w @ toxic + prior * unit * base) / (w.sum() + prior * unit))
 
 
 def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,128 +265,154 @@ def monotone(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array(knots or [0.0]), np.array(values or [0.0])
 
 
-def fitted(found: list, toxic: np.ndarray, stands: np.ndarray, factors: np.ndarray, share: float):
-    """The rate of toxic examples without a weight, the places of the others, and the index of these in that order."""
-    units = [(at, weighed(at, n, factors).astype(np.float32)) for at, n in found]
-    bare = np.array([not w.any() for _, w in units], bool)
-    rate = float((stands * toxic)[bare].sum() / stands[bare].sum()) if bare.any() else share
-    some = np.flatnonzero(~bare)
-    # like vectors share blocks
-    some = np.array(sorted(some, key=lambda k: units[k][0][np.argsort(-units[k][1], kind="stable")[:4]].tolist()), np.int64)
-    return rate, some, BlockMaxIndex([units[k] for k in some], len(factors))
-
-
-def votes(index: BlockMaxIndex, found: list, factors: np.ndarray, toxic: np.ndarray, stands: np.ndarray, rate: float,
-          settings: Settings) -> list[float]:
-    """The votes on vectors; one without a weight gets the rate."""
-    out = []
-    for i in range(0, len(found), QUERIES):
-        asked = [(at, weighed(at, n, factors)) for at, n in found[i:i + QUERIES]]
-        near = index.nearest_of(asked, settings.neighbours)
-        out += [vote(*x, toxic, stands, rate, settings.prior) if w.any() else rate for x, (_, w) in zip(near, asked)]
-    return out
-
-
 def held_out(key: str = "doc_id"):
     """True for the rows that labels are not learnt from."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def example_texts(docs: DataFrame, labels: DataFrame, sizes: dict[int, int], settings: Settings, key: str) -> DataFrame:
+    """(key, toxic, text) of the examples; of a key with several texts one of them."""
+    # the sample has a fixed size, so it may be broadcast
+    sample = [labels.where(F.col("toxic") == c).orderBy(F.xxhash64(key), key).limit(settings.examples) for c in sizes]
+    sample = common.stored(sample[0].unionByName(sample[1]), "examples")
+    chosen = common.with_row_key(docs, key, "text").join(F.broadcast(sample), key)
+    one = chosen.groupBy(key).agg(F.min(F.struct("_k1", "_k2")).alias("one")).select("one.*")
+    texts = common.stored(chosen.join(F.broadcast(one), ["_k1", "_k2"]).dropDuplicates([key]), "example-texts")
+    # at most ``examples`` rows of a class stand in a window, and without their texts
+    so_far = F.sum("n").over(Window.partitionBy("toxic").orderBy(F.xxhash64(key), key).rowsBetween(Window.unboundedPreceding, -1))
+    fits = texts.select(key, "toxic", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n")) \
+        .withColumn("before", F.coalesce(so_far, F.lit(0))) \
+        .where((F.col("before") == 0) | (F.col("before") + F.col("n") <= settings.example_bytes)).select(key)
+    return texts.join(F.broadcast(fits), key).select(key, "toxic", "text")
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id") -> DataFrame:
-    """One row a document: key, held_out, score (0 to 1) and neighbours (key, label, cosine), the evidence.
+    """One row a document: key, held_out, score (0 to 1) and neighbours (key, label, cosine): the evidence, the nearest that weigh most.
 
     Documents without any term of the examples, empty and null texts among
     them, get the rate of toxic examples without terms.  Null labels are none;
     a key with several labels counts as toxic if one says so, a key with several
     texts as an example with one of them.  Without labels of both classes
     every score is the share of toxic ones (0 without labels).  Repeated rows all stay;
-    an empty table gives no rows; other columns are left out.
+    an empty table gives no rows; other columns are left out.  Keys that are no whole numbers raise an error.
     """
-    common.bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    common.bounded_batches(spark)
     docs = docs.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text"))
     known = labels.select(F.col(key).cast("long").alias(key), F.col("toxic").cast("int").alias("toxic")) \
         .where(~held_out(key)).where(F.col(key).isNotNull() & F.col("toxic").isin(0, 1)) \
         .groupBy(key).agg(F.max("toxic").alias("toxic"))
-    keyed = common.with_row_key(docs, key, "text")
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     total = sum(sizes.values())
     share = sizes.get(1, 0) / total if total else 0.0
-    no_evidence = F.array().cast(EVIDENCE)
+    flat = docs.select(key, held_out(key).alias("held_out"), F.lit(share).alias("score"), F.array().cast(EVIDENCE).alias("neighbours"))
     if len(sizes) < 2:
-        return docs.select(key, held_out(key).alias("held_out"), F.lit(share).alias("score"), no_evidence.alias("neighbours"))
-    # the sample has a fixed size, so it may be broadcast
-    sample = [known.where(F.col("toxic") == c).orderBy(F.xxhash64(key), key).limit(settings.examples) for c in (0, 1)]
-    sample = common.stored(sample[0].unionByName(sample[1]), "examples")
-    chosen = keyed.join(F.broadcast(sample), key)
-    one = chosen.groupBy(key).agg(F.min(F.struct("_k1", "_k2")).alias("one")).select("one.*")
-    texts = common.stored(chosen.join(F.broadcast(one), ["_k1", "_k2"]).dropDuplicates([key]), "example-texts")
-    sampled = {r.toxic: r["count"] for r in texts.groupBy("toxic").count().collect()}
-    if len(sampled) < 2:
-        return docs.select(key, held_out(key).alias("held_out"), F.lit(share).alias("score"), no_evidence.alias("neighbours"))
-    names = vocabulary(texts, settings)
-    terms = Terms(names, settings.beginnings)
-    frequency, n_docs = document_frequencies(docs, terms)
-    idf = np.log((1 + n_docs) / (1 + frequency)) + 1
-
-    def example(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [terms.vector(text) for text in batch.column("text").to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(key), batch.column("toxic"),
-                                           *[pa.array([v[i].tobytes() for v in found], pa.binary()) for i in (0, 1)]],
-                                          [key, "toxic", "at", "n"])
-
-    own = common.mapped(texts.select(key, "toxic", "text"), f"`{key}` long, toxic int, at binary, n binary", example).toArrow()
-    own = [(k, label, np.frombuffer(at, np.int32), np.frombuffer(n, np.int32)) for k, label, at, n in
-           zip(*[own[c].to_pylist() for c in (key, "toxic", "at", "n")])]
-
-    own.sort()
-    ids = np.array([r[0] for r in own])
-    toxic = np.array([r[1] for r in own])
-    stands = np.array([sizes[r[1]] / sampled[r[1]] for r in own])
-    found = [r[2:] for r in own]
-    del own
-    factors = idf * association([at for at, _ in found], toxic, len(names))
-    # each fold's votes come from the other folds, which alone give the terms' weights there
-    place = np.zeros(len(found), np.int64)
-    for c in (0, 1):
-        place[toxic == c] = np.arange((toxic == c).sum()) % settings.folds
-    raw = np.zeros(len(found))
-    for fold in range(settings.folds):
-        others, asked = np.flatnonzero(place != fold), np.flatnonzero(place == fold)
-        there = idf * association([found[k][0] for k in others], toxic[others], len(names))
-        base, kept, near = fitted([found[k] for k in others], toxic[others], stands[others], there, share)
-        raw[asked] = votes(near, [found[k] for k in asked], there, toxic[others][kept], stands[others][kept], base, settings)
-        del there, near
-    knots, values = monotone(raw, toxic.astype(float), stands)
-    rate, some, index = fitted(found, toxic, stands, factors, share)
-    ids, toxic, stands = ids[some], toxic[some], stands[some]
-    del found
-    state = docs.sparkSession.sparkContext.broadcast((names, factors, index))
-    beginnings = settings.beginnings
+        return flat
+    texts = example_texts(docs, known, sizes, settings, key)
+    beginning = settings.beginning
+
+    def vectors(batch: pa.RecordBatch) -> pa.RecordBatch:
+        text, term, n = text_terms(batch.column("text"), beginning)
+        cuts = np.searchsorted(text, np.arange(1, batch.num_rows))
+        parts = [[x.tobytes() for x in np.split(v, cuts)] for v in (term, n.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([batch.column(key), batch.column("toxic"), *[pa.array(p, pa.binary()) for p in parts]],
+                                          [key, "toxic", "terms", "n"])
+
+    own = common.mapped(texts, f"`{key}` long, toxic int, terms binary, n binary", vectors).toArrow()
+    sampled = np.bincount(np.asarray(own["toxic"]), minlength=2)
+    if not sampled.all():
+        return flat
+    own = own.sort_by(key)
+    ids, toxic = np.asarray(own[key]), np.asarray(own["toxic"])
+    stands = np.array([sizes[c] / sampled[c] for c in (0, 1)])[toxic]
+    raw = own["terms"].to_pylist()
+    row = np.repeat(np.arange(len(ids)), [len(x) // 8 for x in raw])
+    names, term = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+    n = np.frombuffer(b"".join(own["n"].to_pylist()), np.int32)
+    del raw, own
+    frequency, n_docs = document_frequencies(docs, names, beginning)
+    idf = (np.log((1 + n_docs) / (1 + frequency)) + 1).astype(np.float32)
+    order = _alike(row, term, n, len(ids), len(names))
+    ids, toxic, stands = ids[order], toxic[order], stands[order]
+    row = np.argsort(order)[row]
+    arrays = BlockMaxIndex.arrays(row, term, unit_weights(row, term, n, idf, len(ids)), len(ids), len(names))
+    held = [np.bincount(term[toxic[row] == c], minlength=len(names)).astype(np.int32) for c in (1, 0)]
+    bare = np.bincount(row, minlength=len(ids)) == 0
+    rate = float((stands * toxic)[bare].sum() / stands[bare].sum()) if bare.any() else share
+    del row, term, n
+    # plain arrays, bounded by the settings
+    state = spark.sparkContext.broadcast({**arrays, "names": names, "idf": idf, "held_toxic": held[0], "held_clean": held[1],
+                                          "keys": ids, "toxic": toxic, "stands": stands})
+    k, shown, prior, unit = settings.neighbours, settings.evidence, settings.prior, float(stands.mean())
+
+    def voted(batches: Iterator[pa.RecordBatch], among: bool) -> Iterator[tuple]:
+        """(batch, votes, neighbours) with a vote for each row that has terms; ``among``: the rows are examples themselves."""
+        s = state.value
+        index = BlockMaxIndex(s)
+        labels, keys, counts = s["toxic"], s["keys"], np.bincount(s["toxic"], minlength=2)
+        place = {int(x): i for i, x in enumerate(keys)} if among else {}
+        plain = association(s["held_toxic"], s["held_clean"], counts[1], counts[0]).astype(np.float32)
+        for whole in batches:
+            for batch in common.sliced(whole, 1 << 20):
+                rows, terms, n = text_terms(batch.column("text"), beginning, s["names"])
+                weights = unit_weights(rows, terms, n, s["idf"], batch.num_rows)
+                cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+                votes, found = np.full(batch.num_rows, np.nan), [[] for _ in range(batch.num_rows)]
+                for i in np.flatnonzero(np.diff(cuts)).tolist():
+                    at, q = terms[cuts[i]:cuts[i + 1]], weights[cuts[i]:cuts[i + 1]]
+                    mine = place[batch.column(key)[i].as_py()] if among else -1
+                    if among:  # as if this example were not one
+                        label = labels[mine]
+                        worth = association(s["held_toxic"][at] - label, s["held_clean"][at] - (1 - label),
+                                            counts[1] - label, counts[0] - (1 - label))
+                    else:
+                        worth = plain[at]
+                    near, cosines, shared = index.nearest(at, q, k, worth, mine)
+                    w = weights_of(cosines, shared, s["stands"][near])
+                    votes[i] = vote(w, labels[near], unit, rate, prior)
+                    most = np.argsort(-w, kind="stable")[:shown]
+                    found[i] = near[most], cosines[most]
+                yield batch, votes, found
+
+    def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, votes, _ in voted(batches, True):
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(votes)], [key, "vote"])
+
+    got = texts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key) \
+        .mapInArrow(common.released(tried), f"`{key}` long, vote double").toArrow()  # a row an example
+    votes = dict(zip(got[key].to_pylist(), got["vote"].to_pylist()))
+    x = np.array([votes[i] for i in ids.tolist()], float)
+    some = ~np.isnan(x)
+    knots, values = monotone(x[some], toxic[some].astype(float), stands[some])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, factors, index = state.value
-        mine = Terms(names, beginnings)
-        for whole in batches:
-            for i in range(0, whole.num_rows, QUERIES):
-                batch = whole.slice(i, QUERIES)
-                texts = batch.column("text").to_pylist()
-                known: dict = {}
-                for text in set(texts):
-                    at, n = mine.vector(text)
-                    if (w := weighed(at, n, factors)).any():
-                        known[text] = at, w
-                scored = {}
-                for text, (near, cosines) in zip(known, index.nearest_of(list(known.values()), settings.neighbours) if known else []):
-                    score = float(np.interp(vote(near, cosines, toxic, stands, rate, settings.prior), knots, values))
-                    scored[text] = score, [{"key": int(ids[j]), "label": int(toxic[j]), "cosine": float(c)}
-                                           for j, c in zip(near.tolist(), cosines.tolist())]
-                found = [scored.get(text, (rate, [])) for text in texts]
-                yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([x for x, _ in found], pa.float64()),
-                                                  pa.array([x for _, x in found], _EVIDENCE)], [key, "score", "neighbours"])
+        for batch, votes, found in voted(batches, False):
+            s = state.value
+            scores = np.where(np.isnan(votes), rate, np.interp(np.nan_to_num(votes), knots, values))
+            near = [x[0] for x in found if len(x)]
+            cosines = [x[1] for x in found if len(x)]
+            flat = np.concatenate([np.zeros(0, np.int64), *near])
+            ends = np.cumsum([0, *(len(x[0]) if len(x) else 0 for x in found)])
+            evidence = pa.StructArray.from_arrays([pa.array(s["keys"][flat]), pa.array(s["toxic"][flat].astype(np.int32)),
+                                                   pa.array(np.concatenate([np.zeros(0), *cosines]))], ["key", "label", "cosine"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(scores),
+                                              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), evidence)], [key, "score", "neighbours"])
 
     scored = docs.mapInArrow(common.released(run), f"`{key}` long, score double, neighbours {EVIDENCE}")
     return scored.select(key, held_out(key).alias("held_out"), "score", "neighbours")
 
 
+def _alike(row: np.ndarray, term: np.ndarray, n: np.ndarray, rows: int, n_terms: int) -> np.ndarray:
+    """An order of the examples in which those that use common terms alike share blocks; it changes no result."""
+    times = np.bincount(term, minlength=n_terms)
+    common_terms = np.argsort(-times, kind="stable")[:64]
+    column = np.full(n_terms, -1)
+    column[common_terms] = np.arange(len(common_terms))
+    at = column[term]
+    use = np.zeros((rows, 64), np.float32)
+    use[row[at >= 0], at[at >= 0]] = np.log1p(n[at >= 0]) / np.log1p(times[term[at >= 0]])
+    top = np.argsort(-use, 1, kind="stable")[:, :3]
+    return np.lexsort((np.arange(rows), top[:, 2], top[:, 1], top[:, 0]))
+
+
 EVIDENCE = "array<struct<key: bigint, label: int, cosine: double>>"
-_EVIDENCE = pa.list_(pa.struct([("key", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
