@@ -70,9 +70,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def removed_digest(found: DataFrame) -> DataFrame:
+    left = F.make_valid_utf8(F.col("kept").cast("string"))  # a removed run may have cut a character
     n_removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.b - s.a)")
     return found.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
-                        F.sha2("kept", 256).alias("kept_sha256"))
+                        F.sha2("kept", 256).alias("kept_sha256"), left.alias("text"), left.alias("kept"))
 
 
 def op9_run_length_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
