@@ -27,7 +27,8 @@ class Rules:
     """``min_words`` and ``max_repeat`` (share of words in repeated windows) reject at once.
 
     A line is boilerplate where more than ``max_share`` of its host's distinct
-    texts hold it, and more than ``min_texts``.  A document that keeps fewer
+    texts hold it, and more than ``min_texts``: a small count that tells repetition
+    from chance, the same for hosts of every size.  A document that keeps fewer
     than ``min_words`` words, or less than ``min_left`` of them, is depleted.
     """
 
@@ -35,7 +36,7 @@ class Rules:
     max_repeat: float = 0.5
     window: int = 3
     max_share: float = 0.05
-    min_texts: int = 20
+    min_texts: int = 2
     min_left: float = 0.5
 
 
@@ -105,7 +106,7 @@ def measures(keyed: DataFrame, window: int) -> DataFrame:
 def _keyed(docs: DataFrame, key: str, host: str) -> DataFrame:
     texts = common.with_row_key(docs.select(key, host, "text"), "text") \
         .withColumnsRenamed({"_k1": "_t1", "_k2": "_t2"})
-    return common.with_row_key(texts, key, host, "text").withColumn("_host", F.coalesce(F.col(host).cast("string"), F.lit("")))
+    return common.with_row_key(texts, key, host, "text").withColumn("_host", F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")))
 
 
 def judged(docs: DataFrame, rules: Rules = Rules(), key: str = "doc_id", host: str = "source") -> tuple[DataFrame, DataFrame]:

@@ -108,7 +108,7 @@ FROM (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first
 
 
 OP4_SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS host, coalesce(text, '') AS text FROM documents),
 w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
              list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
 base AS (SELECT doc_id, host, text, lines, len(words) AS n_words,
@@ -124,7 +124,7 @@ keyed AS (SELECT doc_id, host, text, len(regexp_extract_all(line, '[^\x20\x09-\x
     array_to_string(regexp_extract_all(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ') AS k FROM line),
 hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
 bad AS (SELECT host, k FROM (SELECT host, k, count(DISTINCT text) AS holders FROM keyed GROUP BY host, k) JOIN hosts USING (host)
-  WHERE holders > 20 AND holders > 0.05 * texts),
+  WHERE holders > 2 AND holders > 0.05 * texts),
 gone AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_boilerplate FROM keyed JOIN bad USING (host, k) GROUP BY doc_id),
 m AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
     coalesce(n_boilerplate, 0) AS n_boilerplate FROM base LEFT JOIN repeated USING (doc_id) LEFT JOIN gone USING (doc_id)),
