@@ -210,7 +210,8 @@ def lookup(keys: DataFrame, directory: DataFrame, out: str) -> DataFrame:
     """Captures of the distinct ``keys`` (column key) by way of the directory and the index blocks.
 
     The first keys of the shards, one a shard, are all that is shipped to
-    tasks; a key meets its own shard's directory, and each block is read once.
+    tasks; sorted keys and directory rows of a shard pass by each other once, and
+    each block is read once.
     """
     spark = keys.sparkSession
     bounds = directory.groupBy("shard").agg(F.min("first").alias("first"), F.max("last").alias("last")) \
@@ -225,15 +226,23 @@ def lookup(keys: DataFrame, directory: DataFrame, out: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())],
                                           ["key", "shard"])
 
-    def blocks_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for key, shard, blocks in zip(*[batch.column(c).to_pylist() for c in ("key", "shard", "blocks")]):
-            a = bisect.bisect_left(blocks, key, key=lambda b: b["last"])
-            b = bisect.bisect_right(blocks, key, key=lambda b: b["first"])
-            rows += [{"key": key, "shard": shard, **{n: blocks[i][n] for n in ("block", "file", "place", "size")}} for i in range(a, b)]
-        return pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-            ("key", pa.string()), ("shard", pa.int32()), ("block", pa.int32()), ("file", pa.string()),
-            ("place", pa.int64()), ("size", pa.int64())]))
+    def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Keys with the blocks that may hold them, from one pass over both in order."""
+        shard, held = None, []  # blocks that began and reach the key at hand or may reach later ones
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                if r["shard"] != shard:
+                    shard, held = r["shard"], []
+                if r["block"] is not None:
+                    held.append(r)
+                    continue
+                held = [b for b in held if b["last"] >= r["key"]]
+                rows += [{"key": r["key"], "shard": shard, **{n: b[n] for n in ("block", "file", "place", "size")}} for b in held]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+                    ("key", pa.string()), ("shard", pa.int32()), ("block", pa.int32()), ("file", pa.string()),
+                    ("place", pa.int64()), ("size", pa.int64())]))
 
     def lines_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = _store(f"{out}/index")
@@ -251,10 +260,13 @@ def lookup(keys: DataFrame, directory: DataFrame, out: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=CAPTURE)
 
     shard_keys = common.mapped(keys.select("key").where("key is not null").distinct(), "key string, shard int", shard_of)
-    per_shard = directory.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("block", "first", "last", "file", "place", "size"))).alias("blocks"))
-    blocks = common.mapped(shard_keys.join(per_shard, "shard").select("key", "shard", "blocks"),
-                           "key string, shard int, block int, file string, place long, size long", blocks_of)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    facts = ("last", "block", "file", "place", "size")
+    no_facts = [F.lit(None).cast(directory.schema[c].dataType).alias(c) for c in facts]
+    both = directory.select("shard", F.col("first").alias("key"), F.lit(0).alias("kind"), *facts) \
+        .unionByName(shard_keys.select("shard", "key", F.lit(1).alias("kind"), *no_facts))
+    blocks = both.repartition(n, "shard").sortWithinPartitions("shard", "key", "kind", "block") \
+        .mapInArrow(common.released(matched), "key string, shard int, block int, file string, place long, size long")
     return blocks.repartition(n, "shard", "block").sortWithinPartitions("shard", "block", "key").mapInArrow(common.released(lines_of), _CAPTURE)
 
 

@@ -61,3 +61,26 @@ def test_lookup_of_some_and_unknown_keys(spark, tmp_path):
     found = warc.lookup(spark.createDataFrame([(a,) for a in asked], "key string"), directory, str(tmp_path))
     assert sorted(r.page_id for r in found.collect()) == [0, 3, 150]
     assert sorted(bytes(r.payload) for r in warc.read_records(found, str(tmp_path)).collect()) == [b"page 0", b"page 150", b"page 3"]
+
+
+def test_lookup_is_linear_in_captures(spark, tmp_path):
+    """Rows that pass through the lookup's Python tasks: a directory row and a key each, whatever the shards hold."""
+    import time
+
+    def seconds(n):
+        out = str(tmp_path / str(n))
+        rows = spark.range(n).selectExpr("id AS page_id", "concat('http://s', id % 7, '.example.org/p', id) AS url", "cast(id AS string) AS html")
+        captures = common.stored(warc.write_archives(rows, out), "captures")
+        directory = warc.write_index(captures, out, lines=10)
+        start = time.perf_counter()
+        assert warc.lookup(captures.select("key"), directory, out).count() == n
+        return time.perf_counter() - start
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        seconds(500)
+        few, many = seconds(2000), seconds(16000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert many <= 10 * max(few, 1)
