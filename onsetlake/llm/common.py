@@ -93,10 +93,12 @@ def with_row_key(docs: DataFrame, *values: str) -> DataFrame:
     """Adds ``_k1``, ``_k2``: equal exactly for rows that agree in ``values`` (128 hash bits).
 
     Rows equal in all of ``values`` share one verdict in every operator, so
-    they may share the key too.  Nulls hash to a value of their own.
+    they may share the key too.  Nulls are marked where other values have their
+    length, so no value is like them.
     """
-    cols = [F.coalesce(F.col(v).cast("string"), F.lit("\x00null")) for v in values]
-    digest = F.md5(F.concat_ws("\x1f", *[F.concat(F.length(c).cast("string"), F.lit(":"), c) for c in cols]))
+    cols = [F.col(v).cast("string") for v in values]
+    named = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("null")) for c in cols]
+    digest = F.md5(F.concat_ws("\x1f", *named))
     return docs.withColumn("_k1", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")) \
         .withColumn("_k2", F.conv(F.substring(digest, 16, 15), 16, 10).cast("long"))
 

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -201,18 +201,25 @@ MANIFEST = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("file", pa.
                       ("n_bytes", pa.int64()), ("start", pa.int64()), ("n_ids", pa.int64())])
 
 
+def shard_offsets(manifest: DataFrame, group: int = 1024) -> DataFrame:
+    """(shard, base): ids in all shards before each one, from sums over groups of shards and sums inside a group."""
+    sums = manifest.groupBy("shard").agg(F.sum("n_ids").alias("n")).withColumn("g", F.floor(F.col("shard") / group))
+    earlier = (Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("g").orderBy("shard").rowsBetween(*earlier)), F.lit(0))
+    groups = sums.groupBy("g").agg(F.sum("n").alias("n"))  # few enough for one task
+    whole = groups.select("g", F.coalesce(F.sum("n").over(Window.orderBy("g").rowsBetween(*earlier)), F.lit(0)).alias("all"))
+    return sums.withColumn("inside", inside).join(whole, "g").select("shard", (F.col("all") + F.col("inside")).alias("base"))
+
+
 def read_tokens(spark: SparkSession, out: str, keep_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32 and, if kept, ids) of every document, decoded from the files under ``out``.
 
     ``start`` counts the ids of all documents before it.  Each block is read by
-    its range of the file; one number a shard reaches the driver.
+    its range of the file.
     """
     manifest = spark.read.parquet(f"{out}/manifest")
     ranks = spark.read.parquet(f"{out}/ranks").orderBy("rank").collect()
     token_of = np.array([r.token for r in ranks] or [0], "<u4")
-    base, before = {}, 0
-    for r in manifest.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect():
-        base[r.shard], before = before, before + r.n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -223,7 +230,7 @@ def read_tokens(spark: SparkSession, out: str, keep_ids: bool = True) -> DataFra
                 with store.open_input_file(f"{folder}/{r['file']}") as f:
                     f.seek(r["place"])
                     doc_ids, ids, at = read_block(f.read(r["n_bytes"]), token_of)
-                first = base[r["shard"]] + r["start"]
+                first = r["base"] + r["start"]
                 raw = ids.astype("<u4").tobytes()
                 texts = [raw[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 columns = {
@@ -237,7 +244,7 @@ def read_tokens(spark: SparkSession, out: str, keep_ids: bool = True) -> DataFra
                 yield pa.RecordBatch.from_pydict(columns)
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.repartition(n, "file", "block") \
+    return manifest.join(shard_offsets(manifest), "shard").repartition(n, "file", "block") \
         .mapInArrow(common.released(run), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids)
 
 
