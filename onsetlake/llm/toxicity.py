@@ -5,10 +5,10 @@
    least).  Votes are weighted back to the classes' true sizes.
 2. Terms are the examples' words and the first ``beginning`` bytes of longer ones, known by 64-bit
    names; a term weighs ``1 + log(count)`` times its inverse frequency over all documents.
-3. The index groups the postings of every term by blocks of ``BLOCK`` examples and keeps
-   each group's largest weight.  A query adds up the bounds of all blocks, scores the best
-   ones, and then all blocks whose bound reaches its k-th best cosine, so the nearest
-   examples are exact.
+3. The index keeps the largest weight of every term in each block of ``BLOCK`` examples: rare
+   terms have postings grouped by block, common ones a dense matrix.  A query adds up the
+   bounds of all blocks, scores the best ones, and then all blocks whose bound reaches its
+   k-th best cosine, so the nearest examples are exact.
 4. A neighbour's vote weighs by its distance and by the part of its cosine that comes from terms that
    go with the label (chi squared over the number of examples, so alike at any size).
    A monotone map turns votes into scores.  It is fitted on the examples, each voted on by the others,
@@ -32,15 +32,17 @@ from . import common
 from .decontam import word_table
 
 BLOCK = 64
+COMMON = 16
 SLAB = 1 << 16
 FIRST = 4
+QUERIES = 64
 
 
 @dataclass(frozen=True)
 class Settings:
     """``prior``: weight of the base rate in a vote; ``evidence``: voters that are returned, those with the most weight."""
 
-    examples: int = 4096
+    examples: int = 2048
     example_bytes: int = 16 << 20
     neighbours: int = 100
     evidence: int = 10
@@ -114,15 +116,15 @@ def _words(data: np.ndarray, at: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts (ASCII letters in lower case, digits, other characters), and the text of each."""
     clean = word_table()[data]
     letter = np.concatenate([[False], clean != 0, [False]])
-    begins, ends = np.flatnonzero(letter[1:] & ~letter[:-1]), np.flatnonzero(letter[:-1] & ~letter[1:])
+    begin, end = letter[1:] & ~letter[:-1], letter[:-1] & ~letter[1:]
     inner = at[1:-1]  # a word ends with its text, too
-    cut = np.unique(inner[letter[inner] & letter[inner + 1]])
-    begins, ends = np.union1d(begins, cut), np.union1d(ends, cut)
-    sizes = ends - begins
-    offsets = np.append(0, np.cumsum(sizes))
-    packed = common.gather(clean, begins, sizes)
-    words = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(packed)])
-    return words, np.searchsorted(at, begins, "right") - 1
+    begin[inner[letter[inner] & letter[inner + 1]]] = True
+    end[inner[letter[inner] & letter[inner + 1]]] = True
+    begins, ends = np.flatnonzero(begin), np.flatnonzero(end)
+    offsets = np.append(0, np.cumsum(ends - begins))
+    words = pa.Array.from_buffers(pa.large_binary(), len(begins),
+                                  [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(clean[clean != 0])])
+    return words, np.repeat(np.arange(len(at) - 1), np.diff(np.searchsorted(begins, at)))
 
 
 def document_frequencies(docs: DataFrame, known: np.ndarray, beginning: int) -> tuple[np.ndarray, int]:
@@ -164,81 +166,108 @@ def association(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: f
     return (toxic * rest - clean * other) ** 2 / np.maximum((toxic + clean) * (other + rest) * n_toxic * n_clean, 1.0)
 
 
+def runs(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of runs that begin at ``first``, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    return np.arange(ends[-1] if len(ends) else 0, dtype=np.int32) + np.repeat(first - (ends - sizes), sizes)
+
+
 class BlockMaxIndex:
-    """Postings of unit vectors in groups by term and block of ``BLOCK`` vectors, each with its largest weight."""
+    """Unit vectors in blocks of ``BLOCK``, with the largest weight of every term in each block.
+
+    Rare terms have postings, grouped by term and block.  Common ones, in one of
+    ``COMMON`` vectors or more, have a dense matrix, of which blocks are multiplied.
+    """
 
     def __init__(self, arrays: dict[str, np.ndarray]):
-        self.size, self.blocks = int(arrays["size"][0]), int(arrays["size"][1])
-        self.term, self.block, self.most = arrays["term"], arrays["block"], arrays["most"]  # of groups, terms as offsets
+        self.size, self.blocks = arrays["size"].tolist()
+        self.column, self.dense = arrays["column"], arrays["dense"]  # a term's row in the matrix, or -1
+        self.largest = self.dense.reshape(len(self.dense), self.blocks, BLOCK).max(2)
+        self.term, self.block, self.most = arrays["term"], arrays["block"], arrays["most"]  # of groups; terms as offsets
         self.first, self.ids, self.weights = arrays["first"], arrays["ids"], arrays["weights"]
         self.visited = 0
 
     @staticmethod
     def arrays(row: np.ndarray, term: np.ndarray, weights: np.ndarray, rows: int, n_terms: int) -> dict[str, np.ndarray]:
         """Plain arrays of the index of (row, term, weight) entries."""
+        blocks = -(-max(rows, 1) // BLOCK)
+        often = np.flatnonzero(np.bincount(term, minlength=n_terms) * COMMON >= max(rows, 1))
+        column = np.full(n_terms, -1, np.int32)
+        column[often] = np.arange(len(often))
+        dense = np.zeros((max(len(often), 1), blocks * BLOCK), np.float32)
+        inside = column[term] >= 0
+        dense[column[term[inside]], row[inside]] = weights[inside]
+        row, term, weights = row[~inside], term[~inside], weights[~inside]
         order = np.lexsort((row, term))
         row, term, weights = row[order], term[order], weights[order].astype(np.float32)
-        blocks = -(-max(rows, 1) // BLOCK)
-        group = term * blocks + row // BLOCK
-        first = np.flatnonzero(np.diff(group, prepend=-1))
-        return {"size": np.array([rows, blocks]), "term": np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32),
-                "block": (row[first] // BLOCK).astype(np.int16 if blocks < 1 << 15 else np.int32),
-                "most": np.maximum.reduceat(weights, first) if len(first) else weights,
+        first = np.flatnonzero(np.diff(term * blocks + row // BLOCK, prepend=-1))
+        return {"size": np.array([rows, blocks]), "column": column, "dense": dense,
+                "term": np.searchsorted(term[first], np.arange(n_terms + 1)).astype(np.int32),
+                "block": (row[first] // BLOCK).astype(np.int32), "most": np.maximum.reduceat(weights, first) if len(first) else weights,
                 "first": np.append(first, len(row)).astype(np.int32), "ids": row.astype(np.int32), "weights": weights}
 
-    def nearest(self, at: np.ndarray, q: np.ndarray, k: int, worth: np.ndarray | None = None, without: int = -1):
-        """Numbers and cosines of the ``k`` nearest vectors with a cosine above 0 (ties: the first), best first.
+    def nearest(self, query: np.ndarray, at: np.ndarray, q: np.ndarray, n: int, k: int, worth: np.ndarray, without: np.ndarray | None = None):
+        """For each of ``n`` queries the numbers and cosines of its ``k`` nearest vectors with a cosine above 0 (ties: the first).
 
-        Third, for each of them the sum over shared terms of both weights and the term's ``worth``.
+        ``query``, ``at``, ``q``: the queries' entries (query, term, weight), queries in order.  Third,
+        for each vector the sum over shared terms of both weights and the term's ``worth``.
+        ``without``: a vector of each query that is none of its neighbours.
         """
-        q = q.astype(np.float32)
-        n = self.term[at + 1] - self.term[at]
-        groups = common.gather(np.arange(len(self.block)), self.term[at], n)
-        of = np.repeat(np.arange(len(at)), n)
-        block = self.block[groups].astype(np.int64)
-        bounds = np.bincount(block, self.most[groups] * q[of], self.blocks)
-        scores = np.zeros(self.blocks * BLOCK)
-        done = np.zeros(self.blocks, bool)
+        q, width = q.astype(np.float32), self.blocks * BLOCK
+        column = self.column[at]
+        rare = np.flatnonzero(column < 0).astype(np.int32)
+        known, entries = np.zeros((2, n, len(self.dense)), np.float32), column >= 0
+        known[0, query[entries], column[entries]] = q[entries]
+        known[1, query[entries], column[entries]] = (q * worth)[entries]
+        count = self.term[at[rare] + 1] - self.term[at[rare]]
+        groups = runs(self.term[at[rare]], count)
+        of = np.repeat(rare, count)
+        query = query.astype(np.int32)
+        spot = query[of] * np.int32(self.blocks) + self.block[groups]
+        bounds = (known[0] @ self.largest).astype(np.float64) + np.bincount(spot, self.most[groups] * q[of], n * self.blocks).reshape(n, -1)
+        scores = np.zeros((n, width))
+        done = np.zeros((n, self.blocks), bool)
+        seen: list[tuple] = []
 
         def visit(wanted: np.ndarray) -> None:
-            mine = wanted[block]
-            g, w = groups[mine], q[of[mine]]
+            mine = wanted.ravel()[spot]
+            g, e = groups[mine], of[mine]
             size = self.first[g + 1] - self.first[g]
-            places = common.gather(self._all(), self.first[g], size)
-            scores[:] += np.bincount(self.ids[places], self.weights[places] * np.repeat(w, size), len(scores))
+            places = runs(self.first[g], size)
+            e = np.repeat(e, size)
+            cell = query[e] * np.int32(width) + self.ids[places]
+            parts = self.weights[places] * q[e]
+            scores[:] += np.bincount(cell, parts, n * width).reshape(n, width)
+            seen.append((cell, parts, e))
+            for b in np.flatnonzero(wanted.any(0)).tolist():
+                rows = np.flatnonzero(wanted[:, b])
+                scores[rows, b * BLOCK:(b + 1) * BLOCK] += known[0, rows] @ self.dense[:, b * BLOCK:(b + 1) * BLOCK]
+            if without is not None:
+                scores[np.flatnonzero(without >= 0), without[without >= 0]] = 0
             done[wanted] = True
             self.visited += int(wanted.sum())
 
-        best = np.zeros(self.blocks, bool)
-        best[np.argsort(-bounds, kind="stable")[:FIRST]] = True
+        def least() -> np.ndarray:
+            return -np.partition(-scores, k - 1, 1)[:, k - 1] if k <= width else np.zeros(n)
+
+        best = np.zeros((n, self.blocks), bool)
+        np.put_along_axis(best, np.argsort(-bounds, 1, kind="stable")[:, :max(FIRST, -(-k // BLOCK))], True, 1)
         visit(best)
-        if without >= 0:
-            scores[without] = 0
-        worst = max(-np.partition(-scores, k - 1)[k - 1], 0) if k <= len(scores) else 0
-        rest = ~done & (bounds > 0) & (bounds >= worst - 1e-5)
-        if rest.any():
-            visit(rest)
-            if without >= 0:
-                scores[without] = 0
-        least = max(-np.partition(-scores, k - 1)[k - 1], 0) if k <= len(scores) else 0
-        ids = np.flatnonzero((scores > 0) & (scores >= least))
-        ids = ids[np.lexsort((ids, -scores[ids]))[:k]]
-        if worth is None or not len(ids):
-            return ids, scores[ids], np.zeros(len(ids))
-        chosen = np.zeros(len(scores), bool)
-        chosen[ids] = True
-        mine = (np.bincount(ids // BLOCK, minlength=self.blocks) > 0)[block] & (worth[of] > 0)
-        g, w = groups[mine], (q * worth)[of[mine]]
-        size = self.first[g + 1] - self.first[g]
-        places = common.gather(self._all(), self.first[g], size)
-        inside = chosen[self.ids[places]]
-        shared = np.bincount(self.ids[places][inside], (self.weights[places] * np.repeat(w, size))[inside], len(scores))
-        return ids, scores[ids], shared[ids]
-
-    def _all(self) -> np.ndarray:
-        if not hasattr(self, "_places"):
-            self._places = np.arange(len(self.ids), dtype=np.int32)
-        return self._places
+        visit(~done & (bounds > 0) & (bounds >= np.maximum(least(), 0)[:, None] - 1e-5))
+        floor = np.maximum(least(), 0)
+        found, chosen = [], np.zeros((n, width), bool)
+        for row in range(n):
+            own = scores[row]
+            ids = np.flatnonzero((own > 0) & (own >= floor[row]))
+            ids = ids[np.lexsort((ids, -own[ids]))[:k]]
+            chosen[row, ids] = True
+            found.append(ids)
+        shared = np.zeros(n * width)
+        for cell, parts, e in seen:
+            inside = chosen.ravel()[cell]
+            shared += np.bincount(cell[inside], parts[inside] * worth[e[inside]], n * width)
+        shared = shared.reshape(n, width)
+        return [(ids, scores[row, ids], shared[row, ids] + known[1, row] @ self.dense[:, ids]) for row, ids in enumerate(found)]
 
 
 def weights_of(cosines: np.ndarray, shared: np.ndarray, stands: np.ndarray) -> np.ndarray:
@@ -356,22 +385,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
             for batch in common.sliced(whole, 1 << 20):
                 rows, terms, n = text_terms(batch.column("text"), beginning, s["names"])
                 weights = unit_weights(rows, terms, n, s["idf"], batch.num_rows)
-                cuts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
                 votes, found = np.full(batch.num_rows, np.nan), [[] for _ in range(batch.num_rows)]
-                for i in np.flatnonzero(np.diff(cuts)).tolist():
-                    at, q = terms[cuts[i]:cuts[i + 1]], weights[cuts[i]:cuts[i + 1]]
-                    mine = place[batch.column(key)[i].as_py()] if among else -1
+                here, entry = np.unique(rows, return_inverse=True)  # rows with terms
+                cuts = np.searchsorted(rows, here)
+                for i in range(0, len(here), QUERIES):
+                    some = here[i:i + QUERIES]
+                    a, b = cuts[i], cuts[i + QUERIES] if i + QUERIES < len(here) else len(rows)
+                    at, query = terms[a:b], entry[a:b] - i
                     if among:  # as if this example were not one
-                        label = labels[mine]
+                        mine = np.array([place[x] for x in batch.column(key).take(pa.array(some)).to_pylist()])
+                        label = labels[mine][query]
                         worth = association(s["held_toxic"][at] - label, s["held_clean"][at] - (1 - label),
                                             counts[1] - label, counts[0] - (1 - label))
                     else:
-                        worth = plain[at]
-                    near, cosines, shared = index.nearest(at, q, k, worth, mine)
-                    w = weights_of(cosines, shared, s["stands"][near])
-                    votes[i] = vote(w, labels[near], unit, rate, prior)
-                    most = np.argsort(-w, kind="stable")[:shown]
-                    found[i] = near[most], cosines[most]
+                        mine, worth = None, plain[at]
+                    near = index.nearest(query, at, weights[a:b], len(some), k, worth, mine)
+                    for row, (ids, cosines, shared) in zip(some.tolist(), near):
+                        w = weights_of(cosines, shared, s["stands"][ids])
+                        votes[row] = vote(w, labels[ids], unit, rate, prior)
+                        most = np.argsort(-w, kind="stable")[:shown]
+                        found[row] = ids[most], cosines[most]
                 yield batch, votes, found
 
     def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

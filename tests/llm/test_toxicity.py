@@ -37,7 +37,7 @@ def test_nearest_is_exact(seed):
         scores[k] = 0
         want = np.sort(scores[scores > 0])[::-1][:10]
         at = np.array(rows[k][0])
-        ids, cosines, shared = index.nearest(at, rows[k][1], 10, worth[at], without=k)
+        (ids, cosines, shared), = index.nearest(np.zeros(len(at), int), at, rows[k][1], 1, 10, worth[at], np.array([k]))
         assert np.allclose(cosines, want, atol=1e-5) and np.allclose(scores[ids], cosines, atol=1e-5)
         assert np.allclose(shared, dense[ids] @ (worth * dense[k]), atol=1e-5)
     assert index.visited < 100 * 11
