@@ -1,10 +1,7 @@
-"""Dense per-election kernel used inside ``applyInPandas``.
+"""Numpy kernels of one tile of an election, used inside grouped maps.
 
-One election is ``n`` candidates voted on by ``v`` variants.  Everything
-here is whole-array numpy over that one election; Spark distributes the
-elections.  The DataFrame formulation in :mod:`onsetlake.operators.election`
-computes the same numbers without Python and serves elections whose
-candidate count is above the grouped-map limit.
+A tile is some candidates against some others; :mod:`onsetlake.operators.election` deals
+elections out into tiles and puts them together.
 """
 
 from __future__ import annotations
@@ -12,27 +9,27 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
-# Cells of the (chunk x n x v) comparison cube materialised at once.
-_CUBE_CELLS = 1 << 24
+
+def preferences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """p[i, j] = #{v: a_i < b_j} + #{v: i has a rank, j has none}, for rank matrices with the same variants in columns.
+
+    NaN stands for "not hit", which is later than any rank and not before another "not hit".
+    """
+    a, b = np.where(np.isnan(a), np.inf, a), np.where(np.isnan(b), np.inf, b)
+    out = np.zeros((len(a), len(b)), np.int32)
+    for v in range(a.shape[1]):
+        out += a[:, v, None] < b[None, :, v]
+    return out
 
 
 def preference_matrix(ranks: np.ndarray) -> np.ndarray:
-    """p[a, b] = #{v: r_a < r_b} + #{v: a has a rank, b has none}.
+    """Preferences between all candidates of one matrix."""
+    return preferences(ranks, ranks)
 
-    ``ranks`` is ``n x v`` float with NaN for "not hit".  NaN compares
-    false, which is exactly the reference's first term.
-    """
-    n, v = ranks.shape
-    known = (~np.isnan(ranks)).astype(np.float64)
-    pref = known @ (1.0 - known).T
-    if n == 0 or v == 0:
-        return pref
-    step = max(1, _CUBE_CELLS // max(1, n * v))
-    for lo in range(0, n, step):
-        hi = min(n, lo + step)
-        pref[lo:hi] += (ranks[lo:hi, None, :] < ranks[None, :, :]).sum(axis=2)
-    np.fill_diagonal(pref, 0.0)
-    return pref
+
+def strong(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The weights of won comparisons: ``p`` where it beats its reverse in ``q`` (candidates exchanged), else 0."""
+    return np.where(p > q.T, p, 0).astype(np.int32)
 
 
 def max_min(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -79,13 +76,3 @@ def rank_matrix(locations: np.ndarray, variant: pd.Series, r: pd.Series) -> tupl
     ranks = np.full((len(labels), len(var_labels)), np.nan)
     ranks[loc_idx[has_vote], var_codes] = r[has_vote].to_numpy(dtype=np.float64)
     return labels, ranks
-
-
-def elect(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """Whole Schulze election for one group of long votes."""
-    labels, ranks = rank_matrix(pdf["location"].to_numpy(dtype=object), pdf["variant"], pdf["r"])
-    wins, rank = wins_and_rank(widest_paths(preference_matrix(ranks)))
-    out = pd.DataFrame({"location": labels, "wins": wins, "rank": rank})
-    for k in keys:
-        out.insert(len(out.columns) - 3, k, pdf[k].iloc[0])
-    return out

@@ -12,30 +12,39 @@ Inputs, long form:
 constant for one global election).  Output: ``(keys..., location, wins,
 rank)`` with ``rank`` the min-rank by wins descending, as a double.
 
-An election is computed in tiles: ``blocks`` is a plan parameter that deals
-the candidates of every election out into so many blocks.  With one block a
-group holds an election, and elections run beside each other.  With more, a
-group holds the votes of two blocks or one tile of strengths with its pivot
-tiles, so ``(candidates / blocks)^2`` cells bound a task; the strongest paths
-come from one round a block (blocked widest paths).  The parameter changes the
-layout only, never the result.
+An election is computed in tiles, by one path whatever its size.  ``blocks`` and ``slices`` are plan
+parameters that deal candidates out into blocks and variants into slices; they change
+the layout only, never the result.
+
+1. *Rank tiles* hold the onset orders of a block in a slice.
+2. A pair of blocks meets in each slice, which gives *partial preferences*; those of
+   all slices are added up, so no group holds all variants, and turned into the weights of won comparisons.
+3. The strongest paths take one round a pivot block, each in three phases: the pivot tile is
+   closed once, then its row and column are updated from it, then all other tiles from
+   those two.
+4. Wins come from pairs of tiles.
+
+No group holds more than the tiles of two blocks beside its own.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
-
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from onsetlake.functions import schulze_kernel
 
+
 def _as_number(col: F.Column, dtype: T.DataType) -> F.Column:
     if isinstance(dtype, T.DateType):
         return F.unix_date(col).cast("double")
@@ -51,17 +60,18 @@ def normalise_votes(votes: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 1) -> DataFrame:
+def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2, slices: int = 1) -> DataFrame:
     keys = list(keys)
-    candidates = candidates.select(*keys, "location").distinct()
-    ballots = _ballots(votes, candidates, keys)
-    if blocks == 1:
-        # AQE would pack the small ballots into one task and run the O(n^3) work serially; it leaves a given count alone
-        ballots = ballots.repartition(4 * int(votes.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-        schema = _schema(votes, keys, ["location string", "wins long", "rank double"])
-        return ballots.groupBy(*keys).applyInPandas(lambda pdf: schulze_kernel.elect(pdf, keys), schema)
-    wins = tiled_wins(widest_path_tiles(strength_tiles(ballots, keys, blocks), keys, blocks), keys)
-    return ranked_by_wins(wins, candidates, keys)
+    tiles = strength_tiles(_ballots(votes, candidates, keys), keys, blocks, slices)
+    return ranked(tiles, keys, blocks)
+
+
+def ranked(tiles: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
+    """``(keys..., location, wins, rank)`` of every candidate from the tiles of won comparisons."""
+    keys = list(keys)
+    wins = tiled_wins(widest_path_tiles(tiles, keys, blocks), keys)
+    w = Window.partitionBy(*keys).orderBy(F.col("wins").desc())
+    return wins.withColumn("rank", F.rank().over(w).cast("double"))
 
 
 def _schema(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> str:
@@ -71,7 +81,7 @@ def _schema(df: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> str:
 _TILE = ["i int", "j int", "rows array<string>", "cols array<string>", "s binary"]
 
 
-def _stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame) -> DataFrame:
     """Written to the checkpoint folder and read back: later rounds read each tile once, and lineage stays short."""
     from onsetlake.session import ensure_checkpoint_dir
 
@@ -80,76 +90,185 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _keyed(pdf: pd.DataFrame, keys: Sequence[str], out: pd.DataFrame) -> pd.DataFrame:
-    for at, k in enumerate(keys):
-        out.insert(at, k, pdf[k].iloc[0])
+def rows_of(table: pa.Table | pa.RecordBatch) -> list[SimpleNamespace]:
+    return [SimpleNamespace(**row) for row in table.to_pylist()]
+
+
+def grouped(df: DataFrame, by: Sequence[str], fn: Callable[[list], list[dict]], schema: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``fn`` of the few rows of each group, as dicts; ``keys`` are added from the group's first row."""
+    kinds, keys = to_arrow_schema(T.StructType.fromDDL(schema)), list(keys)
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = rows_of(table)
+        own = {k: getattr(rows[0], k) for k in keys}
+        return pa.Table.from_pylist([own | out for out in fn(rows)], schema=kinds)
+
+    return df.groupBy(*by).applyInArrow(run, schema)
+
+
+def mapped(df: DataFrame, fn: Callable[[SimpleNamespace], list[dict]], schema: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``fn`` of each row, as dicts; ``keys`` are added from the row."""
+    kinds, keys = to_arrow_schema(T.StructType.fromDDL(schema)), list(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in rows_of(batch):
+                own = {k: getattr(row, k) for k in keys}
+                if out := [own | x for x in fn(row)]:
+                    yield pa.RecordBatch.from_pylist(out, schema=kinds)
+
+    return df.mapInArrow(run, schema)
+
+
+_RANKS = ["block int", "slice int", "rows array<string>", "variants array<string>", "r binary"]
+_PARTS = ["lo int", "hi int", "rows array<string>", "cols array<string>", "p binary", "q binary"]
+
+
+def dealt(name: str, n: int) -> F.Column:
+    return F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
+
+
+def rank_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, slices: int) -> DataFrame:
+    """``(keys..., block, slice, rows, variants, r)``: every block's candidates in order, with their ranks in one slice of variants."""
+    keys = list(keys)
+    spread = F.when(F.col("variant").isNull(), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(dealt("variant", slices)))
+    rows = ballots.withColumn("block", dealt("location", blocks)).withColumn("slice", F.explode(spread))
+
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        labels, ranks = schulze_kernel.rank_matrix(pdf["location"].to_numpy(dtype=object), pdf["variant"], pdf["r"])
+        voted = pdf["variant"].notna() & pdf["r"].notna()
+        order = np.argsort(labels.astype(str), kind="stable")
+        head = [pdf[c].iloc[0] for c in (*keys, "block", "slice")]
+        return pd.DataFrame([(*head, list(labels[order]), list(pd.factorize(pdf["variant"][voted])[1]), ranks[order].tobytes())],
+                            columns=[*keys, "block", "slice", "rows", "variants", "r"])
+
+    return rows.groupBy(*keys, "block", "slice").applyInPandas(tile, _schema(ballots, keys, _RANKS))
+
+
+def ranks_of(tile, variants: Sequence[str]) -> np.ndarray:
+    """The ranks of a tile with ``variants`` in columns."""
+    own = np.frombuffer(tile.r, np.float64).reshape(len(tile.rows), len(tile.variants))
+    out = np.full((len(tile.rows), len(variants)), np.nan)
+    place = {v: k for k, v in enumerate(variants)}
+    out[:, [place[v] for v in tile.variants]] = own
     return out
 
 
-def strength_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, strong: bool = True) -> DataFrame:
-    """Tiles ``(keys..., i, j, rows, cols, s)`` of the strong edges' weights (int32, 0: none), or of all preferences.
+def block_pairs(tiles: DataFrame, blocks: int) -> DataFrame:
+    """Each tile once for every other block, with the pair as ``lo`` and ``hi``."""
+    return tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
+        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other")
+
+
+def partial_preferences(tiles: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
+    """``(keys..., lo, hi, rows, cols, p, q)``: preferences between two blocks within one slice, both ways."""
+    keys = list(keys)
+
+    def pair(tiles: list) -> list[dict]:
+        lo, hi, at = tiles[0].lo, tiles[0].hi, {tile.block: tile for tile in tiles}
+        if lo not in at or hi not in at:
+            return []
+        variants = sorted(set(at[lo].variants) | set(at[hi].variants))
+        a, b = ranks_of(at[lo], variants), ranks_of(at[hi], variants)
+        return [{"lo": lo, "hi": hi, "rows": at[lo].rows, "cols": at[hi].rows, "p": schulze_kernel.preferences(a, b).tobytes(),
+                 "q": schulze_kernel.preferences(b, a).tobytes()}]
+
+    return grouped(block_pairs(tiles, blocks), [*keys, "lo", "hi", "slice"], pair, _schema(tiles, keys, _PARTS), keys)
 
-    A ballot goes to the tiles of its block with every block; a group sees all
-    votes of two blocks and gives both tiles between them.
+
+def _cells(data: bytes, rows, cols) -> np.ndarray:
+    return np.frombuffer(data, np.int32).reshape(len(rows), len(cols))
+
+
+def summed_tiles(parts: DataFrame, keys: Sequence[str], slices: int, only_won: bool = True) -> DataFrame:
+    """Partial preferences of all slices added up, as tiles ``(keys..., i, j, rows, cols, s)`` both ways.
+
+    ``s`` (int32) holds the weights of won comparisons, or with ``only_won`` off all
+    preferences.  The parts of a single slice are whole sums as they are.
     """
     keys = list(keys)
-    block = F.pmod(F.xxhash64("location"), F.lit(blocks)).cast("int")
-    dealt = ballots.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
-        .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other")).drop("other")
 
-    def tiles(pdf: pd.DataFrame) -> pd.DataFrame:
-        labels, ranks = schulze_kernel.rank_matrix(pdf["location"].to_numpy(dtype=object), pdf["variant"], pdf["r"])
-        block_of = dict(zip(pdf["location"], pdf["block"]))
-        pref = schulze_kernel.preference_matrix(ranks)
-        weight = (np.where(pref > pref.T, pref, 0) if strong else pref).astype(np.int32)
-        at = {int(b): sorted((x, i) for i, x in enumerate(labels) if block_of[x] == b) for b in set(block_of.values())}
-        lo, hi = int(pdf["lo"].iloc[0]), int(pdf["hi"].iloc[0])
-        out = []
-        for i, j in {(lo, hi), (hi, lo)}:
-            if at.get(i) and at.get(j):
-                cells = weight[np.ix_([k for _, k in at[i]], [k for _, k in at[j]])]
-                out.append((i, j, [x for x, _ in at[i]], [x for x, _ in at[j]], cells.tobytes()))
-        return _keyed(pdf, keys, pd.DataFrame(out, columns=["i", "j", "rows", "cols", "s"])) if out else \
-            pd.DataFrame(columns=[*keys, "i", "j", "rows", "cols", "s"])
-
-    return dealt.groupBy(*keys, "lo", "hi").applyInPandas(tiles, _schema(ballots, keys, _TILE))
+    def add(parts: list) -> list[dict]:
+        one = parts[0]
+        p = sum(_cells(x.p, x.rows, x.cols) for x in parts)
+        q = sum(_cells(x.q, x.cols, x.rows) for x in parts)
+        there, back = (schulze_kernel.strong(p, q), schulze_kernel.strong(q, p)) if only_won else (p, q)
+        out = [_tile(one.lo, one.hi, one.rows, one.cols, there)]
+        return out if one.lo == one.hi else [*out, _tile(one.hi, one.lo, one.cols, one.rows, back)]
+
+    schema = _schema(parts, keys, _TILE)
+    if slices == 1:
+        return mapped(parts, lambda part: add([part]), schema, keys)
+    return grouped(parts, [*keys, "lo", "hi"], add, schema, keys)
+
+
+def _tile(i: int, j: int, rows: list, cols: list, s: np.ndarray) -> dict:
+    return {"i": i, "j": j, "rows": rows, "cols": cols, "s": s.astype(np.int32, copy=False).tobytes()}
+
+
+def strength_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, slices: int = 1, strong: bool = True) -> DataFrame:
+    """Tiles of the strong edges' weights (0: none), or of all preferences, from ballots."""
+    parts = partial_preferences(rank_tiles(ballots, keys, blocks, slices), keys, blocks)
+    return summed_tiles(parts, keys, slices, only_won=strong)
 
 
 def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
-    """Strongest-path strengths of the tiles: one round for each pivot block, one shuffle a round."""
+    """Strongest-path strengths of the tiles: one round of three phases for each pivot block.
+
+    Rounds are written but for the last, so that each reads its tiles once.
+    """
     keys = list(keys)
     schema = _schema(tiles, keys, _TILE)
+    copied = _schema(tiles, keys, ["role string", *_TILE])
+    names = [*keys, "role", "i", "j", "rows", "cols", "s"]
 
-    def cells(row) -> np.ndarray:
-        return np.frombuffer(row.s, np.int32).reshape(len(row.rows), len(row.cols))
-
-    def update(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = {row.role: row for row in pdf.itertuples()}
-        if "own" not in parts:
-            return pdf.iloc[:0][[*keys, "i", "j", "rows", "cols", "s"]]
-        own = parts["own"]
-        s = cells(own).copy()
-        if len(parts) == 4:
-            pivot = schulze_kernel.closure(cells(parts["pivot"]))
-            left, right = cells(parts["column"]), cells(parts["row"])
-            left = np.maximum(left, schulze_kernel.max_min(left, pivot))
-            right = np.maximum(right, schulze_kernel.max_min(pivot, right))
+    each = range(blocks)
+
+    def closed(pivot) -> list[dict]:
+        """Phase 1: the pivot tile, and a copy for each tile of its row and column."""
+        k, s = pivot.i, schulze_kernel.closure(_cells(pivot.s, pivot.rows, pivot.cols))
+        places = [("own", k, k), *(("pivot", k, x) for x in each if x != k), *(("pivot", x, k) for x in each if x != k)]
+        return [{"role": role, **_tile(i, j, pivot.rows, pivot.cols, s)} for role, i, j in places]
+
+    def crossed(parts: list) -> list[dict]:
+        """Phase 2: a tile of the pivot's row or column, and a copy for each tile that phase 3 updates from it."""
+        by = {x.role: x for x in parts}
+        if "own" not in by:
+            return []
+        own, copies = by["own"], []
+        s = _cells(own.s, own.rows, own.cols)
+        if "pivot" in by:
+            p = _cells(by["pivot"].s, by["pivot"].rows, by["pivot"].cols)
+            if own.down:  # in the pivot's column
+                s = np.maximum(s, schulze_kernel.max_min(s, p))
+                copies = [("column", own.i, x) for x in each if x != own.j]
+            else:
+                s = np.maximum(s, schulze_kernel.max_min(p, s))
+                copies = [("row", x, own.j) for x in each if x != own.i]
+        return [{"role": role, **_tile(i, j, own.rows, own.cols, s)} for role, i, j in [("own", own.i, own.j), *copies]]
+
+    def updated(parts: list) -> list[dict]:
+        """Phase 3: all other tiles, from one of the column and one of the row."""
+        by = {x.role: x for x in parts}
+        if "own" not in by:
+            return []
+        own = by["own"]
+        s = _cells(own.s, own.rows, own.cols)
+        if "column" in by and "row" in by:
+            left, right = (_cells(by[x].s, by[x].rows, by[x].cols) for x in ("column", "row"))
             s = np.maximum(s, schulze_kernel.max_min(left, right))
-        out = pd.DataFrame([(own.i, own.j, own.rows, own.cols, s.tobytes())], columns=["i", "j", "rows", "cols", "s"])
-        return _keyed(pdf, keys, out)
+        return [_tile(own.i, own.j, own.rows, own.cols, s)]
 
-    each = F.sequence(F.lit(0), F.lit(blocks - 1))
-    names = [*keys, "role", "i", "j", "rows", "cols", "s"]
-    now = _stored(tiles)
+    now = stored(tiles)
     for k in range(blocks):
-        column = now.where(F.col("j") == k).withColumn("j", F.explode(each)).withColumn("role", F.lit("column"))
-        row = now.where(F.col("i") == k).withColumn("i", F.explode(each)).withColumn("role", F.lit("row"))
-        pivot = now.where((F.col("i") == k) & (F.col("j") == k)).withColumn("i", F.explode(each)) \
-            .withColumn("j", F.explode(each)).withColumn("role", F.lit("pivot"))
-        parts = now.withColumn("role", F.lit("own")).select(*names)
-        for more in (column, row, pivot):
-            parts = parts.unionByName(more.select(*names))
-        now = _stored(parts.groupBy(*keys, "i", "j").applyInPandas(update, schema))
+        in_row, in_column = F.col("i") == k, F.col("j") == k
+        pivot = mapped(now.where(in_row & in_column), closed, copied, keys)
+        line = now.where(in_row != in_column).withColumn("role", F.lit("own")).select(*names)
+        cross = grouped(line.unionByName(pivot).withColumn("down", in_column), [*keys, "i", "j"], crossed, copied, keys)
+        rest = now.where(~in_row & ~in_column).withColumn("role", F.lit("own")).select(*names)
+        now = grouped(rest.unionByName(cross), [*keys, "i", "j"], updated, schema, keys)
+        if k + 1 < blocks:
+            now = stored(now)
     return now
 
 
@@ -157,36 +276,23 @@ def tiled_wins(strengths: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(keys..., location, wins)`` from the strength tiles; a tile meets the one with rows and columns exchanged."""
     keys = list(keys)
 
-    def wins(pdf: pd.DataFrame) -> pd.DataFrame:
-        tile = {(row.i, row.j): (row, np.frombuffer(row.s, np.int32).reshape(len(row.rows), len(row.cols)))
-                for row in pdf.itertuples()}
-        out = [(label, int(n)) for (i, j), (row, s) in tile.items()
-               for label, n in zip(row.rows, (s > tile[j, i][1].T).sum(axis=1))]
-        return _keyed(pdf, keys, pd.DataFrame(out, columns=["location", "wins"]))
+    def wins(tiles: list) -> list[dict]:
+        at = {(x.i, x.j): (x.rows, _cells(x.s, x.rows, x.cols)) for x in tiles}
+        return [{"location": label, "wins": int(n)} for (i, j), (rows, s) in at.items()
+                for label, n in zip(rows, (s > at[j, i][1].T).sum(axis=1))]
 
     pairs = strengths.withColumn("lo", F.least("i", "j")).withColumn("hi", F.greatest("i", "j"))
-    return pairs.groupBy(*keys, "lo", "hi").applyInPandas(wins, _schema(strengths, keys, ["location string", "wins long"])) \
+    return grouped(pairs, [*keys, "lo", "hi"], wins, _schema(strengths, keys, ["location string", "wins long"]), keys) \
         .groupBy(*keys, "location").agg(F.sum("wins").alias("wins"))
 
 
-def ranked_by_wins(wins: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every candidate with its wins and the min-rank by wins descending."""
-    w = Window.partitionBy(*keys).orderBy(F.col("wins").desc())
-    cond = F.lit(True)
-    for k in (*keys, "location"):
-        cond = cond & candidates[k].eqNullSafe(wins[k])
-    return candidates.join(wins, cond, "left") \
-        .select(*[candidates[k] for k in (*keys, "location")], F.coalesce(wins["wins"], F.lit(0)).cast("long").alias("wins")) \
-        .withColumn("rank", F.rank().over(w).cast("double"))
-
-
 def _ballots(votes: DataFrame, candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Votes and a row without a vote for every candidate, so that all of them stand."""
     return normalise_votes(votes, keys).unionByName(candidates.select(*keys, "location").distinct().select(
         *keys, "location", F.lit(None).cast("string").alias("variant"), F.lit(None).cast("double").alias("r")))
 
 
-def _cells(tiles: DataFrame, keys: Sequence[str], name: str, zeros: bool) -> DataFrame:
+def _listed(tiles: DataFrame, keys: Sequence[str], name: str, zeros: bool) -> DataFrame:
     """One row a cell of the tiles, ``(keys..., a, b, name)`` with ``a != b``."""
     keys = list(keys)
 
@@ -204,12 +310,13 @@ def _cells(tiles: DataFrame, keys: Sequence[str], name: str, zeros: bool) -> Dat
     return tiles.mapInPandas(rows, _schema(tiles, keys, ["a string", "b string", f"{name} long"]))
 
 
-def pairwise_preferences(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2) -> DataFrame:
+def pairwise_preferences(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2, slices: int = 1) -> DataFrame:
     """``(keys..., a, b, p)`` for every ordered pair of distinct candidates, from tiles of votes."""
-    return _cells(strength_tiles(_ballots(votes, candidates, keys), keys, blocks, strong=False), keys, "p", zeros=True)
+    tiles = strength_tiles(_ballots(votes, candidates, keys), keys, blocks, slices, strong=False)
+    return _listed(tiles, keys, "p", zeros=True)
 
 
-def path_strengths(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2) -> DataFrame:
+def path_strengths(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2, slices: int = 1) -> DataFrame:
     """Strongest-path strengths ``(keys..., a, b, s)``, zero paths and ``a = b`` omitted."""
-    tiles = strength_tiles(_ballots(votes, candidates, keys), keys, blocks)
-    return _cells(widest_path_tiles(tiles, keys, blocks), keys, "s", zeros=False)
+    tiles = strength_tiles(_ballots(votes, candidates, keys), keys, blocks, slices)
+    return _listed(widest_path_tiles(tiles, keys, blocks), keys, "s", zeros=False)

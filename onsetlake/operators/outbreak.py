@@ -25,7 +25,7 @@ def _drop(ranks: DataFrame, excluded: Column | None) -> DataFrame:
 
 
 def continent_outbreak_rank(ranks: DataFrame, excluded: Column | None = None,
-                            rank_col: str = "outbreak_rank_global", blocks: int = 1) -> DataFrame:
+                            rank_col: str = "outbreak_rank_global", blocks: int = 2, slices: int = 1) -> DataFrame:
     """``(continent, location, schulze_onset_rank_continent, earliest_5_in_continent)``.
 
     Locations with a null continent take no part (they have no continent
@@ -37,7 +37,7 @@ def continent_outbreak_rank(ranks: DataFrame, excluded: Column | None = None,
     votes = _drop(scoped, excluded).select(
         "continent", "location", "variant", F.col(rank_col).alias("r")
     )
-    ranked = combined_rank(votes, candidates, ["continent"], blocks=blocks)
+    ranked = combined_rank(votes, candidates, ["continent"], blocks, slices)
     return ranked.select(
         "continent",
         "location",
@@ -46,7 +46,7 @@ def continent_outbreak_rank(ranks: DataFrame, excluded: Column | None = None,
     )
 
 
-def early_hit_ranking(onsets: DataFrame, excluded: Column | None = None, blocks: int = 1) -> DataFrame:
+def early_hit_ranking(onsets: DataFrame, excluded: Column | None = None, blocks: int = 2, slices: int = 1) -> DataFrame:
     """Per-continent election on onset *dates* (the legacy job function).
 
     Ranking by date or by the per-continent rank gives the same pairwise
@@ -55,7 +55,7 @@ def early_hit_ranking(onsets: DataFrame, excluded: Column | None = None, blocks:
     scoped = onsets.where(F.col("continent").isNotNull())
     candidates = scoped.select("continent", "location").distinct()
     votes = _drop(scoped, excluded).select("continent", "location", "variant", F.col("outbreak_date").alias("r"))
-    return combined_rank(votes, candidates, ["continent"], blocks=blocks).select(
+    return combined_rank(votes, candidates, ["continent"], blocks, slices).select(
         "continent", "location", F.col("rank").alias("early_hit_ranking")
     )
 
@@ -74,7 +74,7 @@ def resolve(date_col: Column, resolution: str) -> Column:
 
 
 def global_early_hit(onsets: DataFrame, excluded: Column | None = None, resolution: str = "day",
-                     blocks: int = 4) -> DataFrame:
+                     blocks: int = 2, slices: int = 1) -> DataFrame:
     """One election over all ``(continent, location)`` candidates on onset dates, in ``blocks`` squared tiles."""
     candidates = onsets.select(F.lit("global").alias("election"), "continent", "location").distinct()
     votes = _drop(onsets, excluded).select(
@@ -88,7 +88,7 @@ def global_early_hit(onsets: DataFrame, excluded: Column | None = None, resoluti
     ranked = combined_rank(
         votes.select("election", label.alias("location"), "variant", "r"),
         candidates.select("election", label.alias("location")),
-        ["election"], blocks=blocks,
+        ["election"], blocks, slices,
     )
     parts = F.split(F.col("location"), sep)
     return ranked.select(

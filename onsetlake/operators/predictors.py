@@ -13,82 +13,121 @@ A predictor keeps ``predictor_rank <= 5`` in its election (ties may give
 more than five).  All targets' elections form one Spark job: the target is
 a column of the election key, never a driver loop.
 
-Scale: rows fed to the elections are ``targets x candidates x variants``.
-The off-continent pairing never uses a cross join: each target is expanded
-to the continents that are not its own (a bounded list gathered by a
-scalar subquery over the distinct continents) and joined to the candidates
-by continent equality.
+Scale: the ranks of all locations are stored once, as tiles of a block of locations in a
+slice of variants.  A group sees the tiles of two blocks and the ranks of some
+targets in one slice.  Which votes a target masks, and who stands in its elections, is
+decided inside the group, target by target, so ballots are neither copied nor joined once a target.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from onsetlake.operators.election import combined_rank
+from onsetlake.functions import schulze_kernel
+from onsetlake.operators import election
 
 TOP_N = 5
+SEP = "\u0001"  # between continent and location in a label
+KEYS = ["t_continent", "t_location", "on_same_continent"]
+_PARTS = "t_continent string, t_location string, on_same_continent boolean, lo int, hi int, rows array<string>, cols array<string>, " \
+         "p binary, q binary, row_votes array<int>, col_votes array<int>"
+
+
+def _continent(label: str) -> str:
+    return label.partition(SEP)[0]
+
+
+def masked_preferences(tiles: DataFrame, targets: DataFrame, blocks: int, strict: bool) -> DataFrame:
+    """Partial preferences between two blocks in one slice for the two elections of every target.
+
+    ``targets``: tiles of the targets' own ranks.  Votes later than the target's are
+    masked; a continent in a label is empty where it is null.
+    """
+    def pair(tiles: list) -> list[dict]:
+        lo, hi = tiles[0].lo, tiles[0].hi
+        at = {tile.block: tile for tile in tiles if not tile.target}
+        asked = next((tile for tile in tiles if tile.target), None)
+        out: list[dict] = []
+        if asked is None or lo not in at or hi not in at:
+            return out
+        variants = sorted({v for tile in tiles for v in tile.variants})
+        sides = []
+        for tile in (at[lo], at[hi]):
+            labels = np.asarray(tile.rows, object)
+            sides.append((labels, np.array([_continent(x) for x in labels], object), election.ranks_of(tile, variants)))
+        for target, own in zip(asked.rows, election.ranks_of(asked, variants)):
+            continent, _, location = target.partition(SEP)
+            latest = np.where(np.isnan(own), -np.inf if strict else np.inf, own)
+            kept = [np.where(r < latest if strict else r <= latest, r, np.nan) for _, _, r in sides]
+            for on in (True, False):
+                stand = [np.flatnonzero(((where == continent) == on) & (labels != target)) for labels, where, _ in sides]
+                if all(map(len, stand)):
+                    a, b = (r[s] for r, s in zip(kept, stand))
+                    names = [list(labels[s]) for (labels, _, _), s in zip(sides, stand)]
+                    out.append({"t_continent": continent, "t_location": location, "on_same_continent": on, "lo": lo, "hi": hi,
+                                "rows": names[0], "cols": names[1], "p": schulze_kernel.preferences(a, b).tobytes(),
+                                "q": schulze_kernel.preferences(b, a).tobytes(),
+                                **{c: (~np.isnan(x)).sum(1).tolist() for c, x in (("row_votes", a), ("col_votes", b))}})
+        return out
+
+    locations = election.block_pairs(tiles, blocks).withColumn("target", F.lit(False)) \
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    pairs = F.expr(f"explode(flatten(transform(sequence(0, {blocks - 1}), i -> transform(sequence(i, {blocks - 1}), "
+                   "j -> named_struct('lo', i, 'hi', j)))))")
+    asked = targets.withColumn("pair", pairs).select("*", "pair.lo", "pair.hi").drop("pair") \
+        .withColumn("target", F.lit(True)).withColumn("part", F.col("block"))
+    return election.grouped(locations.unionByName(asked), ["lo", "hi", "slice", "part"], pair, _PARTS)
+
+
+def with_votes_only(parts: DataFrame) -> DataFrame:
+    """Partial preferences without the candidates that have no vote left in any slice."""
+    def drop(parts: list) -> list[dict]:
+        rows, cols = (np.sum([getattr(x, c) for x in parts], axis=0) > 0 for c in ("row_votes", "col_votes"))
+        if not rows.any() or not cols.any():
+            return []
+        out = []
+        for x in parts:
+            p = np.frombuffer(x.p, np.int32).reshape(len(rows), len(cols))[rows][:, cols]
+            q = np.frombuffer(x.q, np.int32).reshape(len(cols), len(rows))[cols][:, rows]
+            out.append({"lo": x.lo, "hi": x.hi, "rows": list(np.asarray(x.rows, object)[rows]), "cols": list(np.asarray(x.cols, object)[cols]),
+                        "p": p.tobytes(), "q": q.tobytes()})
+        return out
+
+    schema = "t_continent string, t_location string, on_same_continent boolean, lo int, hi int, rows array<string>, " \
+             "cols array<string>, p binary, q binary"
+    return election.grouped(parts, [*KEYS, "lo", "hi"], drop, schema, KEYS)
 
 
 def predictor_locations(ranks: DataFrame, targets: DataFrame, excluded: Column | None = None,
                         rank_col: str = "outbreak_rank_global", strict: bool = False,
-                        blocks: int = 1) -> DataFrame:
+                        blocks: int = 2, slices: int = 1) -> DataFrame:
     """Predictor table for all ``targets(continent, location)``.
 
     ``strict=True`` keeps only cells strictly before a known target onset and
     drops candidates left without votes.
     """
-    cand = ranks.select(F.col("continent").alias("c_continent"), F.col("location").alias("c_location")).distinct()
-    votes = ranks if excluded is None else ranks.where(~F.coalesce(excluded, F.lit(False)))
-    votes = votes.select(
-        F.col("continent").alias("c_continent"), F.col("location").alias("c_location"),
-        "variant", F.col(rank_col).alias("r"),
-    )
-    tgt = targets.select(F.col("continent").alias("t_continent"), F.col("location").alias("t_location")).distinct()
+    def label(continent: str, location: str) -> Column:
+        return F.concat_ws(SEP, F.coalesce(continent, F.lit("")), location)
 
-    on = tgt.join(cand, (tgt.t_continent == cand.c_continent) & (tgt.t_location != cand.c_location)).select(
-        "t_continent", "t_location", F.lit(True).alias("on_same_continent"), "c_continent", "c_location"
-    )
-    # Continents other than the target's, as a bounded per-target list.
-    all_conts = cand.select(F.struct(F.col("c_continent").alias("c")).alias("cs")).distinct().agg(
-        F.collect_list("cs")
-    ).scalar()
-    others = tgt.withColumn("all_conts", all_conts).select(
-        "t_continent", "t_location",
-        F.explode(F.filter("all_conts", lambda x: ~x["c"].eqNullSafe(F.col("t_continent")))).alias("oc"),
-    ).select("t_continent", "t_location", F.col("oc.c").alias("o_continent"))
-    off = others.join(cand, others.o_continent.eqNullSafe(cand.c_continent)).select(
-        "t_continent", "t_location", F.lit(False).alias("on_same_continent"), "c_continent", "c_location"
-    )
-    elections = on.unionByName(off)
-
-    target_votes = votes.join(
-        tgt, (votes.c_continent == tgt.t_continent) & (votes.c_location == tgt.t_location)
-    ).select("t_continent", "t_location", "variant", F.col("r").alias("r_t"))
-
-    v = votes.withColumnsRenamed({"c_continent": "v_continent", "c_location": "v_location"})
-    ballot = elections.join(
-        v, elections.c_continent.eqNullSafe(v.v_continent) & (elections.c_location == v.v_location)
-    ).drop("v_continent", "v_location").join(target_votes, ["t_continent", "t_location", "variant"], "left")
-    keep = (F.col("r") < F.col("r_t")) if strict else (F.col("r_t").isNull() | (F.col("r") <= F.col("r_t")))
-    ballot = ballot.where(keep)
-
-    keys = ["t_continent", "t_location", "on_same_continent"]
-    label = F.concat_ws("\u0001", F.coalesce("c_continent", F.lit("")), "c_location")
-    ballot_long = ballot.select(*keys, label.alias("location"), "variant", "r")
-    if strict:
-        standing = ballot.select(*keys, label.alias("location")).distinct()
-    else:
-        standing = elections.select(*keys, label.alias("location"))
-    ranked = combined_rank(ballot_long, standing, keys, blocks=blocks)
-
-    parts = F.split(F.col("location"), "\u0001")
+    cand = ranks.select(label("continent", "location").alias("location")).distinct()
+    votes = ranks if excluded is None else ranks.where(~F.coalesce(excluded, F.lit(False)))
+    votes = votes.select(label("continent", "location").alias("location"), "variant", F.col(rank_col).alias("r"))
+    asked = election.stored(targets.where(F.col("continent").isNotNull()).select(label("continent", "location").alias("location")).distinct())
+    tiles = election.stored(election.rank_tiles(election._ballots(votes, cand, []), [], blocks, slices))
+    wanted = election.rank_tiles(election._ballots(votes.join(asked, "location", "left_semi"), asked, []), [], blocks, slices)
+    masked = masked_preferences(tiles, wanted, blocks, strict)
+    parts = with_votes_only(masked) if strict else masked.drop("row_votes", "col_votes")
+    ranked = election.ranked(election.summed_tiles(parts, KEYS, slices), KEYS, blocks)
+
+    label_parts = F.split(F.col("location"), SEP)
     on_flag = F.col("on_same_continent")
     top = F.col("rank") <= TOP_N
     return ranked.where(top).select(
-        F.get(parts, 1).alias("predictor_location"),
+        F.get(label_parts, 1).alias("predictor_location"),
         F.col("rank").alias("predictor_rank"),
-        F.when(on_flag, F.col("t_continent")).otherwise(F.nullif(F.get(parts, 0), F.lit(""))).alias("predictor_continent"),
+        F.when(on_flag, F.col("t_continent")).otherwise(F.nullif(F.get(label_parts, 0), F.lit(""))).alias("predictor_continent"),
         on_flag.alias("on_same_continent"),
         (on_flag & top).alias("is_in_same_continent_top_5_predictors"),
         (~on_flag & top).alias("is_in_off_continent_top_5_predictors"),
