@@ -8,6 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def small_left_join_bucketed(small: DataFrame, big: DataFrame, small_keys: Sequence[str], big_keys: Sequence[str],
+                             salt: str, salts: int) -> DataFrame:
+    """``small LEFT JOIN big`` for a ``big`` that is bucketed by ``big_keys`` and ``salt`` (0 to ``salts`` - 1).
+
+    Small rows go once to every salt, so a hot key of the big side stays spread over
+    its buckets, and the big rows are joined where they lie.
+    """
+    pairs = list(zip(small_keys, big_keys))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cond = copies["_salt"] == big[f"`{salt}`"]
+    for sk, bk in pairs:
+        cond = cond & (copies[sk] == big[f"`{bk}`"])
+    matched = big.join(copies, cond, "inner")
+    held = big.select(*[F.col(f"`{bk}`").alias(sk) for sk, bk in pairs]).distinct()
+    unmatched = small.join(held, list(small_keys), "left_anti")
+    cols = [F.col(f"`{c}`") for c in (*small.columns, *[c for c in big.columns if c != salt])]
+    return matched.select(*cols).unionByName(unmatched, allowMissingColumns=True).select(*cols)
+
+
 def small_left_join_big(small: DataFrame, big: DataFrame, small_keys: Sequence[str], big_keys: Sequence[str]) -> DataFrame:
     """``small LEFT JOIN big`` that stays skew-safe when ``big`` has hot keys.
 

@@ -1,7 +1,7 @@
 """Correlation matrices with significance, as long ``(x, y, ...)`` tables.
 
-The matrix is one aggregate pass: for every unordered pair the pairwise-
-complete sums are built with built-in aggregates, so the data is read
+The matrix is one pass: tasks add up pairwise-complete moments of all pairs of columns
+in numpy, and these are added up by tile, so the data is read
 once whatever ``k`` is.  The p-value needs the regularised incomplete beta
 function, which Spark lacks; it runs as an Arrow-batched ``pandas_udf`` over
 the ``k^2`` result rows only (never over data rows).
@@ -10,10 +10,12 @@ the ``k^2`` result rows only (never over data rows).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,24 +34,102 @@ def _pair_stats(x: Column, y: Column) -> list[Column]:
     return [F.try_divide(cov, den), n]
 
 
+TILE = 16  # columns of a tile of the moment matrix
+GROUPS = 64
+
+
+class Moments:
+    """Pairwise-complete counts, means, squares and products of the columns ``x`` with the columns ``y``; they can be added up.
+
+    ``mx[i, j]``: the mean of x_i over the rows that also have y_j, ``my`` that of y_j;
+    ``vx``, ``vy`` and ``c``: sums of squared deviations and of products of deviations from them.
+    """
+
+    NAMES = ("n", "mx", "my", "vx", "vy", "c")
+
+    def __init__(self, n, mx, my, vx, vy, c):
+        self.n, self.mx, self.my, self.vx, self.vy, self.c = n, mx, my, vx, vy, c
+
+    @classmethod
+    def of(cls, x: np.ndarray, y: np.ndarray) -> "Moments":
+        # deviations from a value of the column itself, so that a constant column has none
+        sx, sy = (np.array([col[~np.isnan(col)][0] if (~np.isnan(col)).any() else 0.0 for col in a.T]) for a in (x, y))
+        hx, hy = (~np.isnan(x)).astype(float), (~np.isnan(y)).astype(float)
+        dx, dy = np.nan_to_num(x - sx), np.nan_to_num(y - sy)
+        n = hx.T @ hy
+        some = np.maximum(n, 1.0)
+        tx, ty = dx.T @ hy, hx.T @ dy
+        return cls(n, sx[:, None] + tx / some, sy[None, :] + ty / some, (dx * dx).T @ hy - tx * tx / some,
+                   hx.T @ (dy * dy) - ty * ty / some, dx.T @ dy - tx * ty / some)
+
+    def __add__(self, other: "Moments") -> "Moments":
+        n = self.n + other.n
+        some = np.maximum(n, 1.0)
+        dx = np.where((self.n > 0) & (other.n > 0), other.mx - self.mx, 0.0)
+        dy = np.where((self.n > 0) & (other.n > 0), other.my - self.my, 0.0)
+        share, both = other.n / some, self.n * other.n / some
+        mx, my = (np.where(self.n > 0, a + d * share, b) for a, d, b in ((self.mx, dx, other.mx), (self.my, dy, other.my)))
+        return Moments(n, mx, my, self.vx + other.vx + dx * dx * both, self.vy + other.vy + dy * dy * both, self.c + other.c + dx * dy * both)
+
+    def pack(self) -> bytes:
+        return np.stack([getattr(self, x) for x in self.NAMES]).tobytes()
+
+    @classmethod
+    def unpack(cls, data: bytes, shape: tuple[int, int]) -> "Moments":
+        return cls(*np.frombuffer(data, np.float64).reshape(len(cls.NAMES), *shape))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """ST1: ``(x, y, r, n)`` for every ordered pair (diagonal included).
 
-    Pearson r on pairwise-complete rows; null for a constant column.
+    Pearson r on pairwise-complete rows; null for a constant column.  Each task adds up
+    one matrix of moments and gives it in tiles of ``TILE`` columns; the tiles of all
+    tasks are added up in two steps, whatever the number of columns.
     """
     cols = list(columns)
-    aggs, entries = [], []
-    idx = 0
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            xa, xb = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
-            r, n = _pair_stats(xa, xb)
-            aggs += [r.alias(f"r{idx}"), n.alias(f"n{idx}")]
-            for x, y in {(a, b), (b, a)}:
-                entries.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"),
-                                        F.col(f"r{idx}").alias("r"), F.col(f"n{idx}").cast("long").alias("n")))
-            idx += 1
-    return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    parts = [range(a, min(a + TILE, len(cols))) for a in range(0, len(cols), TILE)]
+    tiles = [(i, j) for i in range(len(parts)) for j in range(i, len(parts))]
+    # columns are told apart by place: a name may stand twice
+    data = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            for i, j in tiles:
+                own = Moments.of(values[:, parts[i]], values[:, parts[j]])
+                total[i, j] = total[i, j] + own if (i, j) in total else own
+        group = TaskContext.get().partitionId() % GROUPS
+        yield pa.RecordBatch.from_pylist([{"i": i, "j": j, "g": group, "m": m.pack()} for (i, j), m in total.items()], _MOMENTS)
+
+    def added(table: pa.Table) -> pa.Table:
+        first = {c: table[c][0].as_py() for c in ("i", "j", "g")}
+        shape = len(parts[first["i"]]), len(parts[first["j"]])
+        total = sum((Moments.unpack(m, shape) for m in table["m"].to_pylist()[1:]), Moments.unpack(table["m"][0].as_py(), shape))
+        return pa.Table.from_pylist([first | {"m": total.pack()}], _MOMENTS)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                i, j = parts[row["i"]], parts[row["j"]]
+                m = Moments.unpack(row["m"], (len(i), len(j)))
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    r = np.where((m.vx > 0) & (m.vy > 0), m.c / np.sqrt(m.vx) / np.sqrt(m.vy), np.nan)
+                found = {}
+                for a, x in enumerate(i):
+                    for b, y in enumerate(j):
+                        found[x, y] = found[y, x] = (None if np.isnan(r[a, b]) else float(r[a, b])), int(m.n[a, b])
+                yield pa.RecordBatch.from_pylist([{"x": cols[x], "y": cols[y], "r": r, "n": n} for (x, y), (r, n) in found.items()], _PAIRS)
+
+    schema = "i int, j int, g int, m binary"
+    sums = data.mapInArrow(gathered, schema).groupBy("i", "j", "g").applyInArrow(added, schema)
+    return sums.groupBy("i", "j").applyInArrow(added, schema).mapInArrow(listed, "x string, y string, r double, n long")
+
+
+_MOMENTS = pa.schema([("i", pa.int32()), ("j", pa.int32()), ("g", pa.int32()), ("m", pa.binary())])
+_PAIRS = pa.schema([("x", pa.string()), ("y", pa.string()), ("r", pa.float64()), ("n", pa.int64())])
 
 
 def grouped_correlation(df: DataFrame, group: str, x: str, columns: Sequence[str]) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from onsetlake.functions.scan import running_sum
+
 # Indicators looked at round an onset.
 EVENT_INDICATORS = (
     "reproduction_rate", "new_deaths_smoothed_per_million", "hosp_patients_per_million",
@@ -58,25 +60,19 @@ def prevalence_by_location(evolution: DataFrame) -> DataFrame:
     return sums.join(seen, ["location", "variant"], "left_semi")
 
 
-def _running(df: DataFrame, value: str, partition: Sequence[str], order: str = "date") -> DataFrame:
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # A null stays null at its position while the total continues after it.
-    return df.withColumn(f"{value}_cumulative",
-                         F.when(F.col(value).isNotNull(), F.sum(value).over(w)))
-
-
 def cumulative_by_date(evolution: DataFrame) -> DataFrame:
-    """TS5 (global): daily totals and their running sum.
-
-    The running sum has no partition key, so it runs in one task, but only
-    over one row per date (already aggregated), never over raw rows.
-    """
-    return _running(prevalence_by_date(evolution), "num_sequences", [])
+    """TS5 (global): daily totals and their running sum, range by range."""
+    return running_sum(prevalence_by_date(evolution), ["num_sequences"], ["date"])
 
 
 def cumulative_by_variant(evolution: DataFrame) -> DataFrame:
-    """TS5 (per variant): running sum partitioned by variant."""
-    return _running(prevalence_by_variant(evolution), "num_sequences", ["variant"])
+    """TS5 (per variant): daily totals of a variant and their running sum, range by range."""
+    return running_sum(prevalence_by_variant(evolution), ["num_sequences"], ["date"], ["variant"])
+
+
+def cumulative_indicators(indicators: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """TS6: the running sum of indicators by date at each location."""
+    return running_sum(indicators.select("location", "date", *columns), columns, ["date"], ["location"])
 
 
 def reference_series(evolution: DataFrame, indicators: DataFrame, location: str = "World",
@@ -159,6 +155,15 @@ def static_indicators(df: DataFrame, columns: Sequence[str], key: str = "locatio
     ])
 
 
+def static_table(df: DataFrame, key: str = "location", order: str = "date") -> DataFrame:
+    """FLT12: the columns that are constant within every key, one row a key.
+
+    An aggregate over the data decides which columns these are; only their names pass the driver.
+    """
+    names = [r["column"] for r in constant_columns(df, key).where("is_constant").select("column").collect()]
+    return static_indicators(df, [c for c in df.columns if c in names], key, order)
+
+
 def onset_matrix(ranks: DataFrame, values: Sequence[str], value: str = "outbreak_rank_global",
                  rows: Sequence[str] = ("continent", "location"), column: str = "variant") -> DataFrame:
     """RSH1/RSH2: a display pivot of the onset table, e.g. ``(continent, location) x

@@ -2,17 +2,18 @@
 
 Runs on the *distinct* locations only (a few hundred names, however large
 the data), in stages of decreasing certainty: a fixed rename table, exact
-name, common name, then fuzzy.  The fuzzy stage never compares every name
-with every reference entry: both sides are split into character 3-grams
-and joined on a shared gram (an equi-join), and only those candidate pairs
-are scored by edit distance.  The best candidate per location wins
+name, common name, then fuzzy.  The fuzzy stage finds every pair that is similar enough
+without comparing all pairs: within ``d`` edits, one of ``d + 1``
+segments of a name stands whole in the other, at most ``d`` places off.  So segments are
+joined with substrings on (length of the name, place, text), an equi-join, and
+only those candidate pairs are scored by edit distance.  The best candidate per location wins
 (highest similarity, then smallest name); below ``cutoff`` the code stays
 null, and the unmatched names are visible in the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Awkward location names and the official names they stand for.
@@ -28,10 +29,32 @@ NAME_FIXES = {
 }
 
 
-def _grams(s: Column) -> Column:
-    low = F.lower(s)
-    n = F.greatest(F.length(low) - 2, F.lit(1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(low, i, F.lit(3))))
+def similar_names(names: DataFrame, candidates: DataFrame, cutoff: float) -> DataFrame:
+    """``(name, cand, sim)`` of all pairs with ``1 - edits / length of the longer one >= cutoff``, in lower case.
+
+    ``names(name)`` and ``candidates(cand)`` hold distinct values; empty names have no similar ones.
+    """
+    if not 0 < cutoff <= 1:
+        raise ValueError("the cut-off must be above 0 and at most 1")
+    lengths = F.sequence(F.ceil(F.col("n") * cutoff - 1e-9), F.floor(F.col("n") / cutoff + 1e-9))
+    asked = names.where(F.length("name") > 0).select("name", F.lower("name").alias("s")).withColumn("n", F.length("s")) \
+        .withColumn("size", F.explode(lengths)) \
+        .withColumn("d", F.floor(F.greatest("n", "size") * (1 - cutoff) + 1e-9).cast("int")) \
+        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("d")))) \
+        .withColumn("at", F.floor(F.col("j") * F.col("n") / (F.col("d") + 1)).cast("int")) \
+        .withColumn("to", F.floor((F.col("j") + 1) * F.col("n") / (F.col("d") + 1)).cast("int")) \
+        .withColumn("part", F.substr("s", F.col("at") + 1, F.col("to") - F.col("at"))) \
+        .withColumn("place", F.explode(F.sequence(F.greatest(F.col("at") - F.col("d"), F.lit(0)), F.col("at") + F.col("d")))) \
+        .select("name", "size", "place", "part")
+    longest = F.lit(int(1 / (1 - cutoff)) + 2 if cutoff < 1 else 1 << 30)  # of a segment: a name has d + 1 of them
+    held = candidates.where(F.length("cand") > 0).select("cand", F.lower("cand").alias("s")).withColumn("size", F.length("s").cast("long")) \
+        .withColumn("place", F.explode(F.sequence(F.lit(0), F.length("s")))) \
+        .withColumn("l", F.explode(F.sequence(F.lit(0), F.least(F.length("s") - F.col("place"), longest)))) \
+        .select("cand", "size", "place", F.substr("s", F.col("place") + 1, F.col("l")).alias("part"))
+    pairs = asked.join(held, ["size", "place", "part"]).select("name", "cand").distinct()
+    a, b = F.lower("name"), F.lower("cand")
+    sim = F.lit(1.0) - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b))
+    return pairs.withColumn("sim", sim).where(F.col("sim") >= cutoff)
 
 
 def country_codes(locations: DataFrame, reference: DataFrame, cutoff: float = 0.6,
@@ -54,13 +77,9 @@ def country_codes(locations: DataFrame, reference: DataFrame, cutoff: float = 0.
         "lookup", "left")
 
     todo = common.where(F.col("exact_code").isNull() & F.col("common_code").isNull()).select("location", "lookup")
-    lg = todo.select("location", "lookup", F.explode(_grams(F.col("lookup"))).alias("g"))
-    rg = ref.select(F.col("name").alias("cand"), F.col("code").alias("cand_code"),
-                    F.explode(_grams(F.col("name"))).alias("g"))
-    pairs = lg.join(rg, "g").select("location", "lookup", "cand", "cand_code").distinct()
-    sim = F.lit(1.0) - F.levenshtein(F.lower("lookup"), F.lower("cand")) / F.greatest(
-        F.length("lookup"), F.length("cand"))
-    scored = pairs.withColumn("sim", sim).where(F.col("sim") >= cutoff)
+    found = similar_names(todo.select(F.col("lookup").alias("name")).distinct(), ref.select(F.col("name").alias("cand")).distinct(), cutoff)
+    codes = ref.select(F.col("name").alias("cand"), F.col("code").alias("cand_code"))
+    scored = todo.join(found, F.col("lookup") == F.col("name")).join(codes, "cand")
     w = Window.partitionBy("location").orderBy(F.col("sim").desc(), F.col("cand"))
     best = scored.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(
         "location", F.col("cand_code").alias("fuzzy_code"))

@@ -8,10 +8,10 @@ checks unless the constraint is a completeness check.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,20 @@ def run_checks(df: DataFrame, constraints: Sequence[Constraint]) -> DataFrame:
     )
 
 
+def write_observed(df: DataFrame, constraints: Sequence[Constraint], write: Callable[[DataFrame], None]) -> DataFrame:
+    """DQ4: writes ``df`` and returns the results of ``constraints`` as ``run_checks`` does, counted while its rows pass by.
+
+    The layer is read once; there is no second scan for its checks.
+    """
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c.violation).alias(f"c{i}") for i, c in enumerate(constraints)]))
+    got = seen.get
+    rows = [(c.check, c.level, c.constraint, "Failure" if got[f"c{i}"] else "Success", got[f"c{i}"],
+             got[f"c{i}"] / got["rows"] if got["rows"] else None) for i, c in enumerate(constraints)]
+    return df.sparkSession.createDataFrame(
+        rows, "check string, level string, constraint string, status string, violations long, fraction double")
+
+
 def gate(results: DataFrame, message: str = "data quality gate failed") -> None:
     """Raise :class:`DataQualityError` if any constraint has violations."""
     failed = results.where(F.col("violations") > 0).select("constraint", "violations").collect()

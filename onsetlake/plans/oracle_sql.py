@@ -748,3 +748,78 @@ def predictor_locations_strict() -> str:
 {_q1_ctes()},
 {_pred_ctes(strict=True)}
 SELECT * FROM pred"""
+
+
+def wide_correlation() -> str:
+    from onsetlake.operators.quality import INDICATOR_RANGES
+
+    have = (*COUNTERS, *DOUBLES)
+    lacking = [c for c in INDICATOR_RANGES if c not in have]
+    wide = ", ".join(f"stringency_index * {i % 7 + 1} - 20 AS {c}" for i, c in enumerate(lacking))
+    cols = list(INDICATOR_RANGES)
+    aggs, rows = [], []
+    for i, a in enumerate(cols):
+        for j in range(i, len(cols)):
+            b = cols[j]
+            both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+            x, y = (f"CASE WHEN {both} THEN CAST({c} AS DOUBLE) END" for c in (a, b))
+            aggs += [f"round(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 6) AS r{i}_{j}",
+                     f"count(*) FILTER ({both}) AS n{i}_{j}"]
+            rows += [f"{{'x': '{p}', 'y': '{q}', 'r': r{i}_{j}, 'n': n{i}_{j}}}" for p, q in sorted({(a, b), (b, a)})]
+    return f"WITH {indicators_cte()},\nwide AS (SELECT *, {wide} FROM ind),\nm AS (SELECT {', '.join(aggs)} FROM wide),\n" \
+           f"u AS (SELECT unnest([{', '.join(rows)}]) AS e FROM m)\nSELECT e.x AS x, e.y AS y, e.r AS r, CAST(e.n AS BIGINT) AS n FROM u"
+
+
+def landed_lines_by_file() -> str:
+    names = ("continent", "location", "date", "tests_units", "total_tests", "new_tests", "hosp_patients", "population", "reproduction_rate",
+             "positive_rate", "stringency_index", "new_deaths_smoothed_per_million", "hosp_patients_per_million", "population_density",
+             "median_age", "gdp_per_capita")
+    line = " || ',' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in names)
+    return f"""WITH {lines_cte()}, {indicators_cte()},
+f AS (SELECT 'data1_country_variants' AS dataset, 'Data1_' || regexp_extract(value, '[0-9]{{2}}\\.[0-9]{{2}}\\.([0-9]{{4}})', 1) || '.csv' AS file_name, value FROM lines
+  UNION ALL SELECT 'data2_country_indicators', 'Data2_' || substr(CAST(date AS VARCHAR), 1, 4) || '.xlsx', {line} FROM raw_ind)
+SELECT dataset, file_name, count(*) AS n_lines, CAST(sum(length(value)) AS BIGINT) AS n_chars, true AS has_bytes FROM f GROUP BY ALL"""
+
+
+def typed_read_rejects() -> str:
+    return f"""WITH {lines_cte()},
+l AS (SELECT value, regexp_extract(value, '([0-9]{{2}})\\.[0-9]{{2}}\\.[0-9]{{4}}', 1) AS day FROM lines)
+SELECT 'typed' AS kind, count(*) AS n_rows, CAST(sum(CAST(split_part(value, ',', 4) AS BIGINT)) AS BIGINT) AS num_sequences,
+  count(*) AS n_dates, CAST(NULL AS BIGINT) AS n_chars FROM l WHERE day NOT IN ('13', '31')
+UNION ALL SELECT 'rejected', count(*), NULL, NULL, CAST(sum(length(value)) AS BIGINT) FROM l WHERE day IN ('13', '31')"""
+
+
+def indicator_running_sum() -> str:
+    def total(c: str) -> str:
+        return f"CASE WHEN {c} IS NOT NULL THEN sum({c}) OVER (PARTITION BY location ORDER BY date ROWS UNBOUNDED PRECEDING) END"
+
+    return f"""WITH {indicators_cte()}
+SELECT location, date, new_deaths_smoothed_per_million, total_tests,
+  round({total('new_deaths_smoothed_per_million')}, 4) AS new_deaths_smoothed_per_million_cumulative,
+  CAST({total('total_tests')} AS BIGINT) AS total_tests_cumulative FROM ind"""
+
+
+def country_code_similar() -> str:
+    return """WITH ref AS (SELECT n_name AS name, replace(n_name, '_', ' ') AS common, 'N' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS code FROM nation),
+l AS (SELECT DISTINCT unnest([name, common, 'X' || substr(name, 2), lower(name), reverse(name), substr(name, 1, 4)]) AS location FROM ref),
+p AS (SELECT l.location, name, code, 1 - levenshtein(lower(l.location), lower(name)) / greatest(length(l.location), length(name)) AS sim FROM l, ref),
+b AS (SELECT * FROM p WHERE sim >= 0.6 QUALIFY row_number() OVER (PARTITION BY location ORDER BY sim DESC, name) = 1)
+SELECT l.location, coalesce(e.code, c.code, b.code) AS code,
+  CASE WHEN e.code IS NOT NULL THEN 'exact' WHEN c.code IS NOT NULL THEN 'common' WHEN b.code IS NOT NULL THEN 'fuzzy' END AS match_kind
+FROM l LEFT JOIN ref e ON e.name = l.location LEFT JOIN ref c ON c.common = l.location LEFT JOIN b ON b.location = l.location"""
+
+
+def static_table() -> str:
+    return f"WITH {indicators_cte()}\nSELECT location, any_value(continent) AS continent, any_value(tests_units) AS tests_units, " \
+           + ", ".join(f"any_value({c}) AS {c}" for c in STATIC) + " FROM ind GROUP BY location"
+
+
+def dq_pattern_failing_rows() -> str:
+    checks = (("location", LOCATION_PATTERN, False), ("date_text", DATE_PATTERN, False), ("variant", VARIANT_PATTERN, True))
+
+    def quoted(x: str) -> str:
+        return x.replace("'", "''")
+
+    return f"WITH {lines_cte()},\nf AS (SELECT fields[1] AS location, fields[2] AS date_text, fields[3] AS variant FROM fl)\n" + "\nUNION ALL\n".join(
+        f"SELECT '{quoted(c + ' ~ ' + p)}' AS \"constraint\", location, date_text, variant FROM f "
+        f"WHERE NOT regexp_matches({c}, '{quoted(p)}')" + (f" OR {c} IS NULL" if nulls else "") for c, p, nulls in checks)

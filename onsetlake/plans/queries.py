@@ -15,7 +15,7 @@ from onsetlake.operators import onset as onset_ops
 from onsetlake.operators import outbreak, predictors, quality
 from onsetlake.plans import serving
 from onsetlake.plans.patterns import CONTINENT_PATTERN, DATE_PATTERN, LOCATION_PATTERN, VARIANT_PATTERN
-from onsetlake.sources import landing, testmap
+from onsetlake.sources import files, landing, sinks, testmap
 
 
 def _rounded(df: DataFrame, cols, digits: int = 6) -> DataFrame:
@@ -85,8 +85,8 @@ def clean_indicators_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testmap.indicators(spark, sf_dir)
 
 
-def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = [
+def _clean_checks() -> list[quality.Constraint]:
+    return [
         quality.is_ge("num_sequences_total", "num_sequences"),
         quality.non_negative("num_sequences_total"),
         quality.non_negative("num_sequences"),
@@ -94,7 +94,10 @@ def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.complete(["num_sequences_total", "num_sequences", "perc_sequences"]),
         quality.in_range("perc_sequences", 0, 100, nullable=False),
     ]
-    return quality.run_checks(_clean_variants(spark, sf_dir), checks)
+
+
+def dq_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_checks(_clean_variants(spark, sf_dir), _clean_checks())
 
 
 def dq_pattern_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,12 +268,12 @@ def _q1_inputs(spark: SparkSession, sf_dir: str):
 
 def pairwise_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes, cands = _q1_inputs(spark, sf_dir)
-    return election.pairwise_preferences(votes, cands, ["continent"])
+    return election.pairwise_preferences(votes, cands, ["continent"], blocks=2, slices=5)
 
 
 def path_strengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes, cands = _q1_inputs(spark, sf_dir)
-    return election.path_strengths(votes, cands, ["continent"], blocks=3)
+    return election.path_strengths(votes, cands, ["continent"], blocks=3, slices=2)
 
 
 def ranking_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,16 +292,16 @@ def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     q2 = predictors.predictor_locations(ranks, targets, excluded)
     curated = curate.curate(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
-    return serving.serving_dashboard(q1, q2, curated)
+    return serving.serving_dashboard(q1, q2, serving.curated_table(curated))
 
 
 def predictor_locations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q1 + Q2 with suppliers as locations: elections of hundreds of candidates."""
+    """Q1 + Q2 with suppliers as locations: elections of hundreds of candidates, dealt out into more blocks and slices."""
     ranks = _ranks(spark, sf_dir, level="supplier")
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
+    q1 = outbreak.continent_outbreak_rank(ranks, excluded, blocks=4, slices=2)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
-    return predictors.predictor_locations(ranks, targets, excluded)
+    return predictors.predictor_locations(ranks, targets, excluded, blocks=4, slices=2)
 
 
 # --- country codes, landing and file inventory ------------------------------------
@@ -406,3 +409,81 @@ def predictor_locations_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     return predictors.predictor_locations(ranks, targets, excluded, strict=True)
+
+
+# --- wide tables, layers with provenance and metrics, similar names ----------------
+
+
+def wide_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 over every ranged column of the indicators' schema."""
+    return _rounded(stats.correlation_matrix(testmap.wide_indicators(spark, sf_dir), tuple(quality.INDICATOR_RANGES)), ["r"])
+
+
+def observed_clean_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ4 + PIPE1: the clean layer is written, and its checks are counted as the rows pass by."""
+    from onsetlake.session import ensure_checkpoint_dir
+
+    path = f"{landing.new_landing_root(ensure_checkpoint_dir(spark))}/clean/variants"
+    return quality.write_observed(_clean_variants(spark, sf_dir), _clean_checks(), lambda df: sinks.write_table(df, path))
+
+
+def landed_lines_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC10 + SRC12 + SRC14: lines of two data sets land as files of a year each; one read routes and counts them."""
+    from onsetlake.session import ensure_checkpoint_dir
+
+    base = landing.new_landing_root(ensure_checkpoint_dir(spark))
+    variants = testmap.raw_variant_lines(spark, sf_dir)
+    year = F.regexp_extract("value", r"[0-9]{2}\.[0-9]{2}\.([0-9]{4})", 1)
+    daily = testmap.raw_indicators(spark, sf_dir)
+    wide = daily.select(F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in daily.columns]).alias("value"), F.year("date").alias("y"))
+    files = variants.select("value", F.concat(F.lit("Data1_"), year, F.lit(".csv")).alias("file")).unionByName(
+        wide.select("value", F.concat(F.lit("Data2_"), F.col("y").cast("string"), F.lit(".xlsx")).alias("file")))
+    files.withColumn("folder", F.col("file")).drop("file").write.partitionBy("folder").text(base)
+    # partition folders are named folder=<file>; the file name is what follows
+    read = landing.read_with_provenance(spark, base, prefix="folder=")
+    return read.groupBy("dataset", "file_name").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).alias("n_chars"),
+                                                    (F.min("file_size") > 0).alias("has_bytes"))
+
+
+def typed_read_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6 + DQ12: the raw lines written as files and read with types; lines that do not fit stay as they are."""
+    from onsetlake.session import ensure_checkpoint_dir
+
+    base = landing.new_landing_root(ensure_checkpoint_dir(spark))
+    testmap.raw_variant_lines(spark, sf_dir).write.text(base)
+    typed, rejects = files.split_records(spark, base)
+    good = typed.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("num_sequences").alias("num_sequences"),
+                     F.count("date").alias("n_dates")).select(F.lit("typed").alias("kind"), "*", F.lit(None).cast("long").alias("n_chars"))
+    bad = rejects.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("value")).alias("n_chars")).select(
+        F.lit("rejected").alias("kind"), "n_rows", F.lit(None).cast("long").alias("num_sequences"), F.lit(None).cast("long").alias("n_dates"), "n_chars")
+    return good.unionByName(bad)
+
+
+def indicator_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TS6: running sums of indicators at each location."""
+    columns = ("new_deaths_smoothed_per_million", "total_tests")
+    found = explore.cumulative_indicators(testmap.indicators(spark, sf_dir), columns)
+    return _rounded(found, ["new_deaths_smoothed_per_million_cumulative"], 4)
+
+
+def country_code_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOIN17: nation names as they are, with spaces, with a wrong letter, in lower case, backwards and cut short."""
+    ref = testmap.country_reference(spark, sf_dir)
+    n = F.col("name")
+    forms = F.array(n, F.col("common_name"), F.concat(F.lit("X"), F.substring(n, 2, 99)), F.lower(n), F.reverse(n), F.substring(n, 1, 4))
+    return geo.country_codes(ref.select(F.explode(forms).alias("location")), ref)
+
+
+def static_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT12 + AGG9: the columns that the data show to be constant at every location, one row a location."""
+    return explore.static_table(testmap.indicators(spark, sf_dir))
+
+
+def dq_pattern_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT9: the variant lines whose location, date or variant does not match its pattern."""
+    fields = clean.split_fields(testmap.raw_variant_lines(spark, sf_dir))
+    rows = fields.select("fields", F.get("fields", 0).alias("location"), F.get("fields", 1).alias("date_text"), F.get("fields", 2).alias("variant"))
+    checks = [quality.matches("location", LOCATION_PATTERN), quality.matches("date_text", DATE_PATTERN),
+              quality.matches("variant", VARIANT_PATTERN, nullable=False)]
+    found = [quality.failing_rows(rows, c).select(F.lit(c.constraint).alias("constraint"), "location", "date_text", "variant") for c in checks]
+    return found[0].unionByName(found[1]).unionByName(found[2])

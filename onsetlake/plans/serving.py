@@ -9,10 +9,14 @@ fans out over its curated rows).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from onsetlake.functions.joins import small_left_join_big
+from onsetlake.functions.joins import small_left_join_big, small_left_join_bucketed
+from onsetlake.session import ensure_checkpoint_dir
+from onsetlake.sources.sinks import write_bucketed
 
 PRED = "analysis_location_variant_predictors"
 CUR = "curated_country_variant_indicators"
@@ -27,7 +31,24 @@ GEO_TAGS = {
 }
 
 
+SALT, SALTS = "serving_salt", 8
+
+
+def curated_table(curated: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The curated rows as a bucketed table under the checkpoint folder: computed and shuffled once, then joined where they lie.
+
+    A salt of date and variant spreads a hot location over ``SALTS`` buckets.
+    """
+    spark, name = curated.sparkSession, f"serving_curated_{uuid.uuid4().hex}"
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted = curated.withColumn(SALT, F.pmod(F.xxhash64("date", "variant"), F.lit(SALTS)).cast("int"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    keys = ["location", "continent", SALT]
+    return write_bucketed(salted.repartition(buckets, *keys), name, path, keys, buckets)
+
+
 def serving_dashboard(outbreak_rank: DataFrame, predictors: DataFrame, curated: DataFrame) -> DataFrame:
+    """The view over a bucketed ``curated_table``, or over any curated rows, which are then joined by their sizes."""
     o = outbreak_rank.select(
         "continent", "location",
         F.col("schulze_onset_rank_continent").cast("int").alias("schulze_onset_rank_continent"),
@@ -46,15 +67,17 @@ def serving_dashboard(outbreak_rank: DataFrame, predictors: DataFrame, curated:
                 "left")
     # j1 is small (locations and their predictors); curated is the big, possibly
     # skewed side: join it skew-safely instead of as the right side of a left join.
-    j2 = small_left_join_big(j1, c, ["location", "continent"], [f"location[{CUR}]", f"continent[{CUR}]"])
+    keys = [["location", "continent"], [f"location[{CUR}]", f"continent[{CUR}]"]]
+    j2 = small_left_join_bucketed(j1, c, *keys, SALT, SALTS) if SALT in curated.columns else small_left_join_big(j1, c, *keys)
     for name, role in GEO_TAGS.items():
         j2 = j2.withMetadata(name, {"geographic_role": role})
     return j2
 
 
-def register_serving_view(df: DataFrame, name: str = "serving_dashboard", cache: bool = True) -> DataFrame:
-    """SNK6: publish the view for BI reads, kept in memory (the in-memory import)."""
-    if cache:
-        df = df.cache()
+def register_serving_view(df: DataFrame, name: str = "serving_dashboard", path: str | None = None) -> DataFrame:
+    """SNK6: publish the view for BI reads; with ``path`` from a table written there, which BI queries then read."""
+    if path:
+        df.write.mode("overwrite").parquet(path)
+        df = df.sparkSession.read.parquet(path)
     df.createOrReplaceTempView(name)
     return df

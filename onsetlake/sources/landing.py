@@ -51,6 +51,19 @@ def ingest_stamp(ingest_date: str | None = None) -> Column:
     return F.coalesce(F.lit(ingest_date), F.date_format(F.current_date(), "yyyyMMdd"))
 
 
+def read_with_provenance(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """SRC10 + SRC14: every line under ``path`` with the landing file and dataset it belongs to, in one read.
+
+    A landing file may be a folder of parts that is named like it, after ``prefix``; ``file_size`` is the part's.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path) \
+        .select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+    parts = F.transform(F.split("file_path", "/"), lambda x: F.regexp_replace(F.url_decode(x), f"^{prefix}", ""))
+    names = F.filter(parts, lambda x: route(x).isNotNull())
+    return lines.withColumn("file_name", F.get(names, F.lit(0))).withColumn("dataset", route(F.col("file_name"))) \
+        .where(F.col("dataset").isNotNull())
+
+
 def landing_plan(spark: SparkSession, landing_path: str, ingest_date: str | None = None) -> DataFrame:
     """``(path, file_name, dataset, ingest_date)`` for every routable landing file."""
     files = spark.read.format("binaryFile").load(landing_path).select("path")

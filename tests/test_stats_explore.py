@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 
+from onsetlake.functions.scan import running_sum
 from onsetlake.functions import stats
 from onsetlake.operators import explore
 
@@ -42,7 +43,7 @@ def test_cumulative_keeps_null_position(spark):
     df = spark.createDataFrame([(dt.date(2020, 1, 1), 1), (dt.date(2020, 1, 2), None), (dt.date(2020, 1, 3), 2)],
                                "date date, num_sequences long")
     out = [r.num_sequences_cumulative
-           for r in explore._running(df, "num_sequences", []).orderBy("date").collect()]
+           for r in running_sum(df, ["num_sequences"], ["date"]).orderBy("date").collect()]
     assert out == [1, None, 3]
 
 
