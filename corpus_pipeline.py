@@ -15,12 +15,20 @@ CAPACITY = 2048
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops rejected documents, and boilerplate lines from the others."""
+    """Drops rejected documents, and boilerplate lines from the others.
+
+    Null and empty texts have too few words and go; a null source is a host of its own; repeated rows share a
+    verdict and stay or go together; null ids are rows like any other; an empty table gives an empty one.
+    """
     return quality.cleaned(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops line chunks that came before, and documents of which nothing else is left."""
+    """Drops line chunks that came before, and documents of which nothing else is left.
+
+    Before means at a smaller doc_id (nulls last); rows that agree in id and text share the outcome, so repeated
+    rows stay together.  Null and empty texts stay as they are; an empty table gives an empty one.
+    """
     found = linechunks.deduplicated(docs)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return found.where(~F.coalesce(emptied, F.lit(False))) \
@@ -28,17 +36,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates."""
+    """Keeps the document with the smallest doc_id of each group of near-duplicates.
+
+    Texts without words (null and empty ones) are near-duplicates of each other; of several rows with the smallest
+    doc_id all stay; an empty table gives an empty one.
+    """
     return simhash.deduplicated(docs, distance=3, shingle=3, seed=42)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that share a twentieth of their words or more with benchmark items."""
+    """Drops documents that share a twentieth of their words or more with benchmark items.
+
+    Null and empty texts share none and stay, as do all repeated rows of a clean document; null benchmark texts have
+    no words; an empty table, or no benchmark, changes nothing.
+    """
     return decontam.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs all documents into sequences; one row a piece."""
+    """Packs all documents into sequences; one row a piece.
+
+    Null and empty texts are the end id alone; repeated rows and null ids are packed like any other; equal lengths
+    are placed in order of their ids; an empty table gives no rows.
+    """
     return packing.pack(docs, common.tokenizer_path(), end_id=0, capacity=CAPACITY)
 
 

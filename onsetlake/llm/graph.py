@@ -27,10 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     Each round is two joins on a node and is written to scratch, so lineage
     stays short; rounds grow with the logarithm of the longest path.  The
     neighbours of one node are never gathered: only their minimum is, which
-    combines before the shuffle, and Spark splits a skewed join side.
+    combines before the shuffle, and Spark splits a skewed join side.  Repeated
+    edges and loops change nothing, edges with a null end are left out, and so are nodes whose only
+    edges are loops; an empty table gives no rows.
     """
     def tidy(df: DataFrame) -> DataFrame:
-        return common.stored(df.where("u != v").distinct(), "components")
+        return common.stored(df.where("u != v").distinct(), "components")  # a null end is not unequal either
 
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())

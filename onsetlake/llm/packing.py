@@ -204,7 +204,11 @@ def pack(docs: DataFrame, path: str, end_id: int = 0, capacity: int = 2048, keep
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """(sequence_id, ids) from rows packed with ``keep_ids``; a group is at most one sequence."""
+    """(sequence_id, ids) from rows packed with ``keep_ids``; a group is at most one sequence.
+
+    Pieces follow each other by offset; those without ids (ties at one offset can only be such) add nothing;
+    an empty table gives no rows.
+    """
     ordered = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     return packed.groupBy("sequence_id").agg(ordered.alias("parts")) \
         .select("sequence_id", F.expr("aggregate(parts, cast('' as binary), (a, p) -> concat(a, p.ids))").alias("ids"))

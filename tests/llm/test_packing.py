@@ -71,3 +71,11 @@ def test_odd_rows_and_ids(spark, rows):
     check(rows, packed.collect(), 16)
     whole = b"".join(bytes(r.ids) for r in packing.sequences(packed).collect())
     assert Counter(np.frombuffer(whole, "<u4").tolist()) == Counter(x for _, t in rows for x in encoded(t).tolist())
+
+
+def test_sequences_of_ties_and_of_nothing(spark):
+    rows = [(0, 0, bytes([1, 0, 0, 0])), (0, 1, bytes([2, 0, 0, 0])), (0, 1, b""), (1, 0, bytes([3, 0, 0, 0]))]
+    df = spark.createDataFrame(rows, "sequence_id long, offset long, ids binary")
+    got = {r.sequence_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in packing.sequences(df).collect()}
+    assert got == {0: [1, 2], 1: [3]}
+    assert packing.sequences(df.limit(0)).collect() == []
