@@ -8,6 +8,7 @@ checks unless the constraint is a completeness check.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from onsetlake.session import ensure_checkpoint_dir
+
 
 class DataQualityError(Exception):
     """Raised by a gate when violations are found."""
@@ -219,7 +222,10 @@ def numeric_summary(df: DataFrame, cols: Iterable[str] | None = None) -> DataFra
     cols = list(cols)
     counted = _unpivoted(df, cols, "double")
     n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = counted.repartitionByRange(n_parts, "column", "value").withColumn("task", F.spark_partition_id())
+    # written with the number of their range, as two branches read them and must see the same ranges
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/ordered-{uuid.uuid4().hex}"
+    counted.repartitionByRange(n_parts, "column", "value").withColumn("task", F.spark_partition_id()).write.parquet(path)
+    ordered = df.sparkSession.read.parquet(path)
     before = Window.partitionBy("column").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     tasks = ordered.groupBy("column", "task").agg(F.sum("n").alias("here")) \
         .withColumn("earlier", F.coalesce(F.sum("here").over(before), F.lit(0))).drop("here")
