@@ -125,3 +125,33 @@ def test_more_candidates_than_a_block_holds(spark):
     assert [found[f"L{i:02d}"] for i in range(n)] == list(schulze_kernel.wins_and_rank(strengths)[1])
     listed = {(r.a, r.b): r.s for r in election.path_strengths(votes, candidates, ["e"], blocks=4).collect()}
     assert listed == {(f"L{a:02d}", f"L{b:02d}"): strengths[a, b] for a, b in zip(*np.nonzero(strengths))}
+
+
+def test_slices_of_variants_add_up_to_the_same_preferences(spark):
+    rng = np.random.default_rng(11)
+    rows = [("e", f"L{i}", f"V{k}", float(rng.integers(1, 5))) for i in range(9) for k in range(12) if rng.random() < 0.6]
+    votes, candidates = _frames(spark, rows, [("e", f"L{i}") for i in range(9)])
+    found = [sorted(map(tuple, election.pairwise_preferences(votes, candidates, ["e"], blocks=3, slices=s).collect())) for s in (1, 5)]
+    ranks = np.full((9, 12), np.nan)
+    for _, loc, var, r in rows:
+        ranks[int(loc[1:]), int(var[1:])] = r
+    p = schulze_kernel.preference_matrix(ranks)
+    assert found[0] == found[1] == sorted(("e", f"L{a}", f"L{b}", int(p[a, b])) for a in range(9) for b in range(9) if a != b)
+    tiles = election.rank_tiles(election._ballots(votes, candidates, ["e"]), ["e"], 3, 5).collect()
+    assert max(len(t["variants"]) for t in tiles) < 12 and max(len(t["rows"]) for t in tiles) < 9
+
+
+def test_predictors_are_the_same_in_any_layout(spark):
+    from onsetlake.operators import onset, predictors
+
+    rng = np.random.default_rng(13)
+    rows = [(("E", "F", None)[i % 3], f"P{i}", f"v{k}", np.datetime64("2020-01-01") + int(rng.integers(0, 40)))
+            for i in range(11) for k in range(9) if rng.random() < 0.7]
+    df = spark.createDataFrame([(c, x, v, d.astype(object)) for c, x, v, d in rows],
+                               "continent string, location string, variant string, outbreak_date date")
+    ranks = onset.onset_ranks(df)
+    targets = spark.createDataFrame([("E", "P0"), ("F", "P1"), ("F", "P4")], "continent string, location string")
+    for strict in (False, True):
+        found = [sorted(map(str, predictors.predictor_locations(ranks, targets, strict=strict, blocks=b, slices=s).collect()))
+                 for b, s in ((1, 1), (3, 2))]
+        assert found[0] == found[1] and found[0]

@@ -36,3 +36,29 @@ def test_an_election_under_a_constant_key_plans_no_all_pairs_join(spark):
     for df in (election.combined_rank(votes, votes, ["e"], blocks=3), election.pairwise_preferences(votes, votes, ["e"])):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not [f for f in FORBIDDEN if f in plan]
+
+
+def test_curated_rows_of_the_dashboard_are_not_exchanged_again(spark):
+    """The bucketed table's rows go straight from the scan into the join; only small sides and keys are shuffled."""
+    from pyspark.sql import functions as F
+
+    from onsetlake.plans import serving
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = spark.range(4000).select(F.concat(F.lit("L"), (F.col("id") % 7).cast("string")).alias("location"), F.lit("E").alias("continent"),
+                                       F.lit("2020-01-01").cast("date").alias("date"), F.col("id").cast("string").alias("variant"))
+        table = serving.curated_table(big, 4)
+        small = spark.createDataFrame([("L1", "E", 1), ("L9", "E", 2)], "location string, continent string, n int")
+        c = table.withColumnsRenamed({"location": "l", "continent": "k"})
+        from onsetlake.functions.joins import small_left_join_bucketed
+
+        joined = small_left_join_bucketed(small, c, ["location", "continent"], ["l", "k"], serving.SALT, serving.SALTS)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        rows = {(r.location, r.l) for r in joined.collect()}
+        assert joined.count() == 573 and rows == {("L1", "L1"), ("L9", None)}
+        assert not any("variant" in line for line in plan.splitlines() if "Exchange" in line)
+        branch = plan[plan.index("SortMergeJoin"):]
+        assert "Bucketed: true" in branch
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
