@@ -337,3 +337,12 @@ def schema_differences(df: DataFrame, expected: T.StructType) -> list[tuple[str,
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     return [(f.name, f.dataType.simpleString(), actual.get(f.name, "missing"))
             for f in expected.fields if actual.get(f.name) != f.dataType.simpleString()]
+
+
+def type_results(df: DataFrame, expected: T.StructType, check: str = "Schema") -> DataFrame:
+    """DQ9: the expected type of every column as a row of a check result; a missing or differently typed column is one violation."""
+    wrong = {c for c, _, _ in schema_differences(df, expected)}
+    rows = [(check, "Error", f"type({f.name}) = {f.dataType.simpleString()}", "Failure" if f.name in wrong else "Success",
+             int(f.name in wrong), float(f.name in wrong)) for f in expected.fields]
+    return df.sparkSession.createDataFrame(
+        rows, "check string, level string, constraint string, status string, violations long, fraction double")

@@ -823,3 +823,28 @@ def dq_pattern_failing_rows() -> str:
     return f"WITH {lines_cte()},\nf AS (SELECT fields[1] AS location, fields[2] AS date_text, fields[3] AS variant FROM fl)\n" + "\nUNION ALL\n".join(
         f"SELECT '{quoted(c + ' ~ ' + p)}' AS \"constraint\", location, date_text, variant FROM f "
         f"WHERE NOT regexp_matches({c}, '{quoted(p)}')" + (f" OR {c} IS NULL" if nulls else "") for c, p, nulls in checks)
+
+
+def pipeline_predictors() -> str:
+    return f"""WITH RECURSIVE {lines_cte()}, {indicators_cte()},
+place AS (SELECT DISTINCT location, continent FROM ind),
+onsets AS (SELECT p.continent, c.location, c.variant, min(c.date) AS outbreak_date
+  FROM clean c LEFT JOIN place p ON p.location = c.location WHERE c.num_sequences > 0 GROUP BY 1, 2, 3),
+ranks AS (SELECT *, rank() OVER (PARTITION BY variant ORDER BY outbreak_date) AS outbreak_rank_global FROM onsets),
+{_q1_ctes()},
+{_pred_ctes()}
+SELECT * FROM pred"""
+
+
+def pipeline_checks() -> str:
+    types = (("location", "string"), ("date", "date"), ("variant", "string"), ("num_sequences", "bigint"),
+             ("perc_sequences", "double"), ("num_sequences_total", "bigint"))
+    rc = "Review Check"
+    values = [(rc, "num_sequences_total >= num_sequences", "num_sequences_total < num_sequences"),
+              (rc, "num_sequences_total >= 0", "num_sequences_total < 0"), (rc, "num_sequences >= 0", "num_sequences < 0"),
+              (rc, "perc_sequences >= 0", "perc_sequences < 0"),
+              (rc, "complete(num_sequences_total, num_sequences, perc_sequences)",
+               "num_sequences_total IS NULL OR num_sequences IS NULL OR perc_sequences IS NULL")]
+    typed = "\nUNION ALL\n".join(f"SELECT 'Schema', 'Error', 'type({c}) = {t}', 'Success', CAST(0 AS BIGINT), CAST(0 AS DOUBLE)" for c, t in types)
+    return f"WITH {lines_cte()}\n" + "\nUNION ALL\n".join(
+        [_check_rows("fl", [(rc, "6 fields", "len(fields) <> 6")]), _check_rows("clean", values), typed])

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from onsetlake.operators import clean, curate, onset, outbreak, predictors, quality
 from onsetlake.sources import excel, landing
+from onsetlake.sources.files import VARIANT_SCHEMA
 from onsetlake.sources.sinks import write_table
 
 
@@ -44,16 +45,17 @@ def run_layers(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicators
 
     # raw -> clean (variants): one pass for the typed rows, one for rejects.
     variants = clean.clean_variants(raw_variant_lines)
-    write_table(variants, paths["clean/variants"])
-    write_table(clean.variant_rejects(raw_variant_lines), paths["clean/variants_rejects"])
-    variants = spark.read.parquet(paths["clean/variants"])
-    checks = quality.run_checks(raw_variant_lines, [clean.six_fields()]).unionByName(quality.run_checks(variants, [
+    metrics = quality.write_observed(variants, [
         quality.is_ge("num_sequences_total", "num_sequences"),
         quality.non_negative("num_sequences_total"),
         quality.non_negative("num_sequences"),
         quality.non_negative("perc_sequences"),
         quality.complete(["num_sequences_total", "num_sequences", "perc_sequences"]),
-    ]))
+    ], lambda df: write_table(df, paths["clean/variants"]))
+    write_table(clean.variant_rejects(raw_variant_lines), paths["clean/variants_rejects"])
+    variants = spark.read.parquet(paths["clean/variants"])
+    checks = quality.run_checks(raw_variant_lines, [clean.six_fields()]).unionByName(metrics) \
+        .unionByName(quality.type_results(variants, VARIANT_SCHEMA))
     write_table(checks, paths["clean/variants_checks"])
     if location_pattern:
         quality.pattern_gate(quality.pattern_metrics(variants, {"location": location_pattern}))
