@@ -36,8 +36,8 @@ def run_pipeline(spark: SparkSession, landing_path: str, base: str, ingest_date:
 
 def run_layers(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicators: DataFrame, out: str,
                  excluded: Column | None = None, location_pattern: str | None = None,
-                 enforce_reconcile: bool = False) -> dict[str, str]:
-    """Runs all layers under ``out`` and returns the table paths."""
+                 enforce_reconcile: bool = False, last: str = "analysis") -> dict[str, str]:
+    """Runs all layers under ``out`` up to ``last`` (clean, curated or analysis) and returns the table paths."""
     paths = {name: f"{out.rstrip('/')}/{name}" for name in (
         "clean/variants", "clean/variants_rejects", "clean/indicators", "clean/variants_checks",
         "curated/country_variant_indicators", "analysis/location_variant_outbreak",
@@ -66,11 +66,17 @@ def run_layers(spark: SparkSession, raw_variant_lines: DataFrame, raw_indicators
     write_table(clean.cast_by_rules(raw_indicators), paths["clean/indicators"])
     indicators = spark.read.parquet(paths["clean/indicators"])
 
+    if last == "clean":
+        return paths
+
     # clean -> curated, partitioned by continent.
     write_table(curate.curate(variants, indicators), paths["curated/country_variant_indicators"],
                 partition_by=["continent"])
     curated = spark.read.parquet(paths["curated/country_variant_indicators"])
 
+    if last == "curated":
+        return paths
+
     # curated -> analysis.
     ranks = onset.onset_ranks(onset.onset_dates(curated.select("continent", "location", "variant", "date",
                                                                "num_sequences")))

@@ -489,7 +489,7 @@ def dq_pattern_failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _layers(spark: SparkSession, sf_dir: str, last: str) -> dict[str, str]:
     """PIPE1 + PIPE2: the lines land under an ingest date, and all layers are built from that date's partition."""
     from onsetlake.plans import pipeline
     from onsetlake.session import ensure_checkpoint_dir
@@ -498,14 +498,14 @@ def _layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     landing.land_text(testmap.raw_variant_lines(spark, sf_dir), base, "data1_country_variants", "20240101")
     lines = landing.read_partition(spark, base, "data1_country_variants", "20240101")
     return pipeline.run_layers(spark, lines, testmap.raw_indicators(spark, sf_dir), base,
-                               excluded=testmap.excluded_variant(F.col("variant")))
+                               excluded=testmap.excluded_variant(F.col("variant")), last=last)
 
 
 def pipeline_predictors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last layer of the pipeline: predictors found from the cleaned lines."""
-    return spark.read.parquet(_layers(spark, sf_dir)["analysis/location_variant_predictors"])
+    return spark.read.parquet(_layers(spark, sf_dir, "analysis")["analysis/location_variant_predictors"])
 
 
 def pipeline_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks that the pipeline writes beside its clean layer: line shape, values counted on write, and types."""
-    return spark.read.parquet(_layers(spark, sf_dir)["clean/variants_checks"])
+    return spark.read.parquet(_layers(spark, sf_dir, "clean")["clean/variants_checks"])
