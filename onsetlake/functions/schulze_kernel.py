@@ -10,16 +10,46 @@ import numpy as np
 import pandas as pd
 
 
+def narrowed(x: np.ndarray) -> np.ndarray:
+    """Counts of no less than 0 in the narrowest type that holds them all: a byte each where no count is above 255."""
+    most = int(x.max(initial=0))
+    kind = next(k for k in (np.uint8, np.uint16, np.int32) if most <= np.iinfo(k).max)
+    return x.astype(kind, copy=False)
+
+
+def coded(*ranks: np.ndarray) -> list[np.ndarray]:
+    """Rank matrices over the same variants as places in each variant's order, counted from 1 over all of them; no rank: the type's largest."""
+    both = np.vstack(ranks)
+    order = np.argsort(both, axis=0, kind="stable")  # NaN last
+    ordered = np.take_along_axis(both, order, 0)
+    place = np.ones(both.shape, np.int64)
+    place[1:] += np.cumsum(ordered[1:] > ordered[:-1], axis=0)
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if len(both) < np.iinfo(k).max)
+    codes = np.empty(both.shape, kind)
+    np.put_along_axis(codes, order, place.astype(kind), 0)
+    codes[np.isnan(both)] = np.iinfo(kind).max
+    return np.split(codes, np.cumsum([len(r) for r in ranks])[:-1])
+
+
 def preferences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """p[i, j] = #{v: a_i < b_j} + #{v: i has a rank, j has none}, for rank matrices with the same variants in columns.
+    """p[i, j] = #{v: a_i < b_j} + #{v: i has a rank, j has none}, for rank matrices with the same variants in columns, or their codes.
 
-    NaN stands for "not hit", which is later than any rank and not before another "not hit".
+    NaN, or a code type's largest, stands for "not hit", which is later than any rank and not before another "not hit".
     """
-    a, b = np.where(np.isnan(a), np.inf, a), np.where(np.isnan(b), np.inf, b)
-    out = np.zeros((len(a), len(b)), np.int32)
-    for v in range(a.shape[1]):
-        out += a[:, v, None] < b[None, :, v]
-    return out
+    if a.dtype.kind == "f":
+        a, b = coded(a, b)
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    out = np.zeros((a.shape[1], b.shape[1]), np.int32)
+    before = np.empty(out.shape, bool)
+    for first in range(0, len(a), 255):  # a byte holds the count of so many variants
+        some = np.zeros(out.shape, np.uint8)
+        for x, y in zip(a[first:first + 255], b[first:first + 255]):
+            np.less(x[:, None], y, out=before)
+            some += before.view(np.uint8)
+        if len(a) <= 255:
+            return some
+        out += some
+    return narrowed(out)
 
 
 def preference_matrix(ranks: np.ndarray) -> np.ndarray:
@@ -29,14 +59,32 @@ def preference_matrix(ranks: np.ndarray) -> np.ndarray:
 
 def strong(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """The weights of won comparisons: ``p`` where it beats its reverse in ``q`` (candidates exchanged), else 0."""
-    return np.where(p > q.T, p, 0).astype(np.int32)
+    return narrowed(np.where(p > q.T, p, 0))
+
+
+def _alike(*tiles: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The tiles in the narrowest of their types; larger strengths in the others are cut to its largest."""
+    kind = min((x.dtype for x in tiles), key=lambda d: d.itemsize)
+    return tuple(x if x.dtype == kind else np.minimum(x, np.iinfo(kind).max).astype(kind) for x in tiles)
+
+
+ROWS = 128  # rows that are updated together, so that they stay in the processor's cache
 
 
 def max_min(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Max-min product: the best of ``min(left[a, m], right[m, b])`` over ``m``."""
+    """Max-min product: the best of ``min(left[a, m], right[m, b])`` over ``m``.
+
+    No minimum exceeds the largest strength of the other side, so both are used in the narrower one's type.
+    """
+    left, right = _alike(left, right)
     out = np.zeros((left.shape[0], right.shape[1]), left.dtype)
-    for m in range(left.shape[1]):
-        np.maximum(out, np.minimum(left[:, m:m + 1], right[m:m + 1, :]), out=out)
+    buf = np.empty((min(ROWS, len(out)), out.shape[1]), out.dtype)
+    for first in range(0, len(out), ROWS):
+        best, some = out[first:first + ROWS], np.ascontiguousarray(left[first:first + ROWS].T)
+        least = buf[:len(best)]
+        for column, row in zip(some, right):
+            np.minimum(column[:, None], row, out=least)
+            np.maximum(best, least, out=best)
     return out
 
 
@@ -52,7 +100,7 @@ def closure(strong: np.ndarray) -> np.ndarray:
 
 def widest_paths(pref: np.ndarray) -> np.ndarray:
     """Schulze strongest-path strengths; starts from the pairwise wins only (``p[a,b] > p[b,a]``)."""
-    s = closure(np.where(pref > pref.T, pref, 0).astype(np.int32))
+    s = closure(strong(pref, pref))
     np.fill_diagonal(s, 0)
     return s
 

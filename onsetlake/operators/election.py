@@ -176,22 +176,27 @@ def partial_preferences(tiles: DataFrame, keys: Sequence[str], blocks: int) -> D
     return grouped(block_pairs(tiles, blocks), [*keys, "lo", "hi", "slice"], pair, _schema(tiles, keys, _PARTS), keys)
 
 
-def _cells(data: bytes, rows, cols) -> np.ndarray:
-    return np.frombuffer(data, np.int32).reshape(len(rows), len(cols))
+_KINDS = {1: np.uint8, 2: np.uint16, 4: np.int32}
+
+
+def cells(data: bytes, rows, cols) -> np.ndarray:
+    """A tile's counts; how many bytes each one takes follows from the tile's size."""
+    size = len(rows) * len(cols)
+    return np.frombuffer(data, _KINDS[len(data) // size if size else 1]).reshape(len(rows), len(cols))
 
 
 def summed_tiles(parts: DataFrame, keys: Sequence[str], slices: int, only_won: bool = True) -> DataFrame:
     """Partial preferences of all slices added up, as tiles ``(keys..., i, j, rows, cols, s)`` both ways.
 
-    ``s`` (int32) holds the weights of won comparisons, or with ``only_won`` off all
-    preferences.  The parts of a single slice are whole sums as they are.
+    ``s`` holds the weights of won comparisons, or with ``only_won`` off all
+    preferences, in the narrowest type for this tile (a byte each up to 255 variants).  The parts of a single slice are whole sums as they are.
     """
     keys = list(keys)
 
     def add(parts: list) -> list[dict]:
         one = parts[0]
-        p = sum(_cells(x.p, x.rows, x.cols) for x in parts)
-        q = sum(_cells(x.q, x.cols, x.rows) for x in parts)
+        p = sum(cells(x.p, x.rows, x.cols).astype(np.int32) for x in parts)
+        q = sum(cells(x.q, x.cols, x.rows).astype(np.int32) for x in parts)
         there, back = (schulze_kernel.strong(p, q), schulze_kernel.strong(q, p)) if only_won else (p, q)
         out = [_tile(one.lo, one.hi, one.rows, one.cols, there)]
         return out if one.lo == one.hi else [*out, _tile(one.hi, one.lo, one.cols, one.rows, back)]
@@ -203,7 +208,7 @@ def summed_tiles(parts: DataFrame, keys: Sequence[str], slices: int, only_won: b
 
 
 def _tile(i: int, j: int, rows: list, cols: list, s: np.ndarray) -> dict:
-    return {"i": i, "j": j, "rows": rows, "cols": cols, "s": s.astype(np.int32, copy=False).tobytes()}
+    return {"i": i, "j": j, "rows": rows, "cols": cols, "s": schulze_kernel.narrowed(s).tobytes()}
 
 
 def strength_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, slices: int = 1, strong: bool = True) -> DataFrame:
@@ -226,7 +231,7 @@ def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> Dat
 
     def closed(pivot) -> list[dict]:
         """Phase 1: the pivot tile, and a copy for each tile of its row and column."""
-        k, s = pivot.i, schulze_kernel.closure(_cells(pivot.s, pivot.rows, pivot.cols))
+        k, s = pivot.i, schulze_kernel.closure(cells(pivot.s, pivot.rows, pivot.cols))
         places = [("own", k, k), *(("pivot", k, x) for x in each if x != k), *(("pivot", x, k) for x in each if x != k)]
         return [{"role": role, **_tile(i, j, pivot.rows, pivot.cols, s)} for role, i, j in places]
 
@@ -236,9 +241,9 @@ def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> Dat
         if "own" not in by:
             return []
         own, copies = by["own"], []
-        s = _cells(own.s, own.rows, own.cols)
+        s = cells(own.s, own.rows, own.cols)
         if "pivot" in by:
-            p = _cells(by["pivot"].s, by["pivot"].rows, by["pivot"].cols)
+            p = cells(by["pivot"].s, by["pivot"].rows, by["pivot"].cols)
             if own.down:  # in the pivot's column
                 s = np.maximum(s, schulze_kernel.max_min(s, p))
                 copies = [("column", own.i, x) for x in each if x != own.j]
@@ -253,9 +258,9 @@ def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> Dat
         if "own" not in by:
             return []
         own = by["own"]
-        s = _cells(own.s, own.rows, own.cols)
+        s = cells(own.s, own.rows, own.cols)
         if "column" in by and "row" in by:
-            left, right = (_cells(by[x].s, by[x].rows, by[x].cols) for x in ("column", "row"))
+            left, right = (cells(by[x].s, by[x].rows, by[x].cols) for x in ("column", "row"))
             s = np.maximum(s, schulze_kernel.max_min(left, right))
         return [_tile(own.i, own.j, own.rows, own.cols, s)]
 
@@ -277,7 +282,7 @@ def tiled_wins(strengths: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
 
     def wins(tiles: list) -> list[dict]:
-        at = {(x.i, x.j): (x.rows, _cells(x.s, x.rows, x.cols)) for x in tiles}
+        at = {(x.i, x.j): (x.rows, cells(x.s, x.rows, x.cols)) for x in tiles}
         return [{"location": label, "wins": int(n)} for (i, j), (rows, s) in at.items()
                 for label, n in zip(rows, (s > at[j, i][1].T).sum(axis=1))]
 
@@ -299,7 +304,7 @@ def _listed(tiles: DataFrame, keys: Sequence[str], name: str, zeros: bool) -> Da
     def rows(pdfs):
         for pdf in pdfs:
             for row in pdf.itertuples():
-                s = np.frombuffer(row.s, np.int32).reshape(len(row.rows), len(row.cols))
+                s = cells(row.s, row.rows, row.cols)
                 a, b = (x.ravel() for x in np.indices(s.shape)) if zeros else np.nonzero(s)
                 out = pd.DataFrame({"a": np.asarray(row.rows, object)[a], "b": np.asarray(row.cols, object)[b],
                                     name: s[a, b].astype(np.int64)})

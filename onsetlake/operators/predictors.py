@@ -53,14 +53,16 @@ def masked_preferences(tiles: DataFrame, targets: DataFrame, blocks: int, strict
         if asked is None or lo not in at or hi not in at:
             return out
         variants = sorted({v for tile in tiles for v in tile.variants})
+        *ranks, own_ranks = schulze_kernel.coded(*[election.ranks_of(tile, variants) for tile in (at[lo], at[hi], asked)])
+        never = np.iinfo(own_ranks.dtype).max
         sides = []
-        for tile in (at[lo], at[hi]):
+        for tile, codes in zip((at[lo], at[hi]), ranks):
             labels = np.asarray(tile.rows, object)
-            sides.append((labels, np.array([_continent(x) for x in labels], object), election.ranks_of(tile, variants)))
-        for target, own in zip(asked.rows, election.ranks_of(asked, variants)):
+            sides.append((labels, np.array([_continent(x) for x in labels], object), codes))
+        for target, own in zip(asked.rows, own_ranks):
             continent, _, location = target.partition(SEP)
-            latest = np.where(np.isnan(own), -np.inf if strict else np.inf, own)
-            kept = [np.where(r < latest if strict else r <= latest, r, np.nan) for _, _, r in sides]
+            latest = np.where(own == never, 0, own) if strict else own
+            kept = [np.where(r < latest if strict else r <= latest, r, never) for _, _, r in sides]
             for on in (True, False):
                 stand = [np.flatnonzero(((where == continent) == on) & (labels != target)) for labels, where, _ in sides]
                 if all(map(len, stand)):
@@ -69,7 +71,7 @@ def masked_preferences(tiles: DataFrame, targets: DataFrame, blocks: int, strict
                     out.append({"t_continent": continent, "t_location": location, "on_same_continent": on, "lo": lo, "hi": hi,
                                 "rows": names[0], "cols": names[1], "p": schulze_kernel.preferences(a, b).tobytes(),
                                 "q": schulze_kernel.preferences(b, a).tobytes(),
-                                **{c: (~np.isnan(x)).sum(1).tolist() for c, x in (("row_votes", a), ("col_votes", b))}})
+                                **{c: (x < never).sum(1).tolist() for c, x in (("row_votes", a), ("col_votes", b))}})
         return out
 
     locations = election.block_pairs(tiles, blocks).withColumn("target", F.lit(False)) \
@@ -78,7 +80,10 @@ def masked_preferences(tiles: DataFrame, targets: DataFrame, blocks: int, strict
                    "j -> named_struct('lo', i, 'hi', j)))))")
     asked = targets.withColumn("pair", pairs).select("*", "pair.lo", "pair.hi").drop("pair") \
         .withColumn("target", F.lit(True)).withColumn("part", F.col("block"))
-    return election.grouped(locations.unionByName(asked), ["lo", "hi", "slice", "part"], pair, _PARTS)
+    # ranks are few bytes, but much is computed from them: by a number of its own, so that groups are not put together into few tasks
+    by = ["lo", "hi", "slice", "part"]
+    tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return election.grouped(locations.unionByName(asked).repartition(tasks, *by), by, pair, _PARTS)
 
 
 def with_votes_only(parts: DataFrame) -> DataFrame:
@@ -89,8 +94,8 @@ def with_votes_only(parts: DataFrame) -> DataFrame:
             return []
         out = []
         for x in parts:
-            p = np.frombuffer(x.p, np.int32).reshape(len(rows), len(cols))[rows][:, cols]
-            q = np.frombuffer(x.q, np.int32).reshape(len(cols), len(rows))[cols][:, rows]
+            p = election.cells(x.p, rows, cols)[rows][:, cols]
+            q = election.cells(x.q, cols, rows)[cols][:, rows]
             out.append({"lo": x.lo, "hi": x.hi, "rows": list(np.asarray(x.rows, object)[rows]), "cols": list(np.asarray(x.cols, object)[cols]),
                         "p": p.tobytes(), "q": q.tobytes()})
         return out

@@ -30,6 +30,11 @@ def _ranks(spark: SparkSession, sf_dir: str, level: str = "nation") -> DataFrame
     return onset_ops.onset_ranks(onsets)
 
 
+def _stored_ranks(spark: SparkSession, sf_dir: str, level: str = "nation") -> DataFrame:
+    """The ranks written once, for elections in a row that read them again and again."""
+    return election.stored(_ranks(spark, sf_dir, level))
+
+
 def onset_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ranks(spark, sf_dir)
 
@@ -40,7 +45,7 @@ def continent_outbreak_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predictor_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = _ranks(spark, sf_dir)
+    ranks = _stored_ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"))
     q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
@@ -286,9 +291,9 @@ def ranking_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = _ranks(spark, sf_dir)
+    ranks = _stored_ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"))
-    q1 = outbreak.continent_outbreak_rank(ranks, excluded)
+    q1 = election.stored(outbreak.continent_outbreak_rank(ranks, excluded))  # read by the targets and by the view
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
     q2 = predictors.predictor_locations(ranks, targets, excluded)
     curated = curate.curate(_clean_variants(spark, sf_dir), testmap.indicators(spark, sf_dir))
@@ -297,7 +302,7 @@ def serving_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictor_locations_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 + Q2 with suppliers as locations: elections of hundreds of candidates, dealt out into more blocks and slices."""
-    ranks = _ranks(spark, sf_dir, level="supplier")
+    ranks = _stored_ranks(spark, sf_dir, level="supplier")
     excluded = testmap.excluded_variant(F.col("variant"))
     q1 = outbreak.continent_outbreak_rank(ranks, excluded, blocks=4, slices=2)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")
@@ -404,7 +409,7 @@ def dq_perc_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predictor_locations_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2 with strict masking: only votes strictly before a known target onset;
     candidates left without votes do not stand."""
-    ranks = _ranks(spark, sf_dir)
+    ranks = _stored_ranks(spark, sf_dir)
     excluded = testmap.excluded_variant(F.col("variant"))
     q1 = outbreak.continent_outbreak_rank(ranks, excluded)
     targets = q1.where("earliest_5_in_continent").select("continent", "location")

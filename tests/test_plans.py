@@ -62,3 +62,28 @@ def test_curated_rows_of_the_dashboard_are_not_exchanged_again(spark):
         assert "Bucketed: true" in branch
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_elections_read_written_ranks_and_not_the_lines_again(spark, tmp_path, monkeypatch):
+    from onsetlake.operators import outbreak
+    from onsetlake.plans import queries as q
+
+    spark.createDataFrame([("A", "x", "v", 1)], "continent string, location string, variant string, outbreak_rank_global long") \
+        .write.parquet(str(tmp_path / "lines"))
+    monkeypatch.setattr(q, "_ranks", lambda spark, sf_dir, level="nation": spark.read.parquet(f"{sf_dir}/lines"))
+    read = []
+
+    class Seen(Exception):
+        pass
+
+    def seen(ranks, *args, **kwargs):
+        read.extend(ranks.inputFiles())
+        raise Seen
+
+    monkeypatch.setattr(outbreak, "continent_outbreak_rank", seen)
+    for query in (q.predictor_locations, q.predictor_locations_strict, q.predictor_locations_supplier, q.serving_dashboard):
+        try:
+            query(spark, str(tmp_path))
+        except Seen:
+            pass
+    assert len(read) >= 4 and not [f for f in read if "/lines/" in f]
