@@ -13,10 +13,11 @@ def small_left_join_bucketed(small: DataFrame, big: DataFrame, small_keys: Seque
     """``small LEFT JOIN big`` for a ``big`` that is bucketed by ``big_keys`` and ``salt`` (0 to ``salts`` - 1).
 
     Small rows go once to every salt, so a hot key of the big side stays spread over
-    its buckets, and the big rows are joined where they lie.
+    its buckets, and the big rows are joined where they lie: by merging, since a big
+    side of few bytes would else be broadcast and all its rows put out by the small side's few tasks.
     """
     pairs = list(zip(small_keys, big_keys))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     cond = copies["_salt"] == big[f"`{salt}`"]
     for sk, bk in pairs:
         cond = cond & (copies[sk] == big[f"`{bk}`"])

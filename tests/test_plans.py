@@ -1,5 +1,7 @@
 """Plan audit: no registered query needs an all-pairs join."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +89,17 @@ def test_elections_read_written_ranks_and_not_the_lines_again(spark, tmp_path, m
         except Seen:
             pass
     assert len(read) >= 4 and not [f for f in read if "/lines/" in f]
+
+
+def test_rows_of_a_small_bucketed_table_are_joined_in_more_than_one_task(spark, tmp_path):
+    from onsetlake.plans import serving
+
+    curated = spark.range(4000).selectExpr("concat('l', id % 5) as location", "'c' as continent", "cast(id as string) as date",
+                                           "concat('v', id % 9) as variant")
+    big = serving.curated_table(curated, 4)
+    small = spark.createDataFrame([(f"l{i}", "c", i) for i in range(6)], "location string, continent string, n int")
+    big_side = big.withColumnsRenamed({"location": "l", "continent": "k"})
+    joined = serving.small_left_join_bucketed(small, big_side, ["location", "continent"], ["l", "k"], serving.SALT, serving.SALTS)
+    tasks = joined.where("l is not null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 4000
+    assert joined.where("l is null").count() == 1
