@@ -76,3 +76,13 @@ def test_empty_table_and_long_text(spark):
     got = registry.removed_digest(suffixes.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
     kept = {r.doc_id: (r.n_removed, r.n_spans) for r in got}
     assert kept == {1: (10_000, 2), 2: (0, 0), 3: (400, 1)}
+
+
+def test_suffix_order_of_alike_strings_equals_plain_sorting():
+    strings = [b"ab" * 40, b"ab" * 40, b"b" + b"ab" * 39, b"", b"a" * 30, b"a" * 7, b"a" * 6, bytes(range(250, 256)) * 5]
+    m, symbols = len(strings), []
+    for k, s in enumerate(strings):
+        symbols += [x + m for x in s] + [k]
+    found = suffixes.suffix_order(np.array(symbols, np.int32), m)
+    assert found.tolist() == sorted(range(len(symbols)), key=lambda i: symbols[i:])
+    assert suffixes.suffix_order(np.zeros(0, np.int32), 0).tolist() == []
