@@ -86,3 +86,44 @@ def test_suffix_order_of_alike_strings_equals_plain_sorting():
     found = suffixes.suffix_order(np.array(symbols, np.int32), m)
     assert found.tolist() == sorted(range(len(symbols)), key=lambda i: symbols[i:])
     assert suffixes.suffix_order(np.zeros(0, np.int32), 0).tolist() == []
+
+
+def contexts_of(texts, length, seed):
+    """Distinct (anchor, context, place of the anchor) of texts."""
+    rows = {}
+    for t in texts:
+        found = suffixes.anchors(np.frombuffer(t, np.uint8), np.full(len(t), len(t)), length, seed)
+        for h, place, first, last in zip(*(x.tolist() for x in found)):
+            rows[h, t[first:last + length]] = place - first
+    return [(h, t, place) for (h, t), place in rows.items()]
+
+
+@pytest.mark.parametrize("seed,length,width", [(0, 20, 4), (1, 20, 4), (2, 20, 12), (3, 41, 8), (4, 5, 2), (5, 400, 32)])
+def test_parts_of_contexts_have_every_repeated_window(seed, length, width):
+    rnd = random.Random(seed)
+    passage = [rnd.choice(b"abcd ") for _ in range(5 * length)]
+    texts = []
+    for _ in range(40):
+        t = list(passage[rnd.randrange(len(passage)):]) * rnd.randint(1, 2)
+        for _ in range(rnd.randint(0, 4)):
+            t[rnd.randrange(len(t))] = rnd.choice(b"xyz")
+        texts.append(bytes(t))
+    rows = contexts_of([*texts, b"ab" * length, b"a" * 3 * length], length, width)
+    want = suffixes.repeated_starts([t for _, t, _ in rows], length)
+    assert any(map(len, want))
+    parts = suffixes.shared_parts(rows, length)
+    got = [[] for _ in rows]
+    for (k, a, _), starts in zip(parts, suffixes.repeated_starts([rows[k][1][a:b] for k, a, b in parts], length)):
+        got[k] += (starts + a).tolist()
+    assert got == [w.tolist() for w in want]
+
+
+def test_windows_that_are_alone_stay_out_of_the_index():
+    rnd = random.Random(9)
+    middle = bytes(rnd.choice(b"abcdefgh") for _ in range(60))  # an anchor's bytes and some more, but no window
+    sides = [bytes(rnd.choice(b"abcdefgh") for _ in range(600)) for _ in range(4)]
+    alone = [(7, side[:300] + middle + side[300:600], 310) for side in sides]
+    assert suffixes.shared_parts(alone, 400) == []
+    copied = (7, sides[0][:300] + middle + sides[0][300:500] + b"q" * 100, 310)  # windows that begin up to byte 160
+    (a, b) = suffixes.shared_parts([*alone, copied], 400)
+    assert (a[0], b[0]) == (0, 4) and a[1:] == b[1:] and a[1] == 0 and 560 <= a[2] < 660
