@@ -6,9 +6,9 @@
 2. Terms are the examples' words and the first ``beginning`` bytes of longer ones, known by 64-bit
    names; a term weighs ``1 + log(count)`` times its inverse frequency over all documents.
 3. The index keeps the largest weight of every term in each block of ``BLOCK`` examples: rare
-   terms have postings grouped by block, common ones a dense matrix.  A query adds up the
-   bounds of all blocks, scores the best ones, and then all blocks whose bound reaches its
-   k-th best cosine, so the nearest examples are exact.
+   terms have postings grouped by block, common ones a dense matrix, multiplied at once.  A query adds
+   the rare terms' bounds of all blocks to the most that the common ones give there, scores the best
+   blocks, and then all whose bound reaches its k-th best cosine, so the nearest examples are exact.
 4. A neighbour's vote weighs by its distance and by the part of its cosine that comes from terms that
    go with the label (chi squared over the number of examples, so alike at any size).
    A monotone map turns votes into scores.  It is fitted on the examples, each voted on by the others,
@@ -35,7 +35,7 @@ BLOCK = 64
 COMMON = 16
 SLAB = 1 << 16
 FIRST = 4
-QUERIES = 64
+QUERIES = 16
 
 
 @dataclass(frozen=True)
@@ -176,13 +176,12 @@ class BlockMaxIndex:
     """Unit vectors in blocks of ``BLOCK``, with the largest weight of every term in each block.
 
     Rare terms have postings, grouped by term and block.  Common ones, in one of
-    ``COMMON`` vectors or more, have a dense matrix, of which blocks are multiplied.
+    ``COMMON`` vectors or more, have a dense matrix.
     """
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         self.size, self.blocks = arrays["size"].tolist()
         self.column, self.dense = arrays["column"], arrays["dense"]  # a term's row in the matrix, or -1
-        self.largest = self.dense.reshape(len(self.dense), self.blocks, BLOCK).max(2)
         self.term, self.block, self.most = arrays["term"], arrays["block"], arrays["most"]  # of groups; terms as offsets
         self.first, self.ids, self.weights = arrays["first"], arrays["ids"], arrays["weights"]
         self.visited = 0
@@ -219,29 +218,32 @@ class BlockMaxIndex:
         known, entries = np.zeros((2, n, len(self.dense)), np.float32), column >= 0
         known[0, query[entries], column[entries]] = q[entries]
         known[1, query[entries], column[entries]] = (q * worth)[entries]
-        count = self.term[at[rare] + 1] - self.term[at[rare]]
-        groups = runs(self.term[at[rare]], count)
+        often, often_shared = known[0] @ self.dense, known[1] @ self.dense  # the common terms' part of all vectors
+        first = self.term[at[rare]]
+        count = self.term[at[rare] + 1] - first
+        groups = runs(first, count)
         of = np.repeat(rare, count)
         query = query.astype(np.int32)
         spot = query[of] * np.int32(self.blocks) + self.block[groups]
-        bounds = (known[0] @ self.largest).astype(np.float64) + np.bincount(spot, self.most[groups] * q[of], n * self.blocks).reshape(n, -1)
-        scores = np.zeros((n, width))
+        bounds = often.reshape(n, self.blocks, BLOCK).max(2).astype(np.float64)
+        bounds += np.bincount(spot, self.most[groups] * q[of], n * self.blocks).reshape(n, -1)
+        scores = often.astype(np.float64)  # of blocks that are not visited yet: no more than their cosines
         done = np.zeros((n, self.blocks), bool)
         seen: list[tuple] = []
+        here = query.astype(np.int64) * width
 
         def visit(wanted: np.ndarray) -> None:
-            mine = wanted.ravel()[spot]
+            nonlocal scores
+            mine = np.flatnonzero(wanted.ravel()[spot])
             g, e = groups[mine], of[mine]
-            size = self.first[g + 1] - self.first[g]
-            places = runs(self.first[g], size)
+            begin = self.first[g]
+            size = self.first[g + 1] - begin
+            places = runs(begin, size)
             e = np.repeat(e, size)
-            cell = query[e] * np.int32(width) + self.ids[places]
+            cell = here[e] + self.ids[places]
             parts = self.weights[places] * q[e]
-            scores[:] += np.bincount(cell, parts, n * width).reshape(n, width)
+            scores += np.bincount(cell, parts, n * width).reshape(n, width)
             seen.append((cell, parts, e))
-            for b in np.flatnonzero(wanted.any(0)).tolist():
-                rows = np.flatnonzero(wanted[:, b])
-                scores[rows, b * BLOCK:(b + 1) * BLOCK] += known[0, rows] @ self.dense[:, b * BLOCK:(b + 1) * BLOCK]
             if without is not None:
                 scores[np.flatnonzero(without >= 0), without[without >= 0]] = 0
             done[wanted] = True
@@ -264,10 +266,10 @@ class BlockMaxIndex:
             found.append(ids)
         shared = np.zeros(n * width)
         for cell, parts, e in seen:
-            inside = chosen.ravel()[cell]
+            inside = np.flatnonzero(chosen.ravel()[cell])
             shared += np.bincount(cell[inside], parts[inside] * worth[e[inside]], n * width)
         shared = shared.reshape(n, width)
-        return [(ids, scores[row, ids], shared[row, ids] + known[1, row] @ self.dense[:, ids]) for row, ids in enumerate(found)]
+        return [(ids, scores[row, ids], shared[row, ids] + often_shared[row, ids]) for row, ids in enumerate(found)]
 
 
 def weights_of(cosines: np.ndarray, shared: np.ndarray, stands: np.ndarray) -> np.ndarray:

@@ -43,6 +43,22 @@ def test_nearest_is_exact(seed):
     assert index.visited < 100 * 11
 
 
+def test_blocks_are_not_opened_for_maxima_of_different_vectors():
+    """Each block has a vector for every common term, but only two vectors have them all."""
+    rows, terms = 40 * toxicity.BLOCK, 10
+    dense = np.zeros((rows, terms + 1))
+    dense[np.arange(rows), np.arange(rows) % terms] = 1
+    dense[[70, 2000], :terms] = 1 / np.sqrt(terms)
+    dense[::97, terms] = 0.01  # a rare term
+    row, term = np.nonzero(dense)
+    index = toxicity.BlockMaxIndex(toxicity.BlockMaxIndex.arrays(row, term, dense[row, term], rows, terms + 1))
+    query = np.full(terms + 1, 1 / np.sqrt(terms + 1))
+    worth = np.linspace(0, 1, terms + 1)
+    (ids, cosines, shared), = index.nearest(np.zeros(terms + 1, int), np.arange(terms + 1), query, 1, 2, worth)
+    assert ids.tolist() == [70, 2000] and np.allclose(cosines, (dense @ query)[ids]) and np.allclose(shared, (dense @ (worth * query))[ids])
+    assert index.visited <= 8
+
+
 def test_monotone():
     x, y = np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.0, 1.0, 0.0, 1.0])
     knots, values = toxicity.monotone(x, y, np.ones(4))
