@@ -12,19 +12,18 @@ Inputs, long form:
 constant for one global election).  Output: ``(keys..., location, wins,
 rank)`` with ``rank`` the min-rank by wins descending, as a double.
 
-An election is computed in tiles, by one path whatever its size.  ``blocks`` and ``slices`` are plan
+Preferences are computed in tiles.  ``blocks`` and ``slices`` are plan
 parameters that deal candidates out into blocks and variants into slices; they change
 the layout only, never the result.
 
 1. *Rank tiles* hold the onset orders of a block in a slice.
 2. A pair of blocks meets in each slice, which gives *partial preferences*; those of
    all slices are added up, so no group holds all variants, and turned into the weights of won comparisons.
-3. The strongest paths take one round a pivot block, each in three phases: the pivot tile is
+3. Up to ``WHOLE`` cells an election, one group takes its tiles and finds all wins (:func:`schulze_kernel.strongest_path_wins`).
+4. Beyond that, the strongest paths take one round a pivot block, each in three phases: the pivot tile is
    closed once, then its row and column are updated from it, then all other tiles from
    those two.
-4. Wins come from pairs of tiles.
-
-No group holds more than the tiles of two blocks beside its own.
+5. Wins then come from pairs of tiles, and no group holds more than the tiles of two blocks beside its own.
 """
 
 from __future__ import annotations
@@ -67,9 +66,15 @@ def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str],
 
 
 def ranked(tiles: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
-    """``(keys..., location, wins, rank)`` of every candidate from the tiles of won comparisons."""
+    """``(keys..., location, wins, rank)`` of every candidate from the tiles of won comparisons.
+
+    Elections of up to ``WHOLE`` cells are solved whole, in a group each; with larger ones all go through rounds of tiles.
+    """
     keys = list(keys)
-    wins = tiled_wins(widest_path_tiles(tiles, keys, blocks), keys)
+    tiles = stored(tiles)
+    sizes = tiles.where(F.col("i") == F.col("j")).groupBy(*keys).agg(F.sum(F.size("rows").cast("long")).alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    wins = whole_wins(tiles, keys) if most * most <= WHOLE else tiled_wins(widest_path_tiles(tiles, keys, blocks), keys)
     w = Window.partitionBy(*keys).orderBy(F.col("wins").desc())
     return wins.withColumn("rank", F.rank().over(w).cast("double"))
 
@@ -139,7 +144,7 @@ def rank_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, slices: int
         voted = pdf["variant"].notna() & pdf["r"].notna()
         order = np.argsort(labels.astype(str), kind="stable")
         head = [pdf[c].iloc[0] for c in (*keys, "block", "slice")]
-        return pd.DataFrame([(*head, list(labels[order]), list(pd.factorize(pdf["variant"][voted])[1]), ranks[order].tobytes())],
+        return pd.DataFrame([(*head, list(labels[order]), list(pd.factorize(pdf["variant"][voted])[1]), schulze_kernel.packed(ranks[order]))],
                             columns=[*keys, "block", "slice", "rows", "variants", "r"])
 
     return rows.groupBy(*keys, "block", "slice").applyInPandas(tile, _schema(ballots, keys, _RANKS))
@@ -147,7 +152,7 @@ def rank_tiles(ballots: DataFrame, keys: Sequence[str], blocks: int, slices: int
 
 def ranks_of(tile, variants: Sequence[str]) -> np.ndarray:
     """The ranks of a tile with ``variants`` in columns."""
-    own = np.frombuffer(tile.r, np.float64).reshape(len(tile.rows), len(tile.variants))
+    own = schulze_kernel.unpacked(tile.r, len(tile.rows), len(tile.variants))
     out = np.full((len(tile.rows), len(variants)), np.nan)
     place = {v: k for k, v in enumerate(variants)}
     out[:, [place[v] for v in tile.variants]] = own
@@ -277,6 +282,36 @@ def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> Dat
     return now
 
 
+def whole_wins(tiles: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys..., location, wins)`` from the tiles of won comparisons, all of an election in one group."""
+    keys = list(keys)
+    schema = _schema(tiles, keys, ["location string", "wins long"])
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def wins(table: pa.Table) -> pa.Table:
+        own = {k: table.column(k)[0].as_py() for k in keys}
+        places = list(zip(table.column("i").to_pylist(), table.column("j").to_pylist()))
+        rows = {i: table.column("rows")[at].as_py() for at, (i, j) in enumerate(places) if i == j}
+        first = dict(zip(sorted(rows), np.cumsum([0, *(len(rows[i]) for i in sorted(rows))]).tolist()))
+        n = sum(map(len, rows.values()))
+        parts = [(i, j, cells(memoryview(table.column("s")[at].as_buffer()), rows[i], rows[j])) for at, (i, j) in enumerate(places)]
+        weights = np.zeros((n, n), max((s.dtype for *_, s in parts), key=lambda d: d.itemsize))
+        for i, j, s in parts:
+            weights[first[i]:first[i] + len(rows[i]), first[j]:first[j] + len(rows[j])] = s
+        won = schulze_kernel.strongest_path_wins(weights)
+        labels = [x for i in sorted(rows) for x in rows[i]]
+        return pa.Table.from_pylist([own | {"location": x, "wins": w} for x, w in zip(labels, won.tolist())], schema=kinds)
+
+    if not keys:
+        return tiles.groupBy(F.lit(0)).applyInArrow(wins, schema)
+    # an election is few bytes, but much is computed from it: by a number of its own, so that groups are not put together into few tasks
+    tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiles.repartition(tasks, *keys).groupBy(*keys).applyInArrow(wins, schema)
+
+
+WHOLE = 1 << 28  # cells, a byte each up to 255 variants
+
+
 def tiled_wins(strengths: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(keys..., location, wins)`` from the strength tiles; a tile meets the one with rows and columns exchanged."""
     keys = list(keys)

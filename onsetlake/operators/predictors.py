@@ -14,8 +14,10 @@ more than five).  All targets' elections form one Spark job: the target is
 a column of the election key, never a driver loop.
 
 Scale: the ranks of all locations are stored once, as tiles of a block of locations in a
-slice of variants.  A group sees the tiles of two blocks and the ranks of some
-targets in one slice.  Which votes a target masks, and who stands in its elections, is
+slice of variants.  A group sees all of them, which is little beside the preferences, and some targets, and
+finds the leaders of their elections from the few comparisons that decide (:func:`schulze_kernel.leaders`).
+Elections that need more than ``ROOM`` cells for that go through tiles of preferences: there a group
+sees the tiles of two blocks and the ranks of some targets in one slice.  Which votes a target masks, and who stands in its elections, is
 decided inside the group, target by target, so ballots are neither copied nor joined once a target.
 """
 
@@ -30,6 +32,8 @@ from onsetlake.operators import election
 
 TOP_N = 5
 SEP = "\u0001"  # between continent and location in a label
+PARTS = 64  # groups that targets are dealt out into
+ROOM = 1 << 27  # cells
 KEYS = ["t_continent", "t_location", "on_same_continent"]
 _PARTS = "t_continent string, t_location string, on_same_continent boolean, lo int, hi int, rows array<string>, cols array<string>, " \
          "p binary, q binary, row_votes array<int>, col_votes array<int>"
@@ -105,6 +109,60 @@ def with_votes_only(parts: DataFrame) -> DataFrame:
     return election.grouped(parts, [*KEYS, "lo", "hi"], drop, schema, KEYS)
 
 
+def _all_codes(tiles: list) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and codes of all locations, from all tiles."""
+    blocks = sorted({tile.block for tile in tiles})
+    rows = {tile.block: tile.rows for tile in tiles}
+    found = []
+    for slice_ in sorted({tile.slice for tile in tiles}):
+        at = {tile.block: tile for tile in tiles if tile.slice == slice_}
+        variants = sorted({v for tile in at.values() for v in tile.variants})
+        ranks = np.vstack([election.ranks_of(at[b], variants) for b in blocks])
+        found += [schulze_kernel.coded(ranks[:, k:k + 16])[0] for k in range(0, len(variants), 16)]
+    labels = np.array([x for b in blocks for x in rows[b]], object)
+    return labels, np.concatenate(found, axis=1) if found else np.zeros((len(labels), 0), np.uint8)
+
+
+def elected(tiles: DataFrame, asked: DataFrame, strict: bool) -> DataFrame:
+    """``(t_continent, t_location, on_same_continent, location, rank, open)`` of the leaders of both elections of every target.
+
+    ``asked``: the targets' labels as ``location``.  An election that takes too much room is one row with ``open`` set.
+    """
+    def solve(rows: list) -> list[dict]:
+        tiles, targets = [x for x in rows if x.part_targets is None], [t for x in rows for t in x.part_targets or ()]
+        out: list[dict] = []
+        if not tiles:
+            return out
+        cells = sum(len(x.rows) for x in tiles if x.slice == tiles[0].slice) * len({v for x in tiles for v in x.variants})
+        labels, codes = _all_codes(tiles) if cells <= ROOM else (np.zeros(0, object), np.zeros((0, 0), np.uint8))
+        where = np.array([_continent(x) for x in labels], object)
+        place = {x: k for k, x in enumerate(labels)}
+        never = np.iinfo(codes.dtype).max
+        for target in targets:
+            continent, _, location = target.partition(SEP)
+            own = codes[place[target]] if target in place else np.full(codes.shape[1], never, codes.dtype)
+            latest = np.where(own == never, 0, own) if strict else own
+            kept = np.where(codes < latest if strict else codes <= latest, codes, never)
+            for on in (True, False):
+                head = {"t_continent": continent, "t_location": location, "on_same_continent": on}
+                stand = np.flatnonzero(((where == continent) == on) & (labels != target))
+                if strict:
+                    stand = stand[(kept[stand] < never).any(1)]
+                first = schulze_kernel.leaders(kept[stand], TOP_N, ROOM) if cells <= ROOM and len(stand) else None
+                if first is not None:
+                    out += [head | {"location": labels[stand[k]], "rank": r, "open": False} for k, r in zip(*first)]
+                elif cells > ROOM or len(stand):
+                    out.append(head | {"location": None, "rank": None, "open": True})
+        return out
+
+    part = election.dealt("location", PARTS)
+    used = [r.part for r in asked.select(part.alias("part")).distinct().collect()]
+    everywhere = tiles.withColumn("part", F.explode(F.array(*map(F.lit, used)).cast("array<int>")))         .withColumn("part_targets", F.lit(None).cast("array<string>"))
+    dealt = asked.groupBy(part.alias("part")).agg(F.collect_list("location").alias("part_targets"))         .select(*[F.lit(None).cast(tiles.schema[c].dataType).alias(c) for c in tiles.columns], "part", "part_targets")
+    return election.grouped(everywhere.unionByName(dealt).repartition(PARTS, "part"), ["part"], solve,
+                            "t_continent string, t_location string, on_same_continent boolean, location string, rank double, open boolean")
+
+
 def predictor_locations(ranks: DataFrame, targets: DataFrame, excluded: Column | None = None,
                         rank_col: str = "outbreak_rank_global", strict: bool = False,
                         blocks: int = 2, slices: int = 1) -> DataFrame:
@@ -121,10 +179,16 @@ def predictor_locations(ranks: DataFrame, targets: DataFrame, excluded: Column |
     votes = votes.select(label("continent", "location").alias("location"), "variant", F.col(rank_col).alias("r"))
     asked = election.stored(targets.where(F.col("continent").isNotNull()).select(label("continent", "location").alias("location")).distinct())
     tiles = election.stored(election.rank_tiles(election._ballots(votes, cand, []), [], blocks, slices))
-    wanted = election.rank_tiles(election._ballots(votes.join(asked, "location", "left_semi"), asked, []), [], blocks, slices)
-    masked = masked_preferences(tiles, wanted, blocks, strict)
-    parts = with_votes_only(masked) if strict else masked.drop("row_votes", "col_votes")
-    ranked = election.ranked(election.summed_tiles(parts, KEYS, slices), KEYS, blocks)
+    ranked = election.stored(elected(tiles, asked, strict))
+    left = ranked.where("open").select(*KEYS)
+    ranked = ranked.where(~F.col("open")).select(*KEYS, "location", "rank")
+    if not left.isEmpty():
+        again = left.select(label("t_continent", "t_location").alias("location")).distinct()
+        wanted = election.rank_tiles(election._ballots(votes.join(again, "location", "left_semi"), again, []), [], blocks, slices)
+        masked = masked_preferences(tiles, wanted, blocks, strict)
+        parts = with_votes_only(masked) if strict else masked.drop("row_votes", "col_votes")
+        parts = parts.join(left, KEYS, "left_semi")
+        ranked = ranked.unionByName(election.ranked(election.summed_tiles(parts, KEYS, slices), KEYS, blocks).select(*KEYS, "location", "rank"))
 
     label_parts = F.split(F.col("location"), SEP)
     on_flag = F.col("on_same_continent")
