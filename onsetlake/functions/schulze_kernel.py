@@ -88,6 +88,18 @@ def duels(some: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return won, lost
 
 
+def won_weights(codes: np.ndarray) -> np.ndarray:
+    """The weights of won comparisons between all candidates (0: none), from their codes."""
+    ranks = np.ascontiguousarray(codes.T)
+    n = len(codes)
+    weights = np.zeros((n, n), duels(ranks[:, :0], ranks[:, :0])[0].dtype)
+    for first in range(0, n, ROWS):
+        some = slice(first, first + ROWS)
+        won, lost = duels(ranks[:, some], ranks[:, first:])
+        weights[some, first:], weights[first:, some] = won, lost.T
+    return weights
+
+
 def preference_matrix(ranks: np.ndarray) -> np.ndarray:
     """Preferences between all candidates of one matrix."""
     return preferences(ranks, ranks)

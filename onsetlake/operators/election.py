@@ -12,18 +12,18 @@ Inputs, long form:
 constant for one global election).  Output: ``(keys..., location, wins,
 rank)`` with ``rank`` the min-rank by wins descending, as a double.
 
-Preferences are computed in tiles.  ``blocks`` and ``slices`` are plan
+Ranks are stored in tiles.  ``blocks`` and ``slices`` are plan
 parameters that deal candidates out into blocks and variants into slices; they change
 the layout only, never the result.
 
 1. *Rank tiles* hold the onset orders of a block in a slice.
-2. A pair of blocks meets in each slice, which gives *partial preferences*; those of
+2. Up to ``WHOLE`` cells an election, one group takes its rank tiles and finds all wins (:func:`schulze_kernel.strongest_path_wins`).
+   With larger ones, a pair of blocks meets in each slice, which gives *partial preferences*; those of
    all slices are added up, so no group holds all variants, and turned into the weights of won comparisons.
-3. Up to ``WHOLE`` cells an election, one group takes its tiles and finds all wins (:func:`schulze_kernel.strongest_path_wins`).
-4. Beyond that, the strongest paths take one round a pivot block, each in three phases: the pivot tile is
+3. The strongest paths then take one round a pivot block, each in three phases: the pivot tile is
    closed once, then its row and column are updated from it, then all other tiles from
    those two.
-5. Wins then come from pairs of tiles, and no group holds more than the tiles of two blocks beside its own.
+4. Wins then come from pairs of tiles, and no group holds more than the tiles of two blocks beside its own.
 """
 
 from __future__ import annotations
@@ -61,20 +61,20 @@ def normalise_votes(votes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def combined_rank(votes: DataFrame, candidates: DataFrame, keys: Sequence[str], blocks: int = 2, slices: int = 1) -> DataFrame:
     keys = list(keys)
-    tiles = strength_tiles(_ballots(votes, candidates, keys), keys, blocks, slices)
-    return ranked(tiles, keys, blocks)
+    tiles = stored(rank_tiles(_ballots(votes, candidates, keys), keys, blocks, slices))
+    sizes = tiles.groupBy(*keys, "slice").agg(F.sum(F.size("rows").cast("long")).alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    if most * most <= WHOLE:
+        return _with_rank(whole_wins(tiles, keys), keys)
+    return ranked(summed_tiles(partial_preferences(tiles, keys, blocks), keys, slices), keys, blocks)
 
 
 def ranked(tiles: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
-    """``(keys..., location, wins, rank)`` of every candidate from the tiles of won comparisons.
+    """``(keys..., location, wins, rank)`` of every candidate from the tiles of won comparisons."""
+    return _with_rank(tiled_wins(widest_path_tiles(tiles, list(keys), blocks), keys), keys)
 
-    Elections of up to ``WHOLE`` cells are solved whole, in a group each; with larger ones all go through rounds of tiles.
-    """
-    keys = list(keys)
-    tiles = stored(tiles)
-    sizes = tiles.where(F.col("i") == F.col("j")).groupBy(*keys).agg(F.sum(F.size("rows").cast("long")).alias("n"))
-    most = sizes.agg(F.max("n")).first()[0] or 0
-    wins = whole_wins(tiles, keys) if most * most <= WHOLE else tiled_wins(widest_path_tiles(tiles, keys, blocks), keys)
+
+def _with_rank(wins: DataFrame, keys: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(F.col("wins").desc())
     return wins.withColumn("rank", F.rank().over(w).cast("double"))
 
@@ -159,6 +159,20 @@ def ranks_of(tile, variants: Sequence[str]) -> np.ndarray:
     return out
 
 
+def all_codes(tiles: list) -> tuple[np.ndarray, np.ndarray]:
+    """Labels and codes of all locations, from all tiles."""
+    blocks = sorted({tile.block for tile in tiles})
+    rows = {tile.block: tile.rows for tile in tiles}
+    found = []
+    for slice_ in sorted({tile.slice for tile in tiles}):
+        at = {tile.block: tile for tile in tiles if tile.slice == slice_}
+        variants = sorted({v for tile in at.values() for v in tile.variants})
+        ranks = np.vstack([ranks_of(at[b], variants) for b in blocks])
+        found += [schulze_kernel.coded(ranks[:, k:k + 16])[0] for k in range(0, len(variants), 16)]
+    labels = np.array([x for b in blocks for x in rows[b]], object)
+    return labels, np.concatenate(found, axis=1) if found else np.zeros((len(labels), 0), np.uint8)
+
+
 def block_pairs(tiles: DataFrame, blocks: int) -> DataFrame:
     """Each tile once for every other block, with the pair as ``lo`` and ``hi``."""
     return tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
@@ -283,30 +297,17 @@ def widest_path_tiles(tiles: DataFrame, keys: Sequence[str], blocks: int) -> Dat
 
 
 def whole_wins(tiles: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(keys..., location, wins)`` from the tiles of won comparisons, all of an election in one group."""
+    """``(keys..., location, wins)`` from the rank tiles, all of an election in one group."""
     keys = list(keys)
-    schema = _schema(tiles, keys, ["location string", "wins long"])
-    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
-
-    def wins(table: pa.Table) -> pa.Table:
-        own = {k: table.column(k)[0].as_py() for k in keys}
-        places = list(zip(table.column("i").to_pylist(), table.column("j").to_pylist()))
-        rows = {i: table.column("rows")[at].as_py() for at, (i, j) in enumerate(places) if i == j}
-        first = dict(zip(sorted(rows), np.cumsum([0, *(len(rows[i]) for i in sorted(rows))]).tolist()))
-        n = sum(map(len, rows.values()))
-        parts = [(i, j, cells(memoryview(table.column("s")[at].as_buffer()), rows[i], rows[j])) for at, (i, j) in enumerate(places)]
-        weights = np.zeros((n, n), max((s.dtype for *_, s in parts), key=lambda d: d.itemsize))
-        for i, j, s in parts:
-            weights[first[i]:first[i] + len(rows[i]), first[j]:first[j] + len(rows[j])] = s
-        won = schulze_kernel.strongest_path_wins(weights)
-        labels = [x for i in sorted(rows) for x in rows[i]]
-        return pa.Table.from_pylist([own | {"location": x, "wins": w} for x, w in zip(labels, won.tolist())], schema=kinds)
-
-    if not keys:
-        return tiles.groupBy(F.lit(0)).applyInArrow(wins, schema)
-    # an election is few bytes, but much is computed from it: by a number of its own, so that groups are not put together into few tasks
+
+    def wins(tiles: list) -> list[dict]:
+        labels, codes = all_codes(tiles)
+        won = schulze_kernel.strongest_path_wins(schulze_kernel.won_weights(codes))
+        return [{"location": x, "wins": w} for x, w in zip(labels, won.tolist())]
+
+    # ranks are few bytes, but much is computed from them: by a number of its own, so that groups are not put together into few tasks
     tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tiles.repartition(tasks, *keys).groupBy(*keys).applyInArrow(wins, schema)
+    return grouped(tiles.repartition(tasks, *keys), keys, wins, _schema(tiles, keys, ["location string", "wins long"]), keys)
 
 
 WHOLE = 1 << 28  # cells, a byte each up to 255 variants

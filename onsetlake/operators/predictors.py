@@ -109,20 +109,6 @@ def with_votes_only(parts: DataFrame) -> DataFrame:
     return election.grouped(parts, [*KEYS, "lo", "hi"], drop, schema, KEYS)
 
 
-def _all_codes(tiles: list) -> tuple[np.ndarray, np.ndarray]:
-    """Labels and codes of all locations, from all tiles."""
-    blocks = sorted({tile.block for tile in tiles})
-    rows = {tile.block: tile.rows for tile in tiles}
-    found = []
-    for slice_ in sorted({tile.slice for tile in tiles}):
-        at = {tile.block: tile for tile in tiles if tile.slice == slice_}
-        variants = sorted({v for tile in at.values() for v in tile.variants})
-        ranks = np.vstack([election.ranks_of(at[b], variants) for b in blocks])
-        found += [schulze_kernel.coded(ranks[:, k:k + 16])[0] for k in range(0, len(variants), 16)]
-    labels = np.array([x for b in blocks for x in rows[b]], object)
-    return labels, np.concatenate(found, axis=1) if found else np.zeros((len(labels), 0), np.uint8)
-
-
 def elected(tiles: DataFrame, asked: DataFrame, strict: bool) -> DataFrame:
     """``(t_continent, t_location, on_same_continent, location, rank, open)`` of the leaders of both elections of every target.
 
@@ -134,7 +120,7 @@ def elected(tiles: DataFrame, asked: DataFrame, strict: bool) -> DataFrame:
         if not tiles:
             return out
         cells = sum(len(x.rows) for x in tiles if x.slice == tiles[0].slice) * len({v for x in tiles for v in x.variants})
-        labels, codes = _all_codes(tiles) if cells <= ROOM else (np.zeros(0, object), np.zeros((0, 0), np.uint8))
+        labels, codes = election.all_codes(tiles) if cells <= ROOM else (np.zeros(0, object), np.zeros((0, 0), np.uint8))
         where = np.array([_continent(x) for x in labels], object)
         place = {x: k for k, x in enumerate(labels)}
         never = np.iinfo(codes.dtype).max
